@@ -59,3 +59,35 @@ def spend_by_category_month(facts: DataFrame, category: str, date: str, amount:
     keyed = facts.select(F.col(category).alias("Category"), month, F.col(amount).alias("_amt"))
     grouped = keyed.rollup("Category", "Month") if rollup else keyed.groupBy("Category", "Month")
     return grouped.agg(F.sum("_amt").alias("Spend"), F.count(F.lit(1)).alias("Lines"))
+
+
+def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
+    """Date dimension, Gold transaction fact (names resolved) and spend summary."""
+    from ledgerline import constants as K
+    from ledgerline import schemas
+    from ledgerline.operators.audit import observed
+    from ledgerline.operators.lookup import lookup
+    from ledgerline.plans.silver import read_dimension
+    from ledgerline.sources.tables import append, read_or_empty
+
+    with log.step("LoadSilverToGold") as main:
+        silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
+        with log.step("DateDimension") as s:
+            dates = date_dimension_for(spark, silver, "Date", years_back=years_back)
+            dates.write.mode("overwrite").parquet(layout.gold_date)
+            s.target = layout.gold_date
+        with log.step("TransactionFact") as s:
+            fact = silver.withColumn("DateKey", date_key("Date"))
+            for dim in ("Account",) + K.BRIDGE_DIMENSIONS:
+                d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
+                fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
+            existing = read_or_empty(spark, layout.gold_transaction, fact.schema).select("TransactionGUID")
+            fresh, obs = observed(fact.join(existing, "TransactionGUID", "left_anti"), "gold_fact")
+            append(fresh, layout.gold_transaction)
+            s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
+        with log.step("SpendByCategoryMonth") as s:
+            gold = spark.read.parquet(layout.gold_transaction)
+            spend = spend_by_category_month(gold, "Category", "Date", "Amount")
+            spend.write.mode("overwrite").parquet(layout.gold_spend)
+            s.target = layout.gold_spend
+        main.rows = s.rows
