@@ -117,7 +117,7 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
            .withColumn("RowCount", F.col("data_lines"))
            .withColumn("ExecutionGUID", F.lit(execution_guid)))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
-                      "DefaultCategory", "actual")
+                      "DefaultCategory", "actual", "relative")
 
 
 def _column_rules(cc_rows: list, config_id: int):
@@ -195,8 +195,12 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
         rows = read_valid(spark, valid, cc_rows, main.guid)
         if rows is not None:
             with log.step("WriteBronze") as s:
+                # SourceFile: the path inside the source folder (just the file
+                # name for flat folders; unique when sub-folders repeat names).
+                in_source = F.regexp_replace(F.col("relative"), r"^[^/]*/", "")
                 file_meta = bounded_broadcast(disp.where(F.col("Disposition") == VALID).select(
-                    F.col("uri").alias("_uri"), "file_name", "Source", "DefaultCategory"))
+                    F.col("uri").alias("_uri"), in_source.alias("file_name"), "Source",
+                    "DefaultCategory"))
                 rows = rows.join(file_meta, "_uri", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
                 rows = add_bronze_audit(rows, main.guid, "Source", "file_name")

@@ -578,3 +578,23 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: sql for k, (_, sql) in CATALOG.items() if sql}
+
+
+# --- the whole Bronze -> Silver -> Gold flow (flagship) -----------------------
+@register("medallion_spend", f"""
+WITH t AS (
+  SELECT CASE WHEN l_returnflag = 'N' THEN 'shop' ELSE 'bank' END AS src,
+         CAST(l_shipdate AS DATE) AS d,
+         CAST({_AMOUNT_SQL} AS DECIMAL(18, 2)) AS amt,
+         p_name || ' #' || CAST(p_partkey AS VARCHAR) AS descr, p_type
+  FROM lineitem JOIN part ON p_partkey = l_partkey
+  WHERE l_returnflag IN ('A', 'N')),
+u AS (SELECT DISTINCT src, year(d) AS y, d, amt, descr, p_type FROM t)
+SELECT p_type AS Category, CAST(date_trunc('month', d) AS DATE) AS Month,
+       CAST(sum(amt) AS DOUBLE) AS Spend, count(*) AS Lines
+FROM u GROUP BY 1, 2
+""")
+def q_medallion_spend(spark, sf_dir):
+    from ledgerline.plans.medallion import medallion_spend
+
+    return medallion_spend(spark, sf_dir)
