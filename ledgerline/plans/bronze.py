@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +87,27 @@ def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
         expected_columns(cc), "ConfigurationFileID", "left")
 
 
+def target_path(layout: Layout):
+    """Archive path for valid files, Error path with the issue in the name."""
+    return (F.when(F.col("Disposition") == ERROR, F.concat_ws(
+        "/", F.lit(layout.bronze_error), F.col("Source"), error_file_name("file_name", "Issue")))
+        .when(F.col("Disposition") == VALID, F.concat_ws(
+            "/", F.lit(layout.bronze_archive), F.col("Source"), F.col("file_name"))))
+
+
+def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataFrame:
+    """Attach parsed row counts; a header-valid file without rows is Empty."""
+    c = counts.select(F.col("_uri").alias("uri"), F.col("n").alias("_n"))
+    joined = disp.join(bounded_broadcast(c), "uri", "left")
+    valid = F.col("Disposition") == VALID
+    empty = valid & (F.coalesce("_n", F.lit(0)) == 0)
+    out = (joined.withColumn("RowCount", F.when(valid, F.coalesce("_n", F.lit(0)))
+                             .otherwise(F.col("RowCount")))
+           .withColumn("Issue", F.when(empty, F.lit(K.EMPTY_TAG)).otherwise(F.col("Issue")))
+           .withColumn("Disposition", F.when(empty, F.lit(ERROR)).otherwise(F.col("Disposition"))))
+    return out.withColumn("TargetPath", target_path(layout)).drop("_n")
+
+
 def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: DataFrame,
                  execution_guid: str) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
@@ -100,7 +122,8 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
     df = with_cfg.join(headers, "uri", "left").withColumn(
         "actual", _split_by_delimiter("header", delimiters))
     df = header_check(df, "actual", "expected")
-    empty = (F.col("size") == 0) | (F.coalesce(F.col("data_lines"), F.lit(0)) == 0)
+    # Zero-byte or blank files; header-only files are found after parsing.
+    empty = (F.col("size") == 0) | F.coalesce(F.trim("header") == "", F.lit(True))
     disp = (F.when(F.col("Source").isNull() | ~F.col("accepted"), F.lit(IGNORED))
             .when(F.col("ConfigurationFileID").isNull() | F.col("expected").isNull(), F.lit(NO_CONFIG))
             .when(empty, F.lit(ERROR))
@@ -108,13 +131,9 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
             .otherwise(F.lit(VALID)))
     issue = F.when(F.col("Disposition") == ERROR,
                    F.when(empty, F.lit(K.EMPTY_TAG)).otherwise(F.col("Issue"))).otherwise(F.lit(""))
-    target = (F.when(F.col("Disposition") == ERROR, F.concat_ws(
-        "/", F.lit(layout.bronze_error), F.col("Source"), error_file_name("file_name", "Issue")))
-        .when(F.col("Disposition") == VALID, F.concat_ws(
-            "/", F.lit(layout.bronze_archive), F.col("Source"), F.col("file_name"))))
     out = (df.withColumn("Disposition", disp).withColumn("Issue", issue)
-           .withColumn("TargetPath", target)
-           .withColumn("RowCount", F.col("data_lines"))
+           .withColumn("TargetPath", target_path(layout))
+           .withColumn("RowCount", F.lit(None).cast("long"))
            .withColumn("ExecutionGUID", F.lit(execution_guid)))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
                       "DefaultCategory", "actual", "relative")
@@ -203,7 +222,10 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                     "DefaultCategory"))
                 rows = rows.join(file_meta, "_uri", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
-                rows = add_bronze_audit(rows, main.guid, "Source", "file_name")
+                # Parsed once: good and bad rows are two writes over one persisted
+                # parse (memory and disk; recomputable from the files if lost).
+                rows = add_bronze_audit(rows, main.guid, "Source", "file_name") \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
                 good = rows.where(F.size("_bad_columns") == 0)
                 bad = rows.where(F.size("_bad_columns") > 0).select(
                     "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime")
@@ -213,6 +235,10 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 bad, obs_bad = observed(bad, "bronze_bad_rows")
                 append(bad, layout.bronze_quarantine)
                 quarantined = obs_bad.get.get("rows", 0)
+                counts = rows.groupBy("_uri").agg(F.count(F.lit(1)).alias("n")).persist()
+                counts.count()
+                rows.unpersist()
+                disp = with_row_counts(layout, disp, counts)
                 s.rows, s.target = loaded, layout.bronze_transaction
                 if quarantined:
                     log.warn(s, f"{quarantined} row(s) with uncastable cells set aside")

@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,8 +142,11 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             s.rows = add_members(spark, layout, cfg, "Account", "Account")
             src_acc = account_lookup(cfg.select("Source", "Account"),
                                      read_dimension(spark, layout, "Account"))
+        # The run's working set is read by several steps; keep it for the run
+        # (memory and disk; recomputed from Bronze if an executor is lost).
         rows = bronze.join(bounded_broadcast(src_acc.select("Source", "AccountGUID")), "Source", "left") \
-            .withColumn("SourceValue", F.col(source_value_column))
+            .withColumn("SourceValue", F.col(source_value_column)) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
         with log.step("ResolveToMap") as s:
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
@@ -167,7 +171,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             new_rows, obs = observed(align(new_rows, schemas.TO_MAP), "to_map")
             append(new_rows, layout.to_map)
             to_map_added = obs.get.get("rows", 0)
-            held_files = unmapped.select(*FILE_KEY).distinct()
+            held_files = unmapped.select(*FILE_KEY).distinct().persist()
             s.rows, s.target = to_map_added, layout.to_map
 
         keyed = rows.withColumn("_file", F.concat_ws("/", "Source", "SourceFile"))
@@ -210,5 +214,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         held_n = held_files.count()
         if held_n:
             log.warn(main, f"{held_n} file(s) held back until their values are mapped")
+        held_files.unpersist()
+        rows.unpersist()
         main.rows = added
     return SilverResult(added, held_n, to_map_added, bridge_added)

@@ -3,8 +3,7 @@
 Discovery lists ``<Inbound>/<Source>/...`` through the file system (zero-byte
 files included; Spark scans skip them).  The header scan is one distributed
 text read of the candidate files: the first line of each file comes from the
-split that starts at byte 0 (smallest row id there), and the data-line count
-is a per-file aggregate, combined map-side across splits of large files.
+split that starts at byte 0 (smallest row id there).
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from ledgerline.sources.files import listing_frame, normalize_uri_col
 
 HEADER_SCHEMA = T.StructType([
     T.StructField("uri", T.StringType()), T.StructField("header", T.StringType()),
-    T.StructField("data_lines", T.LongType()),
 ])
 
 
@@ -34,7 +32,12 @@ def discover(spark: SparkSession, inbound_root: str, source: str | None = None)
 
 
 def scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(uri, header, data_lines) for each non-empty file among ``paths``."""
+    """(uri, header) for each non-empty file among ``paths``.
+
+    Only rows of each file's first split (byte 0) are aggregated, so the
+    string aggregate never sorts the rest of a large file.  Row counts come
+    later from the CSV parse itself.
+    """
     if not paths:
         return spark.createDataFrame([], HEADER_SCHEMA)
     text = spark.read.option("lineSep", "\n").text(paths).select(
@@ -42,9 +45,6 @@ def scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.regexp_replace("value", "\r$", "").alias("line"),
         F.monotonically_increasing_id().alias("_id"))
-    first = F.col("block") == 0
-    return text.groupBy("uri").agg(
-        F.min_by(F.when(first, F.col("line")), F.when(first, F.col("_id"))).alias("header"),
-        F.sum(F.when(F.trim("line") != "", 1).otherwise(0)).alias("_lines"),
-    ).select("uri", F.regexp_replace("header", "^\ufeff", "").alias("header"),
-             F.greatest(F.col("_lines") - 1, F.lit(0)).cast("long").alias("data_lines"))
+    first_split = text.where(F.col("block") == 0)
+    return first_split.groupBy("uri").agg(F.min_by("line", "_id").alias("header")) \
+        .select("uri", F.regexp_replace("header", "^\ufeff", "").alias("header"))
