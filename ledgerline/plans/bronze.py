@@ -139,39 +139,43 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
                       "DefaultCategory", "actual", "relative")
 
 
-def _column_rules(cc_rows: list, config_id: int):
+def column_rules(cc_rows: list, config_id: int) -> list:
     rows = sorted([r for r in cc_rows if r["ConfigurationFileID"] == config_id],
                   key=lambda r: (r["ConfigurationColumnOrder"] is None,
                                  r["ConfigurationColumnOrder"] or 0, r["_row"]))
     return rows
 
 
+def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
+    """File columns (text) -> Bronze text columns -> typed, plus ``_bad_columns``
+    and ``_raw``.  Shared by the batch load and the streaming ingest."""
+    # File -> Bronze: an expression when configured, else a first-wins rename.
+    exprs = {r["ColumnName_Bronze"]: r["Transformation_FileToBronze"] for r in rules
+             if r["ColumnName_Bronze"] and r["Transformation_FileToBronze"]}
+    df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
+    df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
+                                       for r in rules if r["ColumnName_Bronze"] not in exprs])
+    keep = [c for c in ("_uri", "_file") if c in df.columns]
+    df = align(df, T.StructType([T.StructField(c, T.StringType())
+                                 for c in BRONZE_TEXT_COLUMNS + keep]))
+    df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
+    df = df.withColumn("_raw", F.to_json(F.struct(*BRONZE_TEXT_COLUMNS)))
+    types = {r["ColumnName_Bronze"]: (r["Datatype"] or "string") for r in rules
+             if r["ColumnName_Bronze"] in BRONZE_TEXT_COLUMNS}
+    return coerce_columns(df, types)
+
+
 def read_valid(spark: SparkSession, valid: list, cc_rows: list, execution_guid: str) -> DataFrame | None:
     """Valid files -> Bronze-shaped typed rows plus ``_bad_columns`` and ``_raw``."""
     groups: dict[tuple, list[str]] = {}
-    meta: dict[tuple, object] = {}
     for r in valid:
         key = (r["ConfigurationFileID"], r["Delimiter"], r["TextQualifier"], tuple(r["actual"]))
         groups.setdefault(key, []).append(r["path"])
-        meta[key] = r
     frames = []
     for key, paths in groups.items():
         config_id, delim, quote, columns = key
         df = read_group(spark, FileLayout(delim, quote or '"', columns), paths)
-        rules = _column_rules(cc_rows, config_id)
-        # File -> Bronze: an expression when configured, else a first-wins rename.
-        exprs = {r["ColumnName_Bronze"]: r["Transformation_FileToBronze"] for r in rules
-                 if r["ColumnName_Bronze"] and r["Transformation_FileToBronze"]}
-        df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
-        df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
-                                           for r in rules if r["ColumnName_Bronze"] not in exprs])
-        df = align(df, T.StructType([T.StructField(c, T.StringType())
-                                     for c in BRONZE_TEXT_COLUMNS + ["_uri"]]))
-        df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
-        df = df.withColumn("_raw", F.to_json(F.struct(*BRONZE_TEXT_COLUMNS)))
-        types = {r["ColumnName_Bronze"]: (r["Datatype"] or "string") for r in rules
-                 if r["ColumnName_Bronze"] in BRONZE_TEXT_COLUMNS}
-        frames.append(coerce_columns(df, types))
+        frames.append(shape_bronze(df, column_rules(cc_rows, config_id)))
     if not frames:
         return None
     out = frames[0]
