@@ -598,3 +598,36 @@ def q_medallion_spend(spark, sf_dir):
     from ledgerline.plans.medallion import medallion_spend
 
     return medallion_spend(spark, sf_dir)
+
+
+# --- log rows (ops 44, 45, 49, 50, 51) ---------------------------------------
+# Events stand in for pipeline steps: each becomes a log row with a stable
+# GUID, a call stack, a timestamp text, a severity and, for failures, the
+# formatted error message.
+@register("log_rows", f"""
+SELECT {g('Event', 'event_id')} AS ExecutionGUID,
+       {g('User', 'user_id')} AS ParentExecutionGUID,
+       {_ts_text_sql('ts')} AS Begin,
+       concat_ws(' > ', 'Main', 'User' || CAST(user_id AS VARCHAR), event_type) AS CallStack,
+       CASE WHEN event_type = 'error' THEN 'Error' ELSE 'Info' END AS Severity,
+       CASE WHEN event_type = 'error'
+            THEN format('Error in {{}} > {{}}() on line {{}}: {{}}', 'events', event_type,
+                        CAST(event_id AS VARCHAR), props)
+            ELSE 'Success' END AS Result
+FROM events
+""")
+def q_log_rows(spark, sf_dir):
+    from ledgerline.functions import call_stack, error_message
+
+    ev = Tables(spark, sf_dir).events
+    failed = F.col("event_type") == "error"
+    return ev.select(
+        stable_guid("Event", "event_id").alias("ExecutionGUID"),
+        stable_guid("User", "user_id").alias("ParentExecutionGUID"),
+        log_timestamp("ts").alias("Begin"),
+        call_stack(call_stack(F.lit("Main"), F.concat(F.lit("User"), F.col("user_id").cast("string"))),
+                   "event_type").alias("CallStack"),
+        severity(F.when(failed, F.col("event_type"))).alias("Severity"),
+        F.when(failed, error_message(F.lit("events"), "event_type",
+                                     F.col("event_id").cast("string"), "props"))
+        .otherwise(F.lit(K.RESULT_SUCCESS)).alias("Result"))
