@@ -14,10 +14,23 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 
-# Date / timestamp layouts tried in order for 'date' and 'timestamp' columns.
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "d-MMM-yyyy", "yyyyMMdd")
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
-                     "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy-MM-dd")
+# Date / timestamp layouts, each with the text shape that selects it.  Only
+# the one matching layout is tried, so a bad cell costs a regex match rather
+# than a chain of failed parses (failed parses are expensive under ANSI).
+DATE_LAYOUTS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+)
+TIMESTAMP_LAYOUTS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+)
+_ISO_TIMESTAMP = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+_INTEGER = r"^[+-]?\d+$"
+_REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^(?i)[+-]?(nan|inf|infinity)$"
 
 _DECIMAL = re.compile(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 
@@ -39,7 +52,8 @@ def parse_amount(col: Column | str, scale: int = 2, precision: int = 18) -> Colu
     negative = (c.startswith("(") & c.endswith(")")) | c.endswith("-")
     digits = F.regexp_replace(c, r"[^0-9.\-]", "")
     digits = F.regexp_replace(digits, r"-$", "")
-    value = digits.try_cast(f"decimal({min(precision + 10, 38)},{scale + 8})")
+    value = F.when(digits.rlike(r"^-?(\d+\.?\d*|\.\d+)$"),
+                   digits.try_cast(f"decimal({min(precision + 10, 38)},{scale + 8})"))
     signed = F.when(negative, -F.abs(value)).otherwise(value)
     return signed.try_cast(f"decimal({precision},{scale})")
 
@@ -55,15 +69,23 @@ def coerce(col: Column | str, datatype: str) -> Column:
         return _c(col).cast("string")
     if t in ("int", "integer", "bigint", "long"):
         target = "int" if t in ("int", "integer") else "bigint"
-        return F.regexp_replace(c, ",", "").try_cast(target)
+        n = F.regexp_replace(c, ",", "")
+        return F.when(n.rlike(_INTEGER), n.try_cast(target))
     if t in ("double", "float"):
-        return F.regexp_replace(c, ",", "").try_cast("double")
+        n = F.regexp_replace(c, ",", "")
+        return F.when(n.rlike(_REAL), n.try_cast("double"))
     if t == "boolean":
         lowered = F.lower(c)
         return F.when(lowered.isin("true", "t", "yes", "y", "1"), F.lit(True)) \
             .when(lowered.isin("false", "f", "no", "n", "0"), F.lit(False))
     if t == "date":
-        return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in DATE_FORMATS])
+        out = F.lit(None).cast("date")
+        for shape, fmt in reversed(DATE_LAYOUTS):
+            out = F.when(c.rlike(shape), F.to_date(F.try_to_timestamp(c, F.lit(fmt)))).otherwise(out)
+        return out
     if t == "timestamp":
-        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in TIMESTAMP_FORMATS])
+        out = F.when(c.rlike(_ISO_TIMESTAMP), c.try_cast("timestamp"))
+        for shape, fmt in TIMESTAMP_LAYOUTS + DATE_LAYOUTS:
+            out = out.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(fmt)))
+        return out
     raise ValueError(f"unsupported datatype {datatype!r}; expected one of {K.SUPPORTED_TYPES}")

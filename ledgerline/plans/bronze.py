@@ -191,7 +191,10 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             cf, cc = config_source.load(spark, layout.admin)
             cc_rows = cc.collect()  # configuration: a few rows per source
             s.file = layout.admin
-        cfg = source_configuration(cf, cc)
+        # One row per source: materialise once as a local relation so later
+        # actions do not re-read and re-aggregate the configuration files.
+        cfg_frame = source_configuration(cf, cc)
+        cfg = spark.createDataFrame(cfg_frame.collect(), cfg_frame.schema)
 
         with log.step("DiscoverInbound") as s:
             files = discover(spark, layout.bronze_inbound, source)

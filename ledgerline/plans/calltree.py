@@ -26,7 +26,7 @@ def call_tree(edges: DataFrame, node: str = "ExecutionGUID", parent: str = "Pare
     (node, parent) pairs are collapsed first.
     """
     e = edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")) \
-        .where(F.col("node").isNotNull()).distinct()
+        .where(F.col("node").isNotNull()).distinct().persist()
     known = e.select(F.col("node").alias("parent")).distinct()
     roots = e.where(F.col("parent").isNull()).unionByName(
         e.where(F.col("parent").isNotNull()).join(known, "parent", "left_anti"))
