@@ -22,7 +22,7 @@ from ledgerline.functions import (
 from ledgerline.operators.cleanse import (
     ColumnRule, align, apply_null_tokens, apply_rules, coerce_columns, rename_first_target_wins,
 )
-from ledgerline.operators.configuration import for_source, missing_from
+from ledgerline.operators.configuration import for_source, missing_from, with_columns_config
 from ledgerline.operators.dedupe import dedupe_rows, distinct_values, keep_first
 from ledgerline.operators.dimension import new_members, shape_members
 from ledgerline.operators.header import header_check_sets, item_sets
@@ -121,11 +121,14 @@ WHERE c_mktsegment = 'BUILDING'
 """)
 def q_config_filter_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    cfg = t.customer.select("c_custkey", F.col("c_mktsegment").alias("Source"))
-    chosen = for_source(cfg, "BUILDING")
-    orders = t.orders
-    joined = chosen.join(orders, chosen["c_custkey"] == orders["o_custkey"], "inner")
-    return joined.select("c_custkey", "o_orderkey", "o_orderpriority")
+    # customers play file-level configuration rows, orders their column rows
+    cfg = t.customer.select(F.col("c_custkey").alias("ConfigurationFileID"),
+                            F.col("c_mktsegment").alias("Source"))
+    cols = t.orders.select(F.col("o_custkey").alias("ConfigurationFileID"), "o_orderkey",
+                           "o_orderpriority")
+    joined = with_columns_config(for_source(cfg, "BUILDING"), cols)
+    return joined.select(F.col("ConfigurationFileID").alias("c_custkey"), "o_orderkey",
+                         "o_orderpriority")
 
 
 @register("missing_config", """
