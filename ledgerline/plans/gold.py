@@ -62,13 +62,20 @@ def spend_by_category_month(facts: DataFrame, category: str, date: str, amount:
 
 
 def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
-    """Date dimension, Gold transaction fact (names resolved) and spend summary."""
+    """Date dimension, Gold transaction fact and spend summary, incrementally.
+
+    The fact is partitioned by YearMonth.  Only new Silver transactions are
+    appended, and spend is recomputed only for the months they touch: those
+    fact partitions are read (partition pruning) and the matching spend
+    partitions are replaced (dynamic partition overwrite).
+    """
     from ledgerline import constants as K
     from ledgerline import schemas
     from ledgerline.operators.audit import observed
     from ledgerline.operators.lookup import lookup
     from ledgerline.plans.silver import read_dimension
-    from ledgerline.sources.tables import append, read_or_empty
+    from ledgerline.sources.files import exists
+    from ledgerline.sources.tables import read_or_empty
 
     with log.step("LoadSilverToGold") as main:
         silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
@@ -77,17 +84,28 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
             dates.write.mode("overwrite").parquet(layout.gold_date)
             s.target = layout.gold_date
         with log.step("TransactionFact") as s:
-            fact = silver.withColumn("DateKey", date_key("Date"))
+            fresh = silver
+            if exists(spark, layout.gold_transaction):
+                done = spark.read.parquet(layout.gold_transaction).select("TransactionGUID")
+                fresh = fresh.join(done, "TransactionGUID", "left_anti")
+            fact = fresh.withColumn("DateKey", date_key("Date")) \
+                .withColumn("YearMonth", (F.year("Date") * 100 + F.month("Date")).cast("int"))
             for dim in ("Account",) + K.BRIDGE_DIMENSIONS:
                 d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
                 fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
-            existing = read_or_empty(spark, layout.gold_transaction, fact.schema).select("TransactionGUID")
-            fresh, obs = observed(fact.join(existing, "TransactionGUID", "left_anti"), "gold_fact")
-            append(fresh, layout.gold_transaction)
+            fact = fact.persist()
+            months = [r["YearMonth"] for r in fact.select("YearMonth").distinct().collect()]
+            fact, obs = observed(fact, "gold_fact")
+            fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
             s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
-        with log.step("SpendByCategoryMonth") as s:
-            gold = spark.read.parquet(layout.gold_transaction)
-            spend = spend_by_category_month(gold, "Category", "Date", "Amount")
-            spend.write.mode("overwrite").parquet(layout.gold_spend)
+            fact.unpersist()
+        with log.step("SpendByCategoryMonth", months=len(months)) as s:
+            if months:
+                touched = spark.read.parquet(layout.gold_transaction) \
+                    .where(F.col("YearMonth").isin(months))
+                spend = spend_by_category_month(touched, "Category", "Date", "Amount") \
+                    .withColumn("YearMonth", (F.year("Month") * 100 + F.month("Month")).cast("int"))
+                (spend.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("YearMonth").parquet(layout.gold_spend))
             s.target = layout.gold_spend
-        main.rows = s.rows
+        main.rows = obs.get.get("rows", 0)

@@ -103,3 +103,4 @@ def medallion_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout, _ = run(spark, sf_dir)
     return spark.read.parquet(layout.gold_spend).select(
         "Category", "Month", F.col("Spend").cast("double").alias("Spend"), "Lines")
+

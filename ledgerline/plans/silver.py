@@ -152,13 +152,15 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
             bridge = read_or_empty(spark, layout.bridge, schemas.BRIDGE)
             pending = _to_map_pending(to_map, bridge).persist()
-            for d in K.BRIDGE_DIMENSIONS:
-                add_members(spark, layout, pending, d, d)
-            dims = {d: read_dimension(spark, layout, d) for d in K.BRIDGE_DIMENSIONS}
-            resolved = resolve_to_map(pending, dims)
-            fresh, obs = observed(new_bridge_rows(resolved.where("resolved"), bridge), "bridge")
-            append(align(fresh, schemas.BRIDGE), layout.bridge)
-            bridge_added = obs.get.get("rows", 0)
+            bridge_added = 0
+            if not pending.isEmpty():
+                for d in K.BRIDGE_DIMENSIONS:
+                    add_members(spark, layout, pending, d, d)
+                dims = {d: read_dimension(spark, layout, d) for d in K.BRIDGE_DIMENSIONS}
+                resolved = resolve_to_map(pending, dims)
+                fresh, obs = observed(new_bridge_rows(resolved.where("resolved"), bridge), "bridge")
+                append(align(fresh, schemas.BRIDGE), layout.bridge)
+                bridge_added = obs.get.get("rows", 0)
             pending.unpersist()
             s.rows, s.target = bridge_added, layout.bridge
 

@@ -8,9 +8,30 @@ from pyspark.sql import types as T
 from ledgerline.sources.files import exists
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path`` with the declared schema, or an empty one."""
+class SchemaMismatch(ValueError):
+    pass
+
+
+def schema_issue(actual: list[str], declared: list[str]) -> str:
+    """Header-check of a table's columns against its declared columns."""
+    extra = [c for c in actual if c not in declared] or len(actual) != len(set(actual))
+    missing = [c for c in declared if c not in actual]
+    return ".".join(x for x, bad in (("ExtraColumns", extra), ("MissingColumns", missing)) if bad)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
+                  validate: bool = True) -> DataFrame:
+    """The table at ``path`` with the declared schema, or an empty one.
+
+    An existing table whose stored columns differ from the declaration is
+    rejected instead of being read with NULL-filled or dropped columns.
+    """
     if exists(spark, path):
+        if validate:
+            stored = spark.read.parquet(path).columns
+            issue = schema_issue(stored, [f.name for f in schema.fields])
+            if issue:
+                raise SchemaMismatch(f"{path}: {issue} (stored {stored})")
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
