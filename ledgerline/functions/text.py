@@ -17,17 +17,21 @@ def base_name(path: Column | str) -> Column:
     return F.regexp_extract(_c(path), r"([^/]*)$", 1)
 
 
-def extension(name: Column | str) -> Column:
-    """Extension with its dot, as the last '.xxx' of the name; '' if none.
+# A name has an extension when a character other than '.' comes before its
+# last dot ("a.b.csv" -> ".csv"; ".profile" and "..a" have none), as
+# os.path.splitext splits names.
+_EXT_SPLIT = r"^(.*[^.].*)(\.[^.]*)$"
 
-    A leading dot alone (".profile") is not an extension.
-    """
-    return F.regexp_extract(_c(name), r"(?<=.)(\.[^./]*)$", 1)
+
+def extension(name: Column | str) -> Column:
+    """Extension with its dot, or '' if none (of the last path component)."""
+    return F.regexp_extract(base_name(name), _EXT_SPLIT, 2)
 
 
 def stem(name: Column | str) -> Column:
     """Name without its last extension."""
-    return F.regexp_replace(_c(name), r"(?<=.)\.[^./]*$", "")
+    n = _c(name)
+    return F.left(n, F.length(n) - F.length(extension(n)))
 
 
 def has_accepted_extension(name: Column | str) -> Column:

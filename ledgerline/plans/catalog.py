@@ -552,8 +552,8 @@ def q_log_sort_severity(spark, sf_dir):
 
 # --- file names (ops 46, 47, 48) ---------------------------------------------
 _NAME_SQL = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1)"
-_EXT_SQL = (f"CASE WHEN regexp_matches({_NAME_SQL}, '.\\.[^./]*$') "
-            f"THEN regexp_extract({_NAME_SQL}, '(\\.[^./]*)$', 1) ELSE '' END")
+_EXT_SQL = (f"CASE WHEN regexp_matches({_NAME_SQL}, '^(.*[^.].*)(\\.[^.]*)$') "
+            f"THEN regexp_extract({_NAME_SQL}, '(\\.[^.]*)$', 1) ELSE '' END")
 _STEM_SQL = f"left({_NAME_SQL}, length({_NAME_SQL}) - length({_EXT_SQL}))"
 
 
