@@ -204,7 +204,10 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             s.source = layout.bronze_inbound
 
         with log.step("ValidateColumnHeaders") as s:
-            disp = dispositions(spark, layout, files, cfg, main.guid).persist()
+            # One row per file (the same metadata as the listing): materialise
+            # it once so later steps do not re-run the header scan.
+            disp_frame = dispositions(spark, layout, files, cfg, main.guid)
+            disp = spark.createDataFrame(disp_frame.collect(), disp_frame.schema)
             counts = {r["Disposition"]: r["n"] for r in
                       disp.groupBy("Disposition").agg(F.count(F.lit(1)).alias("n")).collect()}
             s.parameters.update({k: str(v) for k, v in counts.items()})
