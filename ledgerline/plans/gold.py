@@ -79,10 +79,6 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
 
     with log.step("LoadSilverToGold") as main:
         silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
-        with log.step("DateDimension") as s:
-            dates = date_dimension_for(spark, silver, "Date", years_back=years_back)
-            dates.write.mode("overwrite").parquet(layout.gold_date)
-            s.target = layout.gold_date
         with log.step("TransactionFact") as s:
             fresh = silver
             if exists(spark, layout.gold_transaction):
@@ -94,11 +90,33 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
                 d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
                 fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
             fact = fact.persist()
-            months = [r["YearMonth"] for r in fact.select("YearMonth").distinct().collect()]
+            # Months touched and the date range come from the new facts only.
+            per_month = fact.groupBy("YearMonth").agg(F.min("Date").alias("lo"),
+                                                      F.max("Date").alias("hi")).collect()
+            months = [r["YearMonth"] for r in per_month]
             fact, obs = observed(fact, "gold_fact")
             fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
             s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
             fact.unpersist()
+        with log.step("DateDimension") as s:
+            lo = min((r["lo"] for r in per_month if r["lo"]), default=None)
+            hi = max((r["hi"] for r in per_month if r["hi"]), default=None)
+            if exists(spark, layout.gold_date):
+                have = spark.read.parquet(layout.gold_date).agg(
+                    F.min("Date").alias("lo"), F.max("Date").alias("hi")).first()
+                if have["lo"] is not None and lo is not None:
+                    grown = lo < have["lo"] or hi > have["hi"]
+                    lo, hi = min(lo, have["lo"]), max(hi, have["hi"])
+                elif have["lo"] is not None:
+                    grown, lo, hi = False, have["lo"], have["hi"]
+                else:
+                    grown = lo is not None
+            else:
+                grown = lo is not None
+            if grown:
+                start = dt.date(lo.year - years_back, 1, 1) if years_back else lo
+                date_dimension(spark, start, hi).write.mode("overwrite").parquet(layout.gold_date)
+            s.target = layout.gold_date
         with log.step("SpendByCategoryMonth", months=len(months)) as s:
             if months:
                 touched = spark.read.parquet(layout.gold_transaction) \
