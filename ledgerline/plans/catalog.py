@@ -488,10 +488,8 @@ def _spend(spark: SparkSession, sf_dir: str, rollup: bool) -> DataFrame:
         .agg(F.sum(amount).alias("Spend"), F.count(F.lit(1)).alias("Lines"))
     part = t.part.select("p_partkey", F.col("p_type").alias("Category"))
     joined = pre.join(part, pre["l_partkey"] == part["p_partkey"])
-    keyed = joined.select("Category", "Month", "Spend", "Lines")
-    grouped = keyed.rollup("Category", "Month") if rollup else keyed.groupBy("Category", "Month")
-    return grouped.agg(F.sum("Spend").cast("double").alias("Spend"),
-                       F.sum("Lines").alias("Lines"))
+    out = spend_by_category_month(joined, "Category", "Month", "Spend", rollup, lines="Lines")
+    return out.withColumn("Spend", F.col("Spend").cast("double"))
 
 
 @register("spend_by_category_month", _SPEND_SQL.format(group="1, 2", amount=_AMOUNT_SQL))

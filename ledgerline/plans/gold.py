@@ -53,12 +53,18 @@ def date_key(col: Column | str) -> Column:
 
 
 def spend_by_category_month(facts: DataFrame, category: str, date: str, amount: str,
-                            rollup: bool = False) -> DataFrame:
-    """Total spend and line count per category and month (optionally rolled up)."""
+                            rollup: bool = False, lines: str | None = None) -> DataFrame:
+    """Total spend and line count per category and month (optionally rolled up).
+
+    ``facts`` may already be partial sums: pass ``lines`` to add up a count
+    column instead of counting rows.
+    """
     month = F.trunc(F.to_date(date), "month").alias("Month")
-    keyed = facts.select(F.col(category).alias("Category"), month, F.col(amount).alias("_amt"))
+    n = F.col(lines) if lines else F.lit(1).cast("long")
+    keyed = facts.select(F.col(category).alias("Category"), month,
+                         F.col(amount).alias("_amt"), n.alias("_n"))
     grouped = keyed.rollup("Category", "Month") if rollup else keyed.groupBy("Category", "Month")
-    return grouped.agg(F.sum("_amt").alias("Spend"), F.count(F.lit(1)).alias("Lines"))
+    return grouped.agg(F.sum("_amt").alias("Spend"), F.sum("_n").alias("Lines"))
 
 
 def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):

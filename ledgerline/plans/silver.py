@@ -36,7 +36,6 @@ from ledgerline.operators.dimension import new_members
 from ledgerline.operators.lookup import account_lookup, bounded_broadcast, dimension_lookup
 from ledgerline.operators.mapping import (
     GUID_COLUMNS, new_bridge_rows, null_safe_anti, processable_rows, resolve_to_map,
-    unprocessable_rows,
 )
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
@@ -176,9 +175,9 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             held_files = unmapped.select(*FILE_KEY).distinct().persist()
             s.rows, s.target = to_map_added, layout.to_map
 
+        # Rows of held-back files stay in Bronze and are taken again next run.
         keyed = rows.withColumn("_file", F.concat_ws("/", "Source", "SourceFile"))
         held_keys = held_files.select(F.concat_ws("/", "Source", "SourceFile").alias("_file"))
-        held = unprocessable_rows(keyed, held_keys, key="_file")  # noqa: F841 (kept lazily)
         ready = processable_rows(keyed, held_keys, key="_file").drop("_file")
 
         with log.step("Lookups") as s:
