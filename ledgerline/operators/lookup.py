@@ -18,13 +18,22 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = K.BROADCAST_MAX_ROWS) -> DataFrame:
+BROADCAST_CONF = "ledgerline.broadcast.maxRows"
+
+
+def broadcast_bound(df: DataFrame, default: int = K.BROADCAST_MAX_ROWS) -> int:
+    """Row bound for explicit broadcasts; the session may lower it (0 = never)."""
+    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(default)))
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    bound = broadcast_bound(df) if max_rows is None else min(max_rows, broadcast_bound(df))
+    return F.broadcast(df) if bound > 0 and row_count_at_most(df, bound) else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
-           take: list[str], how: str = "left", max_broadcast_rows: int = K.BROADCAST_MAX_ROWS,
+           take: list[str], how: str = "left", max_broadcast_rows: int | None = None,
            prefix: str = "_lk_") -> DataFrame:
     """``df`` ⟕ ``dim`` on ``df[left_on] == dim[right_on]``, adding ``take``.
 
@@ -42,7 +51,7 @@ def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
 
 
 def dimension_lookup(df: DataFrame, dim: DataFrame, source_column: str, dimension: str,
-                     max_broadcast_rows: int = K.BROADCAST_MAX_ROWS) -> DataFrame:
+                     max_broadcast_rows: int | None = None) -> DataFrame:
     """Add ``{dimension}GUID`` by matching ``source_column`` to the dim's Name."""
     return lookup(df, dim, source_column, "Name", [f"{dimension}GUID"],
                   max_broadcast_rows=max_broadcast_rows)
