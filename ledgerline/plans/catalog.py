@@ -632,3 +632,24 @@ def q_log_rows(spark, sf_dir):
         F.when(failed, error_message(F.lit("events"), "event_type",
                                      F.col("event_id").cast("string"), "props"))
         .otherwise(F.lit(K.RESULT_SUCCESS)).alias("Result"))
+
+
+# --- Bronze file dispositions over table-derived exports (ops 1, 4, 5, 9, 10, 26)
+# One export file per source folder and ship year; the 'memo' export carries an
+# extra column and is rejected, so its rows are not counted.
+@register("bronze_dispositions", """
+WITH t AS (SELECT l_returnflag, year(l_shipdate) AS y FROM lineitem),
+f AS (
+  SELECT CASE WHEN l_returnflag = 'N' THEN 'shop' ELSE 'bank' END AS Source,
+         CASE WHEN l_returnflag = 'R' THEN 'Error' ELSE 'Valid' END AS Disposition,
+         CASE WHEN l_returnflag = 'R' THEN 'ExtraColumns' ELSE '' END AS Issue,
+         y, count(*) AS n
+  FROM t WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1, 2, 3, 4)
+SELECT Source, Disposition, Issue, count(*) AS files,
+       CASE WHEN Disposition = 'Valid' THEN CAST(sum(n) AS BIGINT) END AS rows
+FROM f GROUP BY 1, 2, 3
+""")
+def q_bronze_dispositions(spark, sf_dir):
+    from ledgerline.plans.medallion import bronze_dispositions
+
+    return bronze_dispositions(spark, sf_dir)

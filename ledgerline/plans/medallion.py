@@ -104,3 +104,15 @@ def medallion_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(layout.gold_spend).select(
         "Category", "Month", F.col("Spend").cast("double").alias("Spend"), "Lines")
 
+
+
+def bronze_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export, run the Bronze load only, and summarise the file dispositions."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{run_guid()}"
+    layout = Layout(root)
+    export_inbound(spark, layout, sf_dir)
+    log = RunLog("bronze")
+    load_files_to_bronze(spark, layout, log)
+    disp = spark.read.parquet(layout.disposition)
+    return disp.groupBy("Source", "Disposition", "Issue").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("RowCount").alias("rows"))
