@@ -74,6 +74,41 @@ def _split_by_delimiter(header: str, delimiters: list[str]):
     return expr
 
 
+def check_configuration(spark: SparkSession, cf_rows: list, cc_rows: list) -> dict:
+    """Configuration problems that make a source unusable, by ConfigurationFileID.
+
+    A configured File -> Bronze expression must resolve against the file's
+    (text) columns; its source is then treated as unconfigured (files left in
+    place).  A source with several file-level rows uses the first one; that is
+    reported under a ("warning", Source) key and does not disable the source.
+    """
+    from ledgerline.operators.cleanse import validate_expression
+
+    problems: dict = {}
+    by_id: dict = {}
+    for r in cc_rows:
+        by_id.setdefault(r["ConfigurationFileID"], []).append(r)
+    for config_id, rows in by_id.items():
+        schema = T.StructType([T.StructField(r["ColumnName_File"], T.StringType())
+                               for r in rows if r["ColumnName_File"]])
+        for r in rows:
+            expr = r["Transformation_FileToBronze"]
+            if expr:
+                err = validate_expression(spark, expr, schema)
+                if err:
+                    problems[config_id] = (f"ConfigurationFileID {config_id}: expression for "
+                                           f"{r['ColumnName_Bronze']} does not resolve: {err}")
+    seen: dict = {}
+    for r in sorted(cf_rows, key=lambda x: x["_row"]):
+        seen.setdefault(r["Source"], []).append(r["ConfigurationFileID"])
+    for source, ids in seen.items():
+        if len(ids) > 1:
+            problems.setdefault(("warning", source), (
+                f"Source {source!r} has {len(ids)} file-level configuration rows; "
+                f"using ConfigurationFileID {ids[0]}"))
+    return problems
+
+
 def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
     """One row per Source: first file-level row + expected file columns."""
     first = first_per_source(cf).select(
@@ -191,10 +226,14 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             cf, cc = config_source.load(spark, layout.admin)
             cc_rows = cc.collect()  # configuration: a few rows per source
             s.file = layout.admin
+            problems = check_configuration(spark, cf.collect(), cc_rows)
+            for message in problems.values():
+                log.warn(s, message)
         # One row per source: materialise once as a local relation so later
         # actions do not re-read and re-aggregate the configuration files.
         cfg_frame = source_configuration(cf, cc)
-        cfg = spark.createDataFrame(cfg_frame.collect(), cfg_frame.schema)
+        cfg_rows = [r for r in cfg_frame.collect() if r["ConfigurationFileID"] not in problems]
+        cfg = spark.createDataFrame(cfg_rows, cfg_frame.schema)
 
         with log.step("DiscoverInbound") as s:
             files = discover(spark, layout.bronze_inbound, source)

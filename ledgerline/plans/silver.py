@@ -114,6 +114,52 @@ def _lookup_rules(cc_rows: list, cfg_rows: list) -> dict[str, list[tuple[str, st
     return rules
 
 
+TRANSACTION_ENTITY = "Transaction"
+
+
+def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list):
+    """(target -> [(Source, Column)], sources with a broken expression).
+
+    Direct and Expression rules of the Transaction entity, per source.  An
+    expression is checked against the Bronze schema before it is used.
+    """
+    from ledgerline.operators.cleanse import validate_expression
+
+    silver_types = {f.name: f.dataType for f in schemas.silver_transaction_schema().fields}
+    sources: dict = {}
+    for r in cfg_rows:
+        sources.setdefault(r["ConfigurationFileID"], []).append(r["Source"])
+    out: dict[str, list] = {}
+    broken: dict[str, str] = {}
+    for r in sorted(cc_rows, key=lambda x: (x["ConfigurationColumnOrder"] or 0, x["_row"])):
+        target, kind = r["ColumnName_Silver"], r["Transformation_BronzeToSilver_Type"]
+        if r["SilverEntity"] != TRANSACTION_ENTITY or target not in silver_types:
+            continue
+        if kind == K.TRANSFORM_EXPRESSION and r["Transformation_BronzeToSilver"]:
+            err = validate_expression(spark, r["Transformation_BronzeToSilver"],
+                                      schemas.BRONZE_TRANSACTION)
+            value = None if err else F.expr(r["Transformation_BronzeToSilver"])
+        elif kind == K.TRANSFORM_DIRECT and r["ColumnName_Bronze"] and r["ColumnName_Bronze"] != target:
+            err, value = None, F.col(r["ColumnName_Bronze"])
+        else:
+            continue
+        for src in sources.get(r["ConfigurationFileID"], []):
+            if err:
+                broken[src] = f"Source {src!r}: expression for {target} does not resolve: {err}"
+            elif not any(s == src for s, _ in out.get(target, [])):  # first rule wins
+                out.setdefault(target, []).append((src, value.cast(silver_types[target])))
+    return out, broken
+
+
+def _apply_transaction_rules(df: DataFrame, rules: dict) -> DataFrame:
+    for target, pairs in rules.items():
+        expr = F.col(target)
+        for src, value in reversed(pairs):
+            expr = F.when(F.col("Source") == src, value).otherwise(expr)
+        df = df.withColumn(target, expr)
+    return df
+
+
 def _rule_value(pairs: list[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(F.col("Source") == s, F.col(c)) for s, c in pairs])
 
@@ -180,6 +226,15 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         held_keys = held_files.select(F.concat_ws("/", "Source", "SourceFile").alias("_file"))
         ready = processable_rows(keyed, held_keys, key="_file").drop("_file")
 
+        with log.step("Transformations") as s:
+            t_rules, broken = _transaction_rules(spark, cc_rows, cfg_rows)
+            for message in broken.values():
+                log.warn(s, message + "; its rows are held back")
+            if broken:
+                ready = ready.where(~F.col("Source").isin(list(broken)))
+            ready = _apply_transaction_rules(ready, t_rules)
+            s.parameters["columns"] = ",".join(sorted(t_rules))
+
         with log.step("Lookups") as s:
             rules = _lookup_rules(cc_rows, cfg_rows)
             for dim, pairs in rules.items():

@@ -45,3 +45,19 @@ def test_files_move_to_archive_and_error(spark, root):
     assert not os.path.exists(f"{root}/Bronze/Inbound/bank/good.csv")
     assert os.path.exists(f"{root}/Bronze/Inbound/bank/statement.pdf")   # ignored: left
     assert os.path.exists(f"{root}/Bronze/Inbound/shop/orders.txt")      # other source
+
+
+def test_unresolvable_expression_disables_source(spark, root):
+    from fixtures import COLUMN_CONFIG
+    build_inbound(root)
+    broken = COLUMN_CONFIG.replace(
+        "ColumnIsInNaturalKey\n", "ColumnIsInNaturalKey|Transformation_FileToBronze\n").replace(
+        "1|3|Description|Description|Description|string|Transaction|Description|Direct||Yes",
+        "1|3|Description|Description|Description|string|Transaction|Description|Direct||Yes|nope * 2")
+    write(f"{root}/Admin/ConfigurationColumn.txt", broken)
+    log = RunLog("test")
+    res = load_files_to_bronze(spark, Layout(root), log)
+    got = {r["file_name"]: r["Disposition"] for r in res.dispositions.collect()}
+    assert got["good.csv"] == "NoConfiguration" and got["orders.txt"] == "Valid"
+    step = [e for e in log.entries if e.action == "RetrieveConfigurations"][0]
+    assert step.severity == "Error" and "does not resolve" in step.result
