@@ -284,10 +284,10 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 bad, obs_bad = observed(bad, "bronze_bad_rows")
                 append(bad, layout.bronze_quarantine)
                 quarantined = obs_bad.get.get("rows", 0)
-                counts = rows.groupBy("_uri").agg(F.count(F.lit(1)).alias("n")).persist()
-                counts.count()
+                counts = rows.groupBy("_uri").agg(F.count(F.lit(1)).alias("n"))
+                counted = with_row_counts(layout, disp, counts)
+                disp = spark.createDataFrame(counted.collect(), counted.schema)  # one row per file
                 rows.unpersist()
-                disp = with_row_counts(layout, disp, counts)
                 s.rows, s.target = loaded, layout.bronze_transaction
                 if quarantined:
                     log.warn(s, f"{quarantined} row(s) with uncastable cells set aside")

@@ -4,8 +4,9 @@ Walks the tree one level per iteration: each level is a join of the current
 frontier with the edges on the parent key.  The number of iterations is the
 tree depth, not the number of rows.  The frontier is broadcast only when its
 row count is proven small; otherwise the join shuffles, and AQE splits a
-parent with very many children.  Lineage is cut with ``checkpoint`` every few
-levels in the session's shared checkpoint folder.
+parent with very many children.  Every level is checkpointed in the
+session's shared checkpoint folder, which cuts lineage and survives the loss
+of executors.
 """
 
 from __future__ import annotations
@@ -19,36 +20,36 @@ from ledgerline.session import ensure_checkpoint_dir
 
 
 def call_tree(edges: DataFrame, node: str = "ExecutionGUID", parent: str = "ParentExecutionGUID",
-              max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
+              max_depth: int = 64) -> DataFrame:
     """(node, parent, depth, root, path) for every node reachable from a root.
 
     A root has no parent or a parent that is not itself a node.  Repeated
-    (node, parent) pairs are collapsed first.
+    (node, parent) pairs are collapsed first.  Each level is written with a
+    reliable ``checkpoint()`` (the session's shared checkpoint folder), so the
+    result has no lineage back through the previous joins and nothing stays
+    cached after the walk.
     """
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
     e = edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")) \
         .where(F.col("node").isNotNull()).distinct().persist()
     known = e.select(F.col("node").alias("parent")).distinct()
     roots = e.where(F.col("parent").isNull()).unionByName(
         e.where(F.col("parent").isNotNull()).join(known, "parent", "left_anti"))
     level = roots.select("node", "parent", F.lit(0).alias("depth"),
-                        F.col("node").alias("root"), F.col("node").alias("path"))
+                         F.col("node").alias("root"), F.col("node").alias("path")).checkpoint()
     children = e.where(F.col("parent").isNotNull())
     levels = [level]
-    spark = edges.sparkSession
     for depth in range(1, max_depth + 1):
         frontier = bounded_broadcast(level.select(
             F.col("node").alias("_p"), F.col("root").alias("_root"), F.col("path").alias("_path")))
         level = children.join(frontier, children["parent"] == frontier["_p"], "inner").select(
             "node", "parent", F.lit(depth).alias("depth"), F.col("_root").alias("root"),
-            F.concat_ws(K.CALL_STACK_JOINER, "_path", "node").alias("path"))
-        if depth % checkpoint_every == 0:
-            ensure_checkpoint_dir(spark)
-            level = level.checkpoint()
-        else:
-            level = level.persist()
+            F.concat_ws(K.CALL_STACK_JOINER, "_path", "node").alias("path")).checkpoint()
         if level.isEmpty():
             break
         levels.append(level)
+    e.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
