@@ -81,6 +81,10 @@ class RunLog:
         return spark.createDataFrame(rows, schemas.LOG).orderBy("Begin")
 
     def write(self, spark: SparkSession, path: str) -> None:
+        """Append this run's entries; an existing log must have the log schema."""
+        from ledgerline.sources.tables import read_or_empty
+
+        read_or_empty(spark, path, schemas.LOG)  # raises on a mismatching table
         self.to_frame(spark).coalesce(1).write.mode("append").parquet(path)
 
 

@@ -91,6 +91,11 @@ def listing_frame(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
+def mkdirs(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.mkdirs(p))
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
