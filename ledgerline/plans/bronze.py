@@ -123,11 +123,18 @@ def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
 
 
 def target_path(layout: Layout):
-    """Archive path for valid files, Error path with the issue in the name."""
-    return (F.when(F.col("Disposition") == ERROR, F.concat_ws(
-        "/", F.lit(layout.bronze_error), F.col("Source"), error_file_name("file_name", "Issue")))
-        .when(F.col("Disposition") == VALID, F.concat_ws(
-            "/", F.lit(layout.bronze_archive), F.col("Source"), F.col("file_name"))))
+    """Archive path for valid files, Error path with the issue in the name.
+
+    Sub-folders below the source folder are kept, so equal file names in
+    different sub-folders do not collide.
+    """
+    sub = F.regexp_extract(F.regexp_replace("relative", r"^[^/]*/", ""), r"^(.*/)?[^/]*$", 1)
+    return (F.when(F.col("Disposition") == ERROR, F.concat(
+        F.lit(layout.bronze_error + "/"), F.col("Source"), F.lit("/"), sub,
+        error_file_name("file_name", "Issue")))
+        .when(F.col("Disposition") == VALID, F.concat(
+            F.lit(layout.bronze_archive + "/"), F.col("Source"), F.lit("/"), sub,
+            F.col("file_name"))))
 
 
 def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataFrame:

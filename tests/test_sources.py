@@ -61,3 +61,18 @@ def test_unresolvable_expression_disables_source(spark, root):
     assert got["good.csv"] == "NoConfiguration" and got["orders.txt"] == "Valid"
     step = [e for e in log.entries if e.action == "RetrieveConfigurations"][0]
     assert step.severity == "Error" and "does not resolve" in step.result
+
+
+def test_targets_keep_sub_folders(spark, root):
+    build_inbound(root)
+    write(f"{root}/Bronze/Inbound/bank/2024/jan/good.csv", "Date,Amount,Description\n2024-01-01,1,a\n")
+    write(f"{root}/Bronze/Inbound/bank/2024/feb/good.csv", "Date,Amount\n2024-02-01,1\n")
+    res = load_files_to_bronze(spark, Layout(root), RunLog("t"), source="bank")
+    t = {r["relative"]: r["TargetPath"][len(root):] for r in res.dispositions.collect()
+         if r["TargetPath"]}
+    assert t["bank/2024/jan/good.csv"] == "/Bronze/Archive/bank/2024/jan/good.csv"
+    assert t["bank/2024/feb/good.csv"] == \
+        "/Bronze/Error/bank/2024/feb/good.InvalidColumnHeader.MissingColumns.csv"
+    assert t["bank/good.csv"] == "/Bronze/Archive/bank/good.csv"
+    rows = spark.read.parquet(f"{root}/Bronze/Transaction")
+    assert rows.where("SourceFile = '2024/jan/good.csv'").count() == 1
