@@ -21,6 +21,10 @@ class Layout:
     def disposition(self) -> str: return self._p("Admin", "FileDisposition")
     @property
     def bridge(self) -> str: return self._p("Admin", "BrandCategoryProductServiceSeller")
+    @property
+    def silver_files(self) -> str: return self._p("Admin", "SilverFiles")
+    @property
+    def gold_runs(self) -> str: return self._p("Admin", "GoldRuns")
 
     # Bronze
     @property

@@ -51,7 +51,7 @@ DISPOSITION_SCHEMA = schemas._struct(
     ("size", T.LongType()), ("modified", T.LongType()),
     ("ConfigurationFileID", T.IntegerType()), ("header", schemas.S),
     ("RowCount", T.LongType()), ("Issue", schemas.S), ("Disposition", schemas.S),
-    ("TargetPath", schemas.S), ("ExecutionGUID", schemas.S),
+    ("TargetPath", schemas.S), ("ExecutionGUID", schemas.S), ("SourceFile", schemas.S),
 )
 
 BRONZE_TEXT_COLUMNS = ["Amount", "Category", "Date", "Description"]
@@ -176,7 +176,9 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
     out = (df.withColumn("Disposition", disp).withColumn("Issue", issue)
            .withColumn("TargetPath", target_path(layout))
            .withColumn("RowCount", F.lit(None).cast("long"))
-           .withColumn("ExecutionGUID", F.lit(execution_guid)))
+           .withColumn("ExecutionGUID", F.lit(execution_guid))
+           # the path inside the source folder: Bronze's SourceFile
+           .withColumn("SourceFile", F.regexp_replace("relative", r"^[^/]*/", "")))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
                       "DefaultCategory", "actual", "relative")
 
@@ -197,7 +199,7 @@ def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
     df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
     df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
                                        for r in rules if r["ColumnName_Bronze"] not in exprs])
-    keep = [c for c in ("_uri", "_file") if c in df.columns]
+    keep = [c for c in ("_uri", "_file", "_path") if c in df.columns]
     df = align(df, T.StructType([T.StructField(c, T.StringType())
                                  for c in BRONZE_TEXT_COLUMNS + keep]))
     df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
@@ -286,7 +288,9 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 bad = rows.where(F.size("_bad_columns") > 0).select(
                     "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime")
                 good, obs = observed(align(good, schemas.BRONZE_TRANSACTION), "bronze_rows")
-                append(good, layout.bronze_transaction, ["Source"])
+                # Partitioned by source and load: Silver reads only the loads
+                # that still have files to take (partition pruning).
+                append(good, layout.bronze_transaction, ["Source", "ExecutionGUID"])
                 loaded = obs.get.get("rows", 0)
                 bad, obs_bad = observed(bad, "bronze_bad_rows")
                 append(bad, layout.bronze_quarantine)

@@ -81,29 +81,43 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
     from ledgerline.operators.lookup import lookup
     from ledgerline.plans.silver import read_dimension
     from ledgerline.sources.files import exists
-    from ledgerline.sources.tables import read_or_empty
+    from ledgerline.operators.cleanse import align
+    from ledgerline.sources.tables import append, read_columns, read_or_empty
 
     with log.step("LoadSilverToGold") as main:
+        # Silver runs not yet taken into Gold (small bookkeeping tables); only
+        # their Silver partitions are read.
+        silver_runs = {r["ExecutionGUID"] for r in read_or_empty(
+            spark, layout.silver_files, schemas.SILVER_FILES).select("ExecutionGUID")
+            .distinct().collect()}
+        taken = {r["SilverExecutionGUID"] for r in read_or_empty(
+            spark, layout.gold_runs, schemas.GOLD_RUNS).select("SilverExecutionGUID")
+            .distinct().collect()}
+        runs = sorted(silver_runs - taken)
         silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
-        with log.step("TransactionFact") as s:
-            fresh = silver
-            if exists(spark, layout.gold_transaction):
-                done = spark.read.parquet(layout.gold_transaction).select("TransactionGUID")
-                fresh = fresh.join(done, "TransactionGUID", "left_anti")
+        with log.step("TransactionFact", runs=len(runs)) as s:
+            fresh = silver.where(F.col("ExecutionGUID").isin(runs))
             fact = fresh.withColumn("DateKey", date_key("Date")) \
                 .withColumn("YearMonth", (F.year("Date") * 100 + F.month("Date")).cast("int"))
             for dim in ("Account",) + K.BRIDGE_DIMENSIONS:
                 d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
                 fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
-            fact = fact.persist()
+            cached = fact = fact.persist()
             # Months touched and the date range come from the new facts only.
             per_month = fact.groupBy("YearMonth").agg(F.min("Date").alias("lo"),
                                                       F.max("Date").alias("hi")).collect()
             months = [r["YearMonth"] for r in per_month]
+            if months:
+                # Guard against a repeat after an interrupted run: only the
+                # touched month partitions are read.
+                done = read_columns(spark, layout.gold_transaction,
+                                    "TransactionGUID string, YearMonth int") \
+                    .where(F.col("YearMonth").isin(months)).select("TransactionGUID")
+                fact = fact.join(done, "TransactionGUID", "left_anti")
             fact, obs = observed(fact, "gold_fact")
             fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
             s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
-            fact.unpersist()
+            cached.unpersist()
         with log.step("DateDimension") as s:
             lo = min((r["lo"] for r in per_month if r["lo"]), default=None)
             hi = max((r["hi"] for r in per_month if r["hi"]), default=None)
@@ -132,4 +146,9 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
                 (spend.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("YearMonth").parquet(layout.gold_spend))
             s.target = layout.gold_spend
+        if runs:
+            taken_now = spark.createDataFrame(
+                [(r, main.guid) for r in runs], "SilverExecutionGUID string, ExecutionGUID string")
+            append(align(taken_now.withColumn("DateTimeInserted", F.current_timestamp()),
+                         schemas.GOLD_RUNS), layout.gold_runs)
         main.rows = obs.get.get("rows", 0)

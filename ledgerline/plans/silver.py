@@ -39,7 +39,7 @@ from ledgerline.operators.mapping import (
 )
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
-from ledgerline.sources.tables import append, read_or_empty
+from ledgerline.sources.tables import append, read_columns, read_or_empty
 
 BRONZE_VALUE_COLUMNS = ["Amount", "Category", "Date", "Description", "Source", "SourceFile"]
 BRIDGE_KEY = ["AccountGUID", "SourceValue"]
@@ -164,6 +164,54 @@ def _rule_value(pairs: list[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(F.col("Source") == s, F.col(c)) for s, c in pairs])
 
 
+def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = None) -> DataFrame:
+    """Bronze rows of valid files not yet taken into Silver.
+
+    The pending file list comes from the file dispositions minus the small
+    SilverFiles table (metadata, one row per file); only the Bronze loads that
+    hold such files are read, by partition pruning on ExecutionGUID.  Rows of a
+    load whose dispositions were never recorded (an interrupted run) are never
+    read; that load is simply repeated.
+    """
+    from ledgerline.plans.bronze import DISPOSITION_SCHEMA, VALID
+
+    disp = read_or_empty(spark, layout.disposition, DISPOSITION_SCHEMA) \
+        .where(F.col("Disposition") == VALID)
+    if source is not None:
+        disp = disp.where(F.col("Source") == source)
+    done = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES).select(*FILE_KEY)
+    pending = disp.select(*FILE_KEY, F.col("ExecutionGUID").alias("_load")) \
+        .join(bounded_broadcast(done.distinct()), FILE_KEY, "left_anti")
+    loads = [r["_load"] for r in pending.select("_load").distinct().collect()]
+    bronze = read_or_empty(spark, layout.bronze_transaction, schemas.BRONZE_TRANSACTION)
+    bronze = bronze.where(F.col("ExecutionGUID").isin(loads))
+    keys = pending.select(*FILE_KEY, F.col("_load").alias("ExecutionGUID")).distinct()
+    return bronze.join(bounded_broadcast(keys), [*FILE_KEY, "ExecutionGUID"], "left_semi")
+
+
+def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, run_guid: str) -> int:
+    """Append new Silver transactions (partitioned by the Silver run) and
+    record their files in SilverFiles; returns the number of rows added.
+
+    The anti join on TransactionGUID reads only the GUID column; it guards a
+    repeat after an interrupted run.
+    """
+    shaped = align(facts.withColumn("ExecutionGUID", F.lit(run_guid)),
+                   schemas.silver_transaction_schema()).persist(StorageLevel.MEMORY_AND_DISK)
+    # File keys come from the input, never from a frame that reads the table
+    # being appended to (it would see the new rows after the write).
+    files = shaped.select(*FILE_KEY).distinct().select(
+        *FILE_KEY, F.lit(run_guid).alias("ExecutionGUID"),
+        F.current_timestamp().alias("DateTimeInserted"))
+    done = read_columns(spark, layout.silver_transaction, "TransactionGUID string")
+    new = shaped.join(done, "TransactionGUID", "left_anti")
+    new, obs = observed(new, "silver")
+    new.write.mode("append").partitionBy("ExecutionGUID").parquet(layout.silver_transaction)
+    append(align(files, schemas.SILVER_FILES), layout.silver_files)
+    shaped.unpersist()
+    return obs.get.get("rows", 0)
+
+
 def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                           source: str | None = None,
                           source_value_column: str = "Description") -> SilverResult:
@@ -172,15 +220,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         cfg = first_per_source(cf).select("Source", "ConfigurationFileID", "Account")
         cfg_rows, cc_rows = cfg.collect(), cc.collect()  # configuration only
 
-        bronze = read_or_empty(spark, layout.bronze_transaction, schemas.BRONZE_TRANSACTION)
-        if source is not None:
-            bronze = bronze.where(F.col("Source") == source)
-        # Incremental: only files not yet in Silver (new ones and held-back ones).
-        # The file-key set is one row per file, so the anti join stays cheap.
-        done_files = read_or_empty(spark, layout.silver_transaction,
-                                   schemas.silver_transaction_schema()) \
-            .select("Source", "SourceFile").distinct()
-        bronze = bronze.join(bounded_broadcast(done_files), FILE_KEY, "left_anti")
+        bronze = pending_bronze(spark, layout, source)
         bronze = dedupe_rows(bronze.select(*BRONZE_VALUE_COLUMNS))
 
         with log.step("Accounts") as s:
@@ -259,12 +299,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             facts = facts.withColumn("TransactionGUID", stable_guid(
                 "Transaction", "AccountGUID", "Source", "SourceFile", "Date", "Amount", "Description"))
             facts = add_silver_audit(facts, main.guid)
-            existing = read_or_empty(spark, layout.silver_transaction,
-                                     schemas.silver_transaction_schema()).select("TransactionGUID")
-            facts = facts.join(existing, "TransactionGUID", "left_anti")
-            facts, obs = observed(align(facts, schemas.silver_transaction_schema()), "silver")
-            append(facts, layout.silver_transaction)
-            added = obs.get.get("rows", 0)
+            added = append_transactions(spark, layout, facts, main.guid)
             s.rows, s.target = added, layout.silver_transaction
 
         held_n = held_files.count()

@@ -75,3 +75,11 @@ def silver_transaction_schema() -> T.StructType:
         ("DateTimeInserted", T.TimestampType()), ("ExecutionGUID", S),
         ("Source", S), ("SourceFile", S),
     )
+
+
+# Files taken into Silver (one row per file and Silver run) and Silver runs
+# taken into Gold: small bookkeeping tables that keep each run incremental.
+SILVER_FILES = _struct(("Source", S), ("SourceFile", S), ("ExecutionGUID", S),
+                       ("DateTimeInserted", T.TimestampType()))
+GOLD_RUNS = _struct(("SilverExecutionGUID", S), ("ExecutionGUID", S),
+                    ("DateTimeInserted", T.TimestampType()))

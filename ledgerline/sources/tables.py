@@ -28,14 +28,31 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
     """
     if exists(spark, path):
         if validate:
-            stored = spark.read.parquet(path).columns
-            issue = schema_issue(stored, [f.name for f in schema.fields])
+            stored = stored_columns(spark, path)
+            issue = schema_issue(stored, [f.name for f in schema.fields]) if stored else ""
             if issue:
                 raise SchemaMismatch(f"{path}: {issue} (stored {stored})")
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns of a stored table; [] when it holds no data files yet."""
+    try:
+        return spark.read.parquet(path).columns
+    except Exception as exc:  # an empty append leaves only _SUCCESS
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return []
+        raise
+
+
+def read_columns(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Just the named columns of a table (empty if it does not exist yet)."""
+    if exists(spark, path):
+        return spark.read.schema(ddl).parquet(path)
+    return spark.createDataFrame([], ddl)
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")
     if partition_by:

@@ -24,7 +24,10 @@ from ledgerline.functions.guid import run_guid
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit
 from ledgerline.operators.cleanse import align
-from ledgerline.plans.bronze import column_rules, shape_bronze, source_configuration
+from ledgerline.plans.bronze import (
+    DISPOSITION_SCHEMA, VALID, column_rules, shape_bronze, source_configuration,
+)
+from ledgerline.sources.files import normalize_uri_col
 from ledgerline.sources import config as config_source
 from ledgerline.sources.tables import append
 
@@ -41,9 +44,9 @@ def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
     stream = (spark.readStream.schema(schema).option("header", True)
               .option("sep", cfg["Delimiter"]).option("quote", cfg["TextQualifier"] or '"')
               .option("enforceSchema", False).option("pathGlobFilter", "*.{csv,CSV,txt,TXT}")
-              .option("recursiveFileLookup", True)
               .csv(f"{layout.bronze_inbound}/{source}"))
-    stream = stream.withColumn("_file", F.col("_metadata.file_name"))
+    stream = stream.withColumn("_file", F.col("_metadata.file_name")) \
+        .withColumn("_path", F.col("_metadata.file_path"))
     default_category = cfg["DefaultCategory"]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -52,10 +55,19 @@ def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
         rows = rows.withColumn("Category", F.coalesce("Category", F.lit(default_category)))
         rows = rows.persist()
         append(align(rows.where(F.size("_bad_columns") == 0), schemas.BRONZE_TRANSACTION),
-               layout.bronze_transaction, ["Source"])
+               layout.bronze_transaction, ["Source", "ExecutionGUID"])
         append(rows.where(F.size("_bad_columns") > 0).select(
             "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime"),
             layout.bronze_quarantine)
+        # One Valid disposition per file of the batch, so Silver takes it up.
+        files = rows.groupBy("_path", "SourceFile").agg(F.count(F.lit(1)).alias("RowCount"))
+        disp = files.select(
+            F.col("_path").alias("path"), normalize_uri_col(F.col("_path")).alias("uri"),
+            F.col("SourceFile").alias("file_name"), F.lit(source).alias("Source"),
+            F.lit(cfg["ConfigurationFileID"]).alias("ConfigurationFileID"), "RowCount",
+            F.lit("").alias("Issue"), F.lit(VALID).alias("Disposition"),
+            F.lit(guid).alias("ExecutionGUID"), "SourceFile")
+        append(align(disp, DISPOSITION_SCHEMA), layout.disposition)
         rows.unpersist()
 
     writer = (stream.writeStream.foreachBatch(write_batch)

@@ -9,7 +9,7 @@ from ledgerline import schemas
 from ledgerline.layout import Layout
 from ledgerline.plans.gold import load_silver_to_gold
 from ledgerline.plans.runlog import RunLog
-from ledgerline.sources.tables import append
+from ledgerline.plans.silver import append_transactions
 
 
 def _silver(spark, rows):
@@ -21,13 +21,15 @@ def _silver(spark, rows):
 
 def test_incremental_spend_and_dates(spark, root):
     lay = Layout(root)
-    first = [{"TransactionGUID": f"t{i}", "Date": dt.date(2024, 1, 1 + i),
-              "Amount": Decimal("10.00")} for i in range(3)]
-    append(_silver(spark, first), lay.silver_transaction)
+    first = [{"TransactionGUID": f"t{i}", "Date": dt.date(2024, 1, 1 + i), "Source": "s",
+              "SourceFile": "a.csv", "Amount": Decimal("10.00")} for i in range(3)]
+    append_transactions(spark, lay, _silver(spark, first), "silver-run-1")
     load_silver_to_gold(spark, lay, RunLog("t"), years_back=0)
-    second = [{"TransactionGUID": "t9", "Date": dt.date(2024, 3, 5), "Amount": Decimal("2.50")},
-              {"TransactionGUID": "t8", "Date": dt.date(2024, 1, 9), "Amount": Decimal("1.00")}]
-    append(_silver(spark, second), lay.silver_transaction)
+    second = [{"TransactionGUID": "t9", "Date": dt.date(2024, 3, 5), "Amount": Decimal("2.50"),
+               "Source": "s", "SourceFile": "b.csv"},
+              {"TransactionGUID": "t8", "Date": dt.date(2024, 1, 9), "Amount": Decimal("1.00"),
+               "Source": "s", "SourceFile": "b.csv"}]
+    append_transactions(spark, lay, _silver(spark, second), "silver-run-2")
     load_silver_to_gold(spark, lay, RunLog("t"), years_back=0)
     load_silver_to_gold(spark, lay, RunLog("t"), years_back=0)     # nothing new: no change
     spend = {str(r["Month"]): (str(r["Spend"]), r["Lines"])

@@ -105,3 +105,36 @@ def test_silver_gold_flow(spark, root):
     assert str(tea["Amount"]) == "-4.20"
     log_df = log.to_frame(spark)
     assert log_df.where("Action = 'LoadBronzeToSilver'").count() == 3
+
+
+def test_silver_takes_only_pending_loads(spark, root):
+    import datetime as dt
+    from decimal import Decimal
+
+    from fixtures import write
+    from ledgerline import schemas
+    from ledgerline.sources.tables import append
+
+    lay, log, _ = _bronze(spark, root)
+    mapping = spark.createDataFrame(
+        [(v, "B", "C", "P", "S") for v in ["Coffee", "Rent", "Groceries", "Book, paper", "Tea",
+                                           "Pen", "Lunch"]],
+        "SourceValue string, Brand string, Category string, ProductService string, Seller string")
+    load_bronze_to_silver(spark, lay, log)
+    apply_manual_mapping(spark, lay, mapping)
+    assert load_bronze_to_silver(spark, lay, log).transactions_added == 6
+    # an orphan load: Bronze rows whose dispositions were never recorded
+    orphan = spark.createDataFrame(
+        [(Decimal("9.99"), None, dt.date(2024, 5, 1), "Coffee", "orphan-load", None, "bank",
+          "lost.csv")], schemas.BRONZE_TRANSACTION)
+    append(orphan, lay.bronze_transaction, ["Source", "ExecutionGUID"])
+    # a new file in a later load
+    write(f"{root}/Bronze/Inbound/bank/later.csv", "Date,Amount,Description\n2024-06-01,8.00,Lunch\n")
+    load_files_to_bronze(spark, lay, log)
+    assert load_bronze_to_silver(spark, lay, log).to_map_added == 1   # 'Lunch' waits
+    apply_manual_mapping(spark, lay, mapping)
+    assert load_bronze_to_silver(spark, lay, log).transactions_added == 1
+    assert load_bronze_to_silver(spark, lay, log).transactions_added == 0
+    silver = spark.read.parquet(lay.silver_transaction)
+    assert silver.where("SourceFile = 'later.csv'").count() == 1
+    assert silver.where("SourceFile = 'lost.csv'").count() == 0
