@@ -236,7 +236,11 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         with log.step("ResolveToMap") as s:
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
             bridge = read_or_empty(spark, layout.bridge, schemas.BRIDGE)
-            pending = _to_map_pending(to_map, bridge).persist()
+            # Hand-maintained mappings count as filled-in ToMap rows.
+            hand = account_lookup(config_source.load_mappings(spark, layout.admin),
+                                  read_dimension(spark, layout, "Account"))
+            candidates = to_map.unionByName(align(hand, schemas.TO_MAP))
+            pending = _to_map_pending(candidates, bridge).persist()
             bridge_added = 0
             if not pending.isEmpty():
                 for d in K.BRIDGE_DIMENSIONS:

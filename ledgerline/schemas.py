@@ -83,3 +83,8 @@ SILVER_FILES = _struct(("Source", S), ("SourceFile", S), ("ExecutionGUID", S),
                        ("DateTimeInserted", T.TimestampType()))
 GOLD_RUNS = _struct(("SilverExecutionGUID", S), ("ExecutionGUID", S),
                     ("DateTimeInserted", T.TimestampType()))
+
+# Hand-maintained mappings (configuration text): account name and source value
+# to the four bridge dimension names.
+MAPPING_FILE = _struct(("Account", S), ("SourceValue", S), ("Brand", S), ("Category", S),
+                       ("ProductService", S), ("Seller", S))

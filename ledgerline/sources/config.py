@@ -78,3 +78,12 @@ def load(spark: SparkSession, admin_dir: str) -> tuple[DataFrame, DataFrame]:
     cc = retrieve_or_create(spark, f"{admin_dir}/ConfigurationColumn.txt", schemas.CONFIG_COLUMN,
                             REQUIRED["column"])
     return cf, cc
+
+
+MAPPING_FILE_NAME = "ConfigurationBrandCategoryProductServiceSeller.txt"
+
+
+def load_mappings(spark: SparkSession, admin_dir: str) -> DataFrame:
+    """Hand-maintained source-value mappings (created empty if missing)."""
+    return retrieve_or_create(spark, f"{admin_dir}/{MAPPING_FILE_NAME}", schemas.MAPPING_FILE,
+                              ("Account", "SourceValue"))

@@ -138,3 +138,20 @@ def test_silver_takes_only_pending_loads(spark, root):
     silver = spark.read.parquet(lay.silver_transaction)
     assert silver.where("SourceFile = 'later.csv'").count() == 1
     assert silver.where("SourceFile = 'lost.csv'").count() == 0
+
+
+def test_hand_maintained_mapping_file(spark, root):
+    from fixtures import write
+
+    lay, log, _ = _bronze(spark, root)
+    write(f"{root}/Admin/ConfigurationBrandCategoryProductServiceSeller.txt",
+          "Account|SourceValue|Brand|Category|ProductService|Seller\n"
+          "Checking|Coffee|Cafe|Food|Drinks|Corner Cafe\n"
+          "Checking|Rent|Landlord|Housing|Rent|Landlord\n"
+          "Checking|Groceries|Shop|Food|Groceries|Market\n"
+          "Checking|Book, paper|Shop|Office|Paper|Market\n")
+    res = load_bronze_to_silver(spark, lay, log)
+    # bank's good.csv and reordered.CSV are fully mapped by the file; nulls.txt waits
+    assert res.bridge_added == 4 and res.transactions_added == 4
+    cats = {r["Name"] for r in read_dimension(spark, lay, "Category").collect()}
+    assert {"Food", "Housing", "Office"} <= cats
