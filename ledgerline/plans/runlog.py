@@ -94,3 +94,28 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def errors(log: DataFrame) -> DataFrame:
     return log.where(F.col("Severity") == K.SEVERITY_ERROR)
+
+
+def trace(log: DataFrame, execution_guid: str) -> DataFrame:
+    """Every step under one execution (itself included), with depth and path."""
+    from ledgerline.plans.calltree import call_tree
+
+    tree = call_tree(log.select("ExecutionGUID", "ParentExecutionGUID"))
+    under = tree.where(F.col("path").contains(execution_guid))
+    return under.join(log.withColumnRenamed("ExecutionGUID", "node"), "node") \
+        .select("node", "depth", "path", "Action", "Severity", "Result", "RowCount", "Begin", "End")
+
+
+def file_trace(spark: SparkSession, layout, source_file: str) -> DataFrame:
+    """What happened to a file: its dispositions with the steps of each run."""
+    from ledgerline.plans.bronze import DISPOSITION_SCHEMA
+    from ledgerline.sources.tables import read_or_empty
+
+    disp = read_or_empty(spark, layout.disposition, DISPOSITION_SCHEMA).where(
+        (F.col("file_name") == source_file) | (F.col("SourceFile") == source_file))
+    steps = read_log(spark, layout.log).select(
+        F.col("ParentExecutionGUID").alias("ExecutionGUID"), F.col("Action").alias("Step"),
+        F.col("Severity").alias("StepSeverity"), F.col("Result").alias("StepResult"),
+        F.col("RowCount").alias("StepRows"))
+    return disp.select("path", "Source", "Disposition", "Issue", "RowCount", "TargetPath",
+                       "ExecutionGUID").join(steps, "ExecutionGUID", "left")

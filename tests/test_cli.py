@@ -4,7 +4,7 @@ from fixtures import build_inbound
 from ledgerline.__main__ import main
 from ledgerline.layout import Layout
 from ledgerline.plans.calltree import call_tree
-from ledgerline.plans.runlog import read_log
+from ledgerline.plans.runlog import file_trace, read_log, trace
 
 
 def test_cli_all_layers_and_log_tree(spark, root):
@@ -22,3 +22,10 @@ def test_cli_all_layers_and_log_tree(spark, root):
     # the two runs' Main steps hang under their callers, which are not in the log
     assert len(roots) == 2
     assert tree.count() == log.select("ExecutionGUID").distinct().count()
+    main_guid = log.where("Action = 'LoadFileToBronze'").orderBy("Begin").first()["ExecutionGUID"]
+    steps = {r["Action"] for r in trace(log, main_guid).collect()}
+    assert steps == {"LoadFileToBronze", "RetrieveConfigurations", "DiscoverInbound",
+                     "ValidateColumnHeaders", "WriteBronze", "RecordDispositions"}
+    hist = file_trace(spark, lay, "extra.csv").collect()
+    assert {r["Issue"] for r in hist} == {"ExtraColumns"}
+    assert "WriteBronze" in {r["Step"] for r in hist}
