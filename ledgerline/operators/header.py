@@ -7,6 +7,8 @@ which then matches nothing in the configuration).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,7 @@ from ledgerline import constants as K
 
 
 def split_header(header: Column, delimiter: str, quote: str | None = None) -> Column:
-    """Header line -> array of trimmed column names."""
-    import re
-
+    """Header line -> array of trimmed column names (qualifiers stripped)."""
     clean = F.regexp_replace(F.regexp_replace(header, "\r$", ""), "^\ufeff", "")
     parts = F.split(clean, re.escape(delimiter), -1)
     if quote:

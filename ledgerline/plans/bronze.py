@@ -18,7 +18,6 @@ issue in the name).  Without moves, re-runs skip files already recorded.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -34,7 +33,7 @@ from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit, observed
 from ledgerline.operators.cleanse import align, coerce_columns, rename_first_target_wins
 from ledgerline.operators.configuration import expected_columns, first_per_source
-from ledgerline.operators.header import header_check
+from ledgerline.operators.header import header_check, split_header
 from ledgerline.operators.lookup import bounded_broadcast
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
@@ -68,9 +67,8 @@ def _split_by_delimiter(header: str, delimiters: list[str]):
     """Header text -> array of names, with each row's own configured delimiter."""
     expr = F.lit(None).cast("array<string>")
     for d in delimiters:
-        parts = F.split(F.col(header), re.escape(d), -1)
-        expr = F.when(F.col("Delimiter") == d, F.transform(
-            parts, lambda p: F.regexp_replace(F.trim(p), '^"|"$', ""))).otherwise(expr)
+        expr = F.when(F.col("Delimiter") == d,
+                      split_header(F.col(header), d, '"')).otherwise(expr)
     return expr
 
 
