@@ -57,3 +57,31 @@ def test_silver_without_broadcast(shuffle_only, root):
     apply_manual_mapping(spark, lay, mapping)
     res = load_bronze_to_silver(spark, lay, log)
     assert res.transactions_added == 6 and res.held_back_files == 1
+
+
+def test_hot_source_value_through_silver(shuffle_only, root):
+    """One description holds a third of all rows; every row arrives once."""
+    from fixtures import COLUMN_CONFIG, FILE_CONFIG, write
+
+    spark = shuffle_only
+    write(f"{root}/Admin/ConfigurationFile.txt", FILE_CONFIG)
+    write(f"{root}/Admin/ConfigurationColumn.txt", COLUMN_CONFIG)
+    lines = ["Date,Amount,Description"]
+    for i in range(3000):
+        desc = "HOT" if i % 3 == 0 else f"item{i % 200}"
+        lines.append(f"2024-{1 + i % 12:02d}-{1 + i % 28:02d},{i}.00,{desc}")
+    for part in range(3):
+        write(f"{root}/Bronze/Inbound/bank/p{part}.csv",
+              "\n".join([lines[0]] + lines[1 + part * 1000: 1 + (part + 1) * 1000]) + "\n")
+    lay, log = Layout(root), RunLog("t")
+    assert load_files_to_bronze(spark, lay, log).rows_loaded == 3000
+    load_bronze_to_silver(spark, lay, log)
+    mapping = spark.createDataFrame(
+        [("HOT", "B", "C", "P", "S")] + [(f"item{i}", "B", "C", "P", "S") for i in range(200)],
+        "SourceValue string, Brand string, Category string, ProductService string, Seller string")
+    apply_manual_mapping(spark, lay, mapping)
+    res = load_bronze_to_silver(spark, lay, log)
+    assert res.transactions_added == 3000 and res.held_back_files == 0
+    silver = spark.read.parquet(lay.silver_transaction)
+    assert silver.where("Description = 'HOT'").count() == 1000
+    assert silver.select("TransactionGUID").distinct().count() == 3000
