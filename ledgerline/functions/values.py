@@ -32,6 +32,12 @@ _ISO_TIMESTAMP = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?
 _INTEGER = r"^[+-]?\d+$"
 _REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^(?i)[+-]?(nan|inf|infinity)$"
 
+# Money text: optional sign and currency symbol, digits with optional
+# thousands groups and decimals, accounting parentheses or a trailing minus.
+# Anything else (letters, European decimal commas) is a bad cell, not a number.
+MONEY_SHAPE = (r"^\(?\s*[+-]?\s*[$€£¥]?\s*[+-]?(\d{1,3}(,\d{3})+|\d+)?(\.\d+)?"
+               r"\s*-?\s*\)?$")
+
 _DECIMAL = re.compile(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 
 
@@ -52,8 +58,8 @@ def parse_amount(col: Column | str, scale: int = 2, precision: int = 18) -> Colu
     negative = (c.startswith("(") & c.endswith(")")) | c.endswith("-")
     digits = F.regexp_replace(c, r"[^0-9.\-]", "")
     digits = F.regexp_replace(digits, r"-$", "")
-    value = F.when(digits.rlike(r"^-?(\d+\.?\d*|\.\d+)$"),
-                   digits.try_cast(f"decimal({min(precision + 10, 38)},{scale + 8})"))
+    shaped = c.rlike(MONEY_SHAPE) & c.rlike(r"\d") & digits.rlike(r"^-?(\d+\.?\d*|\.\d+)$")
+    value = F.when(shaped, digits.try_cast(f"decimal({min(precision + 10, 38)},{scale + 8})"))
     signed = F.when(negative, -F.abs(value)).otherwise(value)
     return signed.try_cast(f"decimal({precision},{scale})")
 

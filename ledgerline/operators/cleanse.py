@@ -48,11 +48,12 @@ def coerce_columns(df: DataFrame, types: dict[str, str], bad_column: str = "_bad
     return df.withColumn(bad_column, bad).withColumns(typed)
 
 
-def split_quarantine(df: DataFrame, bad_column: str = "_bad_columns") -> tuple[DataFrame, DataFrame]:
+def split_quarantine(df: DataFrame, bad_column: str = "_bad_columns",
+                     keep_bad_column: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows with every cell typed, rows with at least one bad cell)."""
-    good = df.where(F.size(bad_column) == 0).drop(bad_column)
+    good = df.where(F.size(bad_column) == 0)
     bad = df.where(F.size(bad_column) > 0)
-    return good, bad
+    return (good if keep_bad_column else good.drop(bad_column)), bad
 
 
 def rename_first_target_wins(df: DataFrame, pairs: list[tuple[str, str | None]]) -> DataFrame:

@@ -31,7 +31,9 @@ from ledgerline.functions.text import error_file_name
 from ledgerline.functions.values import null_tokens_to_null
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit, observed
-from ledgerline.operators.cleanse import align, coerce_columns, rename_first_target_wins
+from ledgerline.operators.cleanse import (
+    align, coerce_columns, rename_first_target_wins, split_quarantine,
+)
 from ledgerline.operators.configuration import expected_columns, first_per_source
 from ledgerline.operators.header import header_check, split_header
 from ledgerline.operators.lookup import bounded_broadcast
@@ -282,8 +284,8 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 # parse (memory and disk; recomputable from the files if lost).
                 rows = add_bronze_audit(rows, main.guid, "Source", "file_name") \
                     .persist(StorageLevel.MEMORY_AND_DISK)
-                good = rows.where(F.size("_bad_columns") == 0)
-                bad = rows.where(F.size("_bad_columns") > 0).select(
+                good, bad = split_quarantine(rows, keep_bad_column=True)
+                bad = bad.select(
                     "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime")
                 good, obs = observed(align(good, schemas.BRONZE_TRANSACTION), "bronze_rows")
                 # Partitioned by source and load: Silver reads only the loads

@@ -33,6 +33,7 @@ from ledgerline.operators.mapping import (
 from ledgerline.plans.calltree import call_tree
 from ledgerline.plans.gold import date_dimension_for, date_key, spend_by_category_month
 from ledgerline.plans.sqlguid import sql_guid as g
+from ledgerline.functions.values import MONEY_SHAPE
 from ledgerline.session import Tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -653,3 +654,47 @@ def q_bronze_dispositions(spark, sf_dir):
     from ledgerline.plans.medallion import bronze_dispositions
 
     return bronze_dispositions(spark, sf_dir)
+
+
+# --- quarantine of uncastable cells (op 13, set-aside part) --------------------
+# Text pieces of each event are coerced; rows with any uncastable cell are set
+# aside.  Reported: rows kept and set aside per event type and bad-column set.
+@register("quarantine_split", r"""
+WITH t AS (
+  SELECT event_type,
+         trim(regexp_extract(props, ':\s*([^}]*)', 1)) AS k,
+         trim(CASE WHEN event_type = 'error' THEN 'n/a-' || CAST(event_id AS VARCHAR)
+                   ELSE CAST(value AS VARCHAR) END) AS amount,
+         trim(CASE WHEN event_type = 'view' THEN strftime(ts, '%d.%m.%Y')
+                   ELSE strftime(ts, '%Y-%m-%d') END) AS day
+  FROM events),
+c AS (
+  SELECT event_type,
+         regexp_matches(replace(k, ',', ''), '^[+-]?\d+$') AS k_ok,
+         regexp_matches(amount, '{MONEY}') AND regexp_matches(amount, '\d')
+           AND regexp_matches(regexp_replace(regexp_replace(amount, '[^0-9.\-]', '', 'g'), '-$', ''), '^-?(\d+\.?\d*|\.\d+)$') AS amount_ok,
+         regexp_matches(day, '^\d{4}-\d{1,2}-\d{1,2}$') AS day_ok
+  FROM t)
+SELECT event_type,
+       concat_ws(',', CASE WHEN NOT k_ok THEN 'k' END, CASE WHEN NOT amount_ok THEN 'amount' END,
+                 CASE WHEN NOT day_ok THEN 'day' END) AS bad_columns,
+       count(*) AS n
+FROM c GROUP BY 1, 2
+""".replace("{MONEY}", MONEY_SHAPE))
+def q_quarantine_split(spark, sf_dir):
+    from ledgerline.operators.cleanse import split_quarantine
+
+    ev = Tables(spark, sf_dir).events
+    text = ev.select(
+        "event_type",
+        F.regexp_extract("props", r":\s*([^}]*)", 1).alias("k"),
+        F.when(F.col("event_type") == "error",
+               F.concat(F.lit("n/a-"), F.col("event_id").cast("string")))
+        .otherwise(F.col("value").cast("string")).alias("amount"),
+        F.when(F.col("event_type") == "view", F.date_format("ts", "dd.MM.yyyy"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"))
+    typed = coerce_columns(text, {"k": "int", "amount": "decimal(18,2)", "day": "date"})
+    good, bad = split_quarantine(typed, keep_bad_column=True)
+    both = good.unionByName(bad)
+    return both.groupBy("event_type", F.array_join("_bad_columns", ",").alias("bad_columns")) \
+        .agg(F.count(F.lit(1)).alias("n"))
