@@ -61,3 +61,31 @@ def test_int_coercion_matches_definition(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["v"] for r in df.select(coerce("t", "int").alias("v")).collect()]
     assert got == [py_int(t) for t in texts]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789,.$()-+ a", min_size=0, max_size=10),
+                min_size=1, max_size=12))
+@example(["$1,234.50", "(3.00)", "5.00-", "1,2", "n/a-12", "-$0.5", "12,345,678.901", ".5", "-"])
+def test_money_matches_definition(spark, texts):
+    import re
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from ledgerline.functions.values import MONEY_SHAPE
+
+    def py_amount(t):
+        c = t.strip(" ")
+        if not re.match(MONEY_SHAPE, c) or not re.search(r"\d", c):
+            return None
+        digits = re.sub(r"-$", "", re.sub(r"[^0-9.\-]", "", c))
+        if not re.fullmatch(r"-?(\d+\.?\d*|\.\d+)", digits):
+            return None
+        v = Decimal(digits)
+        if (c.startswith("(") and c.endswith(")")) or c.endswith("-"):
+            v = -abs(v)
+        v = v.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        return v if abs(v) < Decimal(10) ** 16 else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["v"] for r in df.select(coerce("t", "decimal(18,2)").alias("v")).collect()]
+    assert got == [py_amount(t) for t in texts]
