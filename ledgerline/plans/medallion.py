@@ -10,6 +10,8 @@ the whole tables; the run folder sits in the session's checkpoint folder.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,16 +62,19 @@ def export_inbound(spark: SparkSession, layout: Layout, sf_dir: str) -> None:
     bank = lines.where(F.col("l_returnflag") == "A").select(
         F.col("d").cast("string").alias("Date"), F.col("amt").cast("string").alias("Amount"),
         F.col("descr").alias("Description"), "year")
-    write(bank, f"{inbound}/bank/main", ",")
     memo = lines.where(F.col("l_returnflag") == "R").select(
         F.col("d").cast("string").alias("Date"), F.col("amt").cast("string").alias("Amount"),
         F.col("descr").alias("Description"), F.lit("memo").alias("Memo"), "year")
-    write(memo, f"{inbound}/bank/memo", ",")
     shop = lines.where(F.col("l_returnflag") == "N").select(
         F.col("descr").alias("Item"),
         F.concat(F.lit("$"), F.format_number("amt", 2)).alias("Total"),
         F.date_format("d", "MM/dd/yyyy").alias("Posted"), "year")
-    write(shop, f"{inbound}/shop", "|")
+    # Three independent jobs: submitted together, Spark runs them side by side.
+    jobs = [(bank, f"{inbound}/bank/main", ","), (memo, f"{inbound}/bank/memo", ","),
+            (shop, f"{inbound}/shop", "|")]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(write, *job) for job in jobs]:
+            f.result()
     write_text(spark, f"{layout.admin}/ConfigurationFile.txt", FILE_CONFIG)
     write_text(spark, f"{layout.admin}/ConfigurationColumn.txt", COLUMN_CONFIG)
 
