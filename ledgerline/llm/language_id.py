@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from ledgerline.llm.common import WORD, words
 
@@ -138,7 +139,6 @@ def posteriors(e: np.ndarray, moves: np.ndarray, starts: np.ndarray) -> np.ndarr
     for t in range(CHUNK):
         new = (product @ a) * x[:, t, None, :]
         product = np.where(on[:, t, None, None], new / new.sum(axis=(1, 2), keepdims=True), product)
-    # The first word of a text is reached from any language alike: undo one move.
     into = np.full((total, k), 1.0 / k)
     outof = np.ones((total, k))
     most = int(per.max(initial=0))
@@ -157,8 +157,8 @@ def posteriors(e: np.ndarray, moves: np.ndarray, starts: np.ndarray) -> np.ndarr
     alpha = np.empty((total, CHUNK, k))
     state, opening = into, nth == 0
     for t in range(CHUNK):
-        moved = state / k if t < 0 else state @ a
-        if t == 0:
+        moved = state @ a
+        if t == 0:  # no move leads into the first word of a text
             moved = np.where(opening[:, None], 1.0 / k, moved)
         new = moved * x[:, t]
         state = np.where(on[:, t, None], new / new.sum(axis=1, keepdims=True), state)
@@ -330,8 +330,6 @@ def drop_unidentified(docs: DataFrame, model: Model | None, text: str = "text",
     """The rows of ``docs`` with a language that has ``least`` of the words at least, columns as they were."""
     if model is None:
         return docs.limit(0)
-    from pyspark.sql.types import DoubleType, StringType, StructType
-
     # The columns go through Arrow by place, so extra or clashing names don't matter.
     inner = docs.select(F.col(f"`{text}`"), *[F.col(f"`{c}`") for c in docs.columns]).toDF(
         "_text", *[f"c{i}" for i in range(len(docs.columns))])
