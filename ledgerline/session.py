@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,20 +50,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local runs, tests) do we set a fresh folder of
-    our own.
+    is; without it this raises, since a machine-local folder would lose data
+    with its executor.  Only on a local master (tests, local runs) is a fresh
+    folder of our own set, on the context (the SQL configuration refuses it).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all "
+                f"executors of {sc.master} share")
+        current = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path under the shared checkpoint folder that no earlier run has used."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
