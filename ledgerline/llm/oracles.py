@@ -52,28 +52,28 @@ def canonical_sql(text: str) -> str:
 def leaks_sql(documents: str) -> str:
     """(doc_id, item_id, ...) of leaks in a relation with doc_id and text."""
     def tokens(source: str, key: str) -> str:
-        return f"""SELECT {key}, text, list_filter(regexp_split_to_array({canonical_sql('text')}, '{_SPACE}+'), x -> x <> '') AS raw
+        return f"""SELECT {key}, text, list_filter(regexp_split_to_array({canonical_sql('text')}, '{_SPACE}+'), lambda x: x <> '') AS raw
                    FROM {source}"""
 
-    tmpl = "list_transform(raw, x -> CASE WHEN x < chr(4) THEN x[1] ELSE x END)"
+    tmpl = "list_transform(raw, lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE x END)"
     return f"""
 WITH dt AS MATERIALIZED (SELECT doc_id, text, raw, {tmpl} AS tmpl FROM ({tokens(documents, 'doc_id')})),
      bt AS MATERIALIZED (SELECT item_id, raw, {tmpl} AS tmpl, least(len(raw), {WINDOW}) AS size FROM ({tokens('benchmark', 'item_id')})
                          WHERE len(raw) >= {LITERALS}),
      bw0 AS (SELECT item_id, raw, tmpl, size, unnest(range(1, len(raw) - size + 2)) AS p FROM bt),
-     bw1 AS (SELECT item_id, size, p, tmpl[p:p + size - 1] AS w, list_filter(raw[p:p + size - 1], x -> x < chr(4)) AS slots FROM bw0),
+     bw1 AS (SELECT item_id, size, p, tmpl[p:p + size - 1] AS w, list_filter(raw[p:p + size - 1], lambda x: x < chr(4)) AS slots FROM bw0),
      bw AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM bw1 WHERE size - len(slots) >= {LITERALS}),
      sizes AS (SELECT DISTINCT size FROM bw),
      dw0 AS (SELECT doc_id, text, raw, tmpl, size, unnest(range(1, len(raw) - size + 2)) AS p FROM dt, sizes WHERE len(raw) >= size),
-     dw AS (SELECT doc_id, text, p, tmpl[p:p + size - 1] AS w, list_filter(raw[p:p + size - 1], x -> x < chr(4)) AS slots FROM dw0),
+     dw AS (SELECT doc_id, text, p, tmpl[p:p + size - 1] AS w, list_filter(raw[p:p + size - 1], lambda x: x < chr(4)) AS slots FROM dw0),
      met AS MATERIALIZED (SELECT DISTINCT d.doc_id, d.text, b.item_id, b.item_windows, d.p, b.p AS ip, b.slots AS isl, d.slots AS dsl
              FROM dw d JOIN bw b ON d.w = b.w),
-     lined AS (SELECT doc_id, text, item_id, item_windows, p - ip AS at, count(*) AS n_windows FROM met GROUP BY ALL),
-     pairs AS (SELECT DISTINCT doc_id, text, item_id, p - ip AS at, unnest(isl) AS i, unnest(dsl) AS d FROM met),
-     agree AS (SELECT doc_id, text, item_id, at, count(*) AS n, count(DISTINCT i) AS ni, count(DISTINCT d) AS nd,
+     lined AS (SELECT doc_id, text, item_id, item_windows, p - ip AS off, count(*) AS n_windows FROM met GROUP BY ALL),
+     pairs AS (SELECT DISTINCT doc_id, text, item_id, p - ip AS off, unnest(isl) AS i, unnest(dsl) AS d FROM met),
+     agree AS (SELECT doc_id, text, item_id, off, count(*) AS n, count(DISTINCT i) AS ni, count(DISTINCT d) AS nd,
                       count(*) FILTER (WHERE i <> d) AS changed FROM pairs GROUP BY ALL)
 SELECT l.doc_id, l.item_id, l.item_windows::INT AS item_windows, max(l.n_windows) AS n_windows, min(coalesce(a.changed, 0))::INT AS changed_slots
-FROM lined l LEFT JOIN agree a ON l.doc_id IS NOT DISTINCT FROM a.doc_id AND l.text = a.text AND l.item_id IS NOT DISTINCT FROM a.item_id AND l.at = a.at
+FROM lined l LEFT JOIN agree a ON l.doc_id IS NOT DISTINCT FROM a.doc_id AND l.text = a.text AND l.item_id IS NOT DISTINCT FROM a.item_id AND l.off = a.off
 WHERE coalesce(a.n = a.ni AND a.n = a.nd, true) AND l.n_windows >= least({LEAST}, l.item_windows)
 GROUP BY l.doc_id, l.item_id, l.item_windows
 """
