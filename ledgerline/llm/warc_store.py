@@ -71,12 +71,12 @@ def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str
     """Write ``headers`` and ``payloads`` under ``folder``."""
     build_headers(pages, key, url, payload).drop("bytes").write.parquet(f"{folder}/headers")
     body = F.coalesce(F.col(f"`{payload}`"), F.lit("")).cast("binary")
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
     held = pages.select(F.col(f"`{key}`").alias("key"), body.alias("payload"), F.sha2(body, 256).alias("digest"))
-    first = held.groupBy("digest").agg(F.min("key").alias("first_key")).withColumnRenamed("digest", "of")
-    # Only first holders keep their payload; rows that repeat a key meet in dropDuplicates.
-    once = (held.join(first, (F.col("digest") == F.col("of")) & F.col("key").eqNullSafe(F.col("first_key")))
-            .select("digest", "payload").dropDuplicates(["digest"]))
-    once.write.parquet(f"{folder}/payloads")
+    first = (held.groupBy("digest").agg(F.min("key").alias("key")).select("digest", name.alias("name")))
+    # Only first holders keep their payload; rows that repeat a key are where they were joined.
+    once = held.withColumn("name", name).join(first, ["digest", "name"]).dropDuplicates(["digest", "name"])
+    once.select("digest", "payload").write.parquet(f"{folder}/payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
