@@ -26,6 +26,7 @@ the first language in order.  Extra columns are ignored by ``identify`` and kept
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -56,16 +57,32 @@ def normal(word: str) -> str:
     return low if low.isalpha() else "".join(_LETTERS.findall(low))
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    names = ["=" + word]
-    for k in (1, 2, 3):
-        names += ["<" + word[:k], ">" + word[-k:]]
+class _Hashes(dict):
+    """Feature name to weight number; affixes and trigrams come again and again."""
+
+    def __missing__(self, name: str) -> int:
+        i = self[name] = zlib.crc32(name.encode()) % FEATURES
+        return i
+
+
+def word_features(word: str, lexicon: dict[str, int], hashes: _Hashes) -> list[int]:
+    names = ["<" + word[:1], ">" + word[-1:], "<" + word[:2], ">" + word[-2:], "<" + word[:3], ">" + word[-3:]]
     if word in lexicon:
         names.append(f"@{lexicon[word]}")
-    room = SLOTS - len(names)
+    room = SLOTS - 1 - len(names)
     grams = [word[i:i + 3] for i in range(len(word) - 2)]
     names += grams if len(grams) <= room else grams[:room // 2] + grams[-(room - room // 2):]
-    return [zlib.crc32(x.encode()) % FEATURES for x in names]
+    return [zlib.crc32(b"=" + word.encode()) % FEATURES, *[hashes[x] for x in names]]
+
+
+def feature_table(found: list[str], lexicon: dict[str, int], hashes: _Hashes) -> np.ndarray:
+    """(words, SLOTS) weight numbers, filled up with the row that stays 0."""
+    rows = [word_features(w, lexicon, hashes) for w in found]
+    sizes = np.array([len(r) for r in rows], np.int64)
+    out = np.full((len(rows), SLOTS), FEATURES, np.int64)
+    out[np.arange(SLOTS)[None, :] < sizes[:, None]] = np.fromiter(
+        itertools.chain.from_iterable(rows), np.int64, int(sizes.sum()))
+    return out
 
 
 @dataclass
@@ -75,9 +92,13 @@ class Model:
     moves: np.ndarray  # (languages, languages), log potentials
     lexicon: dict[str, int] = field(default_factory=dict)
 
-    def emission(self, word: str) -> np.ndarray:
-        e = self.weights[word_features(word, self.lexicon)].sum(axis=0)
-        return np.exp(e - e.max())
+    def emissions(self, found: list[str], hashes: _Hashes) -> np.ndarray:
+        """(words, languages) potentials, the largest 1."""
+        e = np.zeros((len(found), len(self.languages)))
+        for a in range(0, len(found), 4096):
+            part = feature_table(found[a:a + 4096], self.lexicon, hashes)
+            e[a:a + 4096] = self.weights[part].sum(axis=1)
+        return np.exp(e - e.max(axis=1, keepdims=True))
 
 
 def _potentials(moves: np.ndarray) -> np.ndarray:
@@ -199,10 +220,7 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model | None:
             seen.setdefault(w, np.zeros(k))[label[lang]] += 1
     lexicon = {w: int(c.argmax()) for w, c in seen.items() if c.sum() >= 5 and c.max() >= 0.6 * c.sum()}
     ids = {w: i for i, w in enumerate(seen)}
-    index = np.full((len(ids), SLOTS), FEATURES, np.int64)
-    for w, i in ids.items():
-        f = word_features(w, lexicon)
-        index[i, :len(f)] = f
+    index = feature_table(list(ids), lexicon, _Hashes())
     order = np.random.default_rng(seed).permutation(len(samples))
     groups = [order[i:i + STRUNG] for i in range(0, len(order), STRUNG)]
     lengths = np.array([sum(len(samples[i][1]) for i in g) for g in groups])
@@ -259,40 +277,50 @@ def sample_windows(docs: DataFrame, learn: Column, text: str = "text", lang: str
     return [(r.lang, list(x)) for r in w.select("lang", F.array(*windows).alias("ws")).collect() for x in r.ws]
 
 
+class _Words(dict):
+    """Word to the number of its letters in lower case, -1 without a letter; new ones wait in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.numbers: dict[str, int] = {}
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = normal(word)
+        i = -1
+        if n:
+            i = self.numbers.get(n, -1)
+            if i < 0:
+                i = self.numbers[n] = len(self.numbers)
+                self.new.append(n)
+        self[word] = i
+        return i
+
+
 def _label(model: Model):
-    def score(texts: list[str | None], cache: dict[str, int], rows: list[np.ndarray]):
-        tokens, starts = [], [0]
-        for text in texts:
-            for w in _WORD.findall(text or ""):
-                i = cache.get(w, -2)
-                if i == -2:
-                    n = normal(w)
-                    i = -1
-                    if n:
-                        i = cache.get("\x00" + n, -2)
-                        if i == -2:
-                            i = len(rows)
-                            rows.append(model.emission(n))
-                            cache["\x00" + n] = i
-                    cache[w] = i
-                if i >= 0:
-                    tokens.append(i)
-            starts.append(len(tokens))
-        starts = np.array(starts)
+    def score(texts: list[str | None], cache: _Words, table: np.ndarray, hashes: _Hashes):
+        ids = [[cache[w] for w in _WORD.findall(text or "")] for text in texts]
+        sizes = np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum()))
+        if cache.new:
+            table = np.concatenate([table, model.emissions(cache.new, hashes)])
+            cache.new.clear()
+        lettered = flat >= 0
+        text_of = np.repeat(np.arange(len(texts)), sizes)[lettered]
+        starts = np.concatenate([[0], np.cumsum(np.bincount(text_of, minlength=len(texts)))])
         share = np.zeros((len(texts), len(model.languages)))
-        if tokens:
-            table = np.array(rows)
-            post = posteriors(table[np.array(tokens)], model.moves, starts)
-            full = np.flatnonzero(np.diff(starts))
+        full = np.flatnonzero(np.diff(starts))
+        if len(full):
+            post = posteriors(table[flat[lettered]], model.moves, starts)
             share[full] = np.add.reduceat(post, starts[full], axis=0) / np.diff(starts)[full][:, None]
         best = share.argmax(axis=1)
         known = share.sum(axis=1) > 0
         return ([model.languages[b] if ok else UNKNOWN for b, ok in zip(best, known)],
-                np.clip(share[np.arange(len(texts)), best], 0, 1))
+                np.clip(share[np.arange(len(texts)), best], 0, 1), table)
 
     def run(batches):
-        cache: dict[str, int] = {}
-        rows: list[np.ndarray] = []
+        nothing = np.zeros((0, len(model.languages)))
+        cache, table, hashes = _Words(), nothing, _Hashes()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             names, scores, part, held = [], [], [], 0
@@ -302,9 +330,8 @@ def _label(model: Model):
                     held += len(text or "") // 5
                 if part and (text is ... or held > BATCH_WORDS):
                     if len(cache) > CACHE_WORDS:
-                        cache.clear()
-                        rows.clear()
-                    n, s = score(part, cache, rows)
+                        cache, table = _Words(), nothing
+                    n, s, table = score(part, cache, table, hashes)
                     names += n
                     scores.append(s)
                     part, held = [], 0
