@@ -19,9 +19,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text, in order; a null or blank text has none."""
-    trimmed = F.btrim(text, F.lit(SPACES))
-    return F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE_RUN)).otherwise(
-        F.array().cast("array<string>"))
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), lambda w: w != "")
 
 
 def count_words(text: Column) -> Column:

@@ -45,45 +45,42 @@ UNITS = (
     "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "cent",
     "cents", "euro", "euros", "percent", "degrees", "kmh", "mph",
 )
-NAME = r"([^\x20\x09-\x0D.!?:;] )(\p{Lu}\p{Ll}+)"
+NAME = r"(?<=[^\x20\x09-\x0D.!?:;] )\p{Lu}(?=\p{Ll})"
 NUMBER = r"(^|[\x20\x09-\x0D])([\p{Sc}+(\-]?[0-9][^\x20\x09-\x0D]*)"
 UNIT = "(\x02[^\\x20\\x09-\\x0D]+ )(" + "|".join(UNITS) + r")($|[^\p{L}\p{N}])"
 PUNCTUATION = "[^\\p{L}\\p{M}\\p{N}\x01-\x03\\x20\\x09-\\x0D]+"
-SLOT = "([\x01-\x03])[^\\x20\\x09-\\x0D]*"
 
 
 def canonical(text: Column) -> Column:
     """Lower-case words without punctuation; names, numbers and units start with \\x01, \\x02, \\x03."""
-    t = F.coalesce(text, F.lit(""))
-    for _ in range(2):  # a name right after a name is found the second time
-        t = F.regexp_replace(t, NAME, "$1\x01$2")
-    t = F.regexp_replace(t, NUMBER, "$1\x02$2")
-    t = F.regexp_replace(t, UNIT, "$1\x03$2$3")
+    def marked(t: Column) -> Column:
+        numbered = F.regexp_replace(F.regexp_replace(t, NUMBER, "$1\x02$2"), UNIT, "$1\x03$2$3")
+        return F.when(t.rlike("[0-9]"), numbered).otherwise(t)
+
+    t = let(F.regexp_replace(F.coalesce(text, F.lit("")), NAME, "\x01$0"), marked)
     return F.lower(F.regexp_replace(t, PUNCTUATION, ""))
 
 
 def _tokens(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, raw (words with slot marks) and tmpl (slots without their values)."""
-    df = df.select(*keys, canonical(F.col("_text")).alias("canon"))
-    return df.select(*keys, words(F.col("canon")).alias("raw"),
-                     words(F.regexp_replace("canon", SLOT, "$1")).alias("tmpl"))
+    """keys and raw, the canonical words with the values of the slots."""
+    return df.select(*keys, let(canonical(F.col("_text")), words).alias("raw"))
 
 
-def _window_hashes(tokens: Column, size: int) -> Column:
-    """Array of (p, h, size) for the windows of ``size`` words with enough literal ones.
+def _template(raw: Column) -> Column:
+    return F.transform(raw, lambda w: F.when(w < "\x04", F.substring(w, 1, 1)).otherwise(w))
 
-    ``tokens`` is bound once: a filter pushed below can't repeat the splitting per word.
-    """
-    def hashed(tmpl: Column) -> Column:
-        def at(x: Column, i: Column) -> Column:
-            got = [x] + [F.get(tmpl, i + k) for k in range(1, size)]
-            literal = sum((F.when(w < "\x04", 0).otherwise(1) for w in got), F.lit(0))
-            return F.struct(i.alias("p"), F.when(literal >= LITERALS, F.xxhash64(*got)).alias("h"),
-                            F.lit(size).alias("size"))
 
-        return F.transform(F.slice(tmpl, 1, F.greatest(F.size(tmpl) - (size - 1), F.lit(0))), at)
+def _window_hashes(raw: Column, size: int) -> Column:
+    """The hash of every window of ``size`` template words, in order.
+
+    What is used twice is bound to lambda variables: a filter that Spark pushes below
+    can't repeat the splitting per word.
+    """
+    def rolled(h: Column) -> Column:
+        return F.transform(F.slice(h, 1, F.greatest(F.size(h) - (size - 1), F.lit(0))),
+                           lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, size)]))
 
-    return F.filter(let(tokens, hashed), lambda x: x.h.isNotNull())
+    return let(F.transform(raw, lambda w: F.xxhash64(F.when(w < "\x04", F.substring(w, 1, 1)).otherwise(w))), rolled)
 
 
 def _window(tokens: Column, place: Column, size: Column) -> Column:
@@ -98,42 +95,43 @@ def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text
     """One row per window of an item that has enough literal words."""
     tok = _tokens(items.select(F.col(f"`{item}`").alias("item_id"), F.col(f"`{text}`").alias("_text")),
                   ["item_id"])
-    n = F.size("tmpl")
-    hashed = F.when(n >= WINDOW, _window_hashes(F.col("tmpl"), WINDOW))
+    n = F.size("raw")
+    hashed = F.when(n >= WINDOW, _window_hashes(F.col("raw"), WINDOW))
     for size in range(LITERALS, WINDOW):
-        hashed = hashed.when(n == size, _window_hashes(F.col("tmpl"), size))
-    tok = checkpointed(tok.withColumn("hs", hashed))
-    size = F.least(n, F.lit(WINDOW))
-    out = tok.select("item_id", size.alias("size"), F.size("hs").alias("item_windows"), "raw", "tmpl",
-                     F.explode("hs").alias("x"))
-    return out.select("item_id", "size", "item_windows", F.col("x.p").alias("ip"), F.col("x.h").alias("h"),
-                      _window(F.col("tmpl"), F.col("x.p"), F.col("size")).alias("iwords"),
-                      _slots(_window(F.col("raw"), F.col("x.p"), F.col("size"))).alias("islots"))
+        hashed = hashed.when(n == size, _window_hashes(F.col("raw"), size))
+    cut = checkpointed(tok.withColumn("size", F.least(n, F.lit(WINDOW))).withColumn("hs", hashed))
+    cut = cut.select("item_id", "size", "raw", F.posexplode("hs").alias("ip", "h")).withColumn(
+        "iraw", _window(F.col("raw"), F.col("ip"), F.col("size")))
+    out = cut.select("item_id", "size", "ip", "h", _template(F.col("iraw")).alias("iwords"), _slots(F.col("iraw")).alias("islots"))
+    out = checkpointed(out.where(F.col("size") - F.size("islots") >= LITERALS))
+    n_windows = out.groupBy(F.col("item_id").alias("of")).agg(F.count("*").cast("int").alias("item_windows"))
+    return out.join(n_windows, F.col("item_id").eqNullSafe(F.col("of"))).drop("of")
 
 
 def _matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """Windows of documents whose hash the benchmark has: id, text_hash, p, h, size, words, slots."""
-    hashes = bench.select("h").distinct()
-    sizes = [r[0] for r in bench.select("size").distinct().collect()]  # WINDOW - LITERALS + 1 at most
-    tok = _tokens(docs, ["id", "text_hash"])
-    hs = F.concat(*[_window_hashes(F.col("tmpl"), s) for s in sorted(sizes)]) if sizes else (
-        F.array().cast("array<struct<p:int,h:bigint,size:int>>"))
-    tok = tok.withColumn("hs", hs)
-    if hashes.count() <= BROADCAST_WINDOWS:
-        # The arrays travel beside the windows by reference; only what matches is copied.
-        found = (tok.select("id", "text_hash", "raw", "tmpl", F.explode_outer("hs").alias("x"))
-                 .select("id", "text_hash", "raw", "tmpl", "x.p", "x.h", "x.size")
-                 .join(F.broadcast(hashes), "h", "left_semi"))
-    else:
-        places = (tok.select("id", "text_hash", F.inline_outer("hs")).join(hashes, "h", "left_semi")
-                  .groupBy("id", "text_hash").agg(F.collect_set(F.struct("p", "h", "size")).alias("found"))
-                  .withColumnsRenamed({"id": "fid", "text_hash": "ftext"}))
-        found = (tok.drop("hs").join(places, F.col("id").eqNullSafe(F.col("fid"))
-                                     & (F.col("text_hash") == F.col("ftext")))
-                 .select("id", "text_hash", "raw", "tmpl", F.inline("found")))
-    return found.select("id", "text_hash", "p", "h", "size",
-                        _window(F.col("tmpl"), F.col("p"), F.col("size")).alias("words"),
-                        _slots(_window(F.col("raw"), F.col("p"), F.col("size"))).alias("slots"))
+    """Windows of documents whose hash the benchmark has: id, text_hash, p, h, words, slots."""
+    hashes = checkpointed(bench.groupBy("h").agg(F.min("size").alias("size")))
+    few = hashes.count() <= BROADCAST_WINDOWS
+    found = None
+    # As a rule one size; shorter items add WINDOW - LITERALS others at most.
+    for size in sorted({WINDOW} | {r[0] for r in hashes.select("size").distinct().collect()}):
+        known = hashes.where(F.col("size") == size).select("h")
+        tok = _tokens(docs, ["id", "text_hash"])
+        hs = _window_hashes(F.col("raw"), size)
+        if few:
+            # The words travel beside the windows by reference; only what matches is copied.
+            part = (tok.select("id", "text_hash", "raw", F.posexplode_outer(hs).alias("p", "h"))
+                    .join(F.broadcast(known), "h", "left_semi"))
+        else:
+            places = (tok.select("id", "text_hash", F.posexplode_outer(hs).alias("p", "h"))
+                      .join(known, "h", "left_semi")
+                      .groupBy("id", "text_hash").agg(F.collect_set(F.struct("p", "h")).alias("found"))
+                      .withColumnsRenamed({"id": "fid", "text_hash": "ftext"}))
+            part = (tok.join(places, F.col("id").eqNullSafe(F.col("fid")) & (F.col("text_hash") == F.col("ftext")))
+                    .select("id", "text_hash", "raw", F.inline("found")))
+        part = part.select("id", "text_hash", "p", "h", _window(F.col("raw"), F.col("p"), F.lit(size)).alias("raw"))
+        found = part if found is None else found.unionByName(part)
+    return found.select("id", "text_hash", "p", "h", _template(F.col("raw")).alias("words"), _slots(F.col("raw")).alias("slots"))
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
