@@ -12,8 +12,8 @@ so the amount grows with the corpus), Spark averages the tasks' parameters weigh
 their tokens, and ``ROUNDS`` rounds repeat that from the average.
 
 Scoring needs each token's count.  The ``COMMON_WORDS`` most frequent are broadcast (a
-fixed bound); rows of the others are joined with the counts by a shuffle, where no key is
-hot, as none is among the most frequent, and summed per text.
+fixed bound); the others of each text are listed, joined with the counts by a shuffle,
+where no key is hot, as none is among the most frequent, and summed per text.
 
 Defined cases: a null or blank text has one token, its end; rows that repeat an id are
 scored each by its own text; null ids are ids like others; without training texts every
@@ -34,15 +34,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD, checkpointed, words
 from ledgerline.llm.url_filter import LOWER, UPPER
+from ledgerline.session import shared_folder
 
 END = "\n"  # no word holds white space
-CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 255, 64
+CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 127, 64
 COMMON_WORDS = 20_000
-TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, NOISE, RATE = 4, 2, 2, 1024, 48, 0.05
+TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, NOISE, RATE = 8, 1, 2, 1024, 48, 0.05
 SMOOTH = 0.1
-SCORE_TOKENS, TRAIN_TOKENS = 65_536, 1_000_000
+SCORE_TOKENS, TRAIN_TOKENS = 131_072, 1_000_000
+CACHE_WORDS = 400_000
 _WORD = re.compile(WORD)
-_LOWER = {ord(a): b for a, b in zip(UPPER, LOWER)}
 
 
 def lowered(text: Column) -> Column:
@@ -177,25 +178,25 @@ def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share
     return p
 
 
-def _encoder(classes: dict[str, int]):
-    """Words of a text and their classes; rare words by their last two letters."""
-    base, cache = len(classes), {}
+class _Numbers(dict):
+    """Word to its number: END and common words have theirs, others that of their rare class."""
 
-    def encode(text: str | None) -> tuple[list[str], list[int]]:
-        found = _WORD.findall((text or "").translate(_LOWER))
-        ids = []
-        for w in found:
-            i = classes.get(w)
-            if i is None:
-                tail = w[-2:]
-                i = cache.get(tail)
-                if i is None:
-                    i = cache[tail] = base + zlib.crc32(tail.encode()) % RARE_CLASSES
-            ids.append(i)
-        ids.append(0)
-        return found, ids
+    def __init__(self, common: list[str]) -> None:
+        super().__init__({w: i for i, w in enumerate(common)})
+        self.first_rare = len(common)
+        self.common = common
 
-    return encode
+    def __missing__(self, word: str) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self.update({w: i for i, w in enumerate(self.common)})
+        i = self[word] = self.first_rare + zlib.crc32(word[-2:].encode()) % RARE_CLASSES
+        return i
+
+
+def _split(text: str | None) -> list[str]:
+    """Words with A-Z in lower case; bytes.lower leaves all other letters."""
+    return _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
 
 
 def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -213,14 +214,15 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> Parameters:
     counts = corpus.class_counts()
     share = (counts + SMOOTH) / (counts + SMOOTH).sum()
     params = Parameters.start(counts)
-    classes = corpus.classes
+    classes = list(corpus.classes)
     slim = docs.select(F.col(f"`{text}`").alias("text"))
     for round_ in range(ROUNDS):
         def fit(batches, start=params, round_=round_):
-            encode, now, seen, ids, starts = _encoder(classes), start, 0, [], [0]
+            numbers, now, seen, ids, starts = _Numbers(classes), start, 0, [], [0]
             for batch in batches:
                 for t in batch.column(0).to_pylist():
-                    ids += encode(t)[1]
+                    ids += [numbers[w] for w in _split(t)]
+                    ids.append(0)
                     starts.append(len(ids))
                     if len(ids) >= TRAIN_TOKENS:
                         a = np.array(ids)
@@ -244,49 +246,43 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> Parameters:
 
 def _score(corpus_classes: dict[str, int], common: dict[str, int], rare_sizes: np.ndarray, params: Parameters):
     def run(batches):
-        encode = _encoder(corpus_classes)
-        logs = {w: float(np.log10(c + SMOOTH)) for w, c in common.items()}
-        end_log, end_known = logs.get(END, float(np.log10(SMOOTH))), int(END in common)
-        base = len(corpus_classes)
-        # What a rare class takes off a word's log count; 0 for a class of its own.
-        whole = np.concatenate([np.zeros(base), np.log10(rare_sizes[:, 0] + SMOOTH * (rare_sizes[:, 1] + 1))])
-        for batch in batches:
-            out = [[], [], [], [], []]
-            ids, starts, inside = [], [0], []
-
-            def close():
-                a, at = np.array(ids), np.array(starts)
-                per = params.log10(_contexts(a, at), a) - whole[a]
-                out[4].extend(np.add.reduceat(per, at[:-1]) + np.array(inside))
+        words_ = [END, *(w for w in common if w != END)]
+        numbers, base = _Numbers(words_), len(corpus_classes)
+        rare = [base + i for i in range(RARE_CLASSES)]
+        class_of = np.array([corpus_classes.get(w, base + zlib.crc32(w[-2:].encode()) % RARE_CLASSES) for w in words_] + rare)
+        log = np.array([np.log10(common.get(w, 0) + SMOOTH) for w in words_] + [0.0] * RARE_CLASSES)
+        known = np.array([int(w in common) for w in words_] + [0] * RARE_CLASSES)
+        # A word that shares a class: its log count, less what its whole class counts.
+        whole = np.log10(rare_sizes[:, 0] + SMOOTH * (rare_sizes[:, 1] + 1))
+        inside = np.where(class_of < base, 0.0, log - whole[np.maximum(class_of - base, 0)])
+
+        def close(ids, starts):
+            a, at = np.array(ids), np.array(starts)
+            c = class_of[a]
+            per = params.log10(_contexts(c, at), c) + inside[a]
+            return [np.diff(at), *(np.add.reduceat(x, at[:-1]) for x in (known[a], log[a], per))]
 
+        for batch in batches:
+            parts, rest, ids, starts = [], [], [], [0]
             for t in batch.column("text").to_pylist():
-                found, one = encode(t)
-                known, log, n_rare, rare_log = end_known, end_log, 0, 0.0
-                for w, i in zip(found, one):
-                    x = logs.get(w)
-                    if x is None:
-                        n_rare += 1
-                    else:
-                        known += 1
-                        log += x
-                        if i >= base:
-                            rare_log += x
-                out[0].append(len(one))
-                out[1].append(known)
-                out[2].append(n_rare)
-                out[3].append(log)
-                inside.append(rare_log)
+                found = _split(t)
+                one = [numbers[w] for w in found]
+                rest.append([w for w, i in zip(found, one) if i >= numbers.first_rare])
                 ids += one
+                ids.append(0)
                 starts.append(len(ids))
                 if len(ids) >= SCORE_TOKENS:
-                    close()
-                    ids, starts, inside = [], [0], []
-            if inside:
-                close()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_hash"), batch.column("held_out"),
-                 *[pa.array(x, pa.int64()) for x in out[:3]], *[pa.array(x, pa.float64()) for x in out[3:]]],
-                names=["id", "text_hash", "held_out", "n_tokens", "known", "n_rare", "log_common", "log_model"])
+                    parts.append(close(ids, starts))
+                    ids, starts = [], [0]
+            if ids:
+                parts.append(close(ids, starts))
+            if parts:
+                cells = [np.concatenate(x) for x in zip(*parts)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("text_hash"), batch.column("held_out"),
+                     *[pa.array(x, pa.int64()) for x in cells[:2]], *[pa.array(x, pa.float64()) for x in cells[2:]],
+                     pa.array(rest, pa.list_(pa.string()))],
+                    names=["id", "text_hash", "held_out", "n_tokens", "known", "log_common", "log_model", "rest"])
 
     return run
 
@@ -303,20 +299,20 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     params = train(learn.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(TRAIN_EVERY)) == 0), corpus)
 
     kind = slim.schema["id"].dataType.simpleString()
-    scored = checkpointed(slim.mapInArrow(
+    # Parquet, not checkpoint(): the lists compress well and the second use leaves them out.
+    folder = shared_folder(docs.sparkSession, "lm")
+    slim.mapInArrow(
         _score(corpus.classes, corpus.common, corpus.rare_sizes, params),
-        f"id {kind}, text_hash long, held_out boolean, n_tokens long, known long, n_rare long, "
-        "log_common double, log_model double"))
-    spark = docs.sparkSession
-    common = F.broadcast(spark.createDataFrame([(w,) for w in [*corpus.common, END]], "token string"))
-    rest = (slim.select("id", "text_hash", F.explode(words(lowered(F.col("text")))).alias("token"))
-            .join(common, "token", "left_anti"))
-    logs = (rest.join(corpus.counts, "token", "left")
+        f"id {kind}, text_hash long, held_out boolean, n_tokens long, known long, log_common double, "
+        "log_model double, rest array<string>").withColumn("n_rare", F.size("rest")).write.parquet(folder)
+    scored = docs.sparkSession.read.parquet(folder)
+    logs = (scored.select("id", "text_hash", F.explode("rest").alias("token"))
+            .join(corpus.counts, "token", "left")
             .groupBy("id", "text_hash").agg(
                 F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("log_rare"),
                 F.count("c").alias("rare_known"), F.count("*").alias("rows"))
             .withColumnsRenamed({"id": "rid", "text_hash": "rtext"}))
-    joined = scored.join(logs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rtext")), "left")
+    joined = scored.drop("rest").join(logs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rtext")), "left")
     # Rows that repeat an id and text add up there; each gets its part.
     part = F.coalesce(F.col("n_rare") / F.col("rows"), F.lit(0.0))
     rare = F.coalesce(F.col("log_rare"), F.lit(0.0)) * part
