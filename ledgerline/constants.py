@@ -53,5 +53,3 @@ DELIMITER_NAMES = {"pipe": "|", "comma": ",", "tab": "\t", "semicolon": ";"}
 # Data types a column configuration may declare.
 SUPPORTED_TYPES = ("string", "int", "bigint", "double", "decimal", "date",
                    "timestamp", "boolean")
-# Rows at or below which a lookup side is broadcast without a shuffle.
-BROADCAST_MAX_ROWS = 2_000_000

@@ -1,8 +1,7 @@
 """Lookups (left joins on a dimension's natural key).
 
-Dimensions are broadcast only after their row count is checked against a
-bound; beyond it the join is left to the planner (sort-merge, with AQE able to
-switch to broadcast from runtime sizes and to split skewed partitions).
+The joins carry no hint: the planner and AQE choose a broadcast by the bytes they
+see (``spark.sql.autoBroadcastJoinThreshold``), and split skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -10,31 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline import constants as K
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (reads at most bound+1)."""
-    return df.limit(bound + 1).count() <= bound
-
-
-BROADCAST_CONF = "ledgerline.broadcast.maxRows"
-
-
-def broadcast_bound(df: DataFrame, default: int = K.BROADCAST_MAX_ROWS) -> int:
-    """Row bound for explicit broadcasts; the session may lower it (0 = never)."""
-    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(default)))
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    bound = broadcast_bound(df) if max_rows is None else min(max_rows, broadcast_bound(df))
-    return F.broadcast(df) if bound > 0 and row_count_at_most(df, bound) else df
-
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
-           take: list[str], how: str = "left", max_broadcast_rows: int | None = None,
-           prefix: str = "_lk_") -> DataFrame:
+           take: list[str], how: str = "left", prefix: str = "_lk_") -> DataFrame:
     """``df`` ⟕ ``dim`` on ``df[left_on] == dim[right_on]``, adding ``take``.
 
     The dimension key must be unique (see ``duplicate_keys``), otherwise rows
@@ -42,19 +19,16 @@ def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
     """
     renamed = dim.select(F.col(right_on).alias(prefix + "key"),
                          *[F.col(c).alias(prefix + c) for c in take])
-    side = bounded_broadcast(renamed, max_broadcast_rows)
-    joined = df.join(side, df[left_on] == side[prefix + "key"], how)
+    joined = df.join(renamed, df[left_on] == renamed[prefix + "key"], how)
     return joined.drop(prefix + "key").select(
         *[c for c in joined.columns if not c.startswith(prefix)],
         *[F.col(prefix + c).alias(c) for c in take],
     )
 
 
-def dimension_lookup(df: DataFrame, dim: DataFrame, source_column: str, dimension: str,
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+def dimension_lookup(df: DataFrame, dim: DataFrame, source_column: str, dimension: str) -> DataFrame:
     """Add ``{dimension}GUID`` by matching ``source_column`` to the dim's Name."""
-    return lookup(df, dim, source_column, "Name", [f"{dimension}GUID"],
-                  max_broadcast_rows=max_broadcast_rows)
+    return lookup(df, dim, source_column, "Name", [f"{dimension}GUID"])
 
 
 def account_lookup(config_file: DataFrame, account_dim: DataFrame,

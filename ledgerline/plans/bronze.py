@@ -36,7 +36,6 @@ from ledgerline.operators.cleanse import (
 )
 from ledgerline.operators.configuration import expected_columns, first_per_source
 from ledgerline.operators.header import header_check, split_header
-from ledgerline.operators.lookup import bounded_broadcast
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
 from ledgerline.sources.delimited import Layout as FileLayout
@@ -140,7 +139,7 @@ def target_path(layout: Layout):
 def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataFrame:
     """Attach parsed row counts; a header-valid file without rows is Empty."""
     c = counts.select(F.col("_uri").alias("uri"), F.col("n").alias("_n"))
-    joined = disp.join(bounded_broadcast(c), "uri", "left")
+    joined = disp.join(c, "uri", "left")
     valid = F.col("Disposition") == VALID
     empty = valid & (F.coalesce("_n", F.lit(0)) == 0)
     out = (joined.withColumn("RowCount", F.when(valid, F.coalesce("_n", F.lit(0)))
@@ -153,7 +152,7 @@ def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataF
 def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: DataFrame,
                  execution_guid: str) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
-    cfg_b = bounded_broadcast(cfg)
+    cfg_b = cfg
     with_cfg = files.join(cfg_b, "Source", "left")
     candidates = with_cfg.where(F.col("accepted") & (F.col("size") > 0)
                                 & F.col("expected").isNotNull() & F.col("Source").isNotNull())
@@ -275,9 +274,9 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 # SourceFile: the path inside the source folder (just the file
                 # name for flat folders; unique when sub-folders repeat names).
                 in_source = F.regexp_replace(F.col("relative"), r"^[^/]*/", "")
-                file_meta = bounded_broadcast(disp.where(F.col("Disposition") == VALID).select(
+                file_meta = disp.where(F.col("Disposition") == VALID).select(
                     F.col("uri").alias("_uri"), in_source.alias("file_name"), "Source",
-                    "DefaultCategory"))
+                    "DefaultCategory")
                 rows = rows.join(file_meta, "_uri", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
                 # Parsed once: good and bad rows are two writes over one persisted

@@ -2,29 +2,30 @@
 
 Walks the tree one level per iteration: each level is a join of the current
 frontier with the edges on the parent key.  The number of iterations is the
-tree depth, not the number of rows.  The frontier is broadcast only when its
-row count is proven small; otherwise the join shuffles, and AQE splits a
-parent with very many children.  Every level is checkpointed in the
+tree depth, not the number of rows, and the walk ends when a level is empty,
+however deep the tree.  The planner picks each level's join by size; AQE splits
+a parent with very many children.  Every level is checkpointed in the
 session's shared checkpoint folder, which cuts lineage and survives the loss
 of executors.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.operators.lookup import bounded_broadcast
 from ledgerline.session import ensure_checkpoint_dir
 
 
-def call_tree(edges: DataFrame, node: str = "ExecutionGUID", parent: str = "ParentExecutionGUID",
-              max_depth: int = 64) -> DataFrame:
+def call_tree(edges: DataFrame, node: str = "ExecutionGUID", parent: str = "ParentExecutionGUID") -> DataFrame:
     """(node, parent, depth, root, path) for every node reachable from a root.
 
     A root has no parent or a parent that is not itself a node.  Repeated
-    (node, parent) pairs are collapsed first.  Each level is written with a
+    (node, parent) pairs are collapsed first.  A cycle that a root reaches raises
+    ValueError: no path is longer than the number of edges.  Each level is written with a
     reliable ``checkpoint()`` (the session's shared checkpoint folder), so the
     result has no lineage back through the previous joins and nothing stays
     cached after the walk.
@@ -40,14 +41,17 @@ def call_tree(edges: DataFrame, node: str = "ExecutionGUID", parent: str = "Pare
                          F.col("node").alias("root"), F.col("node").alias("path")).checkpoint()
     children = e.where(F.col("parent").isNotNull())
     levels = [level]
-    for depth in range(1, max_depth + 1):
-        frontier = bounded_broadcast(level.select(
-            F.col("node").alias("_p"), F.col("root").alias("_root"), F.col("path").alias("_path")))
+    most = e.count()
+    for depth in itertools.count(1):
+        frontier = level.select(
+            F.col("node").alias("_p"), F.col("root").alias("_root"), F.col("path").alias("_path"))
         level = children.join(frontier, children["parent"] == frontier["_p"], "inner").select(
             "node", "parent", F.lit(depth).alias("depth"), F.col("_root").alias("root"),
             F.concat_ws(K.CALL_STACK_JOINER, "_path", "node").alias("path")).checkpoint()
         if level.isEmpty():
             break
+        if depth > most:
+            raise ValueError("the call tree holds a cycle")
         levels.append(level)
     e.unpersist()
     out = levels[0]

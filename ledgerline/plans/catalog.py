@@ -321,7 +321,7 @@ _BRIDGE_KEY = ["BrandGUID", "CategoryGUID", "SellerGUID"]
 
 
 @register("bridge_new_rows", f"""
-WITH {_resolution_sql("WHERE l_returnflag = 'R'")},
+WITH {_resolution_sql("")},
 cand AS (SELECT DISTINCT BrandGUID, CategoryGUID, SellerGUID FROM r),
 br AS (SELECT DISTINCT BrandGUID, CategoryGUID, SellerGUID FROM (
   WITH {_resolution_sql("WHERE l_returnflag = 'A'")} SELECT * FROM r))
@@ -334,7 +334,7 @@ def q_bridge_new_rows(spark, sf_dir):
     t = Tables(spark, sf_dir)
     dims = _bridge_dims(t)
     li = t.lineitem
-    cand = resolve_to_map(_to_map(t, li.where(F.col("l_returnflag") == "R")), dims)
+    cand = resolve_to_map(_to_map(t, li), dims)
     bridge = resolve_to_map(_to_map(t, li.where(F.col("l_returnflag") == "A")), dims)
     return new_bridge_rows(cand, bridge.select(*_BRIDGE_KEY), _BRIDGE_KEY)
 
@@ -442,10 +442,10 @@ SELECT l_orderkey, l_linenumber,
        {g('Category', 'p_type')} AS CategoryGUID, {g('Seller', 's_name')} AS SellerGUID,
        CAST({_AMOUNT_SQL} AS DOUBLE) AS Amount
 FROM lineitem
-JOIN orders ON o_orderkey = l_orderkey
-JOIN customer ON c_custkey = o_custkey
-JOIN part ON p_partkey = l_partkey
-JOIN supplier ON s_suppkey = l_suppkey
+LEFT JOIN orders ON o_orderkey = l_orderkey
+LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN part ON p_partkey = l_partkey
+LEFT JOIN supplier ON s_suppkey = l_suppkey
 """)
 def q_fact_build(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -455,10 +455,11 @@ def q_fact_build(spark, sf_dir):
     cust = t.customer.select("c_custkey", "c_name")
     part = t.part.select("p_partkey", "p_brand", "p_type")
     sup = t.supplier.select("s_suppkey", "s_name")
-    facts = (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-             .join(cust, F.col("o_custkey") == cust["c_custkey"])
-             .join(part, li["l_partkey"] == part["p_partkey"])
-             .join(sup, li["l_suppkey"] == sup["s_suppkey"]))
+    # Left joins: a fact whose member is unknown keeps a NULL key, and is kept.
+    facts = (li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "left")
+             .join(cust, F.col("o_custkey") == cust["c_custkey"], "left")
+             .join(part, li["l_partkey"] == part["p_partkey"], "left")
+             .join(sup, li["l_suppkey"] == sup["s_suppkey"], "left"))
     # Conformed dimensions key their members by stable_guid(dimension, Name),
     # so the fact's foreign keys follow from the names without another join.
     return facts.select(

@@ -107,12 +107,16 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
             per_month = fact.groupBy("YearMonth").agg(F.min("Date").alias("lo"),
                                                       F.max("Date").alias("hi")).collect()
             months = [r["YearMonth"] for r in per_month]
+            # A fact without a date has no month, and counts in the spend like any other.
+            in_months = F.col("YearMonth").isin([m for m in months if m is not None])
+            if None in months:
+                in_months = F.coalesce(in_months, F.lit(False)) | F.col("YearMonth").isNull()
             if months:
                 # Guard against a repeat after an interrupted run: only the
                 # touched month partitions are read.
                 done = read_columns(spark, layout.gold_transaction,
                                     "TransactionGUID string, YearMonth int") \
-                    .where(F.col("YearMonth").isin(months)).select("TransactionGUID")
+                    .where(in_months).select("TransactionGUID")
                 fact = fact.join(done, "TransactionGUID", "left_anti")
             fact, obs = observed(fact, "gold_fact")
             fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
@@ -140,7 +144,7 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
         with log.step("SpendByCategoryMonth", months=len(months)) as s:
             if months:
                 touched = spark.read.parquet(layout.gold_transaction) \
-                    .where(F.col("YearMonth").isin(months))
+                    .where(in_months)
                 spend = spend_by_category_month(touched, "Category", "Date", "Amount") \
                     .withColumn("YearMonth", (F.year("Month") * 100 + F.month("Month")).cast("int"))
                 (spend.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

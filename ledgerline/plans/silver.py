@@ -33,7 +33,7 @@ from ledgerline.operators.cleanse import align
 from ledgerline.operators.configuration import first_per_source
 from ledgerline.operators.dedupe import dedupe_rows, keep_first
 from ledgerline.operators.dimension import new_members
-from ledgerline.operators.lookup import account_lookup, bounded_broadcast, dimension_lookup
+from ledgerline.operators.lookup import account_lookup, dimension_lookup
 from ledgerline.operators.mapping import (
     GUID_COLUMNS, new_bridge_rows, null_safe_anti, processable_rows, resolve_to_map,
 )
@@ -181,20 +181,21 @@ def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = Non
         disp = disp.where(F.col("Source") == source)
     done = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES).select(*FILE_KEY)
     pending = disp.select(*FILE_KEY, F.col("ExecutionGUID").alias("_load")) \
-        .join(bounded_broadcast(done.distinct()), FILE_KEY, "left_anti")
+        .join(done.distinct(), FILE_KEY, "left_anti")
     loads = [r["_load"] for r in pending.select("_load").distinct().collect()]
     bronze = read_or_empty(spark, layout.bronze_transaction, schemas.BRONZE_TRANSACTION)
     bronze = bronze.where(F.col("ExecutionGUID").isin(loads))
     keys = pending.select(*FILE_KEY, F.col("_load").alias("ExecutionGUID")).distinct()
-    return bronze.join(bounded_broadcast(keys), [*FILE_KEY, "ExecutionGUID"], "left_semi")
+    return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"], "left_semi")
 
 
 def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, run_guid: str) -> int:
     """Append new Silver transactions (partitioned by the Silver run) and
     record their files in SilverFiles; returns the number of rows added.
 
-    The anti join on TransactionGUID reads only the GUID column; it guards a
-    repeat after an interrupted run.
+    The anti join on TransactionGUID reads the GUIDs of recorded runs only.  What a
+    run wrote before it was interrupted has no files recorded: Gold never takes it,
+    so it doesn't count as done here either, and its files are loaded again.
     """
     shaped = align(facts.withColumn("ExecutionGUID", F.lit(run_guid)),
                    schemas.silver_transaction_schema()).persist(StorageLevel.MEMORY_AND_DISK)
@@ -203,7 +204,10 @@ def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, r
     files = shaped.select(*FILE_KEY).distinct().select(
         *FILE_KEY, F.lit(run_guid).alias("ExecutionGUID"),
         F.current_timestamp().alias("DateTimeInserted"))
-    done = read_columns(spark, layout.silver_transaction, "TransactionGUID string")
+    recorded = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES) \
+        .select("ExecutionGUID").distinct()
+    done = read_columns(spark, layout.silver_transaction, "TransactionGUID string, ExecutionGUID string") \
+        .join(recorded, "ExecutionGUID", "left_semi").select("TransactionGUID")
     new = shaped.join(done, "TransactionGUID", "left_anti")
     new, obs = observed(new, "silver")
     new.write.mode("append").partitionBy("ExecutionGUID").parquet(layout.silver_transaction)
@@ -229,7 +233,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                                      read_dimension(spark, layout, "Account"))
         # The run's working set is read by several steps; keep it for the run
         # (memory and disk; recomputed from Bronze if an executor is lost).
-        rows = bronze.join(bounded_broadcast(src_acc.select("Source", "AccountGUID")), "Source", "left") \
+        rows = bronze.join(src_acc.select("Source", "AccountGUID"), "Source", "left") \
             .withColumn("SourceValue", F.col(source_value_column)) \
             .persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -289,8 +293,8 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             s.parameters["dimensions"] = ",".join(sorted(rules))
 
         with log.step("WriteTransactions") as s:
-            b = bounded_broadcast(bridge.select(*[F.col(c).alias(f"_b_{c}") for c in BRIDGE_KEY],
-                                                *GUID_COLUMNS))
+            b = bridge.select(*[F.col(c).alias(f"_b_{c}") for c in BRIDGE_KEY],
+                                                *GUID_COLUMNS)
             cond = reduce(lambda x, y: x & y,
                           [ready[c].eqNullSafe(b[f"_b_{c}"]) for c in BRIDGE_KEY])
             facts = ready.join(b, cond, "left").drop(*[f"_b_{c}" for c in BRIDGE_KEY])

@@ -13,7 +13,6 @@ from ledgerline.plans.silver import apply_manual_mapping, load_bronze_to_silver
 from oracle import compare, duck
 
 SHUFFLE_ONLY = {
-    "ledgerline.broadcast.maxRows": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
