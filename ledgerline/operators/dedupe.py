@@ -1,6 +1,6 @@
 """De-duplication and first-row selection.
 
-Both are hash aggregations, so Spark combines map-side before the shuffle: a
+Both are aggregations that Spark combines map-side before the shuffle (keep-first sorts for it): a
 key that holds a third of all rows is reduced on every mapper and never sorted
 inside one task, which a ``row_number()`` window would do.
 """
