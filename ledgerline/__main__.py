@@ -42,8 +42,7 @@ def main(argv: list[str] | None = None) -> int:
                 folder = f"{layout.bronze_inbound}/{args.source}"
                 if not exists(spark, folder):
                     mkdirs(spark, folder)
-                    log.warn(main_step, f"Folder path specified was not found and therefore "
-                                        f"created: {folder}")
+                    log.warn(main_step, f"No inbound folder yet for this source; made {folder}")
             if args.layer in ("bronze", "all"):
                 load_files_to_bronze(spark, layout, log, args.source, args.move_files)
             if args.layer in ("silver", "all"):

@@ -24,6 +24,7 @@ LOG_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # --- fixed values: default delimiter of config / log / table text files -----
 DEFAULT_DELIMITER = "|"
+DEFAULT_QUALIFIER = '"'
 
 # --- fixed values: transformation types in column configuration -------------
 TRANSFORM_DIRECT = "Direct"

@@ -16,13 +16,18 @@ from ledgerline import constants as K
 
 
 def split_header(header: Column, delimiter: str, quote: str | None = None) -> Column:
-    """Header line -> array of trimmed column names (qualifiers stripped)."""
+    """Header line -> array of trimmed column names (qualifiers stripped).
+
+    A delimiter between qualifiers belongs to the name: only one that an even number
+    of qualifiers follows parts two names.  A doubled qualifier in a name is one.
+    """
     clean = F.regexp_replace(F.regexp_replace(header, "\r$", ""), "^\ufeff", "")
-    parts = F.split(clean, re.escape(delimiter), -1)
-    if quote:
-        q = re.escape(quote)
-        return F.transform(parts, lambda p: F.regexp_replace(F.trim(p), f"^{q}|{q}$", ""))
-    return F.transform(parts, lambda p: F.trim(p))
+    if not quote:
+        return F.transform(F.split(clean, re.escape(delimiter), -1), lambda p: F.trim(p))
+    q = re.escape(quote)
+    parts = F.split(clean, f"{re.escape(delimiter)}(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)", -1)
+    return F.transform(parts, lambda p: F.replace(
+        F.regexp_replace(F.trim(p), f"^{q}|{q}$", ""), F.lit(quote * 2), F.lit(quote)))
 
 
 def issue_column(has_extra: Column, has_missing: Column) -> Column:

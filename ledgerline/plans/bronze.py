@@ -10,7 +10,8 @@
    NoConfiguration (left in place and logged).
 5. Read the valid files grouped by layout, map file columns to Bronze
    columns, turn NULL tokens into NULL, coerce to the declared types, set
-   rows with uncastable cells aside, add audit columns and append.
+   rows with uncastable cells and lines with surplus or missing fields aside
+   (``_bad_columns`` says which), add audit columns and append.
 
 Optionally, file moves follow the dispositions (Archive / Error with the
 issue in the name).  Without moves, re-runs skip files already recorded.
@@ -39,7 +40,7 @@ from ledgerline.operators.header import header_check, split_header
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
 from ledgerline.sources.delimited import Layout as FileLayout
-from ledgerline.sources.delimited import read_group
+from ledgerline.sources.delimited import MALFORMED, read_group
 from ledgerline.sources.files import rename
 from ledgerline.sources.inbound import discover, scan_headers
 from ledgerline.sources.tables import append, read_or_empty
@@ -55,6 +56,8 @@ DISPOSITION_SCHEMA = schemas._struct(
 )
 
 BRONZE_TEXT_COLUMNS = ["Amount", "Category", "Date", "Description"]
+# What _bad_columns holds for a line with surplus or missing fields.
+FIELD_COUNT = "FieldCount"
 
 
 @dataclass
@@ -64,12 +67,12 @@ class BronzeResult:
     rows_quarantined: int
 
 
-def _split_by_delimiter(header: str, delimiters: list[str]):
-    """Header text -> array of names, with each row's own configured delimiter."""
+def _split_by_layout(header: str, layouts: list[tuple[str, str]]):
+    """Header text -> array of names, with each row's own delimiter and qualifier."""
     expr = F.lit(None).cast("array<string>")
-    for d in delimiters:
-        expr = F.when(F.col("Delimiter") == d,
-                      split_header(F.col(header), d, '"')).otherwise(expr)
+    for d, q in layouts:
+        expr = F.when((F.col("Delimiter") == d) & (F.col("TextQualifier") == q),
+                      split_header(F.col(header), d, q)).otherwise(expr)
     return expr
 
 
@@ -117,7 +120,9 @@ def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
                        F.when(F.col("Delimiter").isNull() | (F.col("Delimiter") == ""),
                               F.lit(K.DEFAULT_DELIMITER)),
                        F.col("Delimiter"))
-    return first.withColumn("Delimiter", delim).join(
+    qualifier = F.when(F.trim("TextQualifier") != "", F.trim("TextQualifier")) \
+        .otherwise(K.DEFAULT_QUALIFIER)
+    return first.withColumns({"Delimiter": delim, "TextQualifier": qualifier}).join(
         expected_columns(cc), "ConfigurationFileID", "left")
 
 
@@ -152,16 +157,16 @@ def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataF
 def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: DataFrame,
                  execution_guid: str) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
-    cfg_b = cfg
-    with_cfg = files.join(cfg_b, "Source", "left")
+    with_cfg = files.join(cfg, "Source", "left")
     candidates = with_cfg.where(F.col("accepted") & (F.col("size") > 0)
                                 & F.col("expected").isNotNull() & F.col("Source").isNotNull())
     paths = [r["path"] for r in candidates.select("path").collect()]
-    headers = scan_headers(spark, paths)
-    delimiters = [r["Delimiter"] for r in cfg.select("Delimiter").distinct().collect()
-                  if r["Delimiter"]]
-    df = with_cfg.join(headers, "uri", "left").withColumn(
-        "actual", _split_by_delimiter("header", delimiters))
+    layouts = sorted((r["Delimiter"], r["TextQualifier"]) for r in
+                     cfg.select("Delimiter", "TextQualifier").distinct().collect())
+    headers = scan_headers(spark, paths, sorted({q for _, q in layouts}))
+    df = with_cfg.join(headers, "uri", "left").withColumns({
+        "actual": _split_by_layout("header", layouts),
+        "multi_line": F.array_contains("open_quotes", F.col("TextQualifier"))})
     df = header_check(df, "actual", "expected")
     # Zero-byte or blank files; header-only files are found after parsing.
     empty = (F.col("size") == 0) | F.coalesce(F.trim("header") == "", F.lit(True))
@@ -179,7 +184,7 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
            # the path inside the source folder: Bronze's SourceFile
            .withColumn("SourceFile", F.regexp_replace("relative", r"^[^/]*/", "")))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
-                      "DefaultCategory", "actual", "relative")
+                      "DefaultCategory", "actual", "relative", "multi_line")
 
 
 def column_rules(cc_rows: list, config_id: int) -> list:
@@ -198,26 +203,30 @@ def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
     df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
     df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
                                        for r in rules if r["ColumnName_Bronze"] not in exprs])
-    keep = [c for c in ("_uri", "_file", "_path") if c in df.columns]
+    keep = [c for c in ("_uri", "_file", "_path", MALFORMED) if c in df.columns]
     df = align(df, T.StructType([T.StructField(c, T.StringType())
                                  for c in BRONZE_TEXT_COLUMNS + keep]))
     df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
-    df = df.withColumn("_raw", F.to_json(F.struct(*BRONZE_TEXT_COLUMNS)))
+    df = df.withColumn("_raw", F.coalesce(MALFORMED, F.to_json(F.struct(*BRONZE_TEXT_COLUMNS))))
     types = {r["ColumnName_Bronze"]: (r["Datatype"] or "string") for r in rules
              if r["ColumnName_Bronze"] in BRONZE_TEXT_COLUMNS}
-    return coerce_columns(df, types)
+    typed = coerce_columns(df, types)
+    return typed.withColumn("_bad_columns", F.when(
+        F.col(MALFORMED).isNotNull(), F.array(F.lit(FIELD_COUNT))).otherwise(F.col("_bad_columns"))) \
+        .drop(MALFORMED)
 
 
 def read_valid(spark: SparkSession, valid: list, cc_rows: list, execution_guid: str) -> DataFrame | None:
     """Valid files -> Bronze-shaped typed rows plus ``_bad_columns`` and ``_raw``."""
     groups: dict[tuple, list[str]] = {}
     for r in valid:
-        key = (r["ConfigurationFileID"], r["Delimiter"], r["TextQualifier"], tuple(r["actual"]))
+        key = (r["ConfigurationFileID"], r["Delimiter"], r["TextQualifier"], tuple(r["actual"]),
+               bool(r["multi_line"]))
         groups.setdefault(key, []).append(r["path"])
     frames = []
     for key, paths in groups.items():
-        config_id, delim, quote, columns = key
-        df = read_group(spark, FileLayout(delim, quote or '"', columns), paths)
+        config_id, delim, quote, columns, multi_line = key
+        df = read_group(spark, FileLayout(delim, quote, columns, multi_line), paths)
         frames.append(shape_bronze(df, column_rules(cc_rows, config_id)))
     if not frames:
         return None
@@ -261,13 +270,13 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             missing = [r["Source"] for r in disp.where(F.col("Disposition") == NO_CONFIG)
                        .select("Source").distinct().collect() if r["Source"]]
             if missing:
-                log.warn(s, "No configuration records were found for source(s) "
+                log.warn(s, "Files left in place, source(s) without configuration: "
                          + ", ".join(sorted(missing)))
 
         loaded = quarantined = 0
         valid = disp.where(F.col("Disposition") == VALID).select(
             "path", "uri", "file_name", "Source", "ConfigurationFileID", "Delimiter",
-            "TextQualifier", "DefaultCategory", "actual").collect()
+            "TextQualifier", "DefaultCategory", "actual", "multi_line").collect()
         rows = read_valid(spark, valid, cc_rows, main.guid)
         if rows is not None:
             with log.step("WriteBronze") as s:

@@ -6,13 +6,17 @@ therefore grouped by (delimiter, qualifier, header); each group is read with a
 schema built from its own header (all strings) and the groups are combined
 with ``unionByName``.  The number of groups is the number of distinct header
 layouts, not the number of files.
+
+A line with more or fewer fields than its header is not cut or padded: its text
+comes back whole in ``MALFORMED`` and the row is set aside.  A qualifier inside a
+field is doubled, as in the usual CSV convention.  Files in which a field runs
+over a line end (found by the header scan) are read as one split each; all others
+stay splittable.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,25 +24,29 @@ from pyspark.sql import types as T
 from ledgerline.sources.files import normalize_uri_col
 
 
+MALFORMED = "_malformed"
+
+
+def csv_options(delimiter: str, quote: str | None) -> dict[str, str]:
+    return {"sep": delimiter, "quote": quote or "", "escape": quote or "\\",
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+
+
+def text_schema(columns) -> T.StructType:
+    """The named columns as text, and the whole line where it doesn't fit them."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED)])
+
+
 @dataclass(frozen=True)
 class Layout:
     delimiter: str
     quote: str | None
     columns: tuple[str, ...]
+    multi_line: bool = False
 
 
 def read_group(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in layout.columns])
-    reader = (spark.read.schema(schema).option("header", True).option("sep", layout.delimiter)
-              .option("enforceSchema", True).option("mode", "PERMISSIVE")
-              .option("multiLine", False))
-    reader = reader.option("quote", layout.quote) if layout.quote else reader.option("quote", "")
+    reader = (spark.read.schema(text_schema(layout.columns)).option("header", True)
+              .option("enforceSchema", True).option("multiLine", layout.multi_line)
+              .options(**csv_options(layout.delimiter, layout.quote)))
     return reader.csv(paths).withColumn("_uri", normalize_uri_col(F.col("_metadata.file_path")))
-
-
-def read_layouts(spark: SparkSession, groups: dict[Layout, list[str]]) -> DataFrame | None:
-    """Union of every group's rows by column name (missing columns -> NULL)."""
-    frames = [read_group(spark, layout, paths) for layout, paths in groups.items() if paths]
-    if not frames:
-        return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

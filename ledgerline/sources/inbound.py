@@ -2,8 +2,9 @@
 
 Discovery lists ``<Inbound>/<Source>/...`` through the file system (zero-byte
 files included; Spark scans skip them).  The header scan is one distributed
-text read of the candidate files: the first line of each file comes from the
-split that starts at byte 0 (smallest row id there).
+text read of the candidate files.  It finds each file's first line, in the split
+that starts at byte 0 (smallest row id there), and the qualifiers that some line
+holds an odd number of times: such a field may run over a line end.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from ledgerline.sources.files import listing_frame, normalize_uri_col
 
 HEADER_SCHEMA = T.StructType([
     T.StructField("uri", T.StringType()), T.StructField("header", T.StringType()),
+    T.StructField("open_quotes", T.ArrayType(T.StringType())),
 ])
 
 
@@ -31,12 +33,12 @@ def discover(spark: SparkSession, inbound_root: str, source: str | None = None)
     return out
 
 
-def scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(uri, header) for each non-empty file among ``paths``.
+def scan_headers(spark: SparkSession, paths: list[str], quotes: list[str]) -> DataFrame:
+    """(uri, header, open_quotes) for each non-empty file among ``paths``.
 
-    Only rows of each file's first split (byte 0) are aggregated, so the
-    string aggregate never sorts the rest of a large file.  Row counts come
-    later from the CSV parse itself.
+    Both aggregates are combined map-side to one row per file and task, and lines
+    outside a file's first split only count qualifiers.  Row counts come later from
+    the CSV parse itself.
     """
     if not paths:
         return spark.createDataFrame([], HEADER_SCHEMA)
@@ -45,6 +47,11 @@ def scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.regexp_replace("value", "\r$", "").alias("line"),
         F.monotonically_increasing_id().alias("_id"))
-    first_split = text.where(F.col("block") == 0)
-    return first_split.groupBy("uri").agg(F.min_by("line", "_id").alias("header")) \
-        .select("uri", F.regexp_replace("header", "^\ufeff", "").alias("header"))
+    odd = [F.max(F.pmod(F.length("line") - F.length(F.replace("line", F.lit(q), F.lit(""))), F.lit(2)))
+           for q in quotes]
+    open_quotes = F.filter(F.array(*[F.when(n == 1, F.lit(q)) for q, n in zip(quotes, odd)])
+                           .cast("array<string>"), lambda q: q.isNotNull())
+    return text.groupBy("uri").agg(
+        F.min(F.when(F.col("block") == 0, F.struct("_id", "line")))["line"].alias("header"),
+        open_quotes.alias("open_quotes")) \
+        .select("uri", F.regexp_replace("header", "^\ufeff", "").alias("header"), "open_quotes")

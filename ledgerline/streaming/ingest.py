@@ -1,10 +1,14 @@
 """Structured Streaming ingest of one source's inbound folder into Bronze.
 
 ``trigger(availableNow=True)`` takes every file not yet seen (the checkpoint
-records them, so each file is ingested exactly once) and stops.  Each
-micro-batch goes through the same Bronze shaping as the batch load and is
-appended with ``foreachBatch``; rows with uncastable cells go to the
-quarantine table.
+records them) and stops.  Each micro-batch goes through the same Bronze shaping
+as the batch load; rows with uncastable cells or a wrong number of fields go to
+the quarantine table.
+
+Spark may hand a batch over again after a failure.  The load's GUID therefore
+follows from the query and the batch number: a repeat overwrites the Bronze
+partition of its first try, and adds quarantined rows and dispositions only where
+the first try recorded none.
 
 Streaming CSV applies its schema by position, so this path is for sources
 whose exports keep one column order; the header is checked against the
@@ -14,22 +18,28 @@ batch rather than being misread.  Mixed layouts go through the batch load.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline import schemas
-from ledgerline.functions.guid import run_guid
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit
 from ledgerline.operators.cleanse import align
 from ledgerline.plans.bronze import (
     DISPOSITION_SCHEMA, VALID, column_rules, shape_bronze, source_configuration,
 )
-from ledgerline.sources.files import normalize_uri_col
 from ledgerline.sources import config as config_source
-from ledgerline.sources.tables import append
+from ledgerline.sources.delimited import csv_options, text_schema
+from ledgerline.sources.files import normalize_uri, normalize_uri_col, qualify
+from ledgerline.sources.tables import append, read_columns
+
+
+def batch_guid(query_id: str, batch_id: int) -> str:
+    """The same for every try of a batch; another query's batches get other ones."""
+    return str(uuid.uuid5(uuid.UUID(query_id), str(batch_id)))
 
 
 def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
@@ -40,23 +50,31 @@ def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
         raise ValueError(f"no configuration for source {source!r}")
     rules = column_rules(cc.collect(), cfg["ConfigurationFileID"])
     file_columns = [r["ColumnName_File"] for r in rules if r["ColumnName_File"]]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in file_columns])
-    stream = (spark.readStream.schema(schema).option("header", True)
-              .option("sep", cfg["Delimiter"]).option("quote", cfg["TextQualifier"] or '"')
-              .option("enforceSchema", False).option("pathGlobFilter", "*.{csv,CSV,txt,TXT}")
-              .csv(f"{layout.bronze_inbound}/{source}"))
-    stream = stream.withColumn("_file", F.col("_metadata.file_name")) \
-        .withColumn("_path", F.col("_metadata.file_path"))
+    folder = f"{layout.bronze_inbound}/{source}"
+    stream = (spark.readStream.schema(text_schema(file_columns)).option("header", True)
+              .options(**csv_options(cfg["Delimiter"], cfg["TextQualifier"]))
+              .option("enforceSchema", False).option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.{[cC][sS][vV],[tT][xX][tT]}").csv(folder))
+    # SourceFile is the path inside the source folder, as in the batch load.
+    path = F.url_decode(F.replace(normalize_uri_col(F.col("_metadata.file_path")), F.lit("+"), F.lit("%2B")))
+    inside = F.replace(path, F.lit(normalize_uri(qualify(spark, folder)).rstrip("/") + "/"), F.lit(""))
+    stream = stream.withColumn("_file", inside).withColumn("_path", F.col("_metadata.file_path"))
     default_category = cfg["DefaultCategory"]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        guid = run_guid()
+        guid = batch_guid(spark.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
         rows = add_bronze_audit(shape_bronze(batch, rules), guid, F.lit(source), "_file")
         rows = rows.withColumn("Category", F.coalesce("Category", F.lit(default_category)))
         rows = rows.persist()
-        append(align(rows.where(F.size("_bad_columns") == 0), schemas.BRONZE_TRANSACTION),
-               layout.bronze_transaction, ["Source", "ExecutionGUID"])
-        append(rows.where(F.size("_bad_columns") > 0).select(
+        (align(rows.where(F.size("_bad_columns") == 0), schemas.BRONZE_TRANSACTION).write
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("Source", "ExecutionGUID").parquet(layout.bronze_transaction))
+
+        def append_once(df: DataFrame, table: str) -> None:
+            if read_columns(spark, table, "ExecutionGUID string").where(F.col("ExecutionGUID") == guid).isEmpty():
+                append(df, table)
+
+        append_once(rows.where(F.size("_bad_columns") > 0).select(
             "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime"),
             layout.bronze_quarantine)
         # One Valid disposition per file of the batch, so Silver takes it up.
@@ -67,7 +85,7 @@ def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
             F.lit(cfg["ConfigurationFileID"]).alias("ConfigurationFileID"), "RowCount",
             F.lit("").alias("Issue"), F.lit(VALID).alias("Disposition"),
             F.lit(guid).alias("ExecutionGUID"), "SourceFile")
-        append(align(disp, DISPOSITION_SCHEMA), layout.disposition)
+        append_once(align(disp, DISPOSITION_SCHEMA), layout.disposition)
         rows.unpersist()
 
     writer = (stream.writeStream.foreachBatch(write_batch)
