@@ -46,6 +46,7 @@ class Layout:
     def silver_transaction(self) -> str: return self._p("Silver", "Facts", "Transaction")
 
     # Gold
+    def gold_dimension(self, name: str) -> str: return self._p("Gold", "Dimensions", name)
     @property
     def gold_date(self) -> str: return self._p("Gold", "Dimensions", "Date")
     @property

@@ -187,11 +187,13 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
                       "DefaultCategory", "actual", "relative", "multi_line")
 
 
+def rule_order(r) -> tuple:
+    """Configured order, rows without one last, then the order of the file."""
+    return r["ConfigurationColumnOrder"] is None, r["ConfigurationColumnOrder"] or 0, r["_row"]
+
+
 def column_rules(cc_rows: list, config_id: int) -> list:
-    rows = sorted([r for r in cc_rows if r["ConfigurationFileID"] == config_id],
-                  key=lambda r: (r["ConfigurationColumnOrder"] is None,
-                                 r["ConfigurationColumnOrder"] or 0, r["_row"]))
-    return rows
+    return sorted([r for r in cc_rows if r["ConfigurationFileID"] == config_id], key=rule_order)
 
 
 def shape_bronze(df: DataFrame, rules: list) -> DataFrame:

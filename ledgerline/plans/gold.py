@@ -68,7 +68,11 @@ def spend_by_category_month(facts: DataFrame, category: str, date: str, amount:
 
 
 def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
-    """Date dimension, Gold transaction fact and spend summary, incrementally.
+    """Date dimension, Gold dimensions, transaction fact and spend, incrementally.
+
+    The date dimension comes first and always: it covers the current year and
+    ``years_back`` before it, the dates of new facts and what it held before.  New
+    members of the Silver dimensions are appended to Gold's.
 
     The fact is partitioned by YearMonth.  Only new Silver transactions are
     appended, and spend is recomputed only for the months they touch: those
@@ -95,18 +99,33 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
             .distinct().collect()}
         runs = sorted(silver_runs - taken)
         silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
+        fresh = silver.where(F.col("ExecutionGUID").isin(runs))
+        with log.step("DateDimension") as s:
+            days = list(date_range_of(fresh, "Date")) if runs else []
+            if years_back:
+                year = dt.date.today().year
+                days += [dt.date(year - years_back, 1, 1), dt.date(year, 12, 31)]
+            have = date_range_of(spark.read.parquet(layout.gold_date), "Date") \
+                if exists(spark, layout.gold_date) else (None, None)
+            days = [d for d in (*days, *have) if d is not None]
+            if days and (min(days), max(days)) != have:
+                date_dimension(spark, min(days), max(days)).write.mode("overwrite").parquet(layout.gold_date)
+            s.target = layout.gold_date
+        with log.step("Dimensions") as s:
+            for dim in K.SILVER_DIMENSIONS:
+                members = read_dimension(spark, layout, dim)
+                known = read_columns(spark, layout.gold_dimension(dim), f"{dim}GUID string")
+                append(members.join(known, f"{dim}GUID", "left_anti"), layout.gold_dimension(dim))
+            s.parameters["dimensions"] = ",".join(K.SILVER_DIMENSIONS)
         with log.step("TransactionFact", runs=len(runs)) as s:
-            fresh = silver.where(F.col("ExecutionGUID").isin(runs))
             fact = fresh.withColumn("DateKey", date_key("Date")) \
                 .withColumn("YearMonth", (F.year("Date") * 100 + F.month("Date")).cast("int"))
             for dim in ("Account",) + K.BRIDGE_DIMENSIONS:
                 d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
                 fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
             cached = fact = fact.persist()
-            # Months touched and the date range come from the new facts only.
-            per_month = fact.groupBy("YearMonth").agg(F.min("Date").alias("lo"),
-                                                      F.max("Date").alias("hi")).collect()
-            months = [r["YearMonth"] for r in per_month]
+            # Months touched come from the new facts only.
+            months = [r["YearMonth"] for r in fact.select("YearMonth").distinct().collect()]
             # A fact without a date has no month, and counts in the spend like any other.
             in_months = F.col("YearMonth").isin([m for m in months if m is not None])
             if None in months:
@@ -118,29 +137,12 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
                                     "TransactionGUID string, YearMonth int") \
                     .where(in_months).select("TransactionGUID")
                 fact = fact.join(done, "TransactionGUID", "left_anti")
-            fact, obs = observed(fact, "gold_fact")
+            # Rows of a month go together into few files; a large month is split.  The
+            # count sits on top: a shuffle found empty would take it away.
+            fact, obs = observed(fact.hint("rebalance", "YearMonth"), "gold_fact")
             fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
             s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
             cached.unpersist()
-        with log.step("DateDimension") as s:
-            lo = min((r["lo"] for r in per_month if r["lo"]), default=None)
-            hi = max((r["hi"] for r in per_month if r["hi"]), default=None)
-            if exists(spark, layout.gold_date):
-                have = spark.read.parquet(layout.gold_date).agg(
-                    F.min("Date").alias("lo"), F.max("Date").alias("hi")).first()
-                if have["lo"] is not None and lo is not None:
-                    grown = lo < have["lo"] or hi > have["hi"]
-                    lo, hi = min(lo, have["lo"]), max(hi, have["hi"])
-                elif have["lo"] is not None:
-                    grown, lo, hi = False, have["lo"], have["hi"]
-                else:
-                    grown = lo is not None
-            else:
-                grown = lo is not None
-            if grown:
-                start = dt.date(lo.year - years_back, 1, 1) if years_back else lo
-                date_dimension(spark, start, hi).write.mode("overwrite").parquet(layout.gold_date)
-            s.target = layout.gold_date
         with log.step("SpendByCategoryMonth", months=len(months)) as s:
             if months:
                 touched = spark.read.parquet(layout.gold_transaction) \

@@ -1,6 +1,7 @@
 """Bronze -> Silver.
 
-1. Whole-row de-duplication of Bronze (audit columns excluded).
+1. Whole-row de-duplication of Bronze.  Its audit columns don't count for it; those
+   of the first load are kept, so that expressions can use them.
 2. Accounts: configuration Account names are seeded into the Account
    dimension; each row gets its source's AccountGUID.
 3. ToMap -> bridge: names filled into ToMap become dimension members, fully
@@ -8,8 +9,9 @@
 4. Rows whose (AccountGUID, SourceValue) has no bridge entry go to ToMap; every
    row of a file with such a value is held back (all-or-nothing per file).
 5. Configured Lookup columns add dimension members and resolve to GUIDs.
-6. Processable rows become Silver transactions with a deterministic GUID;
-   only new GUIDs are appended, so re-runs add nothing.
+6. Processable rows become Silver transactions with a deterministic GUID over
+   the Bronze values that the de-duplication compares (an edited expression keeps
+   it); only new GUIDs are appended, so re-runs add nothing.
 
 Appends are ordered bridge -> dimensions -> facts; every append is guarded by
 an anti join, so an interrupted run can simply be repeated.
@@ -31,7 +33,7 @@ from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_silver_audit, observed
 from ledgerline.operators.cleanse import align
 from ledgerline.operators.configuration import first_per_source
-from ledgerline.operators.dedupe import dedupe_rows, keep_first
+from ledgerline.operators.dedupe import keep_first
 from ledgerline.operators.dimension import new_members
 from ledgerline.operators.lookup import account_lookup, dimension_lookup
 from ledgerline.operators.mapping import (
@@ -44,6 +46,7 @@ from ledgerline.sources.tables import append, read_columns, read_or_empty
 BRONZE_VALUE_COLUMNS = ["Amount", "Category", "Date", "Description", "Source", "SourceFile"]
 BRIDGE_KEY = ["AccountGUID", "SourceValue"]
 FILE_KEY = ["Source", "SourceFile"]
+TRANSACTION_KEY = ["Source", "SourceFile", "Date", "Amount", "Description", "Category"]
 
 
 @dataclass
@@ -83,14 +86,17 @@ def apply_manual_mapping(spark: SparkSession, layout: Layout, mapping: DataFrame
     """Fill pending ToMap rows from a mapping (SourceValue -> the four names).
 
     This is what a person does by hand: the filled rows are appended to
-    ToMap and resolved by the next Silver run.
+    ToMap and resolved by the next Silver run.  A mapping with an ``AccountGUID``
+    column holds per account; a NULL SourceValue maps rows without a value.
     """
     to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
     bridge = read_or_empty(spark, layout.bridge, schemas.BRIDGE)
     pending = null_safe_anti(to_map, bridge.select(*BRIDGE_KEY), BRIDGE_KEY) \
         .select("AccountGUID", "SourceValue", "SourceFile").distinct()
-    names = mapping.select("SourceValue", *K.BRIDGE_DIMENSIONS)
-    filled = pending.join(names, "SourceValue", "inner")
+    keys = [c for c in BRIDGE_KEY if c in mapping.columns]
+    names = mapping.select(*[F.col(c).alias(f"_{c}") for c in keys], *K.BRIDGE_DIMENSIONS)
+    filled = pending.join(names, reduce(lambda x, y: x & y, [
+        F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]), "inner")
     filled, obs = observed(align(filled, schemas.TO_MAP), "filled")
     append(filled, layout.to_map)
     return obs.get.get("rows", 0)
@@ -117,13 +123,15 @@ def _lookup_rules(cc_rows: list, cfg_rows: list) -> dict[str, list[tuple[str, st
 TRANSACTION_ENTITY = "Transaction"
 
 
-def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list):
-    """(target -> [(Source, Column)], sources with a broken expression).
+def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list, rows: DataFrame):
+    """(target -> [(Source, Column)], sources with a broken rule).
 
-    Direct and Expression rules of the Transaction entity, per source.  An
-    expression is checked against the Bronze schema before it is used.
+    Direct and Expression rules of the Transaction entity, per source, in
+    configuration order.  A rule is checked against the columns of ``rows``, the
+    frame it will run on; it can set that frame's Silver columns.
     """
     from ledgerline.operators.cleanse import validate_expression
+    from ledgerline.plans.bronze import rule_order
 
     silver_types = {f.name: f.dataType for f in schemas.silver_transaction_schema().fields}
     sources: dict = {}
@@ -131,33 +139,36 @@ def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list):
         sources.setdefault(r["ConfigurationFileID"], []).append(r["Source"])
     out: dict[str, list] = {}
     broken: dict[str, str] = {}
-    for r in sorted(cc_rows, key=lambda x: (x["ConfigurationColumnOrder"] or 0, x["_row"])):
+    for r in sorted(cc_rows, key=rule_order):
         target, kind = r["ColumnName_Silver"], r["Transformation_BronzeToSilver_Type"]
         if r["SilverEntity"] != TRANSACTION_ENTITY or target not in silver_types:
             continue
         if kind == K.TRANSFORM_EXPRESSION and r["Transformation_BronzeToSilver"]:
-            err = validate_expression(spark, r["Transformation_BronzeToSilver"],
-                                      schemas.BRONZE_TRANSACTION)
-            value = None if err else F.expr(r["Transformation_BronzeToSilver"])
+            text = r["Transformation_BronzeToSilver"]
         elif kind == K.TRANSFORM_DIRECT and r["ColumnName_Bronze"] and r["ColumnName_Bronze"] != target:
-            err, value = None, F.col(r["ColumnName_Bronze"])
+            text = "`" + r["ColumnName_Bronze"].replace("`", "``") + "`"
         else:
             continue
+        err = validate_expression(spark, text, rows.schema)
+        if not err and target not in rows.columns:
+            err = "a rule can't set this column"
+        value = None if err else F.expr(text)
         for src in sources.get(r["ConfigurationFileID"], []):
             if err:
-                broken[src] = f"Source {src!r}: expression for {target} does not resolve: {err}"
+                broken[src] = f"Source {src!r}: rule for {target} does not resolve: {err}"
             elif not any(s == src for s, _ in out.get(target, [])):  # first rule wins
                 out.setdefault(target, []).append((src, value.cast(silver_types[target])))
     return out, broken
 
 
 def _apply_transaction_rules(df: DataFrame, rules: dict) -> DataFrame:
+    """All rules in one projection: each sees the Bronze values, none another's result."""
+    columns = {}
     for target, pairs in rules.items():
-        expr = F.col(target)
+        columns[target] = F.col(target)
         for src, value in reversed(pairs):
-            expr = F.when(F.col("Source") == src, value).otherwise(expr)
-        df = df.withColumn(target, expr)
-    return df
+            columns[target] = F.when(F.col("Source") == src, value).otherwise(columns[target])
+    return df.withColumns(columns) if columns else df
 
 
 def _rule_value(pairs: list[tuple[str, str]]) -> Column:
@@ -225,7 +236,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         cfg_rows, cc_rows = cfg.collect(), cc.collect()  # configuration only
 
         bronze = pending_bronze(spark, layout, source)
-        bronze = dedupe_rows(bronze.select(*BRONZE_VALUE_COLUMNS))
+        bronze = keep_first(bronze, BRONZE_VALUE_COLUMNS, ["IngestDatetime"], ["ExecutionGUID"])
 
         with log.step("Accounts") as s:
             s.rows = add_members(spark, layout, cfg, "Account", "Account")
@@ -235,6 +246,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         # (memory and disk; recomputed from Bronze if an executor is lost).
         rows = bronze.join(src_acc.select("Source", "AccountGUID"), "Source", "left") \
             .withColumn("SourceValue", F.col(source_value_column)) \
+            .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
             .persist(StorageLevel.MEMORY_AND_DISK)
 
         with log.step("ResolveToMap") as s:
@@ -275,7 +287,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         ready = processable_rows(keyed, held_keys, key="_file").drop("_file")
 
         with log.step("Transformations") as s:
-            t_rules, broken = _transaction_rules(spark, cc_rows, cfg_rows)
+            t_rules, broken = _transaction_rules(spark, cc_rows, cfg_rows, ready)
             for message in broken.values():
                 log.warn(s, message + "; its rows are held back")
             if broken:
@@ -304,8 +316,6 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                     facts = facts.withColumn(col, F.coalesce(col, f"_lkg_{dim}"))
                 else:
                     facts = facts.withColumn(col, F.col(f"_lkg_{dim}"))
-            facts = facts.withColumn("TransactionGUID", stable_guid(
-                "Transaction", "AccountGUID", "Source", "SourceFile", "Date", "Amount", "Description"))
             facts = add_silver_audit(facts, main.guid)
             added = append_transactions(spark, layout, facts, main.guid)
             s.rows, s.target = added, layout.silver_transaction

@@ -155,3 +155,50 @@ def test_hand_maintained_mapping_file(spark, root):
     assert res.bridge_added == 4 and res.transactions_added == 4
     cats = {r["Name"] for r in read_dimension(spark, lay, "Category").collect()}
     assert {"Food", "Housing", "Office"} <= cats
+
+
+def test_rules_see_bronze_values_and_the_load_and_keys_stay(spark, root):
+    from fixtures import COLUMN_CONFIG, FILE_CONFIG, write
+
+    # Description is built from Amount and the load's date; Amount is negated beside it.
+    columns = COLUMN_CONFIG.replace("2|3|Item|Description|Description|string|Transaction|Description|Direct||Yes", (
+        "2|3|Item|Description|Description|string|Transaction|Description|Expression|"
+        "concat(Description, ' ', Amount, ' ', year(IngestDatetime) > 2000)|Yes"))
+    columns += "1|4||Category|Amount|string|Transaction|Amount|Expression|NoSuchColumn + 1||\n"
+    columns = columns.replace("1|2|Amount|Amount|Amount|decimal(18,2)|Transaction|Amount|Direct||Yes\n",
+                              "1|2|Amount|Amount||decimal(18,2)|||||\n")
+    write(f"{root}/Admin/ConfigurationFile.txt", FILE_CONFIG)
+    write(f"{root}/Admin/ConfigurationColumn.txt", columns)
+    lay = Layout(root)
+    write(f"{lay.bronze_inbound}/shop/o.txt", "Item|Dept|Posted|Total\nTea|Food|03/04/2024|4.20\n"
+                                              "Tea|Drinks|03/04/2024|4.20\n|Food|03/04/2024|1.00\n")
+    write(f"{lay.bronze_inbound}/bank/b.csv", "Date,Amount,Description\n2024-01-01,1.00,Tea\n")
+    log = RunLog("t")
+    load_files_to_bronze(spark, lay, log)
+    load_bronze_to_silver(spark, lay, log)
+    mapping = spark.createDataFrame(
+        [("Tea", "B", "C", "P", "S"), (None, "B", "C", "P", "S")],
+        "SourceValue string, Brand string, Category string, ProductService string, Seller string")
+    apply_manual_mapping(spark, lay, mapping)
+    # the bank's rule names no column: its rows wait, the shop's go on
+    assert load_bronze_to_silver(spark, lay, log).transactions_added == 3
+    rows = spark.read.parquet(lay.silver_transaction).collect()
+    assert {(r["Description"], str(r["Amount"])) for r in rows} == {("Tea 4.20 true", "-4.20"), (None, "-1.00")}
+    assert len({r["TransactionGUID"] for r in rows}) == 3
+    write(f"{root}/Admin/ConfigurationColumn.txt", columns.replace("NoSuchColumn + 1", "Amount + 1"))
+    assert load_bronze_to_silver(spark, lay, log).transactions_added == 1
+    load_silver_to_gold(spark, lay, log)
+    load_silver_to_gold(spark, lay, log)
+    brands = spark.read.parquet(lay.gold_dimension("Brand")).collect()
+    assert [r["Name"] for r in brands] == ["B"]
+    assert spark.read.parquet(lay.gold_transaction).where("Brand = 'B'").count() == 4
+
+
+def test_date_dimension_stands_before_any_fact(spark, root):
+    import datetime as dt
+
+    lay = Layout(root)
+    load_silver_to_gold(spark, lay, RunLog("t"), years_back=5)
+    year = dt.date.today().year
+    dates = spark.read.parquet(lay.gold_date).agg(F.min("Date"), F.max("Date")).first()
+    assert tuple(dates) == (dt.date(year - 5, 1, 1), dt.date(year, 12, 31))
