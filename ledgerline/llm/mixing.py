@@ -148,8 +148,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")),
         weights, max_copies).coalesce(1))
     most = sources.agg(F.max("docs")).first()[0] or 0
-    # Equal rows (same id, source and size) are told apart by their place among each other.
-    again = Window.partitionBy("source", "key", "size").orderBy(F.lit(0))
+    # Rows of one id and size are told apart by their place among each other.
+    again = Window.partitionBy("key", "size").orderBy("source")
     told = sized.withColumn("n", F.row_number().over(again).cast("long") * (1 << 40) + F.col("size"))
     rated = told.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rated = checkpointed(rated.withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole")))

@@ -105,6 +105,16 @@ def brute_targets(sizes, weights=(5, 2, 1), cap=3):
         done |= {s: cap * sizes[s] for s in over}
 
 
+def test_mixing_of_an_id_in_two_sources(spark):
+    rows = [(i, "one two three", s) for i in range(40) for s in ("a", "b")]
+    twice = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(twice).collect()
+    assert sorted((r["doc_id"], r["source"]) for r in out) == sorted((i, s) for i, _, s in rows)
+    for s in ("a", "b"):
+        mine = [r for r in out if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) < 3.001
+
+
 def test_mixing(spark, docs):
     both = docs.unionByName(odd(spark), allowMissingColumns=True)
     out = mixing.mix(both).collect()
