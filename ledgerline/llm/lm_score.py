@@ -23,7 +23,6 @@ ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, checkpointed, words
+from ledgerline.llm.common import checkpointed, words
 from ledgerline.llm.url_filter import LOWER, UPPER
 from ledgerline.session import shared_folder
 
@@ -43,7 +42,6 @@ TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, NOISE, RATE = 8, 1, 2, 1024, 48, 0.05
 SMOOTH = 0.1
 SCORE_TOKENS, TRAIN_TOKENS = 131_072, 1_000_000
 CACHE_WORDS = 400_000
-_WORD = re.compile(WORD)
 
 
 def lowered(text: Column) -> Column:
@@ -178,25 +176,37 @@ def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share
     return p
 
 
+def _rare(word: str) -> int:
+    return zlib.crc32(word[-2:].encode()) % RARE_CLASSES
+
+
 class _Numbers(dict):
-    """Word to its number: END and common words have theirs, others that of their rare class."""
+    """Word (as UTF-8) to its number: END and common words have theirs, others that of their rare class."""
 
     def __init__(self, common: list[str]) -> None:
-        super().__init__({w: i for i, w in enumerate(common)})
         self.first_rare = len(common)
-        self.common = common
+        self.common = [w.encode() for w in common]
+        super().__init__({w: i for i, w in enumerate(self.common)})
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > CACHE_WORDS:
             self.clear()
             self.update({w: i for i, w in enumerate(self.common)})
-        i = self[word] = self.first_rare + zlib.crc32(word[-2:].encode()) % RARE_CLASSES
+        i = self[word] = self.first_rare + _rare(word.decode())
         return i
 
 
-def _split(text: str | None) -> list[str]:
-    """Words with A-Z in lower case; bytes.lower leaves all other letters."""
-    return _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+def _texts(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def _split(text: bytes | None) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z in lower case.
+
+    Both methods of bytes know ASCII only: other letters stay, and the white space is
+    that which parts words, no other.
+    """
+    return (text or b"").lower().split()
 
 
 def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -220,7 +230,7 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> Parameters:
         def fit(batches, start=params, round_=round_):
             numbers, now, seen, ids, starts = _Numbers(classes), start, 0, [], [0]
             for batch in batches:
-                for t in batch.column(0).to_pylist():
+                for t in _texts(batch.column(0)):
                     ids += [numbers[w] for w in _split(t)]
                     ids.append(0)
                     starts.append(len(ids))
@@ -249,7 +259,7 @@ def _score(corpus_classes: dict[str, int], common: dict[str, int], rare_sizes: n
         words_ = [END, *(w for w in common if w != END)]
         numbers, base = _Numbers(words_), len(corpus_classes)
         rare = [base + i for i in range(RARE_CLASSES)]
-        class_of = np.array([corpus_classes.get(w, base + zlib.crc32(w[-2:].encode()) % RARE_CLASSES) for w in words_] + rare)
+        class_of = np.array([corpus_classes.get(w, base + _rare(w)) for w in words_] + rare)
         log = np.array([np.log10(common.get(w, 0) + SMOOTH) for w in words_] + [0.0] * RARE_CLASSES)
         known = np.array([int(w in common) for w in words_] + [0] * RARE_CLASSES)
         # A word that shares a class: its log count, less what its whole class counts.
@@ -264,7 +274,7 @@ def _score(corpus_classes: dict[str, int], common: dict[str, int], rare_sizes: n
 
         for batch in batches:
             parts, rest, ids, starts = [], [], [], [0]
-            for t in batch.column("text").to_pylist():
+            for t in _texts(batch.column("text")):
                 found = _split(t)
                 one = [numbers[w] for w in found]
                 rest.append([w for w, i in zip(found, one) if i >= numbers.first_rare])
