@@ -83,7 +83,15 @@ def count_corpus(docs: DataFrame, text: str = "text") -> Corpus:
     counts = checkpointed(docs.select(F.explode(tokens(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("token"))
                           .groupBy("token").agg(F.count("*").alias("c")))
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(COMMON_WORDS).collect()
+    # Only words of the levels that the first COMMON_WORDS reach are sorted and sent: else
+    # every task would send that many, and the driver's share would grow with the tasks.
+    level = F.floor(F.log2("c") * 8)
+    least = reached = 0
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        least, reached = r["level"], reached + r["count"]
+        if reached >= COMMON_WORDS:
+            break
+    top = counts.where(level >= least).orderBy(F.desc("c"), "token").limit(COMMON_WORDS).collect()
     common = {r.token: r.c for r in top}
     vocabulary = [w for w in (r.token for r in top) if w != END][:VOCABULARY]
     classes = {w: i for i, w in enumerate([END, *vocabulary])}
