@@ -43,6 +43,13 @@ def has_accepted_extension(name: Column | str) -> Column:
     return cond
 
 
+def fits_glob(name: Column | str, pattern: Column | str) -> Column:
+    """True if the whole name fits a pattern of ``*`` and ``?``, whatever the case."""
+    literal = F.regexp_replace(_c(pattern), r"[^\w*?]", r"\\$0")
+    wild = F.replace(F.replace(literal, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit("."))
+    return F.regexp_like(_c(name), F.concat(F.lit("(?is)^"), wild, F.lit("\\z")))
+
+
 def error_file_name(name: Column | str, issue: Column | str) -> Column:
     """``<stem>.InvalidColumnHeader.<Issue><ext>``, or ``<stem>.Empty<ext>``.
 

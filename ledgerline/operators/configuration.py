@@ -30,14 +30,6 @@ def first_per_source(config_file: DataFrame, order: str = "_row") -> DataFrame:
     return keep_first(config_file, ["Source"], [order])
 
 
-def sources_without_config(sources: DataFrame, config_file: DataFrame,
-                           config_column: DataFrame) -> DataFrame:
-    """Sources with no file-level row, or whose file row has no column rows."""
-    usable = first_per_source(config_file).join(
-        config_column.select("ConfigurationFileID").distinct(), "ConfigurationFileID", "left_semi")
-    return missing_from(sources, usable, ["Source"])
-
-
 def missing_from(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` with no match in ``other`` on ``keys`` (left anti)."""
     return df.join(other.select(*keys).distinct(), keys, "left_anti")

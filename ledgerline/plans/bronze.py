@@ -2,8 +2,8 @@
 
 1. Discover ``Inbound/<Source>/**`` (skipping files already given a
    disposition with the same size and modification time).
-2. Attach each source's configuration (first file-level row per Source and
-   its expected file columns).
+2. Give each file its configuration row (a Source has one per file type, told
+   apart by FileNamePattern) with the expected file columns.
 3. Scan headers of candidate files in one distributed text read.
 4. Give every file exactly one disposition: Valid, Error (header issue or
    Empty), Ignored (not .csv/.txt, or outside a source folder) or
@@ -28,14 +28,14 @@ from pyspark.sql import types as T
 
 from ledgerline import constants as K
 from ledgerline import schemas
-from ledgerline.functions.text import error_file_name
+from ledgerline.functions.text import error_file_name, fits_glob
 from ledgerline.functions.values import null_tokens_to_null
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit, observed
 from ledgerline.operators.cleanse import (
     align, coerce_columns, rename_first_target_wins, split_quarantine,
 )
-from ledgerline.operators.configuration import expected_columns, first_per_source
+from ledgerline.operators.configuration import expected_columns
 from ledgerline.operators.header import header_check, split_header
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
@@ -80,9 +80,9 @@ def check_configuration(spark: SparkSession, cf_rows: list, cc_rows: list) -> di
     """Configuration problems that make a source unusable, by ConfigurationFileID.
 
     A configured File -> Bronze expression must resolve against the file's
-    (text) columns; its source is then treated as unconfigured (files left in
-    place).  A source with several file-level rows uses the first one; that is
-    reported under a ("warning", Source) key and does not disable the source.
+    (text) columns; its files are then treated as unconfigured (left in place).
+    Of several file-level rows of a source with one pattern the first counts; that
+    is reported under a ("warning", Source, pattern) key and disables nothing.
     """
     from ledgerline.operators.cleanse import validate_expression
 
@@ -102,19 +102,20 @@ def check_configuration(spark: SparkSession, cf_rows: list, cc_rows: list) -> di
                                            f"{r['ColumnName_Bronze']} does not resolve: {err}")
     seen: dict = {}
     for r in sorted(cf_rows, key=lambda x: x["_row"]):
-        seen.setdefault(r["Source"], []).append(r["ConfigurationFileID"])
-    for source, ids in seen.items():
+        pattern = (r["FileNamePattern"] or "").strip()
+        seen.setdefault((r["Source"], pattern), []).append(r["ConfigurationFileID"])
+    for (source, pattern), ids in seen.items():
         if len(ids) > 1:
-            problems.setdefault(("warning", source), (
-                f"Source {source!r} has {len(ids)} file-level configuration rows; "
-                f"using ConfigurationFileID {ids[0]}"))
+            problems[("warning", source, pattern)] = (
+                f"Source {source!r} has {len(ids)} file-level configuration rows for pattern "
+                f"{pattern!r}; using ConfigurationFileID {ids[0]}")
     return problems
 
 
 def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
-    """One row per Source: first file-level row + expected file columns."""
-    first = first_per_source(cf).select(
-        "Source", "ConfigurationFileID", "Delimiter", "TextQualifier", "Account", "DefaultCategory")
+    """The file-level rows in full, each with its expected file columns."""
+    rows = cf.select("_row", "Source", "ConfigurationFileID", "Delimiter", "TextQualifier", "Account",
+                     "DefaultCategory", "FileNamePattern")
     delim = F.coalesce(*[F.when(F.lower(F.trim("Delimiter")) == name, F.lit(ch))
                          for name, ch in K.DELIMITER_NAMES.items()],
                        F.when(F.col("Delimiter").isNull() | (F.col("Delimiter") == ""),
@@ -122,10 +123,41 @@ def source_configuration(cf: DataFrame, cc: DataFrame) -> DataFrame:
                        F.col("Delimiter"))
     qualifier = F.when(F.trim("TextQualifier") != "", F.trim("TextQualifier")) \
         .otherwise(K.DEFAULT_QUALIFIER)
-    return first.withColumns({"Delimiter": delim, "TextQualifier": qualifier}).join(
+    return rows.withColumns({"Delimiter": delim, "TextQualifier": qualifier}).join(
         expected_columns(cc), "ConfigurationFileID", "left")
 
 
+def choose_configuration(files: DataFrame, cfg: DataFrame, unusable: list[int]) -> DataFrame:
+    """Each file with the columns of one configuration row of its Source.
+
+    The first row whose FileNamePattern fits, else the first without a pattern, else
+    the first of the Source (the header check tells whether it holds).  A pattern with
+    a ``/`` is compared with the path inside the source folder, another with the file
+    name.  A file that gets one of the ``unusable`` rows counts as unconfigured.
+    """
+    kept = [c for c in cfg.columns if c not in ("_row", "Source")]
+    per_source = cfg.groupBy("Source").agg(
+        F.array_sort(F.collect_list(F.struct("_row", *kept))).alias("_rows"))
+    in_source = F.regexp_replace("relative", r"^[^/]*/", "")
+
+    def pattern(row):
+        return F.coalesce(F.trim(row.FileNamePattern), F.lit(""))
+
+    def fits(row):
+        return (pattern(row) != "") & fits_glob(
+            F.when(F.contains(pattern(row), F.lit("/")), in_source).otherwise(F.col("file_name")), pattern(row))
+
+    row = F.coalesce(F.get(F.filter("_rows", fits), F.lit(0)),
+                     F.get(F.filter("_rows", lambda r: pattern(r) == ""), F.lit(0)),
+                     F.get(F.col("_rows"), F.lit(0)))
+    out = files.join(per_source, "Source", "left").withColumn("_chosen", row)
+    out = out.select(*files.columns, *[F.col(f"_chosen.{c}").alias(c) for c in kept])
+    if unusable:
+        out = out.withColumn("ConfigurationFileID", F.when(
+            ~F.col("ConfigurationFileID").isin(unusable), F.col("ConfigurationFileID")))
+    return out.withColumn("expected", F.when(F.col("ConfigurationFileID").isNotNull(), F.col("expected")))
+
+
 def target_path(layout: Layout):
     """Archive path for valid files, Error path with the issue in the name.
 
@@ -155,9 +187,9 @@ def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataF
 
 
 def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: DataFrame,
-                 execution_guid: str) -> DataFrame:
+                 execution_guid: str, unusable: list[int]) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
-    with_cfg = files.join(cfg, "Source", "left")
+    with_cfg = choose_configuration(files, cfg, unusable)
     candidates = with_cfg.where(F.col("accepted") & (F.col("size") > 0)
                                 & F.col("expected").isNotNull() & F.col("Source").isNotNull())
     paths = [r["path"] for r in candidates.select("path").collect()]
@@ -248,11 +280,11 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             problems = check_configuration(spark, cf.collect(), cc_rows)
             for message in problems.values():
                 log.warn(s, message)
-        # One row per source: materialise once as a local relation so later
+        # A few rows per source: materialise once as a local relation so later
         # actions do not re-read and re-aggregate the configuration files.
         cfg_frame = source_configuration(cf, cc)
-        cfg_rows = [r for r in cfg_frame.collect() if r["ConfigurationFileID"] not in problems]
-        cfg = spark.createDataFrame(cfg_rows, cfg_frame.schema)
+        cfg = spark.createDataFrame(cfg_frame.collect(), cfg_frame.schema)
+        unusable = [k for k in problems if isinstance(k, int)]
 
         with log.step("DiscoverInbound") as s:
             files = discover(spark, layout.bronze_inbound, source)
@@ -264,7 +296,7 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
         with log.step("ValidateColumnHeaders") as s:
             # One row per file (the same metadata as the listing): materialise
             # it once so later steps do not re-run the header scan.
-            disp_frame = dispositions(spark, layout, files, cfg, main.guid)
+            disp_frame = dispositions(spark, layout, files, cfg, main.guid, unusable)
             disp = spark.createDataFrame(disp_frame.collect(), disp_frame.schema)
             counts = {r["Disposition"]: r["n"] for r in
                       disp.groupBy("Disposition").agg(F.count(F.lit(1)).alias("n")).collect()}

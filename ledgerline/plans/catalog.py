@@ -587,12 +587,13 @@ def oracle_sql() -> dict[str, str]:
 @register("medallion_spend", f"""
 WITH t AS (
   SELECT CASE WHEN l_returnflag = 'N' THEN 'shop' ELSE 'bank' END AS src,
+         l_returnflag = 'N' AND l_linenumber % 2 = 0 AS at_till,
          CAST(l_shipdate AS DATE) AS d,
          CAST({_AMOUNT_SQL} AS DECIMAL(18, 2)) AS amt,
          p_name || ' #' || CAST(p_partkey AS VARCHAR) AS descr, p_type
   FROM lineitem JOIN part ON p_partkey = l_partkey
   WHERE l_returnflag IN ('A', 'N')),
-u AS (SELECT DISTINCT src, year(d) AS y, d, amt, descr, p_type FROM t)
+u AS (SELECT DISTINCT src, at_till, year(d) AS y, d, amt, descr, p_type FROM t)
 SELECT p_type AS Category, CAST(date_trunc('month', d) AS DATE) AS Month,
        CAST(sum(amt) AS DOUBLE) AS Spend, count(*) AS Lines
 FROM u GROUP BY 1, 2
@@ -640,13 +641,15 @@ def q_log_rows(spark, sf_dir):
 # One export file per source folder and ship year; the 'memo' export carries an
 # extra column and is rejected, so its rows are not counted.
 @register("bronze_dispositions", """
-WITH t AS (SELECT l_returnflag, year(l_shipdate) AS y FROM lineitem),
+WITH t AS (
+  SELECT l_returnflag, l_returnflag = 'N' AND l_linenumber % 2 = 0 AS at_till, year(l_shipdate) AS y
+  FROM lineitem),
 f AS (
   SELECT CASE WHEN l_returnflag = 'N' THEN 'shop' ELSE 'bank' END AS Source,
          CASE WHEN l_returnflag = 'R' THEN 'Error' ELSE 'Valid' END AS Disposition,
          CASE WHEN l_returnflag = 'R' THEN 'ExtraColumns' ELSE '' END AS Issue,
-         y, count(*) AS n
-  FROM t WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1, 2, 3, 4)
+         at_till, y, count(*) AS n
+  FROM t WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1, 2, 3, 4, 5)
 SELECT Source, Disposition, Issue, count(*) AS files,
        CASE WHEN Disposition = 'Valid' THEN CAST(sum(n) AS BIGINT) END AS rows
 FROM f GROUP BY 1, 2, 3
@@ -657,6 +660,26 @@ def q_bronze_dispositions(spark, sf_dir):
     return bronze_dispositions(spark, sf_dir)
 
 
+# --- what a load records about itself (ops 7, 18, 40, 41) ----------------------
+# Per source: the Bronze rows whose audit columns point to the run in the log, the
+# row count that the run observed, and the run's steps in the order of the log.
+@register("load_audit", """
+WITH t AS (
+  SELECT CASE WHEN l_returnflag = 'N' THEN 'shop' ELSE 'bank' END AS Source,
+         l_returnflag = 'N' AND l_linenumber % 2 = 0 AS at_till, year(l_shipdate) AS y
+  FROM lineitem WHERE l_returnflag IN ('A', 'N'))
+SELECT Source, count(*) AS lines, count(DISTINCT (at_till, y)) AS files,
+       (SELECT count(*) FROM t) AS logged_rows,
+       'LoadFileToBronze,RetrieveConfigurations,DiscoverInbound,ValidateColumnHeaders,'
+       || 'WriteBronze,RecordDispositions' AS steps
+FROM t GROUP BY 1
+""")
+def q_load_audit(spark, sf_dir):
+    from ledgerline.plans.medallion import load_audit
+
+    return load_audit(spark, sf_dir)
+
+
 # --- quarantine of uncastable cells (op 13, set-aside part) --------------------
 # Text pieces of each event are coerced; rows with any uncastable cell are set
 # aside.  Reported: rows kept and set aside per event type and bad-column set.

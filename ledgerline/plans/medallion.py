@@ -2,7 +2,8 @@
 
 Spark writes ``lineitem ⋈ part`` out as delimited exports of two sources with
 different delimiters, column orders, date and money formats (plus one export
-whose header has an extra column and must be rejected).  The Bronze, Silver
+whose header has an extra column and must be rejected); one source has two file
+types, told apart by their folders.  The Bronze, Silver
 (twice: before and after the manual mapping) and Gold loads then run over
 them, and the Gold spend summary is returned.  All work is Spark jobs over
 the whole tables; the run folder sits in the session's checkpoint folder.
@@ -19,14 +20,15 @@ from ledgerline.functions.guid import run_guid
 from ledgerline.layout import Layout
 from ledgerline.plans.bronze import load_files_to_bronze
 from ledgerline.plans.gold import load_silver_to_gold
-from ledgerline.plans.runlog import RunLog
+from ledgerline.plans.runlog import RunLog, read_log
 from ledgerline.plans.silver import apply_manual_mapping, load_bronze_to_silver
 from ledgerline.session import Tables, ensure_checkpoint_dir
 from ledgerline.sources.files import write_text
 
 FILE_CONFIG = """ConfigurationFileID|Source|Delimiter|TextQualifier|Account|DefaultCategory|FileNamePattern
 10|bank|comma|"|Bank Checking|Uncategorised|*.csv
-20|shop|pipe||Shop Card||*.csv
+20|shop|pipe||Shop Card||web/*
+21|shop|semicolon||Shop Card||till/*
 """
 
 COLUMN_CONFIG = """ConfigurationFileID|ConfigurationColumnOrder|ColumnName_File|ColumnName_Bronze|ColumnName_Silver|Datatype|SilverEntity|SilverColumn|Transformation_BronzeToSilver_Type
@@ -36,6 +38,9 @@ COLUMN_CONFIG = """ConfigurationFileID|ConfigurationColumnOrder|ColumnName_File|
 20|1|Item|Description|Description|string|Transaction|Description|Direct
 20|2|Total|Amount|Amount|decimal(18,2)|Transaction|Amount|Direct
 20|3|Posted|Date|Date|date|Transaction|Date|Direct
+21|1|Day|Date|Date|date|Transaction|Date|Direct
+21|2|Goods|Description|Description|string|Transaction|Description|Direct
+21|3|Paid|Amount|Amount|decimal(18,2)|Transaction|Amount|Direct
 """
 
 
@@ -49,7 +54,7 @@ def export_inbound(spark: SparkSession, layout: Layout, sf_dir: str) -> None:
     t = Tables(spark, sf_dir)
     li, part = t.lineitem, t.part
     lines = li.join(part, li["l_partkey"] == part["p_partkey"]).select(
-        "l_returnflag", F.to_date("l_shipdate").alias("d"),
+        "l_returnflag", (F.col("l_linenumber") % 2 == 0).alias("at_till"), F.to_date("l_shipdate").alias("d"),
         line_amount().cast("decimal(18,2)").alias("amt"),
         F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("descr"),
         F.year("l_shipdate").alias("year"))
@@ -65,13 +70,17 @@ def export_inbound(spark: SparkSession, layout: Layout, sf_dir: str) -> None:
     memo = lines.where(F.col("l_returnflag") == "R").select(
         F.col("d").cast("string").alias("Date"), F.col("amt").cast("string").alias("Amount"),
         F.col("descr").alias("Description"), F.lit("memo").alias("Memo"), "year")
-    shop = lines.where(F.col("l_returnflag") == "N").select(
+    sold = lines.where(F.col("l_returnflag") == "N")
+    till = sold.where("at_till").select(
+        F.col("d").cast("string").alias("Day"), F.col("descr").alias("Goods"),
+        F.col("amt").cast("string").alias("Paid"), "year")
+    web = sold.where("NOT at_till").select(
         F.col("descr").alias("Item"),
         F.concat(F.lit("$"), F.format_number("amt", 2)).alias("Total"),
         F.date_format("d", "MM/dd/yyyy").alias("Posted"), "year")
-    # Three independent jobs: submitted together, Spark runs them side by side.
+    # Independent jobs: submitted together, Spark runs them side by side.
     jobs = [(bank, f"{inbound}/bank/main", ","), (memo, f"{inbound}/bank/memo", ","),
-            (shop, f"{inbound}/shop", "|")]
+            (web, f"{inbound}/shop/web", "|"), (till, f"{inbound}/shop/till", ";")]
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         for f in [pool.submit(write, *job) for job in jobs]:
             f.result()
@@ -110,14 +119,38 @@ def medallion_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Category", "Month", F.col("Spend").cast("double").alias("Spend"), "Lines")
 
 
-
-def bronze_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export, run the Bronze load only, and summarise the file dispositions."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{run_guid()}"
-    layout = Layout(root)
+def run_bronze(spark: SparkSession, sf_dir: str) -> Layout:
+    """Export and run the Bronze load only."""
+    layout = Layout(f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{run_guid()}")
     export_inbound(spark, layout, sf_dir)
     log = RunLog("bronze")
     load_files_to_bronze(spark, layout, log)
-    disp = spark.read.parquet(layout.disposition)
+    log.write(spark, layout.log)
+    return layout
+
+
+def bronze_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file dispositions of a Bronze load, summarised."""
+    disp = spark.read.parquet(run_bronze(spark, sf_dir).disposition)
     return disp.groupBy("Source", "Disposition", "Issue").agg(
         F.count(F.lit(1)).alias("files"), F.sum("RowCount").alias("rows"))
+
+
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source what Bronze rows and the log say about the load they come from.
+
+    A row counts if its ExecutionGUID is that of a logged run and its IngestDatetime is set.
+    """
+    layout = run_bronze(spark, sf_dir)
+    steps = read_log(spark, layout.log)
+    # A run has a handful of steps.
+    ordered = F.array_sort(F.collect_list(F.struct("Begin", "CallStack", "Action")))
+    runs = steps.groupBy(F.coalesce("ParentExecutionGUID", "ExecutionGUID").alias("ExecutionGUID")).agg(
+        F.max(F.when(F.col("ParentExecutionGUID").isNull(), F.col("RowCount"))).alias("logged_rows"),
+        F.array_join(F.transform(ordered, lambda s: s.Action), ",").alias("steps"))
+    rows = spark.read.parquet(layout.bronze_transaction).where(F.col("IngestDatetime").isNotNull())
+    # Counted per file first: a large source is combined before the shuffle, and so are its files.
+    per_file = rows.groupBy("Source", "ExecutionGUID", "SourceFile").agg(F.count(F.lit(1)).alias("lines"))
+    return per_file.groupBy("Source", "ExecutionGUID").agg(
+        F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("files")) \
+        .join(runs, "ExecutionGUID").drop("ExecutionGUID")

@@ -3,7 +3,8 @@
 1. Whole-row de-duplication of Bronze.  Its audit columns don't count for it; those
    of the first load are kept, so that expressions can use them.
 2. Accounts: configuration Account names are seeded into the Account
-   dimension; each row gets its source's AccountGUID.
+   dimension; each row gets the AccountGUID of the configuration row its file was
+   read by (none, if that row is gone since).
 3. ToMap -> bridge: names filled into ToMap become dimension members, fully
    resolved (AccountGUID, SourceValue) rows are appended to the bridge.
 4. Rows whose (AccountGUID, SourceValue) has no bridge entry go to ToMap; every
@@ -32,7 +33,6 @@ from ledgerline.functions.guid import stable_guid
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_silver_audit, observed
 from ledgerline.operators.cleanse import align
-from ledgerline.operators.configuration import first_per_source
 from ledgerline.operators.dedupe import keep_first
 from ledgerline.operators.dimension import new_members
 from ledgerline.operators.lookup import account_lookup, dimension_lookup
@@ -46,6 +46,7 @@ from ledgerline.sources.tables import append, read_columns, read_or_empty
 BRONZE_VALUE_COLUMNS = ["Amount", "Category", "Date", "Description", "Source", "SourceFile"]
 BRIDGE_KEY = ["AccountGUID", "SourceValue"]
 FILE_KEY = ["Source", "SourceFile"]
+CONFIGURATION_KEY = ["Source", "ConfigurationFileID"]
 TRANSACTION_KEY = ["Source", "SourceFile", "Date", "Amount", "Description", "Category"]
 
 
@@ -102,12 +103,9 @@ def apply_manual_mapping(spark: SparkSession, layout: Layout, mapping: DataFrame
     return obs.get.get("rows", 0)
 
 
-def _lookup_rules(cc_rows: list, cfg_rows: list) -> dict[str, list[tuple[str, str]]]:
-    """Dimension -> [(Source, Bronze column)] from Lookup column rules."""
-    source_of = {}
-    for r in cfg_rows:
-        source_of.setdefault(r["ConfigurationFileID"], []).append(r["Source"])
-    rules: dict[str, list[tuple[str, str]]] = {}
+def _lookup_rules(cc_rows: list) -> dict[str, list[tuple[int, str]]]:
+    """Dimension -> [(ConfigurationFileID, Bronze column)] from Lookup column rules."""
+    rules: dict[str, list[tuple[int, str]]] = {}
     for r in cc_rows:
         entity = r["SilverEntity"] or ""
         if r["Transformation_BronzeToSilver_Type"] != K.TRANSFORM_LOOKUP or not entity.endswith("GUID"):
@@ -115,18 +113,17 @@ def _lookup_rules(cc_rows: list, cfg_rows: list) -> dict[str, list[tuple[str, st
         dim = entity[: -len("GUID")]
         if dim not in K.SILVER_DIMENSIONS or not r["ColumnName_Bronze"]:
             continue
-        for src in source_of.get(r["ConfigurationFileID"], []):
-            rules.setdefault(dim, []).append((src, r["ColumnName_Bronze"]))
+        rules.setdefault(dim, []).append((r["ConfigurationFileID"], r["ColumnName_Bronze"]))
     return rules
 
 
 TRANSACTION_ENTITY = "Transaction"
 
 
-def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list, rows: DataFrame):
-    """(target -> [(Source, Column)], sources with a broken rule).
+def _transaction_rules(spark: SparkSession, cc_rows: list, rows: DataFrame):
+    """(target -> [(ConfigurationFileID, Column)], ConfigurationFileIDs with a broken rule).
 
-    Direct and Expression rules of the Transaction entity, per source, in
+    Direct and Expression rules of the Transaction entity, per file type, in
     configuration order.  A rule is checked against the columns of ``rows``, the
     frame it will run on; it can set that frame's Silver columns.
     """
@@ -134,11 +131,8 @@ def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list, rows:
     from ledgerline.plans.bronze import rule_order
 
     silver_types = {f.name: f.dataType for f in schemas.silver_transaction_schema().fields}
-    sources: dict = {}
-    for r in cfg_rows:
-        sources.setdefault(r["ConfigurationFileID"], []).append(r["Source"])
     out: dict[str, list] = {}
-    broken: dict[str, str] = {}
+    broken: dict[int, str] = {}
     for r in sorted(cc_rows, key=rule_order):
         target, kind = r["ColumnName_Silver"], r["Transformation_BronzeToSilver_Type"]
         if r["SilverEntity"] != TRANSACTION_ENTITY or target not in silver_types:
@@ -152,12 +146,11 @@ def _transaction_rules(spark: SparkSession, cc_rows: list, cfg_rows: list, rows:
         err = validate_expression(spark, text, rows.schema)
         if not err and target not in rows.columns:
             err = "a rule can't set this column"
-        value = None if err else F.expr(text)
-        for src in sources.get(r["ConfigurationFileID"], []):
-            if err:
-                broken[src] = f"Source {src!r}: rule for {target} does not resolve: {err}"
-            elif not any(s == src for s, _ in out.get(target, [])):  # first rule wins
-                out.setdefault(target, []).append((src, value.cast(silver_types[target])))
+        config_id = r["ConfigurationFileID"]
+        if err:
+            broken[config_id] = f"ConfigurationFileID {config_id}: rule for {target} does not resolve: {err}"
+        elif not any(i == config_id for i, _ in out.get(target, [])):  # first rule wins
+            out.setdefault(target, []).append((config_id, F.expr(text).cast(silver_types[target])))
     return out, broken
 
 
@@ -166,17 +159,18 @@ def _apply_transaction_rules(df: DataFrame, rules: dict) -> DataFrame:
     columns = {}
     for target, pairs in rules.items():
         columns[target] = F.col(target)
-        for src, value in reversed(pairs):
-            columns[target] = F.when(F.col("Source") == src, value).otherwise(columns[target])
+        for config_id, value in reversed(pairs):
+            columns[target] = F.when(F.col("ConfigurationFileID") == config_id, value).otherwise(columns[target])
     return df.withColumns(columns) if columns else df
 
 
-def _rule_value(pairs: list[tuple[str, str]]) -> Column:
-    return F.coalesce(*[F.when(F.col("Source") == s, F.col(c)) for s, c in pairs])
+def _rule_value(pairs: list[tuple[int, str]]) -> Column:
+    return F.coalesce(*[F.when(F.col("ConfigurationFileID") == i, F.col(c)) for i, c in pairs])
 
 
 def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = None) -> DataFrame:
-    """Bronze rows of valid files not yet taken into Silver.
+    """Bronze rows of valid files not yet taken into Silver, with the
+    ConfigurationFileID that each file was read by.
 
     The pending file list comes from the file dispositions minus the small
     SilverFiles table (metadata, one row per file); only the Bronze loads that
@@ -191,13 +185,14 @@ def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = Non
     if source is not None:
         disp = disp.where(F.col("Source") == source)
     done = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES).select(*FILE_KEY)
-    pending = disp.select(*FILE_KEY, F.col("ExecutionGUID").alias("_load")) \
+    pending = disp.select(*FILE_KEY, F.col("ExecutionGUID").alias("_load"), "ConfigurationFileID") \
         .join(done.distinct(), FILE_KEY, "left_anti")
     loads = [r["_load"] for r in pending.select("_load").distinct().collect()]
     bronze = read_or_empty(spark, layout.bronze_transaction, schemas.BRONZE_TRANSACTION)
     bronze = bronze.where(F.col("ExecutionGUID").isin(loads))
-    keys = pending.select(*FILE_KEY, F.col("_load").alias("ExecutionGUID")).distinct()
-    return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"], "left_semi")
+    keys = pending.groupBy(*FILE_KEY, F.col("_load").alias("ExecutionGUID")).agg(
+        F.min("ConfigurationFileID").alias("ConfigurationFileID"))
+    return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"])
 
 
 def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, run_guid: str) -> int:
@@ -232,19 +227,20 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                           source_value_column: str = "Description") -> SilverResult:
     with log.step("LoadBronzeToSilver", Source=source or "") as main:
         cf, cc = config_source.load(spark, layout.admin)
-        cfg = first_per_source(cf).select("Source", "ConfigurationFileID", "Account")
-        cfg_rows, cc_rows = cfg.collect(), cc.collect()  # configuration only
+        cfg = keep_first(cf, CONFIGURATION_KEY, ["_row"], ["Account"]).drop("_row")
+        used = {r["ConfigurationFileID"] for r in cfg.collect()}  # configuration only
+        cc_rows = [r for r in cc.collect() if r["ConfigurationFileID"] in used]
 
         bronze = pending_bronze(spark, layout, source)
-        bronze = keep_first(bronze, BRONZE_VALUE_COLUMNS, ["IngestDatetime"], ["ExecutionGUID"])
+        bronze = keep_first(bronze, BRONZE_VALUE_COLUMNS, ["IngestDatetime"],
+                            ["ExecutionGUID", "ConfigurationFileID"])
 
         with log.step("Accounts") as s:
             s.rows = add_members(spark, layout, cfg, "Account", "Account")
-            src_acc = account_lookup(cfg.select("Source", "Account"),
-                                     read_dimension(spark, layout, "Account"))
+            accounts = account_lookup(cfg, read_dimension(spark, layout, "Account"))
         # The run's working set is read by several steps; keep it for the run
         # (memory and disk; recomputed from Bronze if an executor is lost).
-        rows = bronze.join(src_acc.select("Source", "AccountGUID"), "Source", "left") \
+        rows = bronze.join(accounts.select(*CONFIGURATION_KEY, "AccountGUID"), CONFIGURATION_KEY, "left") \
             .withColumn("SourceValue", F.col(source_value_column)) \
             .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
             .persist(StorageLevel.MEMORY_AND_DISK)
@@ -287,16 +283,16 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         ready = processable_rows(keyed, held_keys, key="_file").drop("_file")
 
         with log.step("Transformations") as s:
-            t_rules, broken = _transaction_rules(spark, cc_rows, cfg_rows, ready)
+            t_rules, broken = _transaction_rules(spark, cc_rows, ready)
             for message in broken.values():
                 log.warn(s, message + "; its rows are held back")
             if broken:
-                ready = ready.where(~F.col("Source").isin(list(broken)))
+                ready = ready.where(~F.col("ConfigurationFileID").isin(list(broken)))
             ready = _apply_transaction_rules(ready, t_rules)
             s.parameters["columns"] = ",".join(sorted(t_rules))
 
         with log.step("Lookups") as s:
-            rules = _lookup_rules(cc_rows, cfg_rows)
+            rules = _lookup_rules(cc_rows)
             for dim, pairs in rules.items():
                 ready = ready.withColumn(f"_lk_{dim}", _rule_value(pairs))
                 add_members(spark, layout, ready, f"_lk_{dim}", dim)

@@ -50,13 +50,6 @@ BRIDGE = _struct(
     ("ProductServiceGUID", S), ("SellerGUID", S),
 )
 
-FILE_DISPOSITION = _struct(
-    ("path", S), ("file_name", S), ("Source", S), ("ConfigurationFileID", T.IntegerType()),
-    ("header", S), ("RowCount", T.LongType()), ("Issue", S), ("Disposition", S),
-    ("TargetName", S),
-)
-
-
 def dimension_schema(name: str) -> T.StructType:
     """Silver dimension schema: {Dim}GUID, DateTimeInserted, Name (+ extras)."""
     fields = [(f"{name}GUID", S), ("DateTimeInserted", T.TimestampType()), ("Name", S)]

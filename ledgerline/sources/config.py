@@ -64,13 +64,6 @@ def retrieve_or_create(spark: SparkSession, path: str, schema: T.StructType,
     return typed
 
 
-def resolve_delimiter(value: str | None) -> str:
-    """Config delimiter -> the character (names accepted for '|', tab, ...)."""
-    if value is None or value == "":
-        return K.DEFAULT_DELIMITER
-    return K.DELIMITER_NAMES.get(value.strip().lower(), value)
-
-
 def load(spark: SparkSession, admin_dir: str) -> tuple[DataFrame, DataFrame]:
     """(file-level, column-level) configuration from the Admin folder."""
     cf = retrieve_or_create(spark, f"{admin_dir}/ConfigurationFile.txt", schemas.CONFIG_FILE,

@@ -13,7 +13,7 @@ the first try recorded none.
 Streaming CSV applies its schema by position, so this path is for sources
 whose exports keep one column order; the header is checked against the
 configured names (``enforceSchema=False``) and a mismatching file fails the
-batch rather than being misread.  Mixed layouts go through the batch load.
+batch rather than being misread.  The source's first file-level row counts; mixed layouts go through the batch load.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def batch_guid(query_id: str, batch_id: int) -> str:
 def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
                         available_now: bool = True) -> StreamingQuery:
     cf, cc = config_source.load(spark, layout.admin)
-    cfg = source_configuration(cf, cc).where(F.col("Source") == source).first()
+    cfg = source_configuration(cf, cc).where(F.col("Source") == source).orderBy("_row").first()
     if cfg is None or cfg["expected"] is None:
         raise ValueError(f"no configuration for source {source!r}")
     rules = column_rules(cc.collect(), cfg["ConfigurationFileID"])
