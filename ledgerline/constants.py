@@ -37,6 +37,7 @@ SILVER_DIMENSIONS = (
     "Account", "AccountType", "Brand", "Category", "PriceType",
     "ProductService", "Seller", "UnitOfMeasurement",
 )
+ACCOUNT_DIMENSION = "Account"
 # Dimensions resolved through the mapping bridge, in processing order.
 BRIDGE_DIMENSIONS = ("Brand", "Category", "ProductService", "Seller")
 

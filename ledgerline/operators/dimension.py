@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,25 +12,30 @@ from ledgerline.operators.mapping import null_safe_anti
 from ledgerline.schemas import dimension_schema
 
 
-def new_members(values: DataFrame, value_column: str, dim: DataFrame, dimension: str,
-                inserted_at: Column | None = None) -> DataFrame:
-    """Distinct non-NULL values absent from ``dim.Name``, shaped as dim rows."""
-    candidates = (values.select(F.col(value_column).alias("Name"))
+def new_members(values: DataFrame, columns: str | dict[str, str], dim: DataFrame, dimension: str,
+                keys: Sequence[str] = ("Name",), inserted_at: Column | None = None) -> DataFrame:
+    """Distinct members whose natural key is absent from ``dim``, shaped as dim rows.
+
+    ``columns``: the column of ``values`` that holds the Name, or one for each column
+    of the dimension.  Rows without a Name make no member; a NULL in another key
+    column is a key value.  Where a member's other columns differ, the smallest counts.
+    """
+    columns = {"Name": columns} if isinstance(columns, str) else columns
+    candidates = (values.select(*[F.col(source).alias(c) for c, source in columns.items()])
                   .where(F.col("Name").isNotNull() & (F.trim("Name") != ""))
-                  .distinct())
-    fresh = null_safe_anti(candidates, dim.select("Name"), ["Name"])
-    return shape_members(fresh, dimension, inserted_at)
+                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.min(c).alias(c) for c in columns if c not in keys]).drop("_n"))
+    fresh = null_safe_anti(candidates, dim.select(*keys), list(keys))
+    return shape_members(fresh, dimension, keys, inserted_at)
 
 
-def shape_members(names: DataFrame, dimension: str, inserted_at: Column | None = None) -> DataFrame:
-    """(Name) rows -> rows of the dimension's schema with a stable GUID."""
-    schema = dimension_schema(dimension)
-    cols = {
-        f"{dimension}GUID": stable_guid(dimension, "Name"),
+def shape_members(members: DataFrame, dimension: str, keys: Sequence[str] = ("Name",),
+                  inserted_at: Column | None = None) -> DataFrame:
+    """Members -> rows of the dimension's schema with a GUID that follows from the key."""
+    made = {
+        f"{dimension}GUID": stable_guid(dimension, *keys),
         "DateTimeInserted": inserted_at if inserted_at is not None else F.current_timestamp(),
-        "Name": F.col("Name"),
+        **{c: F.col(c) for c in members.columns},
     }
-    return names.select(*[
-        (cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    return members.select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in dimension_schema(dimension).fields])

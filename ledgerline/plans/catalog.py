@@ -382,6 +382,21 @@ def q_dimension_new_members(spark, sf_dir):
     return new_members(part, "p_brand", seed, "Brand").select("Name", "BrandGUID")
 
 
+# A natural key of two columns; pairs that the dimension holds are left out, others of
+# the same Name are new members.
+@register("dimension_composite_key", f"""
+SELECT DISTINCT p_type AS Name, p_brand AS Abbreviation,
+       {g('UnitOfMeasurement', 'p_type || chr(31) || p_brand')} AS UnitOfMeasurementGUID FROM part
+WHERE p_type IS NOT NULL AND trim(p_type) <> '' AND p_brand NOT LIKE 'Brand#1%'
+""")
+def q_dimension_composite_key(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    key = ["Name", "Abbreviation"]
+    named = part.select(F.col("p_type").alias("Name"), F.col("p_brand").alias("Abbreviation"))
+    seed = shape_members(named.where(F.col("Abbreviation").like("Brand#1%")).distinct(), "UnitOfMeasurement", key)
+    return new_members(named, {k: k for k in key}, seed, "UnitOfMeasurement", key).select(*key, "UnitOfMeasurementGUID")
+
+
 # --- union of sources (op 42) -------------------------------------------------
 UNION_TARGET = T.StructType([
     T.StructField("Source", T.StringType()), T.StructField("Key", T.LongType()),

@@ -20,6 +20,7 @@ an anti join, so an interrupted run can simply be repeated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -62,11 +63,11 @@ def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return read_or_empty(spark, layout.silver_dimension(name), schemas.dimension_schema(name))
 
 
-def add_members(spark: SparkSession, layout: Layout, values: DataFrame, column: str,
-                dimension: str) -> int:
-    """Append values missing from a dimension; returns how many were added."""
+def add_members(spark: SparkSession, layout: Layout, values: DataFrame, columns: str | dict[str, str],
+                dimension: str, keys: Sequence[str] = ("Name",)) -> int:
+    """Append members missing from a dimension; returns how many were added."""
     dim = read_dimension(spark, layout, dimension)
-    fresh, obs = observed(new_members(values, column, dim, dimension), f"new_{dimension}")
+    fresh, obs = observed(new_members(values, columns, dim, dimension, keys), f"new_{dimension}")
     append(fresh, layout.silver_dimension(dimension))
     return obs.get.get("rows", 0)
 
@@ -103,9 +104,16 @@ def apply_manual_mapping(spark: SparkSession, layout: Layout, mapping: DataFrame
     return obs.get.get("rows", 0)
 
 
-def _lookup_rules(cc_rows: list) -> dict[str, list[tuple[int, str]]]:
-    """Dimension -> [(ConfigurationFileID, Bronze column)] from Lookup column rules."""
-    rules: dict[str, list[tuple[int, str]]] = {}
+def _lookup_rules(cc_rows: list) -> tuple[dict[str, dict[str, list[tuple[int, str]]]], dict[str, list[str]]]:
+    """Dimension -> its column -> [(ConfigurationFileID, Bronze column)] from Lookup
+    rules, and dimension -> natural key.
+
+    SilverColumn names the dimension's column (Name, if it has no such column).  The key
+    is Name with the columns that ColumnIsInNaturalKey marks; dimensions that other
+    tables find by name alone (Account and those of the bridge) have Name as their key.
+    """
+    rules: dict[str, dict[str, list[tuple[int, str]]]] = {}
+    marked: set[tuple[str, str]] = set()
     for r in cc_rows:
         entity = r["SilverEntity"] or ""
         if r["Transformation_BronzeToSilver_Type"] != K.TRANSFORM_LOOKUP or not entity.endswith("GUID"):
@@ -113,8 +121,13 @@ def _lookup_rules(cc_rows: list) -> dict[str, list[tuple[int, str]]]:
         dim = entity[: -len("GUID")]
         if dim not in K.SILVER_DIMENSIONS or not r["ColumnName_Bronze"]:
             continue
-        rules.setdefault(dim, []).append((r["ConfigurationFileID"], r["ColumnName_Bronze"]))
-    return rules
+        own = [f.name for f in schemas.dimension_schema(dim).fields[2:]]
+        column = r["SilverColumn"] if r["SilverColumn"] in own else "Name"
+        rules.setdefault(dim, {}).setdefault(column, []).append((r["ConfigurationFileID"], r["ColumnName_Bronze"]))
+        if r["ColumnIsInNaturalKey"] == K.NATURAL_KEY_YES and dim not in (K.ACCOUNT_DIMENSION, *K.BRIDGE_DIMENSIONS):
+            marked.add((dim, column))
+    rules = {d: columns for d, columns in rules.items() if "Name" in columns}
+    return rules, {d: ["Name", *sorted(c for e, c in marked if e == d and c != "Name")] for d in rules}
 
 
 TRANSACTION_ENTITY = "Transaction"
@@ -292,12 +305,14 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             s.parameters["columns"] = ",".join(sorted(t_rules))
 
         with log.step("Lookups") as s:
-            rules = _lookup_rules(cc_rows)
-            for dim, pairs in rules.items():
-                ready = ready.withColumn(f"_lk_{dim}", _rule_value(pairs))
-                add_members(spark, layout, ready, f"_lk_{dim}", dim)
-                ready = dimension_lookup(ready, read_dimension(spark, layout, dim), f"_lk_{dim}", dim) \
-                    .withColumnRenamed(f"{dim}GUID", f"_lkg_{dim}").drop(f"_lk_{dim}")
+            rules, keys = _lookup_rules(cc_rows)
+            for dim, columns in rules.items():
+                own = {c: f"_lk_{dim}_{c}" for c in columns}
+                ready = ready.withColumns({own[c]: _rule_value(pairs) for c, pairs in columns.items()})
+                add_members(spark, layout, ready, own, dim, keys[dim])
+                ready = dimension_lookup(ready, read_dimension(spark, layout, dim),
+                                         {k: own[k] for k in keys[dim]}, dim) \
+                    .withColumnRenamed(f"{dim}GUID", f"_lkg_{dim}").drop(*own.values())
             s.parameters["dimensions"] = ",".join(sorted(rules))
 
         with log.step("WriteTransactions") as s:
