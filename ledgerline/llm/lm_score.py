@@ -6,10 +6,9 @@ words share ``RARE_CLASSES`` classes by their last two letters, and a word's pro
 within its class comes from the corpus counts.  Probabilities are normalised: a softmax
 over the classes, computed as batched matrix products, times the share within the class.
 
-Counts cover all training texts.  Training runs where the data is: each task fits the
-model with numpy on its part of ``1 / TRAIN_EVERY`` of the training texts (chosen by hash,
-so the amount grows with the corpus), Spark averages the tasks' parameters weighted by
-their tokens, and ``ROUNDS`` rounds repeat that from the average.
+Counts and gradient steps cover all training texts.  Training runs where the data is:
+each task fits the model with numpy on its part of the texts, Spark averages the tasks'
+parameters weighted by their tokens, and ``ROUNDS`` rounds repeat that from the average.
 
 Scoring needs each token's count.  The ``COMMON_WORDS`` most frequent are broadcast (a
 fixed bound); the others of each text are listed, joined with the counts by a shuffle,
@@ -36,9 +35,9 @@ from ledgerline.llm.url_filter import LOWER, UPPER
 from ledgerline.session import shared_folder
 
 END = "\n"  # no word holds white space
-CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 127, 64
+CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 255, 64
 COMMON_WORDS = 20_000
-TRAIN_EVERY, ROUNDS, EPOCHS, BATCH, NOISE, RATE = 8, 1, 2, 1024, 48, 0.05
+ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
 SMOOTH = 0.1
 SCORE_TOKENS, TRAIN_TOKENS = 131_072, 1_000_000
 CACHE_WORDS = 400_000
@@ -135,7 +134,7 @@ class Parameters:
         # One table per place: a token's prediction is a sum of CONTEXT rows.
         tables = [(self.context * p).astype(np.float32) for p in self.places]
         out_t, bias = self.target.T.astype(np.float32), self.bias.astype(np.float32)
-        out = np.empty(len(target))
+        out, ones = np.empty(len(target)), np.ones(len(bias), np.float32)
         for a in range(0, len(target), BATCH):
             c, t = context[a:a + BATCH], target[a:a + BATCH]
             q = sum(table[c[:, i]] for i, table in enumerate(tables))
@@ -145,10 +144,16 @@ class Parameters:
             top = s.max(axis=1)
             s -= top[:, None]
             np.exp(s, out=s)
-            out[a:a + BATCH] = (own - top - np.log(s.sum(axis=1))) / np.log(10)
+            out[a:a + BATCH] = (own - top - np.log(s @ ones)) / np.log(10)
         return out
 
 
+def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """(n, DIMENSIONS) sums of the ``rows`` that belong to each number."""
+    cells = (at[:, None] * DIMENSIONS + np.arange(DIMENSIONS)).ravel()
+    return np.bincount(cells, rows.ravel(), n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
+
+
 def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share: np.ndarray, seed: int) -> Parameters:
     """Noise-contrastive estimation by AdaGrad; the noise words are shared by a batch."""
     p = Parameters(*(x.astype(np.float32).copy() for x in (start.context, start.places, start.target, start.bias)))
@@ -162,21 +167,23 @@ def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share
             rows = order[a:a + BATCH]
             c, t = context[rows], target[rows]
             noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(share) - 1)
-            e = p.context[c]
-            q = (e * p.places).sum(axis=1)
-            own, others = p.target[t], p.target[noise]
-            up = 1 / (1 + np.exp((q * own).sum(axis=1) + p.bias[t] - log_noise[t]))
-            down = -1 / (1 + np.exp(-(q @ others.T + p.bias[noise] - log_noise[noise])))
+            q = sum((p.context * place).take(c[:, i], axis=0) for i, place in enumerate(p.places))
+            own, others = p.target.take(t, axis=0), p.target[noise]
+            up = 1 / (1 + np.exp(np.einsum("ij,ij->i", q, own) + p.bias[t] - log_noise[t]))
+            down = q @ others.T
+            down += p.bias[noise] - log_noise[noise]
+            np.negative(down, out=down)
+            np.exp(down, out=down)
+            down += 1
+            np.divide(-1, down, out=down)
             g_q = up[:, None] * own + down @ others
-            g_target, g_bias = np.zeros_like(p.target), np.zeros_like(p.bias)
-            np.add.at(g_target, t, up[:, None] * q)
-            np.add.at(g_target, noise, down.T @ q)
-            np.add.at(g_bias, t, up)
-            np.add.at(g_bias, noise, down.sum(axis=0))
-            g_context = np.zeros_like(p.context)
-            for i in range(CONTEXT):
-                np.add.at(g_context, c[:, i], g_q * p.places[i])
-            g_places = (g_q[:, None, :] * e).sum(axis=0)
+            at = np.concatenate([t, noise])
+            g_target = _sum_rows(at, np.concatenate([up[:, None] * q, down.T @ q]), len(share))
+            g_bias = np.bincount(at, np.concatenate([up, down.sum(axis=0)]), len(share)).astype(np.float32)
+            # Per place the gradients of a context class's rows add up before its vector comes in.
+            by_class = [_sum_rows(c[:, i], g_q, len(share)) for i in range(CONTEXT)]
+            g_context = sum(g * place for g, place in zip(by_class, p.places))
+            g_places = np.stack([(g * p.context).sum(axis=0) for g in by_class])
             for x, g, s in zip((p.context, p.places, p.target, p.bias), (g_context, g_places, g_target, g_bias), squares):
                 g /= len(rows)
                 s += g * g
@@ -228,7 +235,7 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> Parameters:
-    """``docs``: the part of the training texts to fit on."""
+    """``docs``: the training texts; every one of them is fitted on in each round."""
     counts = corpus.class_counts()
     share = (counts + SMOOTH) / (counts + SMOOTH).sum()
     params = Parameters.start(counts)
@@ -314,7 +321,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), held_out.alias("held_out"))
     learn = slim.where(~F.coalesce("held_out", F.lit(False)))
     corpus = count_corpus(learn)
-    params = train(learn.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(TRAIN_EVERY)) == 0), corpus)
+    params = train(learn, corpus)
 
     kind = slim.schema["id"].dataType.simpleString()
     # Parquet, not checkpoint(): the lists compress well and the second use leaves them out.

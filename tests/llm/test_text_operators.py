@@ -278,6 +278,29 @@ def test_lm_model_is_normalised():
     assert (10 ** p.log10(context, np.arange(30))).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_lm_trains_on_every_text(spark, monkeypatch):
+    given = []
+
+    def recorded(texts, corpus):
+        given.append(texts.count())
+        return lm_score.Parameters.start(corpus.class_counts())
+
+    monkeypatch.setattr(lm_score, "train", recorded)
+    d = rows(spark, *[(i, f"w{i} x y z", "en", "a") for i in range(64)])
+    lm_score.score(d, F.col("doc_id") < 4)
+    assert given == [60] and (lm_score.VOCABULARY, lm_score.ROUNDS) == (255, 2)
+
+
+def test_lm_batch_sums():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    at, x = rng.integers(0, 9, 50), rng.normal(size=(50, lm_score.DIMENSIONS))
+    want = np.zeros((9, lm_score.DIMENSIONS))
+    np.add.at(want, at, x)
+    assert np.allclose(lm_score._sum_rows(at, x, 9), want, atol=1e-5)
+
+
 def test_rule_ensemble(spark, docs):
     labels = read_table(spark, SF_SMALL, "labels")
     stats = docs.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
