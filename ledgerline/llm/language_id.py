@@ -4,8 +4,8 @@ Each word of a text gets a distribution over languages by forward-backward, so a
 that switches languages is labelled word by word; the text's language is the one with
 the most expected words, and the score is its share.
 
-Features of a word: itself, prefixes and suffixes of one to three letters, its letter
-trigrams, and the lexicon entry (the language that a frequent training word is most
+Features of a word: itself, prefixes and suffixes of one to three letters, all its letter
+trigrams (a line without spaces is one word, however long, and is read whole), and the lexicon entry (the language that a frequent training word is most
 often seen in).  They are hashed into ``FEATURES`` weights per language; transition
 weights are learned with them.  A word without a letter has no features: its place only
 carries transitions.
@@ -42,10 +42,10 @@ from ledgerline.llm.common import WORD, words
 FEATURES = 1 << 16
 DOCS_PER_LANGUAGE, WINDOWS, WINDOW_WORDS, STRUNG = 300, 3, 24, 3
 STEPS, RATE, L2 = 30, 0.15, 1e-5
-SLOTS = 32  # features of a word at most; longer words give up middle trigrams
+PART_FEATURES = 100_000
 CHUNK = 64
 BATCH_WORDS = 400_000
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_LETTERS, CACHE_NAMES = 300_000, 6_000_000, 2_000_000
 UNKNOWN = "und"
 _WORD = re.compile(WORD)
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -69,35 +69,27 @@ def word_features(word: str, lexicon: dict[str, int], hashes: _Hashes) -> list[i
     names = ["<" + word[:1], ">" + word[-1:], "<" + word[:2], ">" + word[-2:], "<" + word[:3], ">" + word[-3:]]
     if word in lexicon:
         names.append(f"@{lexicon[word]}")
-    room = SLOTS - 1 - len(names)
-    grams = [word[i:i + 3] for i in range(len(word) - 2)]
-    names += grams if len(grams) <= room else grams[:room // 2] + grams[-(room - room // 2):]
+    names += [word[i:i + 3] for i in range(len(word) - 2)]
     return [zlib.crc32(b"=" + word.encode()) % FEATURES, *[hashes[x] for x in names]]
 
 
-def feature_table(found: list[str], lexicon: dict[str, int], hashes: _Hashes) -> np.ndarray:
-    """(words, SLOTS) weight numbers, filled up with the row that stays 0."""
-    rows = [word_features(w, lexicon, hashes) for w in found]
-    sizes = np.array([len(r) for r in rows], np.int64)
-    out = np.full((len(rows), SLOTS), FEATURES, np.int64)
-    out[np.arange(SLOTS)[None, :] < sizes[:, None]] = np.fromiter(
-        itertools.chain.from_iterable(rows), np.int64, int(sizes.sum()))
-    return out
-
-
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # (FEATURES + 1, languages); the last row stays 0
+    weights: np.ndarray  # (FEATURES, languages)
     moves: np.ndarray  # (languages, languages), log potentials
     lexicon: dict[str, int] = field(default_factory=dict)
 
     def emissions(self, found: list[str], hashes: _Hashes) -> np.ndarray:
         """(words, languages) potentials, the largest 1."""
         e = np.zeros((len(found), len(self.languages)))
-        for a in range(0, len(found), 4096):
-            part = feature_table(found[a:a + 4096], self.lexicon, hashes)
-            e[a:a + 4096] = self.weights[part].sum(axis=1)
+        done, flat, starts = 0, [], []
+        for n, w in enumerate(found, 1):
+            starts.append(len(flat))
+            flat += word_features(w, self.lexicon, hashes)
+            if len(flat) >= PART_FEATURES or n == len(found):
+                e[done:n] = np.add.reduceat(self.weights[np.array(flat)], starts, axis=0)
+                done, flat, starts = n, [], []
         return np.exp(e - e.max(axis=1, keepdims=True))
 
 
@@ -220,7 +212,10 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model | None:
             seen.setdefault(w, np.zeros(k))[label[lang]] += 1
     lexicon = {w: int(c.argmax()) for w, c in seen.items() if c.sum() >= 5 and c.max() >= 0.6 * c.sum()}
     ids = {w: i for i, w in enumerate(seen)}
-    index = feature_table(list(ids), lexicon, _Hashes())
+    hashes = _Hashes()
+    lists = [word_features(w, lexicon, hashes) for w in ids]
+    sizes = np.array([len(x) for x in lists], np.int64)
+    index, firsts = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), np.cumsum(sizes) - sizes
     order = np.random.default_rng(seed).permutation(len(samples))
     groups = [order[i:i + STRUNG] for i in range(0, len(order), STRUNG)]
     lengths = np.array([sum(len(samples[i][1]) for i in g) for g in groups])
@@ -238,22 +233,21 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model | None:
     np.add.at(empirical, (token[on], truth[on]), 1)
     empirical_moves = np.zeros((k, k))
     np.add.at(empirical_moves, (truth[:, :-1][on[:, 1:]], truth[:, 1:][on[:, 1:]]), 1)
-    weights, moves = np.zeros((FEATURES + 1, k)), np.zeros((k, k))
+    weights, moves = np.zeros((FEATURES, k)), np.zeros((k, k))
     sums = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, moves)]
     for step in range(1, STEPS + 1):
-        by_type = weights[index].sum(axis=1)
+        by_type = np.add.reduceat(weights[index], firsts, axis=0)
         by_type = np.exp(by_type - by_type.max(axis=1, keepdims=True))
         post, pair, _ = forward_backward(by_type[token], moves, lengths)
         expected = np.stack([np.bincount(token[on], post[on][:, j], len(ids)) for j in range(k)], axis=1)
         by_word = empirical - expected
-        grad = np.stack([np.bincount(index.ravel(), np.repeat(by_word[:, j], SLOTS), FEATURES + 1)
+        grad = np.stack([np.bincount(index, np.repeat(by_word[:, j], sizes), FEATURES)
                          for j in range(k)], axis=1) / len(groups) - L2 * weights
         grad_moves = (empirical_moves - pair) / len(groups) - L2 * moves
         for p, g, (m, v) in zip((weights, moves), (grad, grad_moves), sums):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p += RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-        weights[-1] = 0
     return Model(languages, weights.astype(np.float32), moves, lexicon)
 
 
@@ -284,8 +278,10 @@ class _Words(dict):
         super().__init__()
         self.numbers: dict[str, int] = {}
         self.new: list[str] = []
+        self.letters = 0
 
     def __missing__(self, word: str) -> int:
+        self.letters += len(word)
         n = normal(word)
         i = -1
         if n:
@@ -329,8 +325,10 @@ def _label(model: Model):
                     part.append(text)
                     held += len(text or "") // 5
                 if part and (text is ... or held > BATCH_WORDS):
-                    if len(cache) > CACHE_WORDS:
+                    if len(cache) > CACHE_WORDS or cache.letters > CACHE_LETTERS:
                         cache, table = _Words(), nothing
+                    if len(hashes) > CACHE_NAMES:
+                        hashes = _Hashes()
                     n, s, table = score(part, cache, table, hashes)
                     names += n
                     scores.append(s)

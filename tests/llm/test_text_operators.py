@@ -226,6 +226,19 @@ def test_language_id(spark, docs):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_id_reads_the_middle_of_a_long_word():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    word = lambda letters, n: "".join(rng.choice(list(letters), n))
+    model = language_id.train([(x, [word(letters, 6) for _ in range(20)])
+                               for x, letters in (("p", "abcde"), ("q", "vwxyz")) for _ in range(40)])
+    line = word("abcde", 40) + word("vwxyz", 4000) + word("abcde", 40)
+    assert len(language_id.word_features(line, {}, language_id._Hashes())) == 7 + len(line) - 2
+    e = model.emissions(["abcde", line, "vwxyz"], language_id._Hashes())
+    assert [model.languages[i] for i in e.argmax(axis=1)] == ["p", "q", "q"]
+
+
 def test_language_id_labels_code_switched_words(spark, docs):
     import numpy as np
 
