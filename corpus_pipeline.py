@@ -17,7 +17,7 @@ from ledgerline.session import read_table, shared_folder
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those where no language has half of the words."""
+    """Drops texts without a letter; a text of several languages stays."""
     model = language_id.train(language_id.sample_windows(docs, crc_rest(F.col("doc_id"), 3) != 1))
     return language_id.drop_unidentified(docs, model)
 

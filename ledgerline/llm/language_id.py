@@ -19,8 +19,8 @@ texts, in Arrow batches on the executors, with a broadcast model of
 ``FEATURES * languages`` numbers.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0; rows with a
-null language don't train; without any training row all texts get ``und``; ties go to
-the first language in order.  Extra columns are ignored by ``identify`` and kept by
+null language don't train; without any training row all texts get ``und``, and
+``drop_unidentified`` keeps those with a letter; ties go to the first language in order.  Extra columns are ignored by ``identify`` and kept by
 ``drop_unidentified``.
 """
 
@@ -351,13 +351,22 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
         F.col("_key").alias(key), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 
-def drop_unidentified(docs: DataFrame, model: Model | None, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language that has ``least`` of the words at least, columns as they were."""
-    if model is None:
-        return docs.limit(0)
+def _keep_lettered(batches):
+    for batch in batches:
+        yield batch.filter(pa.array([bool(_LETTERS.search(t or "")) for t in batch.column(0).to_pylist()], pa.bool_()))
+
+
+def drop_unidentified(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text isn't ``und``, columns as they were.
+
+    A text of several languages stays, whatever the share of each; without a model every
+    text with a letter stays.
+    """
     # The columns go through Arrow by place, so extra or clashing names don't matter.
     inner = docs.select(F.col(f"`{text}`"), *[F.col(f"`{c}`") for c in docs.columns]).toDF(
         "_text", *[f"c{i}" for i in range(len(docs.columns))])
+    if model is None:
+        return inner.mapInArrow(_keep_lettered, inner.schema).drop("_text").toDF(*docs.columns)
     schema = StructType(inner.schema.fields[1:]).add("_lang", StringType()).add("_score", DoubleType())
-    out = inner.mapInArrow(_label(model), schema).where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least))
+    out = inner.mapInArrow(_label(model), schema).where(F.col("_lang") != UNKNOWN)
     return out.drop("_lang", "_score").toDF(*docs.columns)

@@ -226,6 +226,19 @@ def test_language_id(spark, docs):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_mixed_texts_and_texts_without_a_model_stay(spark, docs):
+    model = language_id.train(language_id.sample_windows(docs, F.lit(True)))
+    part = {r.lang: WORD.findall(r.text) for r in docs.where("n_chars > 300").collect()}
+    names = sorted(part)[:4]
+    mixed = " ".join(" ".join(part[x][:10]) for x in names)
+    d = rows(spark, (1, mixed, None, "a"), (2, "12 !!", None, "a"), (None, mixed, None, "a"), (3, None, None, "a"))
+    assert len(names) == 4 and language_id.identify(d, model).where("doc_id = 1").first().score < 0.5
+    kept = language_id.drop_unidentified(d, model)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {1, None}
+    kept = language_id.drop_unidentified(d, None)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {1, None}
+
+
 def test_language_id_reads_the_middle_of_a_long_word():
     import numpy as np
 
