@@ -224,6 +224,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     n_links counts the other documents whose shingle sets reach the threshold,
     copies included; n_copies those with an equal set, itself included.
     """
+    return _grouped(docs, key, text, threshold, recall, max_hashes).select(
+        F.col("id").alias(key), "text_hash", F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+
+
+def _grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+             recall: float = RECALL, max_hashes: int = MAX_HASHES) -> DataFrame:
+    """id, text_hash, group, class_id, n_links, n_copies per input row; all but the first two null without shingles."""
     bands, rows = plan_bands(threshold, recall, max_hashes)
     t = F.col(f"`{text}`")
     slim = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("_text"))
@@ -269,21 +278,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     judged = checkpointed(judged)
     names = judged.groupBy("group").agg(F.min("rep").alias("class_id"))
     found = judged.join(names, "group").select(
-        "hi", "lo", "n", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "hi", "lo", "n", "group", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.col("copies").alias("n_copies"))
-    out = signed.drop("bands").join(found, ["hi", "lo", "n"], "left")
-    return out.select(F.col("id").alias(key), "text_hash", F.coalesce("class_id", "id").alias("class_id"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+    return signed.drop("bands").join(found, ["hi", "lo", "n"], "left").select(
+        "id", "text_hash", "group", "class_id", "n_links", "n_copies")
 
 
 def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, that with the smallest id.
+    """``docs`` with one document of each group, that with the smallest id (a null id comes last).
 
-    The key names a document: of rows that repeat an id one stays.  Rows with a null id
-    stay, as nothing tells which of them is which.
+    A document is an id and a text: rows that repeat an id with other texts are judged each
+    by its own text, and of rows equal in both one stays, the first by its other columns.
     """
-    found = near_duplicates(docs, key, text, **options)
-    kept = checkpointed(found.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_kept_id")).distinct())
-    named = docs.join(kept, F.col(f"`{key}`").cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([key])
-    return named.unionByName(docs.where(F.col(f"`{key}`").isNull()))
+    found = _grouped(docs, key, text, **options)
+    # Texts without shingles form groups of their own, by id and text.
+    alone = F.col("group").isNull()
+    kept = checkpointed(found.groupBy("group", F.when(alone, F.col("id")), F.when(alone, F.col("text_hash")))
+                        .agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("one"))
+                        .select(F.col("one.id").alias("_kept_id"), F.col("one.text_hash").alias("_kept_text")))
+    named = docs.withColumn("_text_hash", F.xxhash64(F.col(f"`{text}`"))).join(
+        kept, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_text")),
+        "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]))
+    return named.groupBy(F.col(f"`{key}`").alias("_k"), "_text_hash").agg(F.min_by(row, rest).alias("_row")).select(
+        *[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -202,6 +202,35 @@ def test_ngram_join_matches_brute_force(spark, monkeypatch, block):
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
 
 
+def brute_kept(docs):
+    """(id, text) of the documents that stay; docs: (id, text)."""
+    distinct = list(dict.fromkeys(docs))
+    links = brute_links([t for _, t in distinct])
+    group = list(range(len(distinct)))
+    for _ in group:
+        for i, j in links:
+            group[i] = min(group[i], group[j])
+    out = {}
+    for g, (i, t) in zip(group, distinct):
+        out.setdefault(g, []).append((i is None, i, t))
+    return sorted(((str(i), t) for x in out.values() for i, t in [min(x, key=lambda c: (c[0], c[1] or 0))[1:]]), key=str)
+
+
+def test_ngram_join_keeps_one_id_and_text(spark):
+    t1, t2, t3 = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    cells = [(5, t1), (5, t2), (3, t2), (None, t3), (None, t3), (None, t3), (9, t3 + " end"), (None, "lone words"), (None, "lone words"),
+             (7, ""), (7, ""), (None, None), (None, None), (3, "other one"), (5, t1)]
+    d = rows(spark, *[(i, t, "en", s) for k, (i, t) in enumerate(cells) for s in [f"s{k}"]])
+    want = brute_kept(cells)
+    assert ("5", t1) in want and ("5", t2) not in want and ("3", t2) in want
+    for part in (d, d.repartition(5)):
+        kept = ngram_join.keep_one_per_group(part)
+        assert kept.columns == d.columns
+        got = kept.collect()
+        assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == sorted(want, key=str)
+        assert {r.source for r in got if r.doc_id == 5} == {"s0"}
+
+
 def test_ngram_join_defined_cases(spark, docs):
     d = odd(spark)
     assert ngram_join.near_duplicates(d).count() == d.count()
