@@ -90,6 +90,18 @@ def test_html_extract(spark):
     assert html_extract.extract_pages(p.limit(0)).count() == 0
 
 
+def test_pieces_of_class_words_and_runs_are_decided_by_repeats():
+    menu = "home news sport weather travel food music books films maps"
+    own = lambda i, n=9: " ".join(f"w{i}x{k}" for k in range(n))
+    boxes = ["<div class='content no-sidebar'><p>{}</p></div>", "<div id='layout-header-fixed'><p>{}</p></div>"]
+    pages = [(f"p{i}", f"<body><p>{menu} {own(i)}</p>" + boxes[i % 2].format(own(100 + i))) for i in range(6)]
+    got = html_extract.extract_host(pages)
+    assert got == [(f"{own(i)}\n{own(100 + i)}", 10) for i in range(6)]
+    pages = [(f"p{i}", f"<article><div class='article-header'><h1>{own(i, 3)}</h1><p>{menu}</p></div><p>{own(50 + i)}</p></article>"
+              f"<div class='page-teaser'>{own(70 + i)}</div>") for i in range(6)]
+    assert html_extract.extract_host(pages) == [(f"{own(i, 3)}\n{own(50 + i)}", 10) for i in range(6)]
+
+
 def test_covered_tokens_match_brute_force():
     import numpy as np
 
