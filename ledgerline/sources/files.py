@@ -112,3 +112,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Removes a file or a folder with all it holds; false if there was none."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
