@@ -78,3 +78,66 @@ WHERE coalesce(a.n = a.ni AND a.n = a.nd, true) AND l.n_windows >= least({LEAST}
 GROUP BY l.doc_id, l.item_id, l.item_windows
 """
 
+
+# crc32 by its table of 256 entries, computed here; levenshtein() counts bytes, so every letter becomes one byte.
+SPELLING_SQL = r"""
+WITH RECURSIVE
+table0 AS (SELECT i, i AS c, 0 AS step FROM range(256) r(i)
+           UNION ALL
+           SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1 FROM table0 WHERE step < 8),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY i) AS tab FROM table0 WHERE step = 8),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS doc,
+                unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+         FROM documents),
+uses AS (SELECT doc, run, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (SELECT run, k, xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(1, length(hex(encode(doc || ':' || run))), 2),
+                   lambda p: ('0x' || substr(hex(encode(doc || ':' || run)), p, 2))::BIGINT)),
+               lambda crc, byte: xor(crc // 256, tab[(xor(crc, byte) % 256) + 1])), 4294967295) AS h
+           FROM uses, crc_table),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+vocabulary AS MATERIALIZED (
+    SELECT word, sum(k)::BIGINT AS n,
+           translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ',
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!"#$%&()*+,-./:;<=>?@[\]^_`{') AS bytes
+    FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+halves AS (SELECT word, n, bytes, size, side, CASE WHEN side = 0 THEN left(bytes, size // 2) ELSE right(bytes, size - size // 2) END AS part
+           FROM vocabulary, (VALUES (0), (1)) s(side), (VALUES (0), (1)) l(less), LATERAL (SELECT length(bytes) - less AS size) z),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n AS other_n
+         FROM halves a JOIN halves b ON a.size = b.size AND a.side = b.side AND a.part = b.part AND a.word <> b.word
+         WHERE levenshtein(a.bytes, b.bytes) = 1),
+best AS (SELECT word, count(*) AS n_near, min({'m': -other_n, 'w': other}) AS b FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                 CASE WHEN -b.m >= 2 * v.n THEN b.w END AS form, CASE WHEN -b.m >= 2 * v.n THEN (-b.m)::BIGINT END AS form_n
+          FROM vocabulary v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON c.at = e.word WHERE e.form IS NULL
+"""
+
+
+def centroid_sql(k: int = 16, rounds: int = 3, size: int = 64, scale: int = 64) -> str:
+    numbers = f"range(1, {size + 1})"
+    steps, centroids = [], "start"
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT row, any_value(vec_id) AS vec_id, any_value(z) AS z, min({{'d': d, 'c': c}}) AS best FROM (
+    SELECT v.row, v.vec_id, v.z, m.c, list_sum(list_transform({numbers}, lambda j: (v.z[j] - m.z[j]) * (v.z[j] - m.z[j])))::BIGINT AS d
+    FROM kept v, {centroids} m) GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT best.c AS c, j, sum(z[j])::BIGINT AS s, count(*)::BIGINT AS n FROM a{r}, {numbers} t(j) GROUP BY ALL),
+m{r} AS MATERIALIZED (SELECT o.c, coalesce(f.z, o.z) AS z FROM {centroids} o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS z FROM s{r} GROUP BY c) f USING (c))""")
+            centroids = f"m{r}"
+    all_steps = ",\n".join(steps)
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS z FROM embeddings
+    WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+start AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, z) - 1 AS c, z FROM (
+    SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, z FROM kept ORDER BY h, z LIMIT {k})),
+{all_steps},
+total AS (SELECT best.c AS c, sum(best.d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY best.c)
+SELECT a.vec_id, a.best.c::INT AS cluster, a.best.d AS distance, t.cluster_inertia, (SELECT sum(cluster_inertia) FROM total)::BIGINT AS inertia,
+       sha256(array_to_string(m.z, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN total t ON a.best.c = t.c JOIN {centroids} m ON a.best.c = m.c
+"""

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (decontaminate, html_extract, language_id, lm_score, mixing, ngram_join, quality_rules,
-                            rule_ensemble, url_filter, warc_store)
+from ledgerline.llm import (centroids, decontaminate, html_extract, language_id, lm_score, mixing, ngram_join,
+                            projection_search, quality_rules, rule_ensemble, spelling, url_filter, warc_store)
 from ledgerline.llm.common import checkpointed, crc_rest
-from ledgerline.llm.oracles import WARC_SQL, leaks_sql, url_sql
+from ledgerline.llm.oracles import SPELLING_SQL, WARC_SQL, centroid_sql, leaks_sql, url_sql
 from ledgerline.llm.stats import text_stats
 from ledgerline.session import read_table, shared_folder
 
@@ -78,10 +78,24 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_centroid_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_search.nearest_vectors(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_mix_sources, op3_decontaminate, op4_ngram_join, op5_language_id, op6_lm_score,
-        op7_warc_store, op8_url_filter, op9_quality_classifier, op10_html_extract)}
+        op7_warc_store, op8_url_filter, op9_quality_classifier, op10_html_extract, op11_centroid_cluster,
+        op12_nearest_vectors, op13_spelling_variants)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -90,4 +104,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_decontaminate": leaks_sql("documents"), "op7_warc_store": WARC_SQL,
-            "op8_url_filter": url_sql(URL_RULES, BLOCKED_HOSTS)}
+            "op8_url_filter": url_sql(URL_RULES, BLOCKED_HOSTS), "op11_centroid_cluster": centroid_sql(),
+            "op13_spelling_variants": SPELLING_SQL}
