@@ -20,6 +20,10 @@ class Layout:
     @property
     def disposition(self) -> str: return self._p("Admin", "FileDisposition")
     @property
+    def move_intents(self) -> str: return self._p("Admin", "MoveIntents")
+    @property
+    def move_outcomes(self) -> str: return self._p("Admin", "MoveOutcomes")
+    @property
     def bridge(self) -> str: return self._p("Admin", "BrandCategoryProductServiceSeller")
     @property
     def silver_files(self) -> str: return self._p("Admin", "SilverFiles")

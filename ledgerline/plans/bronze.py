@@ -1,24 +1,31 @@
 """File -> Bronze.
 
-1. Discover ``Inbound/<Source>/**`` (skipping files already given a
+1. List ``Inbound/<Source>/**`` in tasks (skipping files already given a
    disposition with the same size and modification time).
 2. Give each file its configuration row (a Source has one per file type, told
    apart by FileNamePattern) with the expected file columns.
-3. Scan headers of candidate files in one distributed text read.
+3. Read the lines of candidate files, once, into a table of the load; headers and
+   whether fields run over line ends come from it.
 4. Give every file exactly one disposition: Valid, Error (header issue or
    Empty), Ignored (not .csv/.txt, or outside a source folder) or
    NoConfiguration (left in place and logged).
-5. Read the valid files grouped by layout, map file columns to Bronze
+5. Parse the valid files' records by their file's layout, map file columns to Bronze
    columns, turn NULL tokens into NULL, coerce to the declared types, set
    rows with uncastable cells and lines with surplus or missing fields aside
    (``_bad_columns`` says which), add audit columns and append.
 
+The file registry (listing, dispositions, row counts) is a table throughout: each step writes it
+to the load's folder and the next reads it again.  The driver sees configuration rows, counts and the distinct
+header layouts, never a row per file.
+
 Optionally, file moves follow the dispositions (Archive / Error with the
-issue in the name).  Without moves, re-runs skip files already recorded.
+issue in the name): intents are recorded first, moved by tasks and acknowledged one by one, so that an
+interrupted run is carried on by the next.  Without moves, re-runs skip files already recorded.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -39,11 +46,15 @@ from ledgerline.operators.configuration import expected_columns
 from ledgerline.operators.header import header_check, split_header
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
+from ledgerline.session import shared_folder
 from ledgerline.sources.delimited import Layout as FileLayout
-from ledgerline.sources.delimited import MALFORMED, read_group
-from ledgerline.sources.files import rename
-from ledgerline.sources.inbound import discover, scan_headers
+from ledgerline.sources.delimited import (
+    MALFORMED, add_transitions, file_headers, parse_any, records_of, scan_lines,
+)
+from ledgerline.sources.files import delete, exists, qualify
+from ledgerline.sources.inbound import discover
 from ledgerline.sources.tables import append, read_or_empty
+from ledgerline.sources.taskfiles import MOVED, move, move_on_driver, tasks_reach
 
 VALID, ERROR, IGNORED, NO_CONFIG = "Valid", "Error", "Ignored", "NoConfiguration"
 
@@ -55,6 +66,9 @@ DISPOSITION_SCHEMA = schemas._struct(
     ("TargetPath", schemas.S), ("ExecutionGUID", schemas.S), ("SourceFile", schemas.S),
 )
 
+MOVE_OUTCOME = schemas._struct(("path", schemas.S), ("TargetPath", schemas.S), ("LoadGUID", schemas.S),
+                               ("Outcome", schemas.S), ("ExecutionGUID", schemas.S))
+
 BRONZE_TEXT_COLUMNS = ["Amount", "Category", "Date", "Description"]
 # What _bad_columns holds for a line with surplus or missing fields.
 FIELD_COUNT = "FieldCount"
@@ -175,8 +189,8 @@ def target_path(layout: Layout):
 
 def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataFrame:
     """Attach parsed row counts; a header-valid file without rows is Empty."""
-    c = counts.select(F.col("_uri").alias("uri"), F.col("n").alias("_n"))
-    joined = disp.join(c, "uri", "left")
+    c = counts.select(F.col("_path").alias("path"), F.col("n").alias("_n"))
+    joined = disp.join(c, "path", "left")
     valid = F.col("Disposition") == VALID
     empty = valid & (F.coalesce("_n", F.lit(0)) == 0)
     out = (joined.withColumn("RowCount", F.when(valid, F.coalesce("_n", F.lit(0)))
@@ -186,19 +200,30 @@ def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataF
     return out.withColumn("TargetPath", target_path(layout)).drop("_n")
 
 
-def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: DataFrame,
-                 execution_guid: str, unusable: list[int]) -> DataFrame:
+def candidate_lines(spark: SparkSession, folder: str, files: DataFrame, target: str) -> DataFrame:
+    """Writes the lines of the files to be checked to ``target``, by configuration row, and reads them again.
+
+    One reading of every file: what follows sees the same lines, order and splits whatever is
+    repeated, and whatever arrives meanwhile.
+    """
+    wanted = files.where(F.col("accepted") & (F.col("size") > 0) & F.col("expected").isNotNull()
+                         & F.col("Source").isNotNull())
+    oldest = wanted.agg(F.min("modified")).first()[0]  # files before it need no look
+    schema = "path string, block bigint, id bigint, line string, kind int, ConfigurationFileID int"
+    if oldest is None:
+        return spark.createDataFrame([], schema)
+    since = dt.datetime.fromtimestamp(oldest // 1000 - 1, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    known = wanted.select(F.col("path").alias("_path"), "ConfigurationFileID", "Delimiter", "TextQualifier")
+    lines = scan_lines(spark, folder, since).join(known, F.col("path") == F.col("_path"))
+    add_transitions(lines).select("path", "block", "id", "line", "kind", "ConfigurationFileID") \
+        .write.partitionBy("ConfigurationFileID").parquet(target)
+    return spark.read.schema(schema).parquet(target)
+
+
+def dispositions(layout: Layout, files: DataFrame, headers: DataFrame, layouts: list[tuple[str, str]],
+                 execution_guid: str) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
-    with_cfg = choose_configuration(files, cfg, unusable)
-    candidates = with_cfg.where(F.col("accepted") & (F.col("size") > 0)
-                                & F.col("expected").isNotNull() & F.col("Source").isNotNull())
-    paths = [r["path"] for r in candidates.select("path").collect()]
-    layouts = sorted((r["Delimiter"], r["TextQualifier"]) for r in
-                     cfg.select("Delimiter", "TextQualifier").distinct().collect())
-    headers = scan_headers(spark, paths, sorted({q for _, q in layouts}))
-    df = with_cfg.join(headers, "uri", "left").withColumns({
-        "actual": _split_by_layout("header", layouts),
-        "multi_line": F.array_contains("open_quotes", F.col("TextQualifier"))})
+    df = files.join(headers, "path", "left").withColumn("actual", _split_by_layout("header", layouts))
     df = header_check(df, "actual", "expected")
     # Zero-byte or blank files; header-only files are found after parsing.
     empty = (F.col("size") == 0) | F.coalesce(F.trim("header") == "", F.lit(True))
@@ -216,7 +241,7 @@ def dispositions(spark: SparkSession, layout: Layout, files: DataFrame, cfg: Dat
            # the path inside the source folder: Bronze's SourceFile
            .withColumn("SourceFile", F.regexp_replace("relative", r"^[^/]*/", "")))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
-                      "DefaultCategory", "actual", "relative", "multi_line")
+                      "DefaultCategory", "actual", "relative", "header_id", "multi_line")
 
 
 def rule_order(r) -> tuple:
@@ -237,7 +262,7 @@ def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
     df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
     df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
                                        for r in rules if r["ColumnName_Bronze"] not in exprs])
-    keep = [c for c in ("_uri", "_file", "_path", MALFORMED) if c in df.columns]
+    keep = [c for c in ("_file", "_path", MALFORMED) if c in df.columns]
     df = align(df, T.StructType([T.StructField(c, T.StringType())
                                  for c in BRONZE_TEXT_COLUMNS + keep]))
     df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
@@ -250,17 +275,27 @@ def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
         .drop(MALFORMED)
 
 
-def read_valid(spark: SparkSession, valid: list, cc_rows: list, execution_guid: str) -> DataFrame | None:
-    """Valid files -> Bronze-shaped typed rows plus ``_bad_columns`` and ``_raw``."""
-    groups: dict[tuple, list[str]] = {}
-    for r in valid:
-        key = (r["ConfigurationFileID"], r["Delimiter"], r["TextQualifier"], tuple(r["actual"]),
-               bool(r["multi_line"]))
-        groups.setdefault(key, []).append(r["path"])
+def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame | None:
+    """Valid files -> Bronze-shaped typed rows plus ``_path``, ``_bad_columns`` and ``_raw``.
+
+    The driver takes one row per distinct layout; files find theirs by a join.
+    """
+    key = ["ConfigurationFileID", "Delimiter", "TextQualifier", "actual"]
+    found = sorted(valid.select(*key).distinct().collect(), key=lambda r: [str(x) for x in r])
+    by_config: dict[int, list] = {}
+    for r in found:
+        by_config.setdefault(r["ConfigurationFileID"], []).append(r)
     frames = []
-    for key, paths in groups.items():
-        config_id, delim, quote, columns, multi_line = key
-        df = read_group(spark, FileLayout(delim, quote, columns, multi_line), paths)
+    for config_id, rows in by_config.items():
+        number = F.lit(None).cast("int")
+        for i, r in enumerate(rows):
+            number = F.when((F.col("Delimiter") == r["Delimiter"]) & (F.col("TextQualifier") == r["TextQualifier"])
+                            & (F.col("actual") == F.array(*[F.lit(c) for c in r["actual"]])), i).otherwise(number)
+        files = valid.where(F.col("ConfigurationFileID") == config_id) \
+            .select("path", "header_id", "multi_line", number.alias("_layout"))
+        own = lines.where(F.col("ConfigurationFileID") == config_id).drop("ConfigurationFileID")
+        layouts = [FileLayout(r["Delimiter"], r["TextQualifier"], tuple(r["actual"])) for r in rows]
+        df = parse_any(records_of(own, files, ["_layout"]), layouts, "_layout").withColumnRenamed("path", "_path")
         frames.append(shape_bronze(df, column_rules(cc_rows, config_id)))
     if not frames:
         return None
@@ -271,8 +306,11 @@ def read_valid(spark: SparkSession, valid: list, cc_rows: list, execution_guid:
 
 
 def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
-                         source: str | None = None, move_files: bool = False) -> BronzeResult:
+                         source: str | None = None, move_files: bool = False,
+                         listed: DataFrame | None = None, guid: str | None = None) -> BronzeResult:
+    """Loads the files below Inbound, or those of ``listed`` (columns as ``discover`` returns them)."""
     with log.step("LoadFileToBronze", Source=source or "") as main:
+        main.guid = guid or main.guid
         with log.step("RetrieveConfigurations") as s:
             cf, cc = config_source.load(spark, layout.admin)
             cc_rows = cc.collect()  # configuration: a few rows per source
@@ -283,24 +321,31 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
         # A few rows per source: materialise once as a local relation so later
         # actions do not re-read and re-aggregate the configuration files.
         cfg_frame = source_configuration(cf, cc)
-        cfg = spark.createDataFrame(cfg_frame.collect(), cfg_frame.schema)
+        cfg_rows = cfg_frame.collect()
+        cfg = spark.createDataFrame(cfg_rows, cfg_frame.schema)
+        layouts = sorted({(r["Delimiter"], r["TextQualifier"]) for r in cfg_rows})
         unusable = [k for k in problems if isinstance(k, int)]
+        registry = shared_folder(spark, "registry")
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            """``df`` written to the load's folder and read again."""
+            df.write.parquet(f"{registry}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{registry}/{name}")
 
         with log.step("DiscoverInbound") as s:
-            files = discover(spark, layout.bronze_inbound, source)
+            files = listed if listed is not None else discover(spark, layout.bronze_inbound, source)
             done = read_or_empty(spark, layout.disposition, DISPOSITION_SCHEMA) \
-                .where(F.col("Disposition").isin(VALID, ERROR)).select("uri", "size", "modified")
-            files = files.join(done, ["uri", "size", "modified"], "left_anti")
+                .where(F.col("Disposition").isin(VALID, ERROR)).select("path", "size", "modified")
+            files = files.join(done, ["path", "size", "modified"], "left_anti")
+            files = kept(choose_configuration(files, cfg, unusable), "files")
             s.source = layout.bronze_inbound
 
         with log.step("ValidateColumnHeaders") as s:
-            # One row per file (the same metadata as the listing): materialise
-            # it once so later steps do not re-run the header scan.
-            disp_frame = dispositions(spark, layout, files, cfg, main.guid, unusable)
-            disp = spark.createDataFrame(disp_frame.collect(), disp_frame.schema)
-            counts = {r["Disposition"]: r["n"] for r in
-                      disp.groupBy("Disposition").agg(F.count(F.lit(1)).alias("n")).collect()}
-            s.parameters.update({k: str(v) for k, v in counts.items()})
+            folder = layout.bronze_inbound if source is None else f"{layout.bronze_inbound}/{source}"
+            lines = candidate_lines(spark, folder, files, f"{registry}/lines")
+            disp = kept(dispositions(layout, files, file_headers(lines), layouts, main.guid), "checked")
+            s.parameters.update({r["Disposition"]: str(r["n"]) for r in
+                                 disp.groupBy("Disposition").agg(F.count(F.lit(1)).alias("n")).collect()})
             missing = [r["Source"] for r in disp.where(F.col("Disposition") == NO_CONFIG)
                        .select("Source").distinct().collect() if r["Source"]]
             if missing:
@@ -308,61 +353,78 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                          + ", ".join(sorted(missing)))
 
         loaded = quarantined = 0
-        valid = disp.where(F.col("Disposition") == VALID).select(
-            "path", "uri", "file_name", "Source", "ConfigurationFileID", "Delimiter",
-            "TextQualifier", "DefaultCategory", "actual", "multi_line").collect()
-        rows = read_valid(spark, valid, cc_rows, main.guid)
+        rows = read_valid(disp.where(F.col("Disposition") == VALID), lines, cc_rows)
         if rows is not None:
             with log.step("WriteBronze") as s:
-                # SourceFile: the path inside the source folder (just the file
-                # name for flat folders; unique when sub-folders repeat names).
-                in_source = F.regexp_replace(F.col("relative"), r"^[^/]*/", "")
                 file_meta = disp.where(F.col("Disposition") == VALID).select(
-                    F.col("uri").alias("_uri"), in_source.alias("file_name"), "Source",
-                    "DefaultCategory")
-                rows = rows.join(file_meta, "_uri", "left").withColumn(
+                    F.col("path").alias("_path"), "SourceFile", "Source", "DefaultCategory")
+                rows = rows.join(file_meta, "_path", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
                 # Parsed once: good and bad rows are two writes over one persisted
-                # parse (memory and disk; recomputable from the files if lost).
-                rows = add_bronze_audit(rows, main.guid, "Source", "file_name") \
+                # parse (memory and disk; recomputable from the lines if lost).
+                rows = add_bronze_audit(rows, main.guid, "Source", "SourceFile") \
                     .persist(StorageLevel.MEMORY_AND_DISK)
                 good, bad = split_quarantine(rows, keep_bad_column=True)
                 bad = bad.select(
                     "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime")
                 good, obs = observed(align(good, schemas.BRONZE_TRANSACTION), "bronze_rows")
                 # Partitioned by source and load: Silver reads only the loads
-                # that still have files to take (partition pruning).
-                append(good, layout.bronze_transaction, ["Source", "ExecutionGUID"])
+                # that still have files to take (partition pruning).  A load that is
+                # repeated under its own GUID replaces what it wrote before.
+                (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("Source", "ExecutionGUID").parquet(layout.bronze_transaction))
                 loaded = obs.get.get("rows", 0)
                 bad, obs_bad = observed(bad, "bronze_bad_rows")
-                append(bad, layout.bronze_quarantine)
-                quarantined = obs_bad.get.get("rows", 0)
-                counts = rows.groupBy("_uri").agg(F.count(F.lit(1)).alias("n"))
-                counted = with_row_counts(layout, disp, counts)
-                disp = spark.createDataFrame(counted.collect(), counted.schema)  # one row per file
+                append_once(spark, bad, layout.bronze_quarantine, main.guid, guid is not None)
+                quarantined = obs_bad.get.get("rows", 0) if guid is None else bad.count()
+                counts = rows.groupBy("_path").agg(F.count(F.lit(1)).alias("n"))
+                disp = kept(with_row_counts(layout, disp, counts), "counted")
                 rows.unpersist()
                 s.rows, s.target = loaded, layout.bronze_transaction
                 if quarantined:
                     log.warn(s, f"{quarantined} row(s) with uncastable cells set aside")
 
         with log.step("RecordDispositions") as s:
-            append(disp.select(*[f.name for f in DISPOSITION_SCHEMA.fields]), layout.disposition)
+            if move_files:
+                intents = disp.where(F.col("TargetPath").isNotNull()).select("path", "TargetPath", "ExecutionGUID")
+                append_once(spark, intents, layout.move_intents, main.guid, guid is not None)
+            append_once(spark, disp.select(*[f.name for f in DISPOSITION_SCHEMA.fields]), layout.disposition,
+                        main.guid, guid is not None)
             s.target = layout.disposition
         if move_files:
             with log.step("MoveFiles") as s:
-                moved = move_by_disposition(spark, disp)
-                s.rows = moved
+                outcomes = carry_out_moves(spark, layout, main.guid)
+                s.rows = outcomes.pop(MOVED, 0)
+                s.parameters.update({k: str(v) for k, v in outcomes.items()})
+        # The lines are needed no more; the registry stays for the result's readers.
+        if exists(spark, f"{registry}/lines"):
+            delete(spark, f"{registry}/lines")
         main.rows = loaded
     return BronzeResult(disp, loaded, quarantined)
 
 
-def move_by_disposition(spark: SparkSession, disp: DataFrame) -> int:
-    """Rename files to their target paths (Archive, or Error with the issue).
+def append_once(spark: SparkSession, df: DataFrame, table: str, guid: str, repeatable: bool) -> None:
+    """Appends rows of a load; of a load that may be handed over again, only where its first try did not."""
+    if repeatable and exists(spark, table) and not spark.read.schema("ExecutionGUID string").parquet(table) \
+            .where(F.col("ExecutionGUID") == guid).isEmpty():
+        return
+    append(df, table)
+
+
+def carry_out_moves(spark: SparkSession, layout: Layout, execution_guid: str) -> dict[str, int]:
+    """Moves every file with a recorded intent and no acknowledgement; (outcome -> files).
 
-    A metadata operation on the driver, one rename per file.
+    Also those of earlier loads that were interrupted.  Tasks move the files and acknowledge each; a
+    repeated task finds what it has moved at its target.
     """
-    moved = 0
-    for r in disp.where(F.col("TargetPath").isNotNull()).select("path", "TargetPath").toLocalIterator():
-        if rename(spark, r["path"], r["TargetPath"]):
-            moved += 1
-    return moved
+    root = qualify(spark, layout.root).rstrip("/")
+    intents = spark.read.schema("path string, TargetPath string, ExecutionGUID string").parquet(layout.move_intents) \
+        .select("path", "TargetPath", F.col("ExecutionGUID").alias("LoadGUID"))
+    intents = intents.withColumn("TargetPath", F.concat(F.lit(root), F.substring(
+        "TargetPath", len(layout.root.rstrip("/")) + 1, 1 << 20)))
+    acknowledged = read_or_empty(spark, layout.move_outcomes, MOVE_OUTCOME)
+    open_moves = intents.join(acknowledged.select("path", "LoadGUID"), ["path", "LoadGUID"], "left_anti")
+    done = move(open_moves, root) if tasks_reach(root) else move_on_driver(spark, open_moves)
+    append(done.withColumn("ExecutionGUID", F.lit(execution_guid)), layout.move_outcomes)
+    return {r["Outcome"]: r["n"] for r in spark.read.schema(MOVE_OUTCOME).parquet(layout.move_outcomes)
+            .where(F.col("ExecutionGUID") == execution_guid).groupBy("Outcome").agg(F.count(F.lit(1)).alias("n")).collect()}

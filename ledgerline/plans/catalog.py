@@ -654,7 +654,9 @@ def q_log_rows(spark, sf_dir):
 
 # --- Bronze file dispositions over table-derived exports (ops 1, 4, 5, 9, 10, 26)
 # One export file per source folder and ship year; the 'memo' export carries an
-# extra column and is rejected, so its rows are not counted.
+# extra column and is rejected, so its rows are not counted.  Files from orders, one
+# per priority or status, lack columns, are of another type or of an unknown source;
+# one has a header only.
 @register("bronze_dispositions", """
 WITH t AS (
   SELECT l_returnflag, l_returnflag = 'N' AND l_linenumber % 2 = 0 AS at_till, year(l_shipdate) AS y
@@ -664,10 +666,16 @@ f AS (
          CASE WHEN l_returnflag = 'R' THEN 'Error' ELSE 'Valid' END AS Disposition,
          CASE WHEN l_returnflag = 'R' THEN 'ExtraColumns' ELSE '' END AS Issue,
          at_till, y, count(*) AS n
-  FROM t WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1, 2, 3, 4, 5)
+  FROM t WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1, 2, 3, 4, 5),
+p AS (SELECT count(DISTINCT o_orderpriority) AS files FROM orders)
 SELECT Source, Disposition, Issue, count(*) AS files,
        CASE WHEN Disposition = 'Valid' THEN CAST(sum(n) AS BIGINT) END AS rows
 FROM f GROUP BY 1, 2, 3
+UNION ALL SELECT 'bank', 'Error', 'MissingColumns', files, NULL FROM p
+UNION ALL SELECT 'bank', 'Error', 'ExtraColumns.MissingColumns', files, NULL FROM p
+UNION ALL SELECT 'shop', 'Ignored', '', files, NULL FROM p
+UNION ALL SELECT 'club', 'NoConfiguration', '', count(DISTINCT o_orderstatus), NULL FROM orders
+UNION ALL SELECT 'bank', 'Error', 'Empty', 1, CAST(0 AS BIGINT)
 """)
 def q_bronze_dispositions(spark, sf_dir):
     from ledgerline.plans.medallion import bronze_dispositions
@@ -675,6 +683,14 @@ def q_bronze_dispositions(spark, sf_dir):
     return bronze_dispositions(spark, sf_dir)
 
 
+# --- splittable scan of fields that run over line ends (op 1) ------------------
+@register("quoted_scan", "SELECT * FROM documents")
+def q_quoted_scan(spark, sf_dir):
+    from ledgerline.plans.medallion import quoted_scan
+
+    return quoted_scan(spark, sf_dir)
+
+
 # --- what a load records about itself (ops 7, 18, 40, 41) ----------------------
 # Per source: the Bronze rows whose audit columns point to the run in the log, the
 # row count that the run observed, and the run's steps in the order of the log.

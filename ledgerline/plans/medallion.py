@@ -23,6 +23,8 @@ from ledgerline.plans.gold import load_silver_to_gold
 from ledgerline.plans.runlog import RunLog, read_log
 from ledgerline.plans.silver import apply_manual_mapping, load_bronze_to_silver
 from ledgerline.session import Tables, ensure_checkpoint_dir
+from ledgerline.sources.delimited import MALFORMED, read_delimited
+from ledgerline.sources.delimited import Layout as FileLayout
 from ledgerline.sources.files import write_text
 
 FILE_CONFIG = """ConfigurationFileID|Source|Delimiter|TextQualifier|Account|DefaultCategory|FileNamePattern
@@ -88,6 +90,26 @@ def export_inbound(spark: SparkSession, layout: Layout, sf_dir: str) -> None:
     write_text(spark, f"{layout.admin}/ConfigurationColumn.txt", COLUMN_CONFIG)
 
 
+def export_rejects(spark: SparkSession, layout: Layout, sf_dir: str) -> None:
+    """Files from orders that no load takes: columns missing or exchanged, header only, another
+    file type, a source without configuration."""
+    orders = Tables(spark, sf_dir).orders.select(
+        F.to_date("o_orderdate").cast("string").alias("Date"), F.col("o_totalprice").cast("string").alias("Amount"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("Description"),
+        F.lit("memo").alias("Memo"), "o_orderpriority", "o_orderstatus")
+
+    def write(columns: list[str], folder: str, by: str, kind: str = "csv") -> None:
+        (orders.select(*columns, by).hint("rebalance", by).write.partitionBy(by).format(kind)
+         .option("header", True).save(f"{layout.bronze_inbound}/{folder}"))
+
+    write(["Date", "Description"], "bank/short", "o_orderpriority")
+    write(["Date", "Memo"], "bank/memos", "o_orderpriority")
+    write(["Date", "Amount", "Description"], "shop/dump", "o_orderpriority", "json")
+    write(["Date", "Amount", "Description"], "club", "o_orderstatus")
+    orders.select("Date", "Amount", "Description").limit(0).coalesce(1).write.option("header", True) \
+        .csv(f"{layout.bronze_inbound}/bank/nothing")
+
+
 def manual_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for the person filling ToMap: names from the part table."""
     part = Tables(spark, sf_dir).part
@@ -119,10 +141,12 @@ def medallion_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Category", "Month", F.col("Spend").cast("double").alias("Spend"), "Lines")
 
 
-def run_bronze(spark: SparkSession, sf_dir: str) -> Layout:
+def run_bronze(spark: SparkSession, sf_dir: str, rejects: bool = False) -> Layout:
     """Export and run the Bronze load only."""
     layout = Layout(f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{run_guid()}")
     export_inbound(spark, layout, sf_dir)
+    if rejects:
+        export_rejects(spark, layout, sf_dir)
     log = RunLog("bronze")
     load_files_to_bronze(spark, layout, log)
     log.write(spark, layout.log)
@@ -131,7 +155,7 @@ def run_bronze(spark: SparkSession, sf_dir: str) -> Layout:
 
 def bronze_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file dispositions of a Bronze load, summarised."""
-    disp = spark.read.parquet(run_bronze(spark, sf_dir).disposition)
+    disp = spark.read.parquet(run_bronze(spark, sf_dir, rejects=True).disposition)
     return disp.groupBy("Source", "Disposition", "Issue").agg(
         F.count(F.lit(1)).alias("files"), F.sum("RowCount").alias("rows"))
 
@@ -154,3 +178,13 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_file.groupBy("Source", "ExecutionGUID").agg(
         F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("files")) \
         .join(runs, "ExecutionGUID").drop("ExecutionGUID")
+
+
+def quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line ends and all, written as delimited files and read back in splits."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quoted-{run_guid()}"
+    docs = Tables(spark, sf_dir).documents
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(folder))
+    rows = read_delimited(spark, folder, FileLayout(",", '"', tuple(docs.columns)))
+    return rows.where(F.col(MALFORMED).isNull()).select(*[F.col(f.name).cast(f.dataType) for f in docs.schema.fields])

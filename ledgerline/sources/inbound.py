@@ -1,57 +1,24 @@
-"""Inbound discovery and the per-file header scan.
-
-Discovery lists ``<Inbound>/<Source>/...`` through the file system (zero-byte
-files included; Spark scans skip them).  The header scan is one distributed
-text read of the candidate files.  It finds each file's first line, in the split
-that starts at byte 0 (smallest row id there), and the qualifiers that some line
-holds an odd number of times: such a field may run over a line end.
-"""
+"""Inbound discovery: every file below ``<Inbound>/<Source>/...``, zero-byte files included."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.text import has_accepted_extension
-from ledgerline.sources.files import listing_frame, normalize_uri_col
+from ledgerline.sources.taskfiles import listing
 
-HEADER_SCHEMA = T.StructType([
-    T.StructField("uri", T.StringType()), T.StructField("header", T.StringType()),
-    T.StructField("open_quotes", T.ArrayType(T.StringType())),
-])
+
+def with_source(files: DataFrame) -> DataFrame:
+    """Adds Source, the first folder of ``relative`` (none at the top level), and whether the file type is accepted."""
+    parts = F.split("relative", "/")
+    return files.withColumn("Source", F.when(F.size(parts) > 1, parts.getItem(0))) \
+        .withColumn("accepted", has_accepted_extension("file_name"))
 
 
 def discover(spark: SparkSession, inbound_root: str, source: str | None = None) -> DataFrame:
     """(path, uri, relative, file_name, size, modified, Source, accepted)."""
-    files = listing_frame(spark, inbound_root)
-    parts = F.split("relative", "/")
-    out = files.withColumn("Source", F.when(F.size(parts) > 1, parts.getItem(0))) \
-        .withColumn("accepted", has_accepted_extension("file_name"))
+    out = with_source(listing(spark, inbound_root))
     if source is not None:
         out = out.where(F.col("Source") == F.lit(source))
     return out
-
-
-def scan_headers(spark: SparkSession, paths: list[str], quotes: list[str]) -> DataFrame:
-    """(uri, header, open_quotes) for each non-empty file among ``paths``.
-
-    Both aggregates are combined map-side to one row per file and task, and lines
-    outside a file's first split only count qualifiers.  Row counts come later from
-    the CSV parse itself.
-    """
-    if not paths:
-        return spark.createDataFrame([], HEADER_SCHEMA)
-    text = spark.read.option("lineSep", "\n").text(paths).select(
-        normalize_uri_col(F.col("_metadata.file_path")).alias("uri"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
-        F.monotonically_increasing_id().alias("_id"))
-    odd = [F.max(F.pmod(F.length("line") - F.length(F.replace("line", F.lit(q), F.lit(""))), F.lit(2)))
-           for q in quotes]
-    open_quotes = F.filter(F.array(*[F.when(n == 1, F.lit(q)) for q, n in zip(quotes, odd)])
-                           .cast("array<string>"), lambda q: q.isNotNull())
-    return text.groupBy("uri").agg(
-        F.min(F.when(F.col("block") == 0, F.struct("_id", "line")))["line"].alias("header"),
-        open_quotes.alias("open_quotes")) \
-        .select("uri", F.regexp_replace("header", "^\ufeff", "").alias("header"), "open_quotes")
