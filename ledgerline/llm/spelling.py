@@ -31,6 +31,8 @@ RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words of a tile, and code points of a tile's matrix at most.
 TILE, TILE_CELLS = 512, 1 << 21
+# Lengths from this on share one count when groups are made: the table of counts has 2 * LENGTHS rows at most.
+LENGTHS = 64
 PAIR = "word string, near string, near_n bigint"
 
 
@@ -70,10 +72,10 @@ def _entries(vocabulary: DataFrame) -> DataFrame:
 
 def _grouped(vocabulary: DataFrame) -> DataFrame:
     """Entries dealt to tile pairs (size, side, part, a, b); ``tile`` is the entry's own tile, a or b."""
-    entries = _entries(vocabulary)
-    parts = entries.groupBy("size", "side").agg(F.count(F.lit(1)).alias("_n")) \
-        .select("size", "side", F.ceil(F.col("_n") / _tile(F.col("size"))).alias("parts"))
-    entries = entries.join(parts, ["size", "side"]).withColumn("part", F.expr("pmod(key, parts)"))
+    entries = _entries(vocabulary).withColumn("_length", F.least("size", F.lit(LENGTHS)))
+    parts = entries.groupBy("_length", "side").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_length", "side", F.ceil(F.col("_n") / _tile(F.col("_length"))).alias("parts"))
+    entries = entries.join(F.broadcast(parts), ["_length", "side"]).withColumn("part", F.expr("pmod(key, parts)"))
     tiles = entries.groupBy("size", "side", "part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("longer").alias("_all_longer")) \
         .where((F.col("_n") > 1) & ~F.col("_all_longer")) \
