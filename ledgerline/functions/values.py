@@ -38,6 +38,14 @@ _REAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^(?i)[+-]?(nan|inf|infinity)$"
 MONEY_SHAPE = (r"^\(?\s*[+-]?\s*[$€£¥]?\s*[+-]?(\d{1,3}(,\d{3})+|\d+)?(\.\d+)?"
                r"\s*-?\s*\)?$")
 
+# Day and month as numbers: the two orders share a shape, so the text alone doesn't tell which it is.
+# A family is told by its separator.
+FAMILIES = ("/", ".", "-")
+MONTH_FIRST, DAY_FIRST = "M", "d"
+_MONTH, _DAY, _CLOCK = "(0?[1-9]|1[0-2])", "(0?[1-9]|[12][0-9]|3[01])", r"( \d{1,2}:\d{2}(:\d{2})?)?"
+# A datatype with its layout, as in ``date(d/M/yyyy)``.
+_WITH_LAYOUT = re.compile(r"(date|timestamp)\(\s*([^)]*[dM][^)]*)\)")
+
 _DECIMAL = re.compile(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 
 
@@ -64,10 +72,59 @@ def parse_amount(col: Column | str, scale: int = 2, precision: int = 18) -> Colu
     return signed.try_cast(f"decimal({precision},{scale})")
 
 
+def declared_layout(datatype: str | None) -> tuple[str, str | None]:
+    """(type, order of day and month if the datatype names a layout)."""
+    t = (datatype or "string").strip()
+    m = _WITH_LAYOUT.fullmatch(t)
+    if not m:
+        return t, None
+    day, month = m.group(2).find("d"), m.group(2).find("M")
+    if day < 0 or month < 0:
+        raise ValueError(f"{datatype!r} names no day or no month")
+    return m.group(1), DAY_FIRST if day < month else MONTH_FIRST
+
+
+def date_family(col: Column | str) -> Column:
+    """Separator of a cell whose day and month are numbers before a year; NULL for other cells."""
+    c = F.trim(_c(col))
+    return F.coalesce(*[F.when(c.rlike(rf"^\d{{1,2}}[{s}]\d{{1,2}}[{s}]\d{{4}}{_CLOCK}$"), F.lit(s)) for s in FAMILIES])
+
+
+def fits_order(col: Column | str, order: str) -> Column:
+    """True if the cell's numbers can be a month and a day in this order."""
+    one, two = (_MONTH, _DAY) if order == MONTH_FIRST else (_DAY, _MONTH)
+    c = F.trim(_c(col))
+    fits = F.lit(False)
+    for s in FAMILIES:
+        fits = fits | c.rlike(rf"^{one}[{s}]{two}[{s}]\d{{4}}{_CLOCK}$")
+    return fits
+
+
+def coerce_ordered(col: Column | str, datatype: str, order: str) -> Column:
+    """Text cell -> date or timestamp, with day and month in the given order where both are numbers."""
+    c = F.trim(_c(col))
+    out = F.when(date_family(c).isNull(), coerce(c, datatype))
+    one, two = ("M", "d") if order == MONTH_FIRST else ("d", "M")
+    for s in FAMILIES:
+        for clock, shape in ((" H:mm:ss", r" \d{1,2}:\d{2}:\d{2}$"), (" H:mm", r" \d{1,2}:\d{2}$"), ("", r"\d{4}$")):
+            if clock and datatype == "date":
+                continue
+            fits = fits_order(c, order) & c.contains(s) & c.rlike(shape)
+            out = out.when(fits, F.try_to_timestamp(c, F.lit(f"{one}{s}{two}{s}yyyy{clock}")).cast(datatype))
+    return out
+
+
 def coerce(col: Column | str, datatype: str) -> Column:
-    """Text cell -> declared type; NULL when the text does not parse."""
+    """Text cell -> declared type; NULL when the text does not parse.
+
+    A date without a declared layout is read month first where day and month are parted by
+    slashes; ``date(d/M/yyyy)`` reads it day first.
+    """
     c = F.trim(_c(col))
-    t = (datatype or "string").strip().lower()
+    base, order = declared_layout(datatype)
+    if order:
+        return coerce_ordered(c, base, order)
+    t = base.lower()
     m = _DECIMAL.fullmatch(t)
     if m:
         return parse_amount(c, scale=int(m.group(2)), precision=int(m.group(1)))

@@ -20,6 +20,8 @@ class Layout:
     @property
     def disposition(self) -> str: return self._p("Admin", "FileDisposition")
     @property
+    def column_layouts(self) -> str: return self._p("Admin", "ColumnLayouts")
+    @property
     def move_intents(self) -> str: return self._p("Admin", "MoveIntents")
     @property
     def move_outcomes(self) -> str: return self._p("Admin", "MoveOutcomes")

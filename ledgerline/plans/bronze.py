@@ -10,7 +10,8 @@
    Empty), Ignored (not .csv/.txt, or outside a source folder) or
    NoConfiguration (left in place and logged).
 5. Parse the valid files' records by their file's layout, map file columns to Bronze
-   columns, turn NULL tokens into NULL, coerce to the declared types, set
+   columns, turn NULL tokens into NULL, coerce to the declared types (with one order of
+   day and month for the whole date column), set
    rows with uncastable cells and lines with surplus or missing fields aside
    (``_bad_columns`` says which), add audit columns and append.
 
@@ -36,7 +37,9 @@ from pyspark.sql import types as T
 from ledgerline import constants as K
 from ledgerline import schemas
 from ledgerline.functions.text import error_file_name, fits_glob
-from ledgerline.functions.values import null_tokens_to_null
+from ledgerline.functions.values import (
+    DAY_FIRST, MONTH_FIRST, coerce_ordered, date_family, declared_layout, fits_order, null_tokens_to_null,
+)
 from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_bronze_audit, observed
 from ledgerline.operators.cleanse import (
@@ -44,6 +47,7 @@ from ledgerline.operators.cleanse import (
 )
 from ledgerline.operators.configuration import expected_columns
 from ledgerline.operators.header import header_check, split_header
+from ledgerline.operators.layouts import chosen_order, merged
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
 from ledgerline.session import shared_folder
@@ -66,6 +70,10 @@ DISPOSITION_SCHEMA = schemas._struct(
     ("TargetPath", schemas.S), ("ExecutionGUID", schemas.S), ("SourceFile", schemas.S),
 )
 
+DATE = "Date"
+COLUMN_LAYOUT = schemas._struct(
+    ("ConfigurationFileID", T.IntegerType()), ("ColumnName_Bronze", schemas.S), ("Family", schemas.S),
+    ("Cells", T.LongType()), ("MonthFirst", T.LongType()), ("DayFirst", T.LongType()), ("ExecutionGUID", schemas.S))
 MOVE_OUTCOME = schemas._struct(("path", schemas.S), ("TargetPath", schemas.S), ("LoadGUID", schemas.S),
                                ("Outcome", schemas.S), ("ExecutionGUID", schemas.S))
 
@@ -98,7 +106,7 @@ def check_configuration(spark: SparkSession, cf_rows: list, cc_rows: list) -> di
     Of several file-level rows of a source with one pattern the first counts; that
     is reported under a ("warning", Source, pattern) key and disables nothing.
     """
-    from ledgerline.operators.cleanse import validate_expression
+    from ledgerline.operators.expressions import validate_expression
 
     problems: dict = {}
     by_id: dict = {}
@@ -253,28 +261,79 @@ def column_rules(cc_rows: list, config_id: int) -> list:
     return sorted([r for r in cc_rows if r["ConfigurationFileID"] == config_id], key=rule_order)
 
 
-def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
-    """File columns (text) -> Bronze text columns -> typed, plus ``_bad_columns``
-    and ``_raw``.  Shared by the batch load and the streaming ingest."""
+def text_bronze(df: DataFrame, rules: list) -> DataFrame:
+    """File columns (text) -> Bronze text columns with NULL tokens gone, plus ``_raw``."""
     # File -> Bronze: an expression when configured, else a first-wins rename.
     exprs = {r["ColumnName_Bronze"]: r["Transformation_FileToBronze"] for r in rules
              if r["ColumnName_Bronze"] and r["Transformation_FileToBronze"]}
     df = df.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else df
     df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
                                        for r in rules if r["ColumnName_Bronze"] not in exprs])
-    keep = [c for c in ("_file", "_path", MALFORMED) if c in df.columns]
+    keep = [c for c in ("_path", MALFORMED) if c in df.columns]
     df = align(df, T.StructType([T.StructField(c, T.StringType())
                                  for c in BRONZE_TEXT_COLUMNS + keep]))
     df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
-    df = df.withColumn("_raw", F.coalesce(MALFORMED, F.to_json(F.struct(*BRONZE_TEXT_COLUMNS))))
+    return df.withColumn("_raw", F.coalesce(MALFORMED, F.to_json(F.struct(*BRONZE_TEXT_COLUMNS))))
+
+
+def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
+    """File columns -> typed Bronze columns, plus ``_bad_columns`` and ``_raw``.
+
+    The date is read in both orders of day and month unless its layout is declared: ``Date`` month
+    first, ``_day_first``, with ``_family`` where the two may differ; ``settle_dates`` chooses.
+    """
+    df = text_bronze(df, rules)
     types = {r["ColumnName_Bronze"]: (r["Datatype"] or "string") for r in rules
              if r["ColumnName_Bronze"] in BRONZE_TEXT_COLUMNS}
-    typed = coerce_columns(df, types)
+    base, order = declared_layout(types.get(DATE))
+    text = F.when(F.col(MALFORMED).isNull(), F.col(DATE))
+    open_order = base.lower() in ("date", "timestamp") and order is None
+    df = df.withColumns({
+        "_family": date_family(text) if open_order else F.lit(None).cast("string"),
+        "_month_fits": fits_order(text, MONTH_FIRST), "_day_fits": fits_order(text, DAY_FIRST),
+        "_day_first": coerce_ordered(DATE, base.lower(), DAY_FIRST).cast("date") if open_order else F.lit(None).cast("date"),
+        "_dated": text.isNotNull()})
+    if open_order:
+        df = df.withColumn("_month_first", coerce_ordered(DATE, base.lower(), MONTH_FIRST))
+        typed = coerce_columns(df, {c: t for c, t in types.items() if c != DATE}) \
+            .withColumn(DATE, F.col("_month_first")).drop("_month_first")
+    else:
+        typed = coerce_columns(df, types)
     return typed.withColumn("_bad_columns", F.when(
         F.col(MALFORMED).isNotNull(), F.array(F.lit(FIELD_COUNT))).otherwise(F.col("_bad_columns"))) \
         .drop(MALFORMED)
 
 
+def settle_dates(rows: DataFrame, orders: dict[tuple[int, str], str | None]) -> DataFrame:
+    """One order of day and month for each file type's date column.
+
+    ``orders``: (ConfigurationFileID, separator) -> order; dates of an open order are bad cells.
+    """
+    order = F.lit(None).cast("string")
+    for (config_id, family), known in orders.items():
+        order = F.when((F.col("ConfigurationFileID") == config_id) & (F.col("_family") == family),
+                       F.lit(known or "open")).otherwise(order)
+    rows = rows.withColumn("_order", order)
+    date = F.when(F.col("_order") == DAY_FIRST, F.col("_day_first")).when(F.col("_order") == "open", None).otherwise(F.col(DATE))
+    bad = F.col("_dated") & F.col(DATE).isNull() & ~F.array_contains("_bad_columns", DATE)
+    return rows.withColumn(DATE, date).withColumn("_bad_columns", F.when(
+        bad, F.concat(F.array(F.lit(DATE)), "_bad_columns")).otherwise(F.col("_bad_columns"))) \
+        .drop("_order", "_family", "_month_fits", "_day_fits", "_day_first", "_dated")
+
+
+def date_orders(spark: SparkSession, layout: Layout, rows: DataFrame, execution_guid: str, repeatable: bool):
+    """(ConfigurationFileID, separator) -> order, from this load's cells and those counted by earlier loads."""
+    cells = rows.where(F.col("_family").isNotNull()).groupBy("ConfigurationFileID", F.col("_family").alias("Family")).agg(
+        F.count(F.lit(1)).alias("Cells"), F.sum(F.col("_month_fits").cast("bigint")).alias("MonthFirst"),
+        F.sum(F.col("_day_fits").cast("bigint")).alias("DayFirst")) \
+        .withColumns({"ColumnName_Bronze": F.lit(DATE), "ExecutionGUID": F.lit(execution_guid)})
+    append_once(spark, align(cells, COLUMN_LAYOUT), layout.column_layouts, execution_guid, repeatable)
+    known = read_or_empty(spark, layout.column_layouts, COLUMN_LAYOUT).where(F.col("ColumnName_Bronze") == DATE)
+    # a row per file type and separator
+    return {(r["ConfigurationFileID"], r["Family"]): r["_order"] for r in merged(known, ["ConfigurationFileID"])
+            .withColumn("_order", chosen_order()).collect()}
+
+
 def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame | None:
     """Valid files -> Bronze-shaped typed rows plus ``_path``, ``_bad_columns`` and ``_raw``.
 
@@ -357,14 +416,19 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
         if rows is not None:
             with log.step("WriteBronze") as s:
                 file_meta = disp.where(F.col("Disposition") == VALID).select(
-                    F.col("path").alias("_path"), "SourceFile", "Source", "DefaultCategory")
+                    F.col("path").alias("_path"), "SourceFile", "Source", "DefaultCategory", "ConfigurationFileID")
                 rows = rows.join(file_meta, "_path", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
                 # Parsed once: good and bad rows are two writes over one persisted
                 # parse (memory and disk; recomputable from the lines if lost).
                 rows = add_bronze_audit(rows, main.guid, "Source", "SourceFile") \
                     .persist(StorageLevel.MEMORY_AND_DISK)
-                good, bad = split_quarantine(rows, keep_bad_column=True)
+                orders = date_orders(spark, layout, rows, main.guid, guid is not None)
+                for (config_id, family), known in sorted(orders.items()):
+                    if known is None:
+                        log.warn(s, f"ConfigurationFileID {config_id}: {DATE} fits M{family}d{family}yyyy and "
+                                    f"d{family}M{family}yyyy alike; its rows are set aside until one is configured")
+                good, bad = split_quarantine(settle_dates(rows, orders), keep_bad_column=True)
                 bad = bad.select(
                     "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime")
                 good, obs = observed(align(good, schemas.BRONZE_TRANSACTION), "bronze_rows")

@@ -33,7 +33,8 @@ from ledgerline.operators.mapping import (
 from ledgerline.plans.calltree import call_tree
 from ledgerline.plans.gold import date_dimension_for, date_key, spend_by_category_month
 from ledgerline.plans.sqlguid import sql_guid as g
-from ledgerline.functions.values import MONEY_SHAPE
+from ledgerline.functions.values import DAY_FIRST, MONEY_SHAPE, MONTH_FIRST, coerce, coerce_ordered
+from ledgerline.operators.layouts import chosen_order, layout_counts, layout_name
 from ledgerline.session import Tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -657,7 +658,7 @@ def q_log_rows(spark, sf_dir):
 # extra column and is rejected, so its rows are not counted.  Files from orders, one
 # per priority or status, lack columns, are of another type or of an unknown source;
 # one has a header only.
-@register("bronze_dispositions", """
+_DISPOSITIONS_SQL = """
 WITH t AS (
   SELECT l_returnflag, l_returnflag = 'N' AND l_linenumber % 2 = 0 AS at_till, year(l_shipdate) AS y
   FROM lineitem),
@@ -676,13 +677,27 @@ UNION ALL SELECT 'bank', 'Error', 'ExtraColumns.MissingColumns', files, NULL FRO
 UNION ALL SELECT 'shop', 'Ignored', '', files, NULL FROM p
 UNION ALL SELECT 'club', 'NoConfiguration', '', count(DISTINCT o_orderstatus), NULL FROM orders
 UNION ALL SELECT 'bank', 'Error', 'Empty', 1, CAST(0 AS BIGINT)
-""")
+"""
+
+
+@register("bronze_dispositions", _DISPOSITIONS_SQL)
 def q_bronze_dispositions(spark, sf_dir):
     from ledgerline.plans.medallion import bronze_dispositions
 
     return bronze_dispositions(spark, sf_dir)
 
 
+# The same files through streams, one per source; landed counts the Bronze rows after a batch
+# load that finds nothing left.
+@register("stream_dispositions", f"""
+SELECT *, CASE WHEN Disposition = 'Valid' THEN rows END AS landed FROM ({_DISPOSITIONS_SQL}) WHERE Source <> 'club'
+""")
+def q_stream_dispositions(spark, sf_dir):
+    from ledgerline.plans.medallion import stream_dispositions
+
+    return stream_dispositions(spark, sf_dir)
+
+
 # --- splittable scan of fields that run over line ends (op 1) ------------------
 @register("quoted_scan", "SELECT * FROM documents")
 def q_quoted_scan(spark, sf_dir):
@@ -691,6 +706,49 @@ def q_quoted_scan(spark, sf_dir):
     return quoted_scan(spark, sf_dir)
 
 
+# --- layout of whole date columns (op 13) --------------------------------------
+# Each event type plays a file type that writes its dates in its own way; sign-ups only
+# up to the 12th of the month, so that their layout stays open.
+_DATE_TEXT = {"click": "%m/%d/%Y", "view": "%d/%m/%Y", "purchase": "%d.%m.%Y", "error": "%Y-%m-%d", "signup": "%d-%m-%Y"}
+
+
+@register("infer_layouts", f"""
+WITH t AS (
+  SELECT event_type, CAST(ts AS DATE) AS day, CASE event_type {" ".join(
+      f"WHEN '{k}' THEN strftime(ts, '{v}')" for k, v in _DATE_TEXT.items())} END AS cell
+  FROM events WHERE event_type <> 'signup' OR day(ts) <= 12),
+n AS (
+  SELECT event_type, regexp_extract(cell, '^\\d+([/.-])\\d+[/.-]\\d{{4}}$', 1) AS family, count(*) AS cells,
+         count(*) FILTER (WHERE CAST(regexp_extract(cell, '^(\\d+)', 1) AS INT) <= 12) AS month_first,
+         count(*) FILTER (WHERE CAST(regexp_extract(cell, '^\\d+.(\\d+)', 1) AS INT) <= 12) AS day_first
+  FROM t WHERE event_type <> 'error' GROUP BY 1, 2),
+c AS (SELECT *, CASE WHEN month_first > day_first THEN 'M' || family || 'd' || family || 'yyyy'
+                     WHEN day_first > month_first THEN 'd' || family || 'M' || family || 'yyyy' END AS layout FROM n)
+SELECT t.event_type, c.family, c.cells, c.month_first, c.day_first, c.layout,
+       count(*) FILTER (WHERE t.event_type = 'error' OR c.layout IS NOT NULL) AS read_right
+FROM t LEFT JOIN c ON t.event_type = c.event_type GROUP BY ALL
+""")
+def q_infer_layouts(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.where((F.col("event_type") != "signup") | (F.dayofmonth("ts") <= 12))
+    java = {"%m": "MM", "%d": "dd", "%Y": "yyyy"}
+    cell = F.lit(None).cast("string")
+    for kind, text in _DATE_TEXT.items():
+        for k, v in java.items():
+            text = text.replace(k, v)
+        cell = F.when(F.col("event_type") == kind, F.date_format("ts", text)).otherwise(cell)
+    cells = ev.select("event_type", F.to_date("ts").alias("day"), cell.alias("cell"))
+    counts = layout_counts(cells, ["event_type"], "cell").withColumn("order", chosen_order()) \
+        .select(F.col("event_type").alias("_type"), F.col("Family").alias("family"), F.col("Cells").alias("cells"),
+                F.col("MonthFirst").alias("month_first"), F.col("DayFirst").alias("day_first"), "order",
+                layout_name(F.col("order"), F.col("Family")).alias("layout"))
+    known = cells.join(counts, F.col("event_type") == F.col("_type"), "left")
+    value = F.when(F.col("family").isNull(), coerce("cell", "date")) \
+        .when(F.col("order") == MONTH_FIRST, coerce_ordered("cell", "date", MONTH_FIRST)) \
+        .when(F.col("order") == DAY_FIRST, coerce_ordered("cell", "date", DAY_FIRST))
+    return known.groupBy("event_type", "family", "cells", "month_first", "day_first", "layout").agg(
+        F.sum(F.coalesce(value == F.col("day"), F.lit(False)).cast("bigint")).alias("read_right"))
+
+
 # --- what a load records about itself (ops 7, 18, 40, 41) ----------------------
 # Per source: the Bronze rows whose audit columns point to the run in the log, the
 # row count that the run observed, and the run's steps in the order of the log.

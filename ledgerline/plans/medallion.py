@@ -160,6 +160,24 @@ def bronze_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("files"), F.sum("RowCount").alias("rows"))
 
 
+def stream_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources' files taken by streams; a batch load over the same folders adds nothing to them."""
+    from ledgerline.streaming.ingest import start_bronze_stream
+
+    layout = Layout(f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{run_guid()}")
+    export_inbound(spark, layout, sf_dir)
+    export_rejects(spark, layout, sf_dir)
+    for source in ("bank", "shop"):
+        start_bronze_stream(spark, layout, source).awaitTermination()
+    load_files_to_bronze(spark, layout, RunLog("batch"))
+    landed = spark.read.parquet(layout.bronze_transaction).groupBy("Source", "SourceFile").agg(F.count(F.lit(1)).alias("_landed"))
+    # a file that no load takes is listed again by each; its records count once
+    disp = spark.read.parquet(layout.disposition).where(F.col("Source") != "club") \
+        .dropDuplicates(["path", "size", "modified", "Disposition", "RowCount"])
+    return disp.join(landed, ["Source", "SourceFile"], "left").groupBy("Source", "Disposition", "Issue").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("RowCount").alias("rows"), F.sum("_landed").alias("landed"))
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per source what Bronze rows and the log say about the load they come from.
 

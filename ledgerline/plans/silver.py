@@ -140,7 +140,7 @@ def _transaction_rules(spark: SparkSession, cc_rows: list, rows: DataFrame):
     configuration order.  A rule is checked against the columns of ``rows``, the
     frame it will run on; it can set that frame's Silver columns.
     """
-    from ledgerline.operators.cleanse import validate_expression
+    from ledgerline.operators.expressions import validate_expression
     from ledgerline.plans.bronze import rule_order
 
     silver_types = {f.name: f.dataType for f in schemas.silver_transaction_schema().fields}

@@ -1,19 +1,15 @@
 """Structured Streaming ingest of one source's inbound folder into Bronze.
 
-``trigger(availableNow=True)`` takes every file not yet seen (the checkpoint
-records them) and stops.  Each micro-batch goes through the same Bronze shaping
-as the batch load; rows with uncastable cells or a wrong number of fields go to
-the quarantine table.
+The stream carries file records (path, size, time), not rows: ``trigger(availableNow=True)`` takes
+every file not yet seen (the checkpoint records them) and stops.  Each micro-batch hands
+its files to the batch load, so that headers, column orders, file types, rejected and empty files are treated
+alike, and both write one registry: what the stream has taken a batch load doesn't take
+again, and the other way round.  Scans leave out zero-byte files; each batch lists those.
 
 Spark may hand a batch over again after a failure.  The load's GUID therefore
 follows from the query and the batch number: a repeat overwrites the Bronze
 partition of its first try, and adds quarantined rows and dispositions only where
 the first try recorded none.
-
-Streaming CSV applies its schema by position, so this path is for sources
-whose exports keep one column order; the header is checked against the
-configured names (``enforceSchema=False``) and a mismatching file fails the
-batch rather than being misread.  The source's first file-level row counts; mixed layouts go through the batch load.
 """
 
 from __future__ import annotations
@@ -24,17 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline import schemas
 from ledgerline.layout import Layout
-from ledgerline.operators.audit import add_bronze_audit
-from ledgerline.operators.cleanse import align
-from ledgerline.plans.bronze import (
-    DISPOSITION_SCHEMA, VALID, column_rules, shape_bronze, source_configuration,
-)
+from ledgerline.plans.bronze import load_files_to_bronze, source_configuration
+from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
-from ledgerline.sources.delimited import csv_options, text_schema
-from ledgerline.sources.files import normalize_uri, normalize_uri_col, qualify
-from ledgerline.sources.tables import append, read_columns
+from ledgerline.sources.files import LISTING_SCHEMA, mkdirs, qualify
+from ledgerline.sources.inbound import discover, with_source
+
+FILE_RECORD = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def batch_guid(query_id: str, batch_id: int) -> str:
@@ -42,53 +35,33 @@ def batch_guid(query_id: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.UUID(query_id), str(batch_id)))
 
 
+def file_records(spark: SparkSession, layout: Layout, source: str) -> DataFrame:
+    """A stream of the files of a source, as ``discover`` lists them; contents are not read."""
+    mkdirs(spark, f"{layout.bronze_inbound}/{source}")
+    root = qualify(spark, layout.bronze_inbound).rstrip("/") + "/"
+    files = spark.readStream.format("binaryFile").schema(FILE_RECORD).option("recursiveFileLookup", True) \
+        .load(f"{layout.bronze_inbound}/{source}")
+    path = F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    files = files.select(path.alias("path"), path.alias("uri"), F.substring(path, len(root) + 1, 1 << 20).alias("relative"),
+                         F.regexp_extract(path, "([^/]*)$", 1).alias("file_name"), F.col("length").alias("size"),
+                         F.unix_millis("modificationTime").alias("modified"))
+    return with_source(files.select(*[f.name for f in LISTING_SCHEMA.fields]))
+
+
 def start_bronze_stream(spark: SparkSession, layout: Layout, source: str,
                         available_now: bool = True) -> StreamingQuery:
     cf, cc = config_source.load(spark, layout.admin)
-    cfg = source_configuration(cf, cc).where(F.col("Source") == source).orderBy("_row").first()
-    if cfg is None or cfg["expected"] is None:
+    if source_configuration(cf, cc).where((F.col("Source") == source) & F.col("expected").isNotNull()).isEmpty():
         raise ValueError(f"no configuration for source {source!r}")
-    rules = column_rules(cc.collect(), cfg["ConfigurationFileID"])
-    file_columns = [r["ColumnName_File"] for r in rules if r["ColumnName_File"]]
-    folder = f"{layout.bronze_inbound}/{source}"
-    stream = (spark.readStream.schema(text_schema(file_columns)).option("header", True)
-              .options(**csv_options(cfg["Delimiter"], cfg["TextQualifier"]))
-              .option("enforceSchema", False).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.{[cC][sS][vV],[tT][xX][tT]}").csv(folder))
-    # SourceFile is the path inside the source folder, as in the batch load.
-    path = F.url_decode(F.replace(normalize_uri_col(F.col("_metadata.file_path")), F.lit("+"), F.lit("%2B")))
-    inside = F.replace(path, F.lit(normalize_uri(qualify(spark, folder)).rstrip("/") + "/"), F.lit(""))
-    stream = stream.withColumn("_file", inside).withColumn("_path", F.col("_metadata.file_path"))
-    default_category = cfg["DefaultCategory"]
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
         guid = batch_guid(spark.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
-        rows = add_bronze_audit(shape_bronze(batch, rules), guid, F.lit(source), "_file")
-        rows = rows.withColumn("Category", F.coalesce("Category", F.lit(default_category)))
-        rows = rows.persist()
-        (align(rows.where(F.size("_bad_columns") == 0), schemas.BRONZE_TRANSACTION).write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("Source", "ExecutionGUID").parquet(layout.bronze_transaction))
-
-        def append_once(df: DataFrame, table: str) -> None:
-            if read_columns(spark, table, "ExecutionGUID string").where(F.col("ExecutionGUID") == guid).isEmpty():
-                append(df, table)
-
-        append_once(rows.where(F.size("_bad_columns") > 0).select(
-            "Source", "SourceFile", "_raw", "_bad_columns", "ExecutionGUID", "IngestDatetime"),
-            layout.bronze_quarantine)
-        # One Valid disposition per file of the batch, so Silver takes it up.
-        files = rows.groupBy("_path", "SourceFile").agg(F.count(F.lit(1)).alias("RowCount"))
-        disp = files.select(
-            F.col("_path").alias("path"), normalize_uri_col(F.col("_path")).alias("uri"),
-            F.col("SourceFile").alias("file_name"), F.lit(source).alias("Source"),
-            F.lit(cfg["ConfigurationFileID"]).alias("ConfigurationFileID"), "RowCount",
-            F.lit("").alias("Issue"), F.lit(VALID).alias("Disposition"),
-            F.lit(guid).alias("ExecutionGUID"), "SourceFile")
-        append_once(align(disp, DISPOSITION_SCHEMA), layout.disposition)
-        rows.unpersist()
+        empty = discover(spark, layout.bronze_inbound, source).where(F.col("size") == 0)
+        log = RunLog("stream")
+        load_files_to_bronze(spark, layout, log, source=source, listed=batch.unionByName(empty), guid=guid)
+        log.write(spark, layout.log)
 
-    writer = (stream.writeStream.foreachBatch(write_batch)
+    writer = (file_records(spark, layout, source).writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", f"{layout.admin}/_streams/{source}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

@@ -14,7 +14,7 @@ COLUMN_CONFIG = """ConfigurationFileID|ConfigurationColumnOrder|ColumnName_File|
 1|1|Date|Date|Date|date|Transaction|Date|Direct||Yes
 1|2|Amount|Amount|Amount|decimal(18,2)|Transaction|Amount|Direct||Yes
 1|3|Description|Description|Description|string|Transaction|Description|Direct||Yes
-2|1|Posted|Date|Date|date|Transaction|Date|Direct||Yes
+2|1|Posted|Date|Date|date(M/d/yyyy)|Transaction|Date|Direct||Yes
 2|2|Total|Amount|Amount|decimal(18,2)|Transaction|Amount|Expression|-Amount|Yes
 2|3|Item|Description|Description|string|Transaction|Description|Direct||Yes
 2|4|Dept|Category|Category|string|CategoryGUID|Name|Lookup||

@@ -2,6 +2,7 @@
 
 from fixtures import COLUMN_CONFIG, FILE_CONFIG, write
 from ledgerline.layout import Layout
+from ledgerline.plans import bronze
 from ledgerline.plans.bronze import load_files_to_bronze
 from ledgerline.plans.runlog import RunLog
 from ledgerline.streaming import ingest
@@ -51,7 +52,7 @@ def test_a_repeated_batch_adds_nothing(spark, root, monkeypatch):
     lay = Layout(root)
     write(f"{lay.bronze_inbound}/bank/sub/a b.Csv",
           "Date,Amount,Description\n2024-01-01,1.00,x\n2024-01-02,bad,y\n2024-01-03,1,2,z\n")
-    real = ingest.append
+    real = bronze.append
 
     def crash_at_dispositions(df, path, *a):
         if path == lay.disposition:
@@ -59,7 +60,7 @@ def test_a_repeated_batch_adds_nothing(spark, root, monkeypatch):
         real(df, path, *a)
 
     with monkeypatch.context() as m:
-        m.setattr(ingest, "append", crash_at_dispositions)
+        m.setattr(bronze, "append", crash_at_dispositions)
         try:
             ingest.start_bronze_stream(spark, lay, "bank").awaitTermination(120)
         except Exception as exc:
