@@ -30,6 +30,8 @@ class Layout:
     @property
     def silver_files(self) -> str: return self._p("Admin", "SilverFiles")
     @property
+    def silver_keys(self) -> str: return self._p("Admin", "TransactionKeys")
+    @property
     def gold_runs(self) -> str: return self._p("Admin", "GoldRuns")
 
     # Bronze
@@ -59,3 +61,7 @@ class Layout:
     def gold_transaction(self) -> str: return self._p("Gold", "Facts", "Transaction")
     @property
     def gold_spend(self) -> str: return self._p("Gold", "Facts", "SpendByCategoryMonth")
+    @property
+    def gold_category_closure(self) -> str: return self._p("Gold", "Dimensions", "CategoryClosure")
+    @property
+    def gold_spend_tree(self) -> str: return self._p("Gold", "Facts", "SpendByCategoryTreeMonth")

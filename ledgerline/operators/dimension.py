@@ -39,3 +39,26 @@ def shape_members(members: DataFrame, dimension: str, keys: Sequence[str] = ("Na
     }
     return members.select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
                             for f in dimension_schema(dimension).fields])
+
+
+def unique_members(dim: DataFrame, dimension: str) -> DataFrame:
+    """One row per member, that inserted first.
+
+    A member's GUID follows from its natural key, so a member that two overlapping runs both
+    appended is the same GUID twice.  Lookups against the folded dimension never fan out.
+    """
+    guid = f"{dimension}GUID"
+    rest = [c for c in dim.columns if c != guid]
+    first = F.min(F.struct(F.col("DateTimeInserted").alias("_at"), *rest)).alias("_m")
+    return dim.groupBy(guid).agg(first).select(guid, *[F.col(f"_m.{c}").alias(c) for c in rest]).select(dim.columns)
+
+
+def repeated_members(dims: dict[str, DataFrame]) -> dict[str, int]:
+    """Dimension -> rows beyond the first of their member, in one pass over the GUIDs."""
+    guids = [d.select(F.lit(name).alias("dimension"), F.col(f"{name}GUID").alias("guid")) for name, d in dims.items()]
+    every = guids[0]
+    for g in guids[1:]:
+        every = every.unionByName(g)
+    found = every.groupBy("dimension", "guid").agg((F.count(F.lit(1)) - 1).alias("more")) \
+        .groupBy("dimension").agg(F.sum("more").alias("more")).where(F.col("more") > 0)
+    return {r["dimension"]: r["more"] for r in found.collect()}  # a row a dimension

@@ -26,6 +26,7 @@ from ledgerline.operators.configuration import for_source, missing_from, with_co
 from ledgerline.operators.dedupe import dedupe_rows, distinct_values, keep_first
 from ledgerline.operators.dimension import new_members, shape_members
 from ledgerline.operators.header import header_check_sets, item_sets
+from ledgerline.operators.hierarchy import closure, sums_along
 from ledgerline.operators.lookup import account_lookup, lookup
 from ledgerline.operators.mapping import (
     new_bridge_rows, processable_rows, resolve_to_map, unprocessable_rows,
@@ -520,6 +521,32 @@ def q_spend_rollup(spark, sf_dir):
     return _spend(spark, sf_dir, rollup=True)
 
 
+# --- spend along a category hierarchy (op 54) ----------------------------------
+# A part's category is its type with the words of its name; each word less is a level up.
+@register("spend_by_category_tree", f"""
+WITH RECURSIVE leaf AS (
+  SELECT p_type || ' ' || p_name AS Category, CAST(date_trunc('month', l_shipdate) AS DATE) AS Month,
+         sum({_AMOUNT_SQL}) AS Spend, count(*) AS Lines
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+up AS (SELECT DISTINCT Category AS leaf, Category FROM leaf
+       UNION ALL SELECT leaf, regexp_replace(Category, ' [^ ]*$', '') FROM up WHERE contains(Category, ' '))
+SELECT up.Category, Month, CAST(sum(Spend) AS DOUBLE) AS Spend, CAST(sum(Lines) AS BIGINT) AS Lines
+FROM up JOIN leaf ON up.leaf = leaf.Category GROUP BY 1, 2
+""")
+def q_spend_by_category_tree(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    named = t.part.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("Category"))
+    words = F.split("Category", " ")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, 1, i), " "))
+    links = named.select(F.explode(prefixes).alias("Category")).distinct().select(
+        "Category", F.when(F.contains(F.col("Category"), F.lit(" ")), F.regexp_replace("Category", " [^ ]*$", "")).alias("Parent"))
+    pre = t.lineitem.groupBy("l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias("Month")) \
+        .agg(F.sum(line_amount()).alias("Spend"), F.count(F.lit(1)).alias("Lines"))
+    spend = pre.join(named, pre["l_partkey"] == named["p_partkey"])
+    return sums_along(spend, closure(links, "Category", "Parent"), "Category", ["Month"], ["Spend", "Lines"]) \
+        .withColumn("Spend", F.col("Spend").cast("double"))
+
+
 # --- call tree (op 55) --------------------------------------------------------
 @register("call_tree", """
 WITH RECURSIVE edges AS (

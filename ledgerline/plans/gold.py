@@ -67,6 +67,34 @@ def spend_by_category_month(facts: DataFrame, category: str, date: str, amount:
     return grouped.agg(F.sum("_amt").alias("Spend"), F.sum("_n").alias("Lines"))
 
 
+def category_links(spark: SparkSession, layout) -> DataFrame:
+    """(Category, ParentCategory) names: the configured hierarchy, and members that carry their parent's GUID."""
+    from ledgerline.plans.silver import read_dimension
+    from ledgerline.sources import config as config_source
+
+    members = read_dimension(spark, layout, "Category")
+    above = members.select(F.col("CategoryGUID").alias("ParentCategoryGUID"), F.col("Name").alias("ParentCategory"))
+    own = members.join(above, "ParentCategoryGUID").select(F.col("Name").alias("Category"), "ParentCategory")
+    return config_source.load_categories(spark, layout.admin).select("Category", "ParentCategory").unionByName(own)
+
+
+def write_category_tree(spark: SparkSession, layout) -> None:
+    """The closure of the category hierarchy, and the spend of each category with all below it.
+
+    Both are replaced: the hierarchy may change, and the spend is summed from the summary by category
+    and month, not from facts.
+    """
+    from ledgerline.operators.hierarchy import closure, sums_along
+    from ledgerline.sources.files import exists
+
+    tree = closure(category_links(spark, layout), "Category", "ParentCategory")
+    tree.write.mode("overwrite").parquet(layout.gold_category_closure)
+    if exists(spark, layout.gold_spend):
+        spend = spark.read.parquet(layout.gold_spend).select("Category", "Month", "Spend", "Lines")
+        sums_along(spend, spark.read.schema(tree.schema).parquet(layout.gold_category_closure), "Category", ["Month"],
+                   ["Spend", "Lines"]).write.mode("overwrite").parquet(layout.gold_spend_tree)
+
+
 def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
     """Date dimension, Gold dimensions, transaction fact and spend, incrementally.
 
@@ -91,13 +119,10 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
     with log.step("LoadSilverToGold") as main:
         # Silver runs not yet taken into Gold (small bookkeeping tables); only
         # their Silver partitions are read.
-        silver_runs = {r["ExecutionGUID"] for r in read_or_empty(
-            spark, layout.silver_files, schemas.SILVER_FILES).select("ExecutionGUID")
-            .distinct().collect()}
-        taken = {r["SilverExecutionGUID"] for r in read_or_empty(
-            spark, layout.gold_runs, schemas.GOLD_RUNS).select("SilverExecutionGUID")
-            .distinct().collect()}
-        runs = sorted(silver_runs - taken)
+        taken = read_or_empty(spark, layout.gold_runs, schemas.GOLD_RUNS) \
+            .select(F.col("SilverExecutionGUID").alias("ExecutionGUID")).distinct()
+        runs = sorted(r["ExecutionGUID"] for r in read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES)
+                      .select("ExecutionGUID").distinct().join(taken, "ExecutionGUID", "left_anti").collect())
         silver = read_or_empty(spark, layout.silver_transaction, schemas.silver_transaction_schema())
         fresh = silver.where(F.col("ExecutionGUID").isin(runs))
         with log.step("DateDimension") as s:
@@ -152,6 +177,9 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
                 (spend.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("YearMonth").parquet(layout.gold_spend))
             s.target = layout.gold_spend
+        with log.step("SpendByCategoryTree") as s:
+            write_category_tree(spark, layout)
+            s.target = layout.gold_spend_tree
         if runs:
             taken_now = spark.createDataFrame(
                 [(r, main.guid) for r in runs], "SilverExecutionGUID string, ExecutionGUID string")

@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import constants as K
 from ledgerline import schemas
@@ -35,13 +36,14 @@ from ledgerline.layout import Layout
 from ledgerline.operators.audit import add_silver_audit, observed
 from ledgerline.operators.cleanse import align
 from ledgerline.operators.dedupe import keep_first
-from ledgerline.operators.dimension import new_members
+from ledgerline.operators.dimension import new_members, repeated_members, unique_members
 from ledgerline.operators.lookup import account_lookup, dimension_lookup
 from ledgerline.operators.mapping import (
     GUID_COLUMNS, new_bridge_rows, null_safe_anti, processable_rows, resolve_to_map,
 )
 from ledgerline.plans.runlog import RunLog
 from ledgerline.sources import config as config_source
+from ledgerline.sources.files import exists
 from ledgerline.sources.tables import append, read_columns, read_or_empty
 
 BRONZE_VALUE_COLUMNS = ["Amount", "Category", "Date", "Description", "Source", "SourceFile"]
@@ -59,14 +61,24 @@ class SilverResult:
     bridge_added: int
 
 
-def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+def stored_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return read_or_empty(spark, layout.silver_dimension(name), schemas.dimension_schema(name))
 
 
+def read_dimension(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A dimension with each member once, whatever overlapping runs have appended."""
+    return unique_members(stored_dimension(spark, layout, name), name)
+
+
+def report_repeats(spark: SparkSession, layout: Layout, log: RunLog, step) -> None:
+    for name, more in sorted(repeated_members({d: stored_dimension(spark, layout, d) for d in K.SILVER_DIMENSIONS}).items()):
+        log.warn(step, f"{name}: {more} repeated member row(s); each counts once")
+
+
 def add_members(spark: SparkSession, layout: Layout, values: DataFrame, columns: str | dict[str, str],
                 dimension: str, keys: Sequence[str] = ("Name",)) -> int:
     """Append members missing from a dimension; returns how many were added."""
-    dim = read_dimension(spark, layout, dimension)
+    dim = stored_dimension(spark, layout, dimension)  # an anti join: repeats don't matter
     fresh, obs = observed(new_members(values, columns, dim, dimension, keys), f"new_{dimension}")
     append(fresh, layout.silver_dimension(dimension))
     return obs.get.get("rows", 0)
@@ -208,33 +220,57 @@ def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = Non
     return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"])
 
 
+def key_month(date: Column) -> Column:
+    return (F.year(date) * 100 + F.month(date)).cast("int")
+
+
 def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, run_guid: str) -> int:
     """Append new Silver transactions (partitioned by the Silver run) and
     record their files in SilverFiles; returns the number of rows added.
 
-    The anti join on TransactionGUID reads the GUIDs of recorded runs only.  What a
-    run wrote before it was interrupted has no files recorded: Gold never takes it,
-    so it doesn't count as done here either, and its files are loaded again.
+    The guard is a table of keys, partitioned by the month of the date in the natural key
+    (``_key_month``; the Date where it isn't given): the anti join reads the months that the increment
+    holds, not the whole history.  Only keys of recorded runs count: what a run wrote before it was interrupted has
+    no files recorded, so Gold never takes it, and its files are loaded again.
     """
-    shaped = align(facts.withColumn("ExecutionGUID", F.lit(run_guid)),
-                   schemas.silver_transaction_schema()).persist(StorageLevel.MEMORY_AND_DISK)
+    if "_key_month" not in facts.columns:
+        facts = facts.withColumn("_key_month", key_month(F.col("Date")))
+    shaped = align(facts.withColumn("ExecutionGUID", F.lit(run_guid)), T.StructType(
+        [*schemas.silver_transaction_schema().fields, T.StructField("_key_month", T.IntegerType())])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     # File keys come from the input, never from a frame that reads the table
     # being appended to (it would see the new rows after the write).
     files = shaped.select(*FILE_KEY).distinct().select(
         *FILE_KEY, F.lit(run_guid).alias("ExecutionGUID"),
         F.current_timestamp().alias("DateTimeInserted"))
-    recorded = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES) \
-        .select("ExecutionGUID").distinct()
-    done = read_columns(spark, layout.silver_transaction, "TransactionGUID string, ExecutionGUID string") \
-        .join(recorded, "ExecutionGUID", "left_semi").select("TransactionGUID")
-    new = shaped.join(done, "TransactionGUID", "left_anti")
-    new, obs = observed(new, "silver")
-    new.write.mode("append").partitionBy("ExecutionGUID").parquet(layout.silver_transaction)
+    done = recorded_keys(spark, layout, [r[0] for r in shaped.select("_key_month").distinct().collect()])  # months
+    new = shaped.join(done, "TransactionGUID", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+    added, obs = observed(new.drop("_key_month"), "silver")
+    added.write.mode("append").partitionBy("ExecutionGUID").parquet(layout.silver_transaction)
+    new.select("TransactionGUID", "ExecutionGUID", F.col("_key_month").alias("KeyMonth")) \
+        .write.mode("append").partitionBy("KeyMonth").parquet(layout.silver_keys)
     append(align(files, schemas.SILVER_FILES), layout.silver_files)
+    new.unpersist()
     shaped.unpersist()
     return obs.get.get("rows", 0)
 
 
+def recorded_keys(spark: SparkSession, layout: Layout, months: list[int | None]) -> DataFrame:
+    """TransactionGUIDs of recorded runs whose natural key lies in one of the months.
+
+    A root that an earlier version filled has no table of keys: its first load makes one, with keys of unknown
+    months (as for undated rows, partition NULL), which every load reads.
+    """
+    recorded = read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES).select("ExecutionGUID").distinct()
+    ddl = "TransactionGUID string, ExecutionGUID string, KeyMonth int"
+    if not exists(spark, layout.silver_keys) and exists(spark, layout.silver_transaction):
+        read_columns(spark, layout.silver_transaction, "TransactionGUID string, ExecutionGUID string") \
+            .withColumn("KeyMonth", F.lit(None).cast("int")).write.partitionBy("KeyMonth").parquet(layout.silver_keys)
+    keys = read_columns(spark, layout.silver_keys, ddl).where(
+        F.col("KeyMonth").isNull() | F.col("KeyMonth").isin([m for m in months if m is not None]))
+    return keys.join(recorded, "ExecutionGUID", "left_semi").select("TransactionGUID")
+
+
 def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                           source: str | None = None,
                           source_value_column: str = "Description") -> SilverResult:
@@ -249,6 +285,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                             ["ExecutionGUID", "ConfigurationFileID"])
 
         with log.step("Accounts") as s:
+            report_repeats(spark, layout, log, s)
             s.rows = add_members(spark, layout, cfg, "Account", "Account")
             accounts = account_lookup(cfg, read_dimension(spark, layout, "Account"))
         # The run's working set is read by several steps; keep it for the run
@@ -256,6 +293,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         rows = bronze.join(accounts.select(*CONFIGURATION_KEY, "AccountGUID"), CONFIGURATION_KEY, "left") \
             .withColumn("SourceValue", F.col(source_value_column)) \
             .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
+            .withColumn("_key_month", key_month(F.col("Date"))) \
             .persist(StorageLevel.MEMORY_AND_DISK)
 
         with log.step("ResolveToMap") as s:
@@ -278,6 +316,11 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             pending.unpersist()
             s.rows, s.target = bridge_added, layout.bridge
 
+        with log.step("CategoryTree") as s:
+            links = config_source.load_categories(spark, layout.admin)
+            named = links.select(F.explode(F.array("Category", "ParentCategory")).alias("Category"))
+            s.rows = add_members(spark, layout, named, "Category", "Category")
+
         with log.step("SetAsideUnmapped") as s:
             bridge = read_or_empty(spark, layout.bridge, schemas.BRIDGE)
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)

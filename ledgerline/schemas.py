@@ -81,3 +81,5 @@ GOLD_RUNS = _struct(("SilverExecutionGUID", S), ("ExecutionGUID", S),
 # to the four bridge dimension names.
 MAPPING_FILE = _struct(("Account", S), ("SourceValue", S), ("Brand", S), ("Category", S),
                        ("ProductService", S), ("Seller", S))
+# The category hierarchy (configuration text).
+CATEGORY_FILE = _struct(("Category", S), ("ParentCategory", S))

@@ -80,3 +80,12 @@ def load_mappings(spark: SparkSession, admin_dir: str) -> DataFrame:
     """Hand-maintained source-value mappings (created empty if missing)."""
     return retrieve_or_create(spark, f"{admin_dir}/{MAPPING_FILE_NAME}", schemas.MAPPING_FILE,
                               ("Account", "SourceValue"))
+
+
+CATEGORY_FILE_NAME = "ConfigurationCategory.txt"
+
+
+def load_categories(spark: SparkSession, admin_dir: str) -> DataFrame:
+    """Hand-maintained category hierarchy: a category and the one above it (created empty if missing)."""
+    return retrieve_or_create(spark, f"{admin_dir}/{CATEGORY_FILE_NAME}", schemas.CATEGORY_FILE,
+                              ("Category", "ParentCategory"))
