@@ -41,3 +41,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder; its lineage is cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -9,11 +9,13 @@ are no placeholders are hashed and joined with those of the benchmark items; the
 windows' words are compared after the hash.  Items of ``LITERALS`` to ``WINDOW - 1``
 words have one window of their own length.
 
-Windows of one document and item at the same distance form an alignment.  Its slots
-must be consistent: the values at the placeholders correspond one to one, so that
-"3 apples and 3 pears" matches "5 apples and 5 pears", not "5 apples and 7 pears".  A
-document leaks an item if a consistent alignment has ``LEAST`` windows of it (all, if
-the item has fewer).
+Windows of one document and item at the same distance form an alignment.  A window whose
+slots hold the item's own values counts as it is.  Changed values must correspond one to one over the
+alignment, so that "3 apples and 3 pears" matches "5 apples and 5 pears", not "5 apples and 7
+pears": of the changes of one value, and of the changes to one value, that seen most
+often holds (ties: the smaller new value, the smaller old one), and windows with another change don't
+count.  A document leaks an item if ``LEAST`` windows of an alignment count (all, if the item has
+fewer): one edited number in a verbatim copy costs the windows around it at most.
 
 Scale: each document's windows stay in its row; they are probed against the distinct
 hashes of the benchmark, which are broadcast only while there are at most
@@ -23,15 +25,17 @@ and joined.  What follows has only the matching windows.
 Defined cases: null and blank texts match nothing; a null id is an id like others;
 rows that repeat an id are judged by their own text; items without a window with
 enough literal words match nothing; an empty table on either side gives no leaks.
-Extra columns are ignored by ``find_leaks`` and kept by ``drop_leaks``.
+Extra columns, whatever their names, are ignored by ``find_leaks`` and kept by ``drop_leaks``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, let, words
+from ledgerline.llm.common import checkpointed, let, unused, words
 
 WINDOW, LITERALS, LEAST = 8, 5, 6
 BROADCAST_WINDOWS = 1_000_000
@@ -139,19 +143,41 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("_text"))
 
 
+ALIGNMENT = ["id", "text_hash", "item_id", "at"]
+
+
+def _inconsistent(met: DataFrame) -> DataFrame:
+    """(*ALIGNMENT, p) of windows with a change that another change of the same old or new value outvotes."""
+    changes = met.select(*ALIGNMENT, "p", F.explode(F.filter("pairs", lambda x: x.i != x.d)).alias("c")) \
+        .select(*ALIGNMENT, "p", "c.i", "c.d")
+    votes = changes.groupBy(*ALIGNMENT, "i", "d").agg(F.count("*").alias("votes"))
+    of_old = Window.partitionBy(*ALIGNMENT, "i").orderBy(F.desc("votes"), "d")
+    of_new = Window.partitionBy(*ALIGNMENT, "d").orderBy(F.desc("votes"), "i")
+    lost = votes.select(*ALIGNMENT, "i", "d", F.row_number().over(of_old).alias("a"), F.row_number().over(of_new).alias("b")) \
+        .where((F.col("a") > 1) | (F.col("b") > 1)).drop("a", "b")
+    return _joined(changes, lost, [*ALIGNMENT, "i", "d"], "left_semi").select(*ALIGNMENT, "p").distinct()
+
+
+def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join on columns that may hold null, null to null."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return left.join(other, reduce(lambda x, y: x & y, same), how)
+
+
 def _leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """id, text_hash, item_id, n_windows, item_windows, slots of leaked items."""
     found = checkpointed(_matches(docs, bench)).distinct()
-    met = (found.join(bench.drop("size"), "h").where(F.col("words") == F.col("iwords"))
-           .withColumn("pairs", F.zip_with("islots", "slots", lambda a, b: F.struct(a.alias("i"), b.alias("d")))))
-    # A window of an item can stand at several places; an alignment counts each once.
-    lined = (met.groupBy("id", "text_hash", "item_id", "item_windows", (F.col("p") - F.col("ip")).alias("at"))
-             .agg(F.count("*").alias("n_windows"),
-                  F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda x: x.i))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda x: x.d))) == F.size("pairs")))
+    # A window of an item can stand at several places; an alignment holds each once.
+    met = checkpointed(
+        found.join(bench.drop("size"), "h").where(F.col("words") == F.col("iwords"))
+        .select("id", "text_hash", "item_id", "item_windows", (F.col("p") - F.col("ip")).alias("at"), "p",
+                F.zip_with("islots", "slots", lambda a, b: F.struct(a.alias("i"), b.alias("d"))).alias("pairs")))
+    counted = _joined(met, _inconsistent(met), [*ALIGNMENT, "p"], "left_anti")
+    lined = counted.groupBy(*ALIGNMENT, "item_windows").agg(
+        F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     changed = F.size(F.filter("pairs", lambda x: x.i != x.d))
-    return (lined.where(one_to_one & (F.col("n_windows") >= F.least(F.lit(LEAST), F.col("item_windows"))))
+    return (lined.where(F.col("n_windows") >= F.least(F.lit(LEAST), F.col("item_windows")))
             .groupBy("id", "text_hash", "item_id", "item_windows")
             .agg(F.max("n_windows").alias("n_windows"), F.min(changed).alias("changed_slots")))
 
@@ -168,7 +194,8 @@ def drop_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item, with their columns as they were."""
     bench = checkpointed(benchmark_windows(items, item, item_text))
+    leak_id, leak_text = unused("_leak_id", docs), unused("_leak_text", docs)
     bad = checkpointed(_leaks(_keyed(docs, key, text), bench).select(
-        F.col("id").alias("_leak_id"), F.col("text_hash").alias("_leak_text")).distinct())
-    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("_leak_id"))
-                     & (F.xxhash64(F.col(f"`{text}`")) == F.col("_leak_text")), "left_anti")
+        F.col("id").alias(leak_id), F.col("text_hash").alias(leak_text)).distinct())
+    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col(leak_id))
+                     & (F.xxhash64(F.col(f"`{text}`")) == F.col(leak_text)), "left_anti")

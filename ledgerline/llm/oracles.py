@@ -68,13 +68,22 @@ WITH dt AS MATERIALIZED (SELECT doc_id, text, raw, {tmpl} AS tmpl FROM ({tokens(
      dw AS (SELECT doc_id, text, p, tmpl[p:p + size - 1] AS w, list_filter(raw[p:p + size - 1], lambda x: x < chr(4)) AS slots FROM dw0),
      met AS MATERIALIZED (SELECT DISTINCT d.doc_id, d.text, b.item_id, b.item_windows, d.p, b.p AS ip, b.slots AS isl, d.slots AS dsl
              FROM dw d JOIN bw b ON d.w = b.w),
-     lined AS (SELECT doc_id, text, item_id, item_windows, p - ip AS off, count(*) AS n_windows FROM met GROUP BY ALL),
-     pairs AS (SELECT DISTINCT doc_id, text, item_id, p - ip AS off, unnest(isl) AS i, unnest(dsl) AS d FROM met),
-     agree AS (SELECT doc_id, text, item_id, off, count(*) AS n, count(DISTINCT i) AS ni, count(DISTINCT d) AS nd,
-                      count(*) FILTER (WHERE i <> d) AS changed FROM pairs GROUP BY ALL)
+     slots AS (SELECT doc_id, text, item_id, p - ip AS off, p, unnest(isl) AS i, unnest(dsl) AS d FROM met),
+     votes AS (SELECT doc_id, text, item_id, off, i, d, count(*) AS n FROM slots WHERE i <> d GROUP BY ALL),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, item_id, off, i ORDER BY n DESC, d) AS a,
+                       row_number() OVER (PARTITION BY doc_id, text, item_id, off, d ORDER BY n DESC, i) AS b FROM votes),
+     bad AS (SELECT DISTINCT s.doc_id, s.text, s.item_id, s.off, s.p FROM slots s JOIN ranked r
+             ON s.doc_id IS NOT DISTINCT FROM r.doc_id AND s.text = r.text AND s.item_id IS NOT DISTINCT FROM r.item_id
+                AND s.off = r.off AND s.i = r.i AND s.d = r.d AND (r.a > 1 OR r.b > 1)),
+     counted AS (SELECT m.*, m.p - m.ip AS off FROM met m WHERE NOT EXISTS (
+                 SELECT 1 FROM bad b WHERE m.doc_id IS NOT DISTINCT FROM b.doc_id AND m.text = b.text
+                 AND m.item_id IS NOT DISTINCT FROM b.item_id AND m.p - m.ip = b.off AND m.p = b.p)),
+     lined AS (SELECT doc_id, text, item_id, item_windows, off, count(*) AS n_windows FROM counted GROUP BY ALL),
+     pairs AS (SELECT DISTINCT doc_id, text, item_id, off, unnest(isl) AS i, unnest(dsl) AS d FROM counted),
+     agree AS (SELECT doc_id, text, item_id, off, count(*) FILTER (WHERE i <> d) AS changed FROM pairs GROUP BY ALL)
 SELECT l.doc_id, l.item_id, l.item_windows::INT AS item_windows, max(l.n_windows) AS n_windows, min(coalesce(a.changed, 0))::INT AS changed_slots
 FROM lined l LEFT JOIN agree a ON l.doc_id IS NOT DISTINCT FROM a.doc_id AND l.text = a.text AND l.item_id IS NOT DISTINCT FROM a.item_id AND l.off = a.off
-WHERE coalesce(a.n = a.ni AND a.n = a.nd, true) AND l.n_windows >= least({LEAST}, l.item_windows)
+WHERE l.n_windows >= least({LEAST}, l.item_windows)
 GROUP BY l.doc_id, l.item_id, l.item_windows
 """
 

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from ledgerline.llm import decontaminate, language_id, lm_score, mixing, ngram_join, quality_rules, rule_ensemble
 from ledgerline.llm.common import crc_rest
 from ledgerline.llm.stats import text_stats
@@ -149,15 +149,15 @@ def test_leaks_and_reparameterised_items(spark):
     item = "A train leaves with 12 red boxes and Anna counts 12 blue boxes, then Anna rides 30 km to the old town."
     other = "Plain words about rivers and hills that no document here repeats in any order at all, never once."
     again = item.replace("12", "55").replace("Anna", "Berta").replace("30", "7")
-    broken = item.replace("12 red", "13 red")  # one value for two: slots disagree
+    broken = item.replace("12 red", "13 red")  # a copy with one edited number: its other windows stay word for word
     d = rows(spark, (1, "Intro words. " + item.upper().lower() + " end", "en", "a"), (2, "Some text first. " + again + " More.", "en", "a"),
              (3, broken, "en", "a"), (4, None, None, None), (5, "", "en", "a"), (None, "x " + again, "en", "a"), (6, item + " " + item, "en", "a"))
     b = spark.createDataFrame([(1, item, 0), (2, other, 0), (3, None, 0), (4, "", 0)], "item_id long, text string, size int")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(d, b).collect()}
-    assert set(got) == {(2, 1), (None, 1), (6, 1)}
+    assert set(got) == {(2, 1), (3, 1), (None, 1), (6, 1)}
     assert got[(2, 1)].changed_slots > 0 and got[(6, 1)].changed_slots == 0
     kept = decontaminate.drop_leaks(d, b)
-    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {1, 3, 4, 5}
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {1, 4, 5}
     assert decontaminate.find_leaks(d.limit(0), b).count() == 0
     assert decontaminate.find_leaks(d, b.limit(0)).count() == 0
     old, decontaminate.BROADCAST_WINDOWS = decontaminate.BROADCAST_WINDOWS, 0
@@ -167,6 +167,36 @@ def test_leaks_and_reparameterised_items(spark):
         decontaminate.BROADCAST_WINDOWS = old
 
 
+def test_slots_that_disagree(spark):
+    """Literal windows always count; of contradicting changes one holds; two values may not become one."""
+    page = " ".join(f"Then item {i} holds plain words about rivers and hills near {1000 + i} houses there." for i in range(40))
+    apples = "boys picked 3 apples and 3 pears beside the old stone wall by noon"
+    texts = {1: page.replace("1017", "9"), 2: apples.replace("3 apples", "5 apples").replace("3 pears", "5 pears"),
+             3: apples.replace("3 apples", "5 apples").replace("3 pears", "7 pears"),
+             4: page.replace("1003", "8").replace("1030", "8")}
+    b = spark.createDataFrame([(1, page), (2, apples)], "item_id long, text string")
+    d = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in texts.items()],
+                              "doc_id long, text string, _leak_id int, _leak_text int, __LEAK_ID int")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(d, b).collect()}
+    assert set(got) == {(1, 1), (2, 2), (4, 1)}
+    assert got[2, 2].changed_slots == 1 and got[1, 1].changed_slots == 1 and got[1, 1].n_windows == got[1, 1].item_windows
+    assert got[4, 1].n_windows < got[4, 1].item_windows  # only one of the two values that became 8 counts
+    kept = decontaminate.drop_leaks(d, b)
+    assert kept.columns == d.columns and [r.doc_id for r in kept.collect()] == [3]
+
+
+def test_recall_of_reparameterised_items(spark):
+    """Every benchmark item with its numbers and names exchanged, put into a document."""
+    b = read_table(spark, SF_ORACLE, "benchmark")
+    items = b.collect()
+    swap = lambda m: str((int(m.group()) * 7 + 3) % 1000 + 1)
+    copies = [(r.item_id, "Some words before it. " + re.sub(r"(?<![\w])\d+(?![\w])", swap, r.text) + " And some after.") for r in items]
+    d = spark.createDataFrame(copies, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(d, b).collect()}
+    long = [r.item_id for r in items if len(WORD.findall(r.text)) >= 12]
+    assert sum((i, i) in found for i in long) >= 0.9 * len(long) > 0
+
+
 def brute_links(texts, threshold=0.8):
     sets = []
     for t in texts:
