@@ -1,10 +1,16 @@
 """Weak supervision of text quality: rules vote or abstain, EM weighs them.
 
 Each rule looks at one statistic of a text and votes good, bad, or abstains.  No
-rule decides alone.  A generative model takes the votes as independent given the
-hidden class; expectation-maximisation over all texts estimates the share of good
-texts and, per rule and class, how often its vote is right.  The posterior
-probability of the good class replaces all-must-pass filtering.
+rule decides alone.  The hidden class of a text is good or one of a few kinds of fault; given the
+class the votes are taken as independent.  Expectation-maximisation over all texts estimates the
+share of each class and, per rule and class, how often it votes bad.  The posterior probability of
+the good class replaces all-must-pass filtering.
+
+Each kind of fault has two rules or more, so that EM finds it as votes that go together, however
+frequent it is; with one class for all faults the likelihood is highest where the most frequent fault counts as
+normal.  What a rule's bad vote is worth is learned: short texts are common among good ones, so a vote
+against the length alone condemns no text.  Start values and weak priors (PRIOR_VOTES pseudo-votes a
+number) only name the classes; the verdicts don't depend on them (tests).
 
 The votes of a text are a string over ``+ - .``, one character a rule.  EM needs
 only the number of texts per vote string, at most 3 ** rules rows whatever the
@@ -13,19 +19,22 @@ touches that bounded table.  Only the model (a few numbers a rule) reaches the
 driver.  Everything runs as built-in column expressions.
 
 Defined cases: null or blank texts count as texts without words; rules about
-shares abstain on them; an empty table gives an empty result.  Extra columns are
+shares abstain on them; an empty table gives an empty result.  Extra columns, whatever their names, are
 kept as they are by ``filter_by_rules`` and ignored by ``quality_posteriors``.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, let
+from ledgerline.llm.common import checkpointed, let, unused
 from ledgerline.llm.stats import COUNTS, text_stats
+from ledgerline.session import shared_folder
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -43,26 +52,27 @@ class Rule:
     bad_below: float
     bad_above: float
     least: int = 1  # abstains while the denominator is smaller
+    fault: str = ""  # the kind of fault it looks for
 
 
 INF = float("inf")
 RULES = (
     Rule("length", "n_words", "", 100, INF, 20, INF),
     Rule("word_length", "word_chars", "n_words", 3, 10, 2, 14, 5),
-    Rule("symbols", "n_symbols", "n_words", 0, 0.1, -INF, 0.4, 5),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", 0, 0.1, -INF, 0.4, 3),
-    Rule("repeated_words", "n_repeat_words", "n_words", 0, 0.2, -INF, 0.4, 10),
-    Rule("doubled_words", "n_doubled", "n_words", 0, 0.05, -INF, 0.2, 5),
-    Rule("capitals", "n_upper", "word_chars", 0, 0.15, -INF, 0.4, 10),
-    Rule("exclamations", "n_bangs", "n_words", 0, 0.1, -INF, 0.4, 5),
+    Rule("symbols", "n_symbols", "n_words", 0, 0.1, -INF, 0.4, 5, "symbols"),
+    Rule("symbol_share", "n_symbols", "word_chars", 0, 0.02, -INF, 0.06, 20, "symbols"),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", 0, 0.1, -INF, 0.4, 3, "repeats"),
+    Rule("repeated_words", "n_repeat_words", "n_words", 0, 0.2, -INF, 0.4, 10, "repeats"),
+    Rule("doubled_words", "n_doubled", "n_words", 0, 0.05, -INF, 0.2, 5, "repeats"),
+    Rule("variety", "n_distinct", "n_words", 0.5, INF, 0.35, INF, 50, "repeats"),
+    Rule("capitals", "n_upper", "word_chars", 0, 0.15, -INF, 0.4, 10, "shouting"),
+    Rule("exclamations", "n_bangs", "n_words", 0, 0.1, -INF, 0.4, 5, "shouting"),
 )
+FAULTS = ("symbols", "repeats", "shouting")
 
-# EM: start values and the weight of the prior, in pseudo-votes.  A good text hardly ever
-# gets a bad vote; a bad text gets one from the rule that its fault concerns, not from most.
-# The first holds as a constraint in every step: without it, EM calls a frequent fault
-# normal.  A rule's thresholds must be set so that it is true.
-START_GOOD, START_RIGHT_BAD, PRIOR_VOTES, STEPS = 0.8, 0.2, 20.0, 12
-LEAST_RIGHT_GOOD = 0.998
+# Start values and means of the priors: share of good texts, how often a rule votes bad on a good text, on
+# its own kind of fault and on another.  Then the weight of a prior in pseudo-votes, and the steps.
+START_GOOD, BAD_ON_GOOD, BAD_ON_OWN, BAD_ON_OTHER, PRIOR_VOTES, STEPS = 0.8, 0.02, 0.7, 0.1, 20.0, 20
 
 
 def vote(rule: Rule, stats: Column) -> Column:
@@ -77,22 +87,40 @@ def votes(stats: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.concat(*[vote(r, stats) for r in rules])
 
 
+def codes(pattern: Column, n_rules: int) -> Column:
+    """A vote string as places in a table with three entries a rule: abstains, good, bad."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n_rules - 1)), lambda i: 3 * i + F.when(
+        F.substring(pattern, i + 1, F.lit(1)) == "+", 1).when(F.substring(pattern, i + 1, F.lit(1)) == "-", 2).otherwise(0))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Share of good texts; per rule P(vote good | good) and P(vote bad | bad), if it votes."""
+    """Share of each class, the good one first; per class and rule P(vote bad | class), if it votes."""
+
+    shares: tuple[float, ...]
+    bad: tuple[tuple[float, ...], ...]
 
-    good: float
-    right_good: tuple[float, ...]
-    right_bad: tuple[float, ...]
+    def posteriors(self, places: Column) -> list[Column]:
+        """P(class | votes) of each class, from ``codes``; the terms are added in the rules' order."""
+        def odds(share: float, bad: tuple[float, ...]) -> Column:
+            # A literal table: every EM step runs the same compiled code.
+            table = F.array(*[F.lit(x) for b in bad for x in (0.0, math.log(1 - b), math.log(b))])
+            return F.aggregate(places, F.lit(math.log(share)), lambda s, c: s + F.get(table, c))
+
+        logs = [odds(*c) for c in zip(self.shares, self.bad)]
+        most = F.greatest(*logs)
+        total = reduce(lambda a, b: a + b, [F.exp(x - most) for x in logs])
+        return [F.exp(x - most) / total for x in logs]
 
     def posterior(self, pattern: Column) -> Column:
-        """P(good | votes); the terms are added in the rules' order."""
-        odds = F.log(F.lit(self.good)) - F.log(F.lit(1 - self.good))
-        for i, (a, b) in enumerate(zip(self.right_good, self.right_bad)):
-            v = F.substring(pattern, i + 1, 1)
-            odds = odds + (F.when(v == "+", F.log(F.lit(a)) - F.log(F.lit(1 - b)))
-                           .when(v == "-", F.log(F.lit(1 - a)) - F.log(F.lit(b))).otherwise(0.0))
-        return 1 / (1 + F.exp(-odds))
+        """P(good | votes)."""
+        return let(codes(pattern, len(self.bad[0])), lambda c: self.posteriors(c)[0])
+
+
+def start(rules: tuple[Rule, ...] = RULES) -> Model:
+    shares = (START_GOOD, *[(1 - START_GOOD) / len(FAULTS)] * len(FAULTS))
+    return Model(shares, (tuple(BAD_ON_GOOD for _ in rules), *[
+        tuple(BAD_ON_OWN if r.fault == f else BAD_ON_OTHER for r in rules) for f in FAULTS]))
 
 
 def count_patterns(patterns: DataFrame) -> DataFrame:
@@ -100,23 +128,26 @@ def count_patterns(patterns: DataFrame) -> DataFrame:
     return checkpointed(patterns.groupBy("pattern").agg(F.count("*").alias("n")).coalesce(1))
 
 
-def fit(counts: DataFrame, n_rules: int = len(RULES), steps: int = STEPS) -> Model:
+def fit(counts: DataFrame, rules: tuple[Rule, ...] = RULES, steps: int = STEPS) -> Model:
     """EM over (pattern, n); a table without rows leaves the start values."""
-    model = Model(START_GOOD, (LEAST_RIGHT_GOOD,) * n_rules, (START_RIGHT_BAD,) * n_rules)
+    prior = model = start(rules)
+    classes = range(len(prior.shares))
+    table = counts.select("n", codes(F.col("pattern"), len(rules)).alias("codes"))
     for _ in range(steps):
-        p = counts.withColumn("g", model.posterior(F.col("pattern")) * F.col("n")) \
-            .withColumn("b", F.col("n") - F.col("g"))
-        v = [F.substring("pattern", i + 1, 1) for i in range(n_rules)]
-        sums = [F.sum("g"), F.sum("n")]
-        for x in v:
-            sums += [F.sum(F.when(x == "+", F.col("g"))), F.sum(F.when(x != ".", F.col("g"))),
-                     F.sum(F.when(x == "-", F.col("b"))), F.sum(F.when(x != ".", F.col("b")))]
-        s = [float(x or 0) for x in p.agg(*[x.alias(f"s{i}") for i, x in enumerate(sums)]).first()]
-        smooth = lambda hit, of, start: (hit + start * PRIOR_VOTES) / (of + PRIOR_VOTES)
+        p = table.select("n", "codes", *[(x * F.col("n")).alias(f"p{k}") for k, x in enumerate(model.posteriors(F.col("codes")))])
+        code = [F.get("codes", F.lit(i)) - 3 * i for i in range(len(rules))]
+        sums = [F.sum("n")]
+        for k in classes:
+            sums.append(F.sum(f"p{k}"))
+            sums += [F.sum(F.when(c == 2, F.col(f"p{k}"))) for c in code] + [F.sum(F.when(c > 0, F.col(f"p{k}"))) for c in code]
+        got = [float(x or 0) for x in p.agg(*[x.alias(f"s{i}") for i, x in enumerate(sums)]).first()]
+        width = 1 + 2 * len(rules)
+        smooth = lambda hit, of, mean: (hit + mean * PRIOR_VOTES) / (of + PRIOR_VOTES)
+        own = [got[1 + k * width:1 + (k + 1) * width] for k in classes]
         model = Model(
-            (s[0] + START_GOOD * PRIOR_VOTES) / (s[1] + PRIOR_VOTES),
-            tuple(max(LEAST_RIGHT_GOOD, smooth(s[2 + 4 * i], s[3 + 4 * i], LEAST_RIGHT_GOOD)) for i in range(n_rules)),
-            tuple(smooth(s[4 + 4 * i], s[5 + 4 * i], START_RIGHT_BAD) for i in range(n_rules)))
+            tuple(smooth(own[k][0], got[0], prior.shares[k]) for k in classes),
+            tuple(tuple(smooth(own[k][1 + i], own[k][1 + len(rules) + i], prior.bad[k][i]) for i in range(len(rules)))
+                  for k in classes))
     return model
 
 
@@ -142,10 +173,15 @@ def quality_posteriors(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def filter_by_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they were.
 
-    The statistics are computed twice, once for the counts and once beside the
-    rows: cheaper than a shuffle of the texts.
+    The rows are written once with their votes, into the shared folder; the model is fitted on
+    that column and the written rows are filtered.
     """
-    stats = text_stats(F.col(f"`{text}`"))
-    model = fit(count_patterns(docs.select(let(stats, lambda s: votes(s)).alias("pattern"))))
-    return docs.where(let(stats, lambda s: ~base_failed(s) & let(
-        votes(s), lambda v: model.posterior(v) >= threshold)))
+    spark, pattern = docs.sparkSession, unused("_votes", docs)
+    judged = let(text_stats(F.col(f"`{text}`")), lambda s: F.when(~base_failed(s), votes(s)).otherwise(
+        F.concat(votes(s), F.lit("!"))))
+    folder = shared_folder(spark, "votes")
+    docs.withColumn(pattern, judged).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    vote_string = F.col(f"`{pattern}`")
+    model = fit(count_patterns(rows.select(F.rtrim(vote_string, F.lit("!")).alias("pattern"))))
+    return rows.where(~vote_string.endswith("!") & (model.posterior(vote_string) >= threshold)).drop(pattern)

@@ -67,28 +67,67 @@ def test_quality_rules(spark, docs):
     assert quality_rules.quality_posteriors(docs.limit(0)).count() == 0
 
 
-def test_em_matches_plain_python(spark):
-    table = {"+" * 8: 900, "+" * 7 + "-": 40, "-" + "+" * 7: 30, "--++++++": 20, "." * 8: 10}
-    got = quality_rules.fit(spark.createDataFrame(list(table.items()), "pattern string, n long"))
+def plain_em(table, rules, good, on_good, steps):
+    """EM of the same model, written out: (shares, P(bad vote | class), pattern -> posterior)."""
     q = quality_rules
-    good, a, b = q.START_GOOD, [q.LEAST_RIGHT_GOOD] * 8, [q.START_RIGHT_BAD] * 8
-    for _ in range(q.STEPS):
-        post = {}
-        for p in table:
-            lg, lb = math.log(good), math.log(1 - good)
-            for i, v in enumerate(p):
-                if v != ".":
-                    lg += math.log(a[i] if v == "+" else 1 - a[i])
-                    lb += math.log(b[i] if v == "-" else 1 - b[i])
-            post[p] = 1 / (1 + math.exp(lb - lg))
+    shares0 = [good] + [(1 - good) / len(q.FAULTS)] * len(q.FAULTS)
+    bad0 = [[on_good for _ in rules]] + [[q.BAD_ON_OWN if r.fault == f else q.BAD_ON_OTHER for r in rules] for f in q.FAULTS]
+    shares, bad = list(shares0), [list(b) for b in bad0]
+
+    def posterior(p):
+        likely = [s * math.prod(b[i] if v == "-" else 1 - b[i] for i, v in enumerate(p) if v != ".") for s, b in zip(shares, bad)]
+        return [x / sum(likely) for x in likely]
+
+    for _ in range(steps):
+        post = {p: posterior(p) for p in table}
         total = sum(table.values())
-        good = (sum(post[p] * n for p, n in table.items()) + q.START_GOOD * q.PRIOR_VOTES) / (total + q.PRIOR_VOTES)
-        for i in range(8):
-            part = lambda sign, of: sum(n * of(post[p]) for p, n in table.items() if p[i] in sign)
-            bad = lambda x: 1 - x
-            a[i] = max(q.LEAST_RIGHT_GOOD, (part("+", float) + q.LEAST_RIGHT_GOOD * q.PRIOR_VOTES) / (part("+-", float) + q.PRIOR_VOTES))
-            b[i] = (part("-", bad) + q.START_RIGHT_BAD * q.PRIOR_VOTES) / (part("+-", bad) + q.PRIOR_VOTES)
-    assert got.good == pytest.approx(good) and got.right_good == pytest.approx(a) and got.right_bad == pytest.approx(b)
+        shares = [(sum(post[p][k] * n for p, n in table.items()) + s * q.PRIOR_VOTES) / (total + q.PRIOR_VOTES) for k, s in enumerate(shares0)]
+        for k, means in enumerate(bad0):
+            for i, mean in enumerate(means):
+                part = lambda signs: sum(n * post[p][k] for p, n in table.items() if p[i] in signs)
+                bad[k][i] = (part("-") + mean * q.PRIOR_VOTES) / (part("+-") + q.PRIOR_VOTES)
+    return shares, bad, {p: posterior(p)[0] for p in table}
+
+
+EM_TABLE = {"+" * 10: 900, "++--++++++": 60, "+" * 9 + "-": 9, "-" + "+" * 9: 40, "++++---+++": 30, "++++++++--": 20, "." * 10: 10}
+
+
+def test_em_matches_plain_python(spark):
+    q = quality_rules
+    got = q.fit(spark.createDataFrame(list(EM_TABLE.items()), "pattern string, n long"))
+    shares, bad, post = plain_em(EM_TABLE, q.RULES, q.START_GOOD, q.BAD_ON_GOOD, q.STEPS)
+    assert got.shares == pytest.approx(shares)
+    assert [x for row in got.bad for x in row] == pytest.approx([x for row in bad for x in row])
+    df = spark.createDataFrame([(p,) for p in EM_TABLE], "p string")
+    assert {r.p: r.x for r in df.select("p", got.posterior(F.col("p")).alias("x")).collect()} == pytest.approx(post)
+    assert post["-" + "+" * 9] > 0.5 and post["++--++++++"] < 0.5 and post["++++---+++"] < 0.5  # a frequent fault isn't normal
+
+
+@pytest.fixture(scope="module")
+def patterns(spark):
+    docs = read_table(spark, "/root/testdata/sf0.1", "documents")
+    stats = docs.select("doc_id", text_stats(F.col("text")).alias("s"))
+    got = stats.select("doc_id", quality_rules.votes(F.col("s")).alias("p"), quality_rules.base_failed(F.col("s")).alias("failed"))
+    labels = read_table(spark, "/root/testdata/sf0.1", "labels").select("doc_id", "quality")
+    return [tuple(r) for r in got.join(labels, "doc_id", "left").select("p", "failed", "quality").collect()]
+
+
+def test_em_decides(patterns):
+    """Verdicts come from the corpus: alike for priors far apart, and not those of all-must-pass."""
+    table = collections.Counter(p for p, _, _ in patterns)
+    verdicts = {}
+    for good in (0.6, 0.8, 0.95):
+        for on_good in (0.1, 0.05, 0.002):
+            post = plain_em(table, quality_rules.RULES, good, on_good, quality_rules.STEPS)[2]
+            verdicts[good, on_good] = {p for p in table if post[p] >= 0.5}
+    first = verdicts[0.8, 0.05]
+    for v in verdicts.values():
+        assert sum(table[p] for p in first ^ v) <= 0.001 * len(patterns)
+    assert any("-" in p for p in first) and all(p in first for p in table if "-" not in p)
+    assert not any(p in first for p in table if p.count("-") >= 3)
+    assert any(p in first for p in table if p.count("-") == 1 and p.count("+") >= 7)
+    judged = [(p in first, q) for p, failed, q in patterns if q is not None and not failed]
+    assert sum(k == bool(q) for k, q in judged) >= 0.99 * len(judged)
 
 
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
