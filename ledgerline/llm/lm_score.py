@@ -6,9 +6,13 @@ words share ``RARE_CLASSES`` classes by their last two letters, and a word's pro
 within its class comes from the corpus counts.  Probabilities are normalised: a softmax
 over the classes, computed as batched matrix products, times the share within the class.
 
-Counts and gradient steps cover all training texts.  Training runs where the data is:
+Counts and gradient steps cover all training texts.  Texts are split once: a table in the shared folder
+holds the number of every token, which training and scoring read.  Training runs where the data is:
 each task fits the model with numpy on its part of the texts, Spark averages the tasks'
-parameters weighted by their tokens, and ``ROUNDS`` rounds repeat that from the average.
+parameters weighted by their tokens, and ``ROUNDS`` rounds repeat that from the average, so scores depend
+a little on how the input is cut (a bound is tested).  Equal contexts of a part take a step together,
+weighted by how often each target follows them: the sums are those over all tokens, at a fraction
+of the work.
 
 Scoring needs each token's count.  The ``COMMON_WORDS`` most frequent are broadcast (a
 fixed bound); the others of each text are listed, joined with the counts by a shuffle,
@@ -22,6 +26,7 @@ ignored.
 
 from __future__ import annotations
 
+import collections
 import zlib
 from dataclasses import dataclass
 
@@ -30,27 +35,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, words
-from ledgerline.llm.url_filter import LOWER, UPPER
+from ledgerline.llm.common import checkpointed
 from ledgerline.session import shared_folder
 
 END = "\n"  # no word holds white space
 CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 255, 64
 COMMON_WORDS = 20_000
 ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
+# Contexts of a gradient step; a context seen more often than HEAVY takes part in several.
+CONTEXTS, HEAVY = 384, 1024
 SMOOTH = 0.1
-SCORE_TOKENS, TRAIN_TOKENS = 131_072, 1_000_000
+SCORE_TOKENS, TRAIN_TOKENS = 1 << 20, 1 << 22
 CACHE_WORDS = 400_000
 
 
-def lowered(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
-def tokens(text: Column) -> Column:
-    return F.concat(words(lowered(text)), F.array(F.lit(END)))
-
-
 def rare_class(token: Column) -> Column:
     return F.pmod(F.crc32(F.right(token, F.lit(2))), F.lit(RARE_CLASSES)).cast("int")
 
@@ -70,6 +68,16 @@ class Corpus:
     def n_classes(self) -> int:
         return len(self.classes) + RARE_CLASSES
 
+    def numbered(self) -> list[str]:
+        """Tokens with a number of their own, in order; the rare classes follow."""
+        return [END, *(w for w in self.common if w != END)]
+
+    def class_of(self) -> np.ndarray:
+        """The class of each number."""
+        base = len(self.classes)
+        return np.array([self.classes.get(w, base + _rare(w)) for w in self.numbered()]
+                        + [base + i for i in range(RARE_CLASSES)], dtype=np.int64)
+
     def class_counts(self) -> np.ndarray:
         out = np.zeros(self.n_classes)
         for w, i in self.classes.items():
@@ -78,9 +86,29 @@ class Corpus:
         return out
 
 
+def _counted(batches):
+    """Counts of a task's tokens, handed on whenever they are many."""
+    seen: collections.Counter[bytes] = collections.Counter()
+
+    def close():
+        out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()),
+                                          pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
+        seen.clear()
+        return out
+
+    for batch in batches:
+        for t in _texts(batch.column(0)):
+            seen.update(_split(t))
+            seen[END.encode()] += 1
+            if len(seen) > CACHE_WORDS:
+                yield close()
+    if seen:
+        yield close()
+
+
 def count_corpus(docs: DataFrame, text: str = "text") -> Corpus:
-    counts = checkpointed(docs.select(F.explode(tokens(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("token"))
-                          .groupBy("token").agg(F.count("*").alias("c")))
+    counts = checkpointed(docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_counted, "token string, c long")
+                          .groupBy("token").agg(F.sum("c").alias("c")))
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     # Only words of the levels that the first COMMON_WORDS reach are sorted and sent: else
     # every task would send that many, and the driver's share would grow with the tasks.
@@ -130,22 +158,40 @@ class Parameters:
         return Parameters(*out)
 
     def log10(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log10 P(target class | context classes) per token, in batches."""
-        # One table per place: a token's prediction is a sum of CONTEXT rows.
+        """log10 P(target class | context classes) per token; equal contexts and pairs are computed once."""
+        k = len(self.bias)
+        pairs, of = np.unique(_key(context, k) * k + target, return_inverse=True)
+        contexts, at = np.unique(pairs // k, return_inverse=True)
+        # One table per place: a context's prediction is a sum of CONTEXT rows.
         tables = [(self.context * p).astype(np.float32) for p in self.places]
         out_t, bias = self.target.T.astype(np.float32), self.bias.astype(np.float32)
-        out, ones = np.empty(len(target)), np.ones(len(bias), np.float32)
-        for a in range(0, len(target), BATCH):
-            c, t = context[a:a + BATCH], target[a:a + BATCH]
-            q = sum(table[c[:, i]] for i, table in enumerate(tables))
+        ones, edges = np.ones(k, np.float32), np.searchsorted(at, np.arange(0, len(contexts) + BATCH, BATCH))
+        value = np.empty(len(pairs))
+        for n, a in enumerate(range(0, len(contexts), BATCH)):
+            c = _classes(contexts[a:a + BATCH], k)
+            rows = slice(edges[n], edges[n + 1])
+            q = sum(table[c[i]] for i, table in enumerate(tables))
             s = q @ out_t
             s += bias
-            own = s[np.arange(len(t)), t]
+            own = s[at[rows] - a, pairs[rows] % k]
             top = s.max(axis=1)
             s -= top[:, None]
             np.exp(s, out=s)
-            out[a:a + BATCH] = (own - top - np.log(s @ ones)) / np.log(10)
-        return out
+            value[rows] = (own - (top + np.log(s @ ones))[at[rows] - a]) / np.log(10)
+        return value[of]
+
+
+def _key(context: np.ndarray, k: int) -> np.ndarray:
+    """One number for the classes of a context."""
+    key = np.zeros(len(context), np.int64)
+    for i in range(CONTEXT):
+        key = key * k + context[:, i]
+    return key
+
+
+def _classes(key: np.ndarray, k: int) -> list[np.ndarray]:
+    """The classes of ``_key``, by place."""
+    return [key // k ** (CONTEXT - 1 - i) % k for i in range(CONTEXT)]
 
 
 def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -155,37 +201,56 @@ def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share: np.ndarray, seed: int) -> Parameters:
-    """Noise-contrastive estimation by AdaGrad; the noise words are shared by a batch."""
+    """Noise-contrastive estimation by AdaGrad; the noise words are shared by a step.
+
+    A step takes CONTEXTS distinct contexts with all their targets and how often each occurs.
+    """
+    k = len(share)
     p = Parameters(*(x.astype(np.float32).copy() for x in (start.context, start.places, start.target, start.bias)))
     squares = [np.full(x.shape, 1e-6, np.float32) for x in (p.context, p.places, p.target, p.bias)]
     log_noise = np.log(NOISE * share).astype(np.float32)
     rng = np.random.default_rng(seed)
     edges = np.cumsum(share)
+    pairs, times = np.unique(_key(context, k) * k + target, return_counts=True)
+    contexts, first, sizes = np.unique(pairs // k, return_index=True, return_counts=True)
+    classes, targets, weights = _classes(contexts, k), pairs % k, np.add.reduceat(times, first)
+    parts = -(-weights // HEAVY)  # a frequent context is dealt over several steps
+    times = (times / np.repeat(parts, sizes)).astype(np.float32)
+    weights = (weights / parts).astype(np.float32)
+    entries = np.repeat(np.arange(len(contexts)), parts)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(target))
-        for a in range(0, len(order), BATCH):
-            rows = order[a:a + BATCH]
-            c, t = context[rows], target[rows]
-            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(share) - 1)
-            q = sum((p.context * place).take(c[:, i], axis=0) for i, place in enumerate(p.places))
+        order = rng.permutation(entries)
+        for a in range(0, len(order), CONTEXTS):
+            rows = order[a:a + CONTEXTS]
+            n, weight = sizes[rows], weights[rows]
+            begin = np.cumsum(n) - n
+            at = np.arange(n.sum()) + np.repeat(first[rows] - begin, n)
+            t, w, c = targets[at], times[at], [x[rows] for x in classes]
+            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), k - 1)
+            q = sum((p.context * place).take(x, axis=0) for x, place in zip(c, p.places))
+            wide = np.repeat(q, n, axis=0)
             own, others = p.target.take(t, axis=0), p.target[noise]
-            up = 1 / (1 + np.exp(np.einsum("ij,ij->i", q, own) + p.bias[t] - log_noise[t]))
+            up = w / (1 + np.exp(np.einsum("ij,ij->i", wide, own) + p.bias[t] - log_noise[t]))
             down = q @ others.T
             down += p.bias[noise] - log_noise[noise]
             np.negative(down, out=down)
             np.exp(down, out=down)
             down += 1
-            np.divide(-1, down, out=down)
-            g_q = up[:, None] * own + down @ others
-            at = np.concatenate([t, noise])
-            g_target = _sum_rows(at, np.concatenate([up[:, None] * q, down.T @ q]), len(share))
-            g_bias = np.bincount(at, np.concatenate([up, down.sum(axis=0)]), len(share)).astype(np.float32)
+            np.divide(-weight[:, None], down, out=down)
+            own *= up[:, None]
+            g_q = np.add.reduceat(own, begin, axis=0)
+            g_q += down @ others
+            wide *= up[:, None]
+            to = np.concatenate([t, noise])
+            g_target = _sum_rows(to, np.concatenate([wide, down.T @ q]), k)
+            g_bias = np.bincount(to, np.concatenate([up, down.sum(axis=0)]), k).astype(np.float32)
             # Per place the gradients of a context class's rows add up before its vector comes in.
-            by_class = [_sum_rows(c[:, i], g_q, len(share)) for i in range(CONTEXT)]
+            by_class = [_sum_rows(x, g_q, k) for x in c]
             g_context = sum(g * place for g, place in zip(by_class, p.places))
             g_places = np.stack([(g * p.context).sum(axis=0) for g in by_class])
+            seen = weight.sum()
             for x, g, s in zip((p.context, p.places, p.target, p.bias), (g_context, g_places, g_target, g_bias), squares):
-                g /= len(rows)
+                g /= seen
                 s += g * g
                 x += RATE * g / np.sqrt(s)
     return p
@@ -234,61 +299,52 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> Parameters:
-    """``docs``: the training texts; every one of them is fitted on in each round."""
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the texts, and where each text starts and the last ends."""
+    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+
+
+def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
+    """``numbered``: the training texts' numbers; every one of them is fitted on in each round."""
     counts = corpus.class_counts()
     share = (counts + SMOOTH) / (counts + SMOOTH).sum()
-    params = Parameters.start(counts)
-    classes = list(corpus.classes)
-    slim = docs.select(F.col(f"`{text}`").alias("text"))
+    params, class_of = Parameters.start(counts), corpus.class_of()
     for round_ in range(ROUNDS):
         def fit(batches, start=params, round_=round_):
-            numbers, now, seen, ids, starts = _Numbers(classes), start, 0, [], [0]
+            now, seen, held = start, 0, []
+
+            def step(now):
+                ids = np.concatenate([x for x, _ in held])
+                starts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x) for _, x in held]))])
+                return train_part(now, _contexts(ids, starts), ids, share, round_), len(ids)
+
             for batch in batches:
-                for t in _texts(batch.column(0)):
-                    ids += [numbers[w] for w in _split(t)]
-                    ids.append(0)
-                    starts.append(len(ids))
-                    if len(ids) >= TRAIN_TOKENS:
-                        a = np.array(ids)
-                        now = train_part(now, _contexts(a, np.array(starts)), a, share, round_)
-                        seen, ids, starts = seen + len(a), [], [0]
-            if ids:
-                a = np.array(ids)
-                now = train_part(now, _contexts(a, np.array(starts)), a, share, round_)
-                seen += len(a)
+                if batch.num_rows:
+                    numbers, starts = _flat(batch.column("numbers"))
+                    held.append((class_of[numbers], starts))
+                if sum(len(x) for x, _ in held) >= TRAIN_TOKENS:
+                    now, n = step(now)
+                    seen, held = seen + n, []
+            if held:
+                now, n = step(now)
+                seen += n
             if seen:
                 flat = now.flat().astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen),
                                                   pa.array(np.full(len(flat), seen, np.int64))], names=["i", "x", "n"])
 
-        mean = slim.mapInArrow(fit, "i int, x double, n long").groupBy("i").agg(
+        mean = numbered.select("numbers").mapInArrow(fit, "i int, x double, n long").groupBy("i").agg(
             (F.sum("x") / F.sum("n")).alias("x")).toPandas().sort_values("i")
         if len(mean):
             params = params.like(mean["x"].to_numpy())
     return params
 
 
-def _score(corpus_classes: dict[str, int], common: dict[str, int], rare_sizes: np.ndarray, params: Parameters):
+def _number(words_: list[str]):
     def run(batches):
-        words_ = [END, *(w for w in common if w != END)]
-        numbers, base = _Numbers(words_), len(corpus_classes)
-        rare = [base + i for i in range(RARE_CLASSES)]
-        class_of = np.array([corpus_classes.get(w, base + _rare(w)) for w in words_] + rare)
-        log = np.array([np.log10(common.get(w, 0) + SMOOTH) for w in words_] + [0.0] * RARE_CLASSES)
-        known = np.array([int(w in common) for w in words_] + [0] * RARE_CLASSES)
-        # A word that shares a class: its log count, less what its whole class counts.
-        whole = np.log10(rare_sizes[:, 0] + SMOOTH * (rare_sizes[:, 1] + 1))
-        inside = np.where(class_of < base, 0.0, log - whole[np.maximum(class_of - base, 0)])
-
-        def close(ids, starts):
-            a, at = np.array(ids), np.array(starts)
-            c = class_of[a]
-            per = params.log10(_contexts(c, at), c) + inside[a]
-            return [np.diff(at), *(np.add.reduceat(x, at[:-1]) for x in (known[a], log[a], per))]
-
+        numbers = _Numbers(words_)
         for batch in batches:
-            parts, rest, ids, starts = [], [], [], [0]
+            ids, starts, rest = [], [0], []
             for t in _texts(batch.column("text")):
                 found = _split(t)
                 one = [numbers[w] for w in found]
@@ -296,18 +352,40 @@ def _score(corpus_classes: dict[str, int], common: dict[str, int], rare_sizes: n
                 ids += one
                 ids.append(0)
                 starts.append(len(ids))
-                if len(ids) >= SCORE_TOKENS:
-                    parts.append(close(ids, starts))
-                    ids, starts = [], [0]
-            if ids:
-                parts.append(close(ids, starts))
-            if parts:
-                cells = [np.concatenate(x) for x in zip(*parts)]
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.array(ids, dtype=np.int16)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_hash"), batch.column("held_out"), lists, pa.array(rest, pa.list_(pa.string()))],
+                names=["id", "text_hash", "held_out", "numbers", "rest"])
+
+    return run
+
+
+def _score(corpus: Corpus, params: Parameters):
+    words_, common, class_of = corpus.numbered(), corpus.common, corpus.class_of()
+    base = len(corpus.classes)
+    log = np.array([np.log10(common.get(w, 0) + SMOOTH) for w in words_] + [0.0] * RARE_CLASSES)
+    known = np.array([int(w in common) for w in words_] + [0] * RARE_CLASSES)
+    # A word that shares a class: its log count, less what its whole class counts.
+    whole = np.log10(corpus.rare_sizes[:, 0] + SMOOTH * (corpus.rare_sizes[:, 1] + 1))
+    inside = np.where(class_of < base, 0.0, log - whole[np.maximum(class_of - base, 0)])
+
+    def run(batches):
+        for batch in batches:
+            numbers, starts = _flat(batch.column("numbers"))
+            cells, at = [], 0
+            while at < batch.num_rows:  # some texts at a time
+                to = max(at + 1, int(np.searchsorted(starts, starts[at] + SCORE_TOKENS, side="right")) - 1)
+                a, s = numbers[starts[at]:starts[to]], starts[at:to + 1] - starts[at]
+                c = class_of[a]
+                per = params.log10(_contexts(c, s), c) + inside[a]
+                cells.append([np.diff(s), *(np.add.reduceat(x, s[:-1]) for x in (known[a], log[a], per))])
+                at = to
+            if cells:
+                done = [np.concatenate(x) for x in zip(*cells)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("text_hash"), batch.column("held_out"),
-                     *[pa.array(x, pa.int64()) for x in cells[:2]], *[pa.array(x, pa.float64()) for x in cells[2:]],
-                     pa.array(rest, pa.list_(pa.string()))],
-                    names=["id", "text_hash", "held_out", "n_tokens", "known", "log_common", "log_model", "rest"])
+                    [batch.column(c) for c in ("id", "text_hash", "held_out", "n_rare")]
+                    + [pa.array(x, pa.int64()) for x in done[:2]] + [pa.array(x, pa.float64()) for x in done[2:]],
+                    names=["id", "text_hash", "held_out", "n_rare", "n_tokens", "known", "log_common", "log_model"])
 
     return run
 
@@ -317,27 +395,28 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
 
     Rows where ``held_out`` isn't true train the model.
     """
+    spark = docs.sparkSession
     slim = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), held_out.alias("held_out"))
-    learn = slim.where(~F.coalesce("held_out", F.lit(False)))
-    corpus = count_corpus(learn)
-    params = train(learn, corpus)
-
+    corpus = count_corpus(slim.where(~F.coalesce("held_out", F.lit(False))))
     kind = slim.schema["id"].dataType.simpleString()
-    # Parquet, not checkpoint(): the lists compress well and the second use leaves them out.
-    folder = shared_folder(docs.sparkSession, "lm")
-    slim.mapInArrow(
-        _score(corpus.classes, corpus.common, corpus.rare_sizes, params),
-        f"id {kind}, text_hash long, held_out boolean, n_tokens long, known long, log_common double, "
-        "log_model double, rest array<string>").withColumn("n_rare", F.size("rest")).write.parquet(folder)
-    scored = docs.sparkSession.read.parquet(folder)
-    logs = (scored.select("id", "text_hash", F.explode("rest").alias("token"))
+    # Parquet, not checkpoint(): the numbers compress well, and each use reads only its columns.
+    folder = shared_folder(spark, "lm")
+    slim.mapInArrow(_number(corpus.numbered()), f"id {kind}, text_hash long, held_out boolean, numbers array<smallint>, "
+                    "rest array<string>").withColumn("n_rare", F.size("rest")).write.parquet(folder)
+    numbered = spark.read.parquet(folder)
+    params = train(numbered.where(~F.coalesce("held_out", F.lit(False))), corpus)
+
+    scored = numbered.select("id", "text_hash", "held_out", "n_rare", "numbers").mapInArrow(
+        _score(corpus, params), f"id {kind}, text_hash long, held_out boolean, n_rare int, n_tokens long, known long, "
+        "log_common double, log_model double")
+    logs = (numbered.select("id", "text_hash", F.explode("rest").alias("token"))
             .join(corpus.counts, "token", "left")
             .groupBy("id", "text_hash").agg(
                 F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("log_rare"),
                 F.count("c").alias("rare_known"), F.count("*").alias("rows"))
             .withColumnsRenamed({"id": "rid", "text_hash": "rtext"}))
-    joined = scored.drop("rest").join(logs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rtext")), "left")
+    joined = scored.join(logs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rtext")), "left")
     # Rows that repeat an id and text add up there; each gets its part.
     part = F.coalesce(F.col("n_rare") / F.col("rows"), F.lit(0.0))
     rare = F.coalesce(F.col("log_rare"), F.lit(0.0)) * part

@@ -415,6 +415,47 @@ def test_lm_trains_on_every_text(spark, monkeypatch):
     assert given == [60] and (lm_score.VOCABULARY, lm_score.ROUNDS) == (255, 2)
 
 
+def test_lm_probabilities_match_softmax():
+    """log10 against the softmax written out, token by token."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    k = 12
+    p = lm_score.Parameters.start(np.arange(1.0, k + 1), seed=3)
+    p.places[:] = rng.normal(1, 0.2, p.places.shape)
+    p.context *= 10
+    context, target = rng.integers(0, k, (300, lm_score.CONTEXT)), rng.integers(0, k, 300)
+    for c, t, got in zip(context, target, p.log10(context, target)):
+        score = [sum((p.context[c[i]] * p.places[i]) @ p.target[x] for i in range(lm_score.CONTEXT)) + p.bias[x] for x in range(k)]
+        assert got == pytest.approx((score[t] - math.log(sum(map(math.exp, score)))) / math.log(10), abs=1e-4)
+
+
+def test_lm_every_text_changes_the_parameters(spark, monkeypatch):
+    """Also one that stands in the last, short chunk of its task."""
+    monkeypatch.setattr(lm_score, "TRAIN_TOKENS", 200)
+    texts = ["a b c d e f g h"] * 70
+    held = F.col("doc_id") < 0
+
+    def fitted(last):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, last])], "doc_id long, text string").coalesce(1)
+        got = []
+        real = lm_score._score
+        with monkeypatch.context() as m:
+            m.setattr(lm_score, "_score", lambda corpus, params: got.append(params.flat()) or real(corpus, params))
+            lm_score.score(df, held).count()
+        return got[0]
+
+    assert abs(fitted("a b c d e f g h") - fitted("h g f e d c b a")).max() > 1e-4
+
+
+def test_lm_scores_hardly_depend_on_the_partitions(spark):
+    """Held-out mean per token at sf0.01, in one part and in four; better than the counts alone."""
+    docs = read_table(spark, SF_ORACLE, "documents")
+    mean = lambda d: d.where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    one, four = (mean(lm_score.score(docs.repartition(n), crc_rest(F.col("doc_id"), 10) == 0)) for n in (1, 4))
+    assert abs(one[0] - four[0]) < 0.03 and min(one[0], four[0]) > -3.89 > one[1]
+
+
 def test_lm_batch_sums():
     import numpy as np
 
