@@ -102,6 +102,33 @@ def test_pieces_of_class_words_and_runs_are_decided_by_repeats():
     assert html_extract.extract_host(pages) == [(f"{own(i, 3)}\n{own(50 + i)}", 10) for i in range(6)]
 
 
+def test_extraction_is_the_same_on_any_partitioning(spark):
+    """A line on every page of a host is cut whatever the partitions; also on pages of 4 MB, and on a host of several groups."""
+    line = "home news sport weather travel food music books films maps"
+    own = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    page = lambda i, n: f"<body><p>{line}</p><p>{own(i, n)}</p></body>"
+    cells = [(i, f"http://h/{i}", page(i, 40)) for i in range(8)] + [(100 + i, f"http://big/{i}", page(i, 400_000)) for i in range(3)]
+    p = pages(spark, *cells)
+    seen = []
+    for partitions in (1, 8, 211):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            seen.append({r.page_id: (r.n_chars, hash(r.text), r.n_repeated) for r in html_extract.extract_pages(p.repartition(partitions % 5 + 1)).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert seen[0] == seen[1] == seen[2]
+    assert all(seen[0][i] == (len(t), hash(t), 10) for i, t in [(k[0], own(k[0] % 100, 40 if k[0] < 100 else 400_000)) for k in cells])
+
+
+def test_a_host_of_several_groups(spark, monkeypatch):
+    line = "home news sport weather travel food music books films maps"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
+    monkeypatch.setattr(html_extract, "GROUP_BYTES", 1 << 13)
+    p = pages(spark, *[(i, f"http://h/{i}", f"<body><p>{line}</p><p>{own(i)}</p></body>") for i in range(300)])
+    got = {r.page_id: r.text for r in html_extract.extract_pages(p).collect()}
+    assert got == {i: own(i) for i in range(300)}
+
+
 def test_covered_tokens_match_brute_force():
     import numpy as np
 
