@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, words
+from ledgerline.llm.common import checkpointed, unused, words
 
 SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 BLOCK_SETS, BLOCK_WORDS, PACK_WORDS = 512, 400_000, 400_000
@@ -293,13 +293,14 @@ def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = _grouped(docs, key, text, **options)
     # Texts without shingles form groups of their own, by id and text.
     alone = F.col("group").isNull()
+    of_text, kept_id, kept_text = (unused(c, docs) for c in ("_text_hash", "_kept_id", "_kept_text"))
     kept = checkpointed(found.groupBy("group", F.when(alone, F.col("id")), F.when(alone, F.col("text_hash")))
                         .agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("one"))
-                        .select(F.col("one.id").alias("_kept_id"), F.col("one.text_hash").alias("_kept_text")))
-    named = docs.withColumn("_text_hash", F.xxhash64(F.col(f"`{text}`"))).join(
-        kept, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_text")),
+                        .select(F.col("one.id").alias(kept_id), F.col("one.text_hash").alias(kept_text)))
+    named = docs.withColumn(of_text, F.xxhash64(F.col(f"`{text}`"))).join(
+        kept, F.col(f"`{key}`").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(of_text) == F.col(kept_text)),
         "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]))
-    return named.groupBy(F.col(f"`{key}`").alias("_k"), "_text_hash").agg(F.min_by(row, rest).alias("_row")).select(
+    return named.groupBy(F.col(f"`{key}`").alias("_k"), of_text).agg(F.min_by(row, rest).alias("_row")).select(
         *[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -189,11 +189,14 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def training_rows(scored: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
                   max_rows: int = MAX_TRAINING_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """At most about ``max_rows`` rows of FEATURES and labels; ``scored`` has key and FEATURES."""
-    y = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("int").alias("_y")).where("_y IS NOT NULL")
+    """At most about ``max_rows`` rows of FEATURES and labels; ``scored`` has key and FEATURES.
+
+    Labels other than 0 and 1 are left out, null ones too.
+    """
+    y = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("int").alias("_y")).where("_y IN (0, 1)")
     n = y.count()
     if n > max_rows:
         place = F.pmod(F.xxhash64("_key", F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
         y = y.where(place < max_rows / n)
-    rows = scored.join(y, F.col(key) == F.col("_key")).select(*FEATURES, "_y").orderBy(*FEATURES, "_y").toPandas()
+    rows = scored.join(y, F.col(key) == F.col("_key")).select(*FEATURES, "_y").toPandas().sort_values([*FEATURES, "_y"])
     return rows[list(FEATURES)].to_numpy(np.float64), rows["_y"].to_numpy(np.float64)

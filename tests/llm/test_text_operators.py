@@ -477,3 +477,21 @@ def test_rule_ensemble(spark, docs):
     assert all(0 <= r.score <= 1 for r in o.select(model.score().alias("score")).collect())
     empty = rule_ensemble.fit(*rule_ensemble.training_rows(stats, labels.limit(0)))
     assert stats.select(empty.score().alias("x")).first().x == 0.5
+
+
+def test_helper_columns_never_clash(spark):
+    cells = [(1, "one two three four five six", "a", 7, 8, 9), (2, "one two three four five six", "b", 7, 8, 9), (3, "other words", "c", 7, 8, 9)]
+    d = spark.createDataFrame(cells, "doc_id long, text string, _text_hash string, _kept_id int, _kept_text int, _votes int")
+    kept = ngram_join.keep_one_per_group(d)
+    assert kept.schema == d.schema and sorted(map(tuple, kept.collect())) == [cells[0], cells[2]]
+    assert quality_rules.filter_by_rules(d).schema == d.schema
+
+
+def test_only_labels_of_0_and_1_count(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    labels = read_table(spark, SF_SMALL, "labels").select("doc_id", "quality")
+    odd_ones = labels.select("doc_id", F.lit(7).alias("quality")).unionByName(labels.select("doc_id", F.lit(None).cast("int").alias("quality")))
+    stats = docs.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
+    x, y = rule_ensemble.training_rows(stats, labels.unionByName(odd_ones))
+    x1, y1 = rule_ensemble.training_rows(stats, labels)
+    assert (x == x1).all() and (y == y1).all() and set(y) == {0, 1}
