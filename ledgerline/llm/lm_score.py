@@ -45,7 +45,7 @@ ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
 # Contexts of a gradient step; a context seen more often than HEAVY takes part in several.
 CONTEXTS, HEAVY = 384, 1024
 SMOOTH = 0.1
-SCORE_TOKENS, TRAIN_TOKENS = 1 << 20, 1 << 22
+SCORE_TOKENS, TRAIN_TOKENS = 1 << 19, 1 << 20
 CACHE_WORDS = 400_000
 
 
@@ -76,7 +76,7 @@ class Corpus:
         """The class of each number."""
         base = len(self.classes)
         return np.array([self.classes.get(w, base + _rare(w)) for w in self.numbered()]
-                        + [base + i for i in range(RARE_CLASSES)], dtype=np.int64)
+                        + [base + i for i in range(RARE_CLASSES)], dtype=np.int16)
 
     def class_counts(self) -> np.ndarray:
         out = np.zeros(self.n_classes)
@@ -291,11 +291,12 @@ def _split(text: bytes | None) -> list[bytes]:
 
 def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Classes of the CONTEXT tokens before each token; before a text stand ends."""
-    out = np.zeros((len(ids), CONTEXT), np.int64)
-    nth = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
+    out = np.zeros((len(ids), CONTEXT), ids.dtype)
     for i in range(CONTEXT):
-        have = np.flatnonzero(nth > i)
-        out[have, i] = ids[have - i - 1]
+        out[i + 1:, i] = ids[:max(0, len(ids) - i - 1)]
+        for j in range(i + 1):  # the first tokens of a text see nothing of the text before
+            first = starts[:-1] + j
+            out[first[first < starts[1:]], i] = 0
     return out
 
 
@@ -304,6 +305,16 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
 
 
+def _pieces(lists: pa.Array, most: int):
+    """Numbers and starts of some texts at a time, about ``most`` tokens (a longer text alone)."""
+    numbers, starts = _flat(lists)
+    at = 0
+    while at < len(starts) - 1:
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + most, side="right")) - 1)
+        yield numbers[starts[at]:starts[to]], starts[at:to + 1] - starts[at]
+        at = to
+
+
 def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
     """``numbered``: the training texts' numbers; every one of them is fitted on in each round."""
     counts = corpus.class_counts()
@@ -319,12 +330,11 @@ def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
                 return train_part(now, _contexts(ids, starts), ids, share, round_), len(ids)
 
             for batch in batches:
-                if batch.num_rows:
-                    numbers, starts = _flat(batch.column("numbers"))
+                for numbers, starts in _pieces(batch.column("numbers"), TRAIN_TOKENS):
                     held.append((class_of[numbers], starts))
-                if sum(len(x) for x, _ in held) >= TRAIN_TOKENS:
-                    now, n = step(now)
-                    seen, held = seen + n, []
+                    if sum(len(x) for x, _ in held) >= TRAIN_TOKENS:
+                        now, n = step(now)
+                        seen, held = seen + n, []
             if held:
                 now, n = step(now)
                 seen += n
@@ -371,15 +381,11 @@ def _score(corpus: Corpus, params: Parameters):
 
     def run(batches):
         for batch in batches:
-            numbers, starts = _flat(batch.column("numbers"))
-            cells, at = [], 0
-            while at < batch.num_rows:  # some texts at a time
-                to = max(at + 1, int(np.searchsorted(starts, starts[at] + SCORE_TOKENS, side="right")) - 1)
-                a, s = numbers[starts[at]:starts[to]], starts[at:to + 1] - starts[at]
+            cells = []
+            for a, s in _pieces(batch.column("numbers"), SCORE_TOKENS):
                 c = class_of[a]
                 per = params.log10(_contexts(c, s), c) + inside[a]
                 cells.append([np.diff(s), *(np.add.reduceat(x, s[:-1]) for x in (known[a], log[a], per))])
-                at = to
             if cells:
                 done = [np.concatenate(x) for x in zip(*cells)]
                 yield pa.RecordBatch.from_arrays(
