@@ -43,9 +43,9 @@ CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 255, 64
 COMMON_WORDS = 20_000
 ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
 # Contexts of a gradient step; a context seen more often than HEAVY takes part in several.
-CONTEXTS, HEAVY = 384, 1024
+CONTEXTS, HEAVY = 640, 1024
 SMOOTH = 0.1
-SCORE_TOKENS, TRAIN_TOKENS = 1 << 19, 1 << 20
+SCORE_TOKENS, TRAIN_TOKENS = 1 << 19, 1 << 21
 CACHE_WORDS = 400_000
 
 
@@ -353,20 +353,29 @@ def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
 def _number(words_: list[str]):
     def run(batches):
         numbers = _Numbers(words_)
-        for batch in batches:
-            ids, starts, rest = [], [0], []
-            for t in _texts(batch.column("text")):
-                found = _split(t)
-                one = [numbers[w] for w in found]
-                rest.append([w for w, i in zip(found, one) if i >= numbers.first_rare])
-                ids += one
-                ids.append(0)
-                starts.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.array(ids, dtype=np.int16)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_hash"), batch.column("held_out"), lists, pa.array(rest, pa.list_(pa.string()))],
+
+        def close(rows, every, starts):
+            ids = np.fromiter(map(numbers.__getitem__, every), np.int16, len(every))
+            rare = np.flatnonzero(ids >= numbers.first_rare)
+            words_of = pa.array([every[i] for i in rare], pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays(
+                [rows.column("id"), rows.column("text_hash"), rows.column("held_out"),
+                 pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids)),
+                 pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, starts), pa.int32()), words_of)],
                 names=["id", "text_hash", "held_out", "numbers", "rest"])
 
+        for batch in batches:
+            at, every, starts = 0, [], [0]
+            for n, t in enumerate(_texts(batch.column("text"))):
+                every += _split(t)
+                every.append(numbers.common[0])
+                starts.append(len(every))
+                if len(every) >= SCORE_TOKENS:  # some texts at a time
+                    yield close(batch.slice(at, n + 1 - at), every, starts)
+                    at, every, starts = n + 1, [], [0]
+            if at < batch.num_rows:
+                yield close(batch.slice(at), every, starts)
+
     return run
 
 
