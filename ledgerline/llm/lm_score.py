@@ -43,7 +43,7 @@ CONTEXT, DIMENSIONS, VOCABULARY, RARE_CLASSES = 3, 24, 255, 64
 COMMON_WORDS = 20_000
 ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
 # Contexts of a gradient step; a context seen more often than HEAVY takes part in several.
-CONTEXTS, HEAVY = 640, 1024
+CONTEXTS, HEAVY = 384, 1024
 SMOOTH = 0.1
 SCORE_TOKENS, TRAIN_TOKENS = 1 << 19, 1 << 21
 CACHE_WORDS = 400_000
@@ -196,7 +196,7 @@ def _classes(key: np.ndarray, k: int) -> list[np.ndarray]:
 
 def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """(n, DIMENSIONS) sums of the ``rows`` that belong to each number."""
-    cells = (at[:, None] * DIMENSIONS + np.arange(DIMENSIONS)).ravel()
+    cells = np.arange(n * DIMENSIONS).reshape(n, DIMENSIONS).take(at, axis=0).ravel()
     return np.bincount(cells, rows.ravel(), n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
 
 
