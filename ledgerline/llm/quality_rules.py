@@ -32,9 +32,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpointed, let, unused
+from ledgerline.llm.common import checkpointed, let
 from ledgerline.llm.stats import COUNTS, text_stats
-from ledgerline.session import shared_folder
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -173,15 +172,10 @@ def quality_posteriors(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def filter_by_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they were.
 
-    The rows are written once with their votes, into the shared folder; the model is fitted on
-    that column and the written rows are filtered.
+    The statistics are computed twice, once for the counts and once beside the
+    rows: a table of the rows with their votes would stand on disk as long as the result is used.
     """
-    spark, pattern = docs.sparkSession, unused("_votes", docs)
-    judged = let(text_stats(F.col(f"`{text}`")), lambda s: F.when(~base_failed(s), votes(s)).otherwise(
-        F.concat(votes(s), F.lit("!"))))
-    folder = shared_folder(spark, "votes")
-    docs.withColumn(pattern, judged).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    vote_string = F.col(f"`{pattern}`")
-    model = fit(count_patterns(rows.select(F.rtrim(vote_string, F.lit("!")).alias("pattern"))))
-    return rows.where(~vote_string.endswith("!") & (model.posterior(vote_string) >= threshold)).drop(pattern)
+    stats = text_stats(F.col(f"`{text}`"))
+    model = fit(count_patterns(docs.select(let(stats, lambda s: votes(s)).alias("pattern"))))
+    return docs.where(let(stats, lambda s: ~base_failed(s) & let(
+        votes(s), lambda v: model.posterior(v) >= threshold)))
