@@ -92,6 +92,13 @@ def codes(pattern: Column, n_rules: int) -> Column:
         F.substring(pattern, i + 1, F.lit(1)) == "+", 1).when(F.substring(pattern, i + 1, F.lit(1)) == "-", 2).otherwise(0))
 
 
+def shares_of(logs: list[Column]) -> list[Column]:
+    """exp of each, divided by their sum."""
+    most = F.greatest(*logs)
+    total = reduce(lambda a, b: a + b, [F.exp(x - most) for x in logs])
+    return [F.exp(x - most) / total for x in logs]
+
+
 @dataclass(frozen=True)
 class Model:
     """Share of each class, the good one first; per class and rule P(vote bad | class), if it votes."""
@@ -99,21 +106,19 @@ class Model:
     shares: tuple[float, ...]
     bad: tuple[tuple[float, ...], ...]
 
-    def posteriors(self, places: Column) -> list[Column]:
-        """P(class | votes) of each class, from ``codes``; the terms are added in the rules' order."""
-        def odds(share: float, bad: tuple[float, ...]) -> Column:
+    def logs(self, places: Column) -> list[Column]:
+        """log of P(class, votes) of each class, from ``codes``; the terms are added in the rules' order."""
+        def one(share: float, bad: tuple[float, ...]) -> Column:
             # A literal table: every EM step runs the same compiled code.
             table = F.array(*[F.lit(x) for b in bad for x in (0.0, math.log(1 - b), math.log(b))])
             return F.aggregate(places, F.lit(math.log(share)), lambda s, c: s + F.get(table, c))
 
-        logs = [odds(*c) for c in zip(self.shares, self.bad)]
-        most = F.greatest(*logs)
-        total = reduce(lambda a, b: a + b, [F.exp(x - most) for x in logs])
-        return [F.exp(x - most) / total for x in logs]
+        return [one(*c) for c in zip(self.shares, self.bad)]
 
     def posterior(self, pattern: Column) -> Column:
         """P(good | votes)."""
-        return let(codes(pattern, len(self.bad[0])), lambda c: self.posteriors(c)[0])
+        return let(codes(pattern, len(self.bad[0])), lambda c: let(
+            F.array(*self.logs(c)), lambda x: shares_of([x[k] for k in range(len(self.shares))])[0]))
 
 
 def start(rules: tuple[Rule, ...] = RULES) -> Model:
@@ -133,20 +138,21 @@ def fit(counts: DataFrame, rules: tuple[Rule, ...] = RULES, steps: int = STEPS)
     classes = range(len(prior.shares))
     table = counts.select("n", codes(F.col("pattern"), len(rules)).alias("codes"))
     for _ in range(steps):
-        p = table.select("n", "codes", *[(x * F.col("n")).alias(f"p{k}") for k, x in enumerate(model.posteriors(F.col("codes")))])
-        code = [F.get("codes", F.lit(i)) - 3 * i for i in range(len(rules))]
-        sums = [F.sum("n")]
-        for k in classes:
-            sums.append(F.sum(f"p{k}"))
-            sums += [F.sum(F.when(c == 2, F.col(f"p{k}"))) for c in code] + [F.sum(F.when(c > 0, F.col(f"p{k}"))) for c in code]
-        got = [float(x or 0) for x in p.agg(*[x.alias(f"s{i}") for i, x in enumerate(sums)]).first()]
-        width = 1 + 2 * len(rules)
+        # Every rule of a text has one place: the sums per place are all that a step needs.
+        own = table.select("n", "codes", *[x.alias(f"l{k}") for k, x in enumerate(model.logs(F.col("codes")))])
+        own = own.select("codes", *[(x * F.col("n")).alias(f"p{k}") for k, x in enumerate(shares_of([F.col(f"l{k}") for k in classes]))])
+        sums = own.select(F.explode("codes").alias("place"), *[f"p{k}" for k in classes]).groupBy("place").agg(
+            *[F.sum(f"p{k}").alias(f"p{k}") for k in classes]).collect()  # three rows a rule
+        got = [[0.0] * (3 * len(rules)) for _ in classes]
+        for r in sums:
+            for k in classes:
+                got[k][r["place"]] = r[f"p{k}"]
+        total = [sum(g[:3]) for g in got]
         smooth = lambda hit, of, mean: (hit + mean * PRIOR_VOTES) / (of + PRIOR_VOTES)
-        own = [got[1 + k * width:1 + (k + 1) * width] for k in classes]
         model = Model(
-            tuple(smooth(own[k][0], got[0], prior.shares[k]) for k in classes),
-            tuple(tuple(smooth(own[k][1 + i], own[k][1 + len(rules) + i], prior.bad[k][i]) for i in range(len(rules)))
-                  for k in classes))
+            tuple(smooth(total[k], sum(total), prior.shares[k]) for k in classes),
+            tuple(tuple(smooth(got[k][3 * i + 2], got[k][3 * i + 1] + got[k][3 * i + 2], prior.bad[k][i])
+                        for i in range(len(rules))) for k in classes))
     return model
 
 
