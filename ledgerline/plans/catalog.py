@@ -796,6 +796,27 @@ def q_load_audit(spark, sf_dir):
     return load_audit(spark, sf_dir)
 
 
+# --- Silver rows with their audit columns (ops 12, 19, 20, 23) -------------------
+# The configuration names no account: each row's comes from a Lookup rule. One rule has no
+# entity and one row no column; neither changes anything.
+_CUSTOMER_SQL = "'Customer ' || CAST(o_custkey AS VARCHAR)"
+
+
+@register("silver_rows", f"""
+SELECT 'desk' AS Source, 'orders' AS Folder, CAST(o_orderdate AS DATE) AS Date,
+       -CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS Amount,
+       'ORDER ' || CAST(o_orderkey AS VARCHAR) AS Description, {g('Account', _CUSTOMER_SQL)} AS AccountGUID,
+       {g('Brand', "'Brand ' || CAST(o_custkey % 7 AS VARCHAR)")} AS BrandGUID, {g('Category', "'Orders'")} AS CategoryGUID,
+       {g('ProductService', "'Order'")} AS ProductServiceGUID, {g('Seller', _CUSTOMER_SQL)} AS SellerGUID,
+       'LoadBronzeToSilver' AS Action, true AS in_time
+FROM orders
+""")
+def q_silver_rows(spark, sf_dir):
+    from ledgerline.plans.medallion import silver_rows
+
+    return silver_rows(spark, sf_dir)
+
+
 # --- quarantine of uncastable cells (op 13, set-aside part) --------------------
 # Text pieces of each event are coerced; rows with any uncastable cell are set
 # aside.  Reported: rows kept and set aside per event type and bad-column set.

@@ -353,9 +353,11 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
                 own = {c: f"_lk_{dim}_{c}" for c in columns}
                 ready = ready.withColumns({own[c]: _rule_value(pairs) for c, pairs in columns.items()})
                 add_members(spark, layout, ready, own, dim, keys[dim])
-                ready = dimension_lookup(ready, read_dimension(spark, layout, dim),
-                                         {k: own[k] for k in keys[dim]}, dim) \
-                    .withColumnRenamed(f"{dim}GUID", f"_lkg_{dim}").drop(*own.values())
+                # Rows may have a GUID of this dimension already (the file's account).
+                ready = dimension_lookup(ready.withColumnRenamed(f"{dim}GUID", f"_had_{dim}"),
+                                         read_dimension(spark, layout, dim), {k: own[k] for k in keys[dim]}, dim) \
+                    .withColumnRenamed(f"{dim}GUID", f"_lkg_{dim}").withColumnRenamed(f"_had_{dim}", f"{dim}GUID") \
+                    .drop(*own.values())
             s.parameters["dimensions"] = ",".join(sorted(rules))
 
         with log.step("WriteTransactions") as s:
