@@ -376,6 +376,36 @@ def test_chunked_posteriors_equal_forward_backward():
             assert np.allclose(got[a:b], want)
 
 
+def test_forward_backward_matches_all_label_sequences():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    lengths, k = np.array([1, 2, 4, 6]), 3
+    e, moves = rng.random((len(lengths), lengths.max(), k)), rng.normal(size=(k, k))
+    a = language_id._potentials(moves)
+    post, pair, logs = language_id.forward_backward(e, moves, lengths)
+    want_pair = np.zeros((k, k))
+    for i, n in enumerate(lengths):
+        weight = {}
+        for labels in itertools.product(range(k), repeat=int(n)):
+            w = 1 / k
+            for t, y in enumerate(labels):
+                w *= e[i, t, y] * (a[labels[t - 1], y] if t else 1)
+            weight[labels] = w
+        total = sum(weight.values())
+        want = np.zeros((n, k))
+        for labels, w in weight.items():
+            for t, y in enumerate(labels):
+                want[t, y] += w / total
+                if t:
+                    want_pair[labels[t - 1], y] += w / total
+        assert np.allclose(post[i, :n], want) and not post[i, n:].any()
+        assert np.isclose(logs[i], math.log(total))
+    assert np.allclose(pair, want_pair)
+
+
 def test_lm_score(spark, docs):
     both = docs.select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text"))
     held = crc_rest(F.col("doc_id"), 10) == 0
@@ -479,6 +509,45 @@ def test_rule_ensemble(spark, docs):
     assert stats.select(empty.score().alias("x")).first().x == 0.5
 
 
+def test_rule_column_matches_rules_row_by_row(spark, docs):
+    both = docs.select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text"))
+    stats = both.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
+    model = rule_ensemble.fit(*rule_ensemble.training_rows(stats, read_table(spark, SF_SMALL, "labels")))
+    assert model.rules and all(w for w in model.weights)
+    for r in stats.select("*", model.score().alias("got")).collect():
+        odds = model.bias
+        for rule, w in zip(model.rules, model.weights):
+            if all((r[rule_ensemble.FEATURES[f]] > cut) == above for f, above, cut in rule.tests):
+                odds += w
+        assert r.got == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-12)
+
+
+def test_lasso_meets_its_optimality_conditions():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    z = (rng.random((600, 8)) < 0.4).astype(float)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(1.5 * z[:, 0] - 2 * z[:, 1])))).astype(float)
+    for penalty in (0.02, 0.1):
+        bias, w = rule_ensemble.lasso_logistic(z, y, penalty)
+        miss = y - 1 / (1 + np.exp(-(bias + z @ w)))
+        pull = z.T @ miss / len(y)  # the penalty's slope where a weight isn't zero, at most that elsewhere
+        assert abs(miss.mean()) < 1e-5
+        assert np.allclose(pull[w != 0], penalty * np.sign(w[w != 0]), atol=1e-5)
+        assert (np.abs(pull[w == 0]) <= penalty + 1e-5).all() and (w == 0).any()
+
+
+def test_labels_of_one_class_and_several_a_key(spark):
+    x = rows(spark, (1, "one two three", None, "a"), (2, "four five six seven", None, "a"), (None, "eight", None, "a"))
+    stats = x.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
+    marks = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (2, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    got_x, y = rule_ensemble.training_rows(stats, marks)
+    assert got_x.shape == (3, len(rule_ensemble.FEATURES)) and list(y) == [1, 1, 1]  # each label is a row; null keys meet none
+    model = rule_ensemble.fit(got_x, y)
+    scores = [r.x for r in stats.select(model.score().alias("x")).collect()]
+    assert scores == pytest.approx([3.5 / 4] * 3)
+
+
 def test_helper_columns_never_clash(spark):
     cells = [(1, "one two three four five six", "a", 7, 8, 9), (2, "one two three four five six", "b", 7, 8, 9), (3, "other words", "c", 7, 8, 9)]
     d = spark.createDataFrame(cells, "doc_id long, text string, _text_hash string, _kept_id int, _kept_text int, _votes int")
