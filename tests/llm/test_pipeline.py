@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ledgerline.llm import decontaminate, ngram_join, quality_rules
 from ledgerline.session import read_table
-from test_text_operators import brute_kept
+from test_text_operators import WORD, brute_kept
 
 
 def test_stages_in_order_and_columns(spark):
@@ -48,3 +48,26 @@ def test_run_on_repeated_and_null_ids(spark, tmp_path):
 def test_run_equals_the_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL).toPandas()
     assert out.doc_id.is_unique and (out.taken <= 3 * out["size"]).all()
+
+
+def test_run_on_no_rows_null_texts_and_clashing_names(spark, tmp_path):
+    docs = read_table(spark, SF_SMALL, "documents")
+    few = docs.where("n_chars > 600").orderBy("doc_id").limit(4).collect()
+    put = lambda r, **k: type(r)(**{**r.asDict(), **k})
+    odd = [put(few[0], doc_id=-1, text=None), put(few[0], doc_id=-2, text=""), put(few[0], doc_id=-3, text=" \n\t")]
+    named = spark.createDataFrame([*few, *odd], docs.schema).withColumns(
+        {c: F.lit(7) for c in ("_text_hash", "_leak_id", "_leak_text", "pattern", "_stats", "key")})
+    for name, table in (("none", named.limit(0)), ("some", named)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        read_table(spark, SF_SMALL, "benchmark").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    out = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    texts = {r.doc_id: r.text for r in few}
+    assert out and all(r.doc_id in texts and r["size"] == len(WORD.findall(texts[r.doc_id])) for r in out)
+    # every column of the input is there until the last stage, as it was
+    docs = read_table(spark, str(tmp_path / "some"), "documents")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path / "some"))
+        assert docs.columns == columns, name
+    assert all(r["_text_hash"] == r["_leak_id"] == r["key"] == 7 for r in docs.collect())
