@@ -102,6 +102,28 @@ def test_pieces_of_class_words_and_runs_are_decided_by_repeats():
     assert html_extract.extract_host(pages) == [(f"{own(i, 3)}\n{own(50 + i)}", 10) for i in range(6)]
 
 
+def test_blocks_of_an_article_that_stand_in_most_articles_of_a_host_are_cut(spark):
+    """A box without a listed word goes; passages that few articles share, short articles' lines and copies stay."""
+    own = lambda i, n=30: " ".join(f"w{i}x{k}" for k in range(n))
+    box = "read more of our best stories every day right here at home"
+    shared = " ".join(f"quoted{k}" for k in range(20))
+    art = lambda *blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    cells = [(i, f"http://h/{i}", art(own(i), box, own(100 + i, 12))) for i in range(20)]
+    cells += [(100 + i, f"http://q/{i}", art(own(i), *([shared] if i < 4 else []))) for i in range(8)]
+    cells += [(200 + i, f"http://c/{i}", art(own(1), own(2))) for i in range(9)]  # equal articles
+    cells += [(300 + i, f"http://n/{i}", art(own(3), own(4, 9) + f" changed{i}")) for i in range(9)]  # near copies
+    cells += [(400 + i, f"http://s/{i}", art(own(i), box)) for i in range(4)]  # few articles
+    got = {r.page_id: (r.text, r.n_repeated) for r in html_extract.extract_pages(pages(spark, *cells)).collect()}
+    for i in range(20):
+        assert got[i] == (f"{own(i)}\n{own(100 + i, 12)}", 12)
+    for i in range(8):
+        assert got[100 + i][0] == own(i) + ("\n" + shared if i < 4 else "")
+    for i in range(9):
+        assert got[200 + i][0] == f"{own(1)}\n{own(2)}" and got[300 + i][0] == f"{own(3)}\n{own(4, 9)} changed{i}"
+    for i in range(4):
+        assert got[400 + i][0] == f"{own(i)}\n{box}"
+
+
 def test_extraction_is_the_same_on_any_partitioning(spark):
     """A line on every page of a host is cut whatever the partitions; also on pages of 4 MB, and on a host of several groups."""
     line = "home news sport weather travel food music books films maps"
