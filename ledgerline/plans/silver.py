@@ -287,10 +287,13 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         with log.step("Accounts") as s:
             report_repeats(spark, layout, log, s)
             s.rows = add_members(spark, layout, cfg, "Account", "Account")
-            accounts = account_lookup(cfg, read_dimension(spark, layout, "Account"))
+            # Configuration: a few rows per source.  As local rows, the working set below doesn't read the Account
+            # dimension: a Lookup's append to it would have Spark drop the persisted rows and compute them again.
+            accounts = account_lookup(cfg, read_dimension(spark, layout, "Account")).select(*CONFIGURATION_KEY, "AccountGUID")
+            accounts = F.broadcast(spark.createDataFrame(accounts.collect(), accounts.schema))
         # The run's working set is read by several steps; keep it for the run
         # (memory and disk; recomputed from Bronze if an executor is lost).
-        rows = bronze.join(accounts.select(*CONFIGURATION_KEY, "AccountGUID"), CONFIGURATION_KEY, "left") \
+        rows = bronze.join(accounts, CONFIGURATION_KEY, "left") \
             .withColumn("SourceValue", F.col(source_value_column)) \
             .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
             .withColumn("_key_month", key_month(F.col("Date"))) \
@@ -331,6 +334,7 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             append(new_rows, layout.to_map)
             to_map_added = obs.get.get("rows", 0)
             held_files = unmapped.select(*FILE_KEY).distinct().persist()
+            held_n = held_files.count()  # before SilverFiles, which these rows are read by, is appended to
             s.rows, s.target = to_map_added, layout.to_map
 
         # Rows of held-back files stay in Bronze and are taken again next run.
@@ -376,7 +380,6 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             added = append_transactions(spark, layout, facts, main.guid)
             s.rows, s.target = added, layout.silver_transaction
 
-        held_n = held_files.count()
         if held_n:
             log.warn(main, f"{held_n} file(s) held back until their values are mapped")
         held_files.unpersist()

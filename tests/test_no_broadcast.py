@@ -1,11 +1,14 @@
 """Same results when nothing is broadcast: the shuffle-join path of every
 lookup (what large dimensions take at scale), with AQE skew splitting forced."""
 
+import re
+
 import pytest
 
 from conftest import SF_ORACLE
 from fixtures import build_inbound
 from ledgerline.layout import Layout
+from ledgerline.plans import silver
 from ledgerline.plans.bronze import load_files_to_bronze
 from ledgerline.plans.catalog import oracle_sql, queries
 from ledgerline.plans.runlog import RunLog
@@ -44,6 +47,24 @@ def test_catalog_without_broadcast(shuffle_only, name):
     assert res["match"] and res["spark_rows"] > 0, res
 
 
+def test_silver_rows_are_not_dealt_by_configuration_row(shuffle_only, root, monkeypatch):
+    """All rows of a file type have one configuration row: dealt by it they would be one task's."""
+    build_inbound(root)
+    lay, log = Layout(root), RunLog("t")
+    plans = []
+    taken = silver.append_transactions
+
+    def append_transactions(spark, layout, facts, guid):
+        plans.append(facts._jdf.queryExecution().executedPlan().toString())
+        return taken(spark, layout, facts, guid)
+
+    monkeypatch.setattr(silver, "append_transactions", append_transactions)
+    load_files_to_bronze(shuffle_only, lay, log)
+    load_bronze_to_silver(shuffle_only, lay, log)
+    assert plans and not re.search(r"hashpartitioning\(Source#\d+, ConfigurationFileID#\d+", plans[0])
+    assert f"{lay.silver_dimension('Account')}" not in plans[0]  # an append to it would drop the persisted rows
+
+
 def test_silver_without_broadcast(shuffle_only, root):
     spark = shuffle_only
     build_inbound(root)
