@@ -68,8 +68,12 @@ def parse_amount(col: Column | str, scale: int = 2, precision: int = 18) -> Colu
     digits = F.regexp_replace(digits, r"-$", "")
     shaped = c.rlike(MONEY_SHAPE) & c.rlike(r"\d") & digits.rlike(r"^-?(\d+\.?\d*|\.\d+)$")
     value = F.when(shaped, digits.try_cast(f"decimal({min(precision + 10, 38)},{scale + 8})"))
-    signed = F.when(negative, -F.abs(value)).otherwise(value)
-    return signed.try_cast(f"decimal({precision},{scale})")
+    signed = F.when(negative, -F.abs(value)).otherwise(value).try_cast(f"decimal({precision},{scale})")
+    # A plain number needs one look.
+    plain = rf"^-?\d{{1,{precision - scale}}}" + (rf"(\.\d{{1,{scale}}})?$" if scale else "$")
+    if precision <= scale:
+        return signed
+    return F.when(c.rlike(plain), c.try_cast(f"decimal({precision},{scale})")).otherwise(signed)
 
 
 def declared_layout(datatype: str | None) -> tuple[str, str | None]:
@@ -90,26 +94,40 @@ def date_family(col: Column | str) -> Column:
     return F.coalesce(*[F.when(c.rlike(rf"^\d{{1,2}}[{s}]\d{{1,2}}[{s}]\d{{4}}{_CLOCK}$"), F.lit(s)) for s in FAMILIES])
 
 
-def fits_order(col: Column | str, order: str) -> Column:
-    """True if the cell's numbers can be a month and a day in this order."""
+def fits_order(col: Column | str, order: str, family: Column | None = None) -> Column:
+    """True if the cell's numbers can be a month and a day in this order.
+
+    ``family``: the cells' ``date_family``, if it is known already.
+    """
     one, two = (_MONTH, _DAY) if order == MONTH_FIRST else (_DAY, _MONTH)
     c = F.trim(_c(col))
+    if family is not None:
+        found = F.lit(False)
+        for s in FAMILIES:
+            found = F.when(family == s, c.rlike(rf"^{one}[{s}]{two}[{s}]\d{{4}}{_CLOCK}$")).otherwise(found)
+        return found
     fits = F.lit(False)
     for s in FAMILIES:
         fits = fits | c.rlike(rf"^{one}[{s}]{two}[{s}]\d{{4}}{_CLOCK}$")
     return fits
 
 
-def coerce_ordered(col: Column | str, datatype: str, order: str) -> Column:
-    """Text cell -> date or timestamp, with day and month in the given order where both are numbers."""
+def coerce_ordered(col: Column | str, datatype: str, order: str, family: Column | None = None) -> Column:
+    """Text cell -> date or timestamp, with day and month in the given order where both are numbers.
+
+    ``family``: the cells' ``date_family``, if it is known already.
+    """
     c = F.trim(_c(col))
-    out = F.when(date_family(c).isNull(), coerce(c, datatype))
+    out = F.when((date_family(c) if family is None else family).isNull(), coerce(c, datatype))
     one, two = ("M", "d") if order == MONTH_FIRST else ("d", "M")
     for s in FAMILIES:
         for clock, shape in ((" H:mm:ss", r" \d{1,2}:\d{2}:\d{2}$"), (" H:mm", r" \d{1,2}:\d{2}$"), ("", r"\d{4}$")):
             if clock and datatype == "date":
                 continue
-            fits = fits_order(c, order) & c.contains(s) & c.rlike(shape)
+            if family is None:
+                fits = fits_order(c, order) & c.contains(s) & c.rlike(shape)
+            else:
+                fits = (family == s) & fits_order(c, order, family) & c.rlike(shape)
             out = out.when(fits, F.try_to_timestamp(c, F.lit(f"{one}{s}{two}{s}yyyy{clock}")).cast(datatype))
     return out
 

@@ -41,11 +41,13 @@ def coerce_columns(df: DataFrame, types: dict[str, str], bad_column: str = "_bad
 
     A cell fails when its text is non-NULL but the typed value is NULL.
     """
-    typed = {c: coerce(c, t) for c, t in types.items()}
+    # Columns of their own, so that a cell is parsed once for its value and for the list.
+    typed = {c: F.col(f"_typed_{c}") for c in types}
+    df = df.withColumns({f"_typed_{c}": coerce(c, t) for c, t in types.items()}) if types else df
     failures = [F.when(F.col(c).isNotNull() & typed[c].isNull(), F.lit(c)) for c in types]
     bad = F.filter(F.array(*failures), lambda x: x.isNotNull()) if failures else \
         F.array().cast("array<string>")
-    return df.withColumn(bad_column, bad).withColumns(typed)
+    return df.withColumn(bad_column, bad).withColumns(typed).drop(*[f"_typed_{c}" for c in types])
 
 
 def split_quarantine(df: DataFrame, bad_column: str = "_bad_columns",

@@ -45,8 +45,10 @@ class Layout:
 
 def file_path() -> Column:
     """The path of the file a row was read from, as the listing names it."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    path = F.col("_metadata.file_path")
+    path = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.when(F.contains(path, F.lit(":///")), F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")) \
+        .otherwise(path)
 
 
 def scan_lines(spark: SparkSession, folder: str, modified_after: str | None = None) -> DataFrame:
@@ -104,6 +106,8 @@ def parse_any(records: DataFrame, layouts: Sequence[Layout], number: str) -> Dat
 
     def widened(layout: Layout) -> Column:
         own = {*layout.columns, MALFORMED}
+        if own == set(names) and len(own) == len(layout.columns) + 1 and layout.columns == tuple(names[:-1]):
+            return parse(F.col("record"), layout)
         return F.transform(F.array(parse(F.col("record"), layout)), lambda r: F.struct(*[
             (r[c] if c in own else F.lit(None).cast("string")).alias(c) for c in names]))[0]
 
