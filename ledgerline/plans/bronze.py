@@ -197,8 +197,8 @@ def target_path(layout: Layout):
 
 def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataFrame:
     """Attach parsed row counts; a header-valid file without rows is Empty."""
-    c = counts.select(F.col("_path").alias("path"), F.col("n").alias("_n"))
-    joined = disp.join(c, "path", "left")
+    c = counts.select(F.col("_path").alias("number"), F.col("n").alias("_n"))
+    joined = disp.join(c, "number", "left")
     valid = F.col("Disposition") == VALID
     empty = valid & (F.coalesce("_n", F.lit(0)) == 0)
     out = (joined.withColumn("RowCount", F.when(valid, F.coalesce("_n", F.lit(0)))
@@ -211,19 +211,20 @@ def with_row_counts(layout: Layout, disp: DataFrame, counts: DataFrame) -> DataF
 def candidate_lines(spark: SparkSession, folder: str, files: DataFrame, target: str) -> DataFrame:
     """Writes the lines of the files to be checked to ``target``, by configuration row, and reads them again.
 
-    One reading of every file: what follows sees the same lines, order and splits whatever is
+    ``path`` is the file's number in the registry: the write sorts a split's lines by configuration row, and a path
+    in each would be most of what that sort holds.  One reading of every file: what follows sees the same lines, order and splits whatever is
     repeated, and whatever arrives meanwhile.
     """
     wanted = files.where(F.col("accepted") & (F.col("size") > 0) & F.col("expected").isNotNull()
                          & F.col("Source").isNotNull())
     oldest = wanted.agg(F.min("modified")).first()[0]  # files before it need no look
-    schema = "path string, block bigint, id bigint, line string, kind int, ConfigurationFileID int"
+    schema = "path bigint, block bigint, id bigint, line string, kind int, ConfigurationFileID int"
     if oldest is None:
         return spark.createDataFrame([], schema)
     since = dt.datetime.fromtimestamp(oldest // 1000 - 1, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-    known = wanted.select(F.col("path").alias("_path"), "ConfigurationFileID", "Delimiter", "TextQualifier")
+    known = wanted.select(F.col("path").alias("_path"), "number", "ConfigurationFileID", "Delimiter", "TextQualifier")
     lines = scan_lines(spark, folder, since).join(known, F.col("path") == F.col("_path"))
-    add_transitions(lines).select("path", "block", "id", "line", "kind", "ConfigurationFileID") \
+    add_transitions(lines).select(F.col("number").alias("path"), "block", "id", "line", "kind", "ConfigurationFileID") \
         .write.partitionBy("ConfigurationFileID").parquet(target)
     return spark.read.schema(schema).parquet(target)
 
@@ -231,7 +232,7 @@ def candidate_lines(spark: SparkSession, folder: str, files: DataFrame, target:
 def dispositions(layout: Layout, files: DataFrame, headers: DataFrame, layouts: list[tuple[str, str]],
                  execution_guid: str) -> DataFrame:
     """One row per discovered file with its disposition and target path."""
-    df = files.join(headers, "path", "left").withColumn("actual", _split_by_layout("header", layouts))
+    df = files.join(headers.withColumnRenamed("path", "number"), "number", "left").withColumn("actual", _split_by_layout("header", layouts))
     df = header_check(df, "actual", "expected")
     # Zero-byte or blank files; header-only files are found after parsing.
     empty = (F.col("size") == 0) | F.coalesce(F.trim("header") == "", F.lit(True))
@@ -249,7 +250,7 @@ def dispositions(layout: Layout, files: DataFrame, headers: DataFrame, layouts:
            # the path inside the source folder: Bronze's SourceFile
            .withColumn("SourceFile", F.regexp_replace("relative", r"^[^/]*/", "")))
     return out.select(*[f.name for f in DISPOSITION_SCHEMA.fields], "Delimiter", "TextQualifier",
-                      "DefaultCategory", "actual", "relative", "header_id", "multi_line")
+                      "DefaultCategory", "actual", "relative", "header_id", "multi_line", "number")
 
 
 def rule_order(r) -> tuple:
@@ -262,7 +263,7 @@ def column_rules(cc_rows: list, config_id: int) -> list:
 
 
 def text_bronze(df: DataFrame, rules: list) -> DataFrame:
-    """File columns (text) -> Bronze text columns with NULL tokens gone, plus ``_raw``."""
+    """File columns (text) -> Bronze text columns with NULL tokens gone."""
     # File -> Bronze: an expression when configured, else a first-wins rename.
     exprs = {r["ColumnName_Bronze"]: r["Transformation_FileToBronze"] for r in rules
              if r["ColumnName_Bronze"] and r["Transformation_FileToBronze"]}
@@ -270,17 +271,17 @@ def text_bronze(df: DataFrame, rules: list) -> DataFrame:
     df = rename_first_target_wins(df, [(r["ColumnName_File"], r["ColumnName_Bronze"])
                                        for r in rules if r["ColumnName_Bronze"] not in exprs])
     keep = [c for c in ("_path", MALFORMED) if c in df.columns]
-    df = align(df, T.StructType([T.StructField(c, T.StringType())
+    df = align(df, T.StructType([T.StructField(c, df.schema[c].dataType if c == "_path" else T.StringType())
                                  for c in BRONZE_TEXT_COLUMNS + keep]))
-    df = df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
-    return df.withColumn("_raw", F.coalesce(MALFORMED, F.to_json(F.struct(*BRONZE_TEXT_COLUMNS))))
+    return df.withColumns({c: null_tokens_to_null(c) for c in BRONZE_TEXT_COLUMNS})
 
 
 def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
     """File columns -> typed Bronze columns, plus ``_bad_columns`` and ``_raw``.
 
     The date is read in both orders of day and month unless its layout is declared: ``Date`` month
-    first, ``_day_first``, with ``_family`` where the two may differ; ``settle_dates`` chooses.
+    first, ``_day_first``, with ``_family`` where the two may differ; ``settle_dates`` chooses.  ``_raw`` is there
+    for rows that are bad or may become so then.
     """
     df = text_bronze(df, rules)
     types = {r["ColumnName_Bronze"]: (r["Datatype"] or "string") for r in rules
@@ -288,20 +289,27 @@ def shape_bronze(df: DataFrame, rules: list) -> DataFrame:
     base, order = declared_layout(types.get(DATE))
     text = F.when(F.col(MALFORMED).isNull(), F.col(DATE))
     open_order = base.lower() in ("date", "timestamp") and order is None
+    cells = F.struct(*BRONZE_TEXT_COLUMNS)
+    df = df.withColumns({"_family": date_family(text) if open_order else F.lit(None).cast("string"),
+                         "_dated": text.isNotNull(), "_cells": cells})
+    family = F.col("_family")
     df = df.withColumns({
-        "_family": date_family(text) if open_order else F.lit(None).cast("string"),
-        "_month_fits": fits_order(text, MONTH_FIRST), "_day_fits": fits_order(text, DAY_FIRST),
-        "_day_first": coerce_ordered(DATE, base.lower(), DAY_FIRST).cast("date") if open_order else F.lit(None).cast("date"),
-        "_dated": text.isNotNull()})
+        "_month_fits": F.when(family.isNotNull(), fits_order(text, MONTH_FIRST, family)),
+        "_day_fits": F.when(family.isNotNull(), fits_order(text, DAY_FIRST, family)),
+        "_day_first": F.when(family.isNotNull(), coerce_ordered(DATE, base.lower(), DAY_FIRST, family).cast("date"))
+        if open_order else F.lit(None).cast("date")})
     if open_order:
-        df = df.withColumn("_month_first", coerce_ordered(DATE, base.lower(), MONTH_FIRST))
+        df = df.withColumn("_month_first", coerce_ordered(DATE, base.lower(), MONTH_FIRST, family))
         typed = coerce_columns(df, {c: t for c, t in types.items() if c != DATE}) \
             .withColumn(DATE, F.col("_month_first")).drop("_month_first")
     else:
         typed = coerce_columns(df, types)
-    return typed.withColumn("_bad_columns", F.when(
-        F.col(MALFORMED).isNotNull(), F.array(F.lit(FIELD_COUNT))).otherwise(F.col("_bad_columns"))) \
-        .drop(MALFORMED)
+    undated = F.col("_dated") & F.col(DATE).isNull()
+    may_be_bad = F.col(MALFORMED).isNotNull() | (F.size("_bad_columns") > 0) | family.isNotNull() | undated
+    return typed.withColumn("_raw", F.when(may_be_bad, F.coalesce(MALFORMED, F.to_json("_cells")))) \
+        .withColumn("_bad_columns", F.when(
+            F.col(MALFORMED).isNotNull(), F.array(F.lit(FIELD_COUNT))).otherwise(F.col("_bad_columns"))) \
+        .drop(MALFORMED, "_cells")
 
 
 def settle_dates(rows: DataFrame, orders: dict[tuple[int, str], str | None]) -> DataFrame:
@@ -335,7 +343,7 @@ def date_orders(spark: SparkSession, layout: Layout, rows: DataFrame, execution_
 
 
 def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame | None:
-    """Valid files -> Bronze-shaped typed rows plus ``_path``, ``_bad_columns`` and ``_raw``.
+    """Valid files -> Bronze-shaped typed rows plus ``_path`` (the file's number), ``_bad_columns`` and ``_raw``.
 
     The driver takes one row per distinct layout; files find theirs by a join.
     """
@@ -351,7 +359,7 @@ def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame |
             number = F.when((F.col("Delimiter") == r["Delimiter"]) & (F.col("TextQualifier") == r["TextQualifier"])
                             & (F.col("actual") == F.array(*[F.lit(c) for c in r["actual"]])), i).otherwise(number)
         files = valid.where(F.col("ConfigurationFileID") == config_id) \
-            .select("path", "header_id", "multi_line", number.alias("_layout"))
+            .select(F.col("number").alias("path"), "header_id", "multi_line", number.alias("_layout"))
         own = lines.where(F.col("ConfigurationFileID") == config_id).drop("ConfigurationFileID")
         layouts = [FileLayout(r["Delimiter"], r["TextQualifier"], tuple(r["actual"])) for r in rows]
         df = parse_any(records_of(own, files, ["_layout"]), layouts, "_layout").withColumnRenamed("path", "_path")
@@ -396,7 +404,8 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             done = read_or_empty(spark, layout.disposition, DISPOSITION_SCHEMA) \
                 .where(F.col("Disposition").isin(VALID, ERROR)).select("path", "size", "modified")
             files = files.join(done, ["path", "size", "modified"], "left_anti")
-            files = kept(choose_configuration(files, cfg, unusable), "files")
+            files = kept(choose_configuration(files, cfg, unusable)
+                         .withColumn("number", F.monotonically_increasing_id()), "files")
             s.source = layout.bronze_inbound
 
         with log.step("ValidateColumnHeaders") as s:
@@ -416,7 +425,7 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
         if rows is not None:
             with log.step("WriteBronze") as s:
                 file_meta = disp.where(F.col("Disposition") == VALID).select(
-                    F.col("path").alias("_path"), "SourceFile", "Source", "DefaultCategory", "ConfigurationFileID")
+                    F.col("number").alias("_path"), "SourceFile", "Source", "DefaultCategory", "ConfigurationFileID")
                 rows = rows.join(file_meta, "_path", "left").withColumn(
                     "Category", F.coalesce("Category", "DefaultCategory"))
                 # Parsed once: good and bad rows are two writes over one persisted
