@@ -79,15 +79,17 @@ def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str
     once.select("digest", "payload").write.parquet(f"{folder}/payloads")
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """key, header, payload of every record (the full payload, also of revisits).
-
-    Stored bytes that don't hash to their digest raise an error.
-    """
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """digest, payload as stored; bytes that don't hash to their digest raise an error."""
     stored = spark.read.parquet(f"{folder}/payloads")
-    sound = stored.select("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
+    return stored.select("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload doesn't match its digest "), "digest")).cast("binary")).alias("payload"))
-    return spark.read.parquet(f"{folder}/headers").join(sound, "digest").select("key", "header", "payload")
+
+
+def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """key, header, payload of every record (the full payload, also of revisits)."""
+    return spark.read.parquet(f"{folder}/headers").join(read_payloads(spark, folder), "digest") \
+        .select("key", "header", "payload")
 
 
 def field(header: Column, name: str) -> Column:
@@ -99,13 +101,15 @@ def field(header: Column, name: str) -> Column:
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """key, payload_bytes, payload_digest, record_type, refers_to, target_uri, as read from the archive.
 
-    The bytes and the digest are those of the reconstructed payload.
+    The bytes and the digest are those of the reconstructed payload, taken where it is
+    read: no payload is shuffled for them.
     """
-    r = read_archive(spark, folder)
+    held = read_payloads(spark, folder).select(
+        "digest", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
+    r = spark.read.parquet(f"{folder}/headers").join(held, "digest")
     h = F.col("header")
     return r.select(
-        "key", F.length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"), field(h, "WARC-Type").alias("record_type"),
+        "key", "payload_bytes", "payload_digest", field(h, "WARC-Type").alias("record_type"),
         field(h, "X-Refers-To-Key").cast("long").alias("refers_to"), field(h, "WARC-Target-URI").alias("target_uri"),
         field(h, "WARC-Payload-Digest").alias("header_digest"))
 

@@ -1,6 +1,7 @@
 """Operators on pages: exact round trips, brute force and defined cases."""
 
 import hashlib
+import re
 
 import pytest
 
@@ -52,6 +53,14 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc_store.read_records(spark, empty).count() == 0
 
 
+def test_warc_records_are_read_without_shuffling_payloads(spark):
+    folder = shared_folder(spark, "t")
+    warc_store.write_archive(pages(spark, (1, "http://a/x", "a" * 200), (2, "http://a/y", "a" * 200)), folder)
+    plan = warc_store.read_records(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    above, joined, below = plan.partition("Join ")
+    assert joined and not re.search(r"\bpayload#", above) and re.search(r"\bpayload#", below)
+
+
 def test_url_filter(spark):
     e = [url_filter.Entry("com", "/", "allow"), url_filter.Entry("example.com", "/en/", "block"),
          url_filter.Entry("bad.org", "", "block", listed=True), url_filter.Entry("bad.org", "/ok/", "allow")]
