@@ -80,6 +80,7 @@ MOVE_OUTCOME = schemas._struct(("path", schemas.S), ("TargetPath", schemas.S), (
 BRONZE_TEXT_COLUMNS = ["Amount", "Category", "Date", "Description"]
 # What _bad_columns holds for a line with surplus or missing fields.
 FIELD_COUNT = "FieldCount"
+LINES_A_FILE = 200_000
 
 
 @dataclass
@@ -212,7 +213,8 @@ def candidate_lines(spark: SparkSession, folder: str, files: DataFrame, target:
     """Writes the lines of the files to be checked to ``target``, by configuration row, and reads them again.
 
     ``path`` is the file's number in the registry: the write sorts a split's lines by configuration row, and a path
-    in each would be most of what that sort holds.  One reading of every file: what follows sees the same lines, order and splits whatever is
+    in each would be most of what that sort holds.  Files of LINES_A_FILE lines at most can be dealt out evenly
+    to the tasks that parse them.  One reading of every file: what follows sees the same lines, order and splits whatever is
     repeated, and whatever arrives meanwhile.
     """
     wanted = files.where(F.col("accepted") & (F.col("size") > 0) & F.col("expected").isNotNull()
@@ -225,7 +227,7 @@ def candidate_lines(spark: SparkSession, folder: str, files: DataFrame, target:
     known = wanted.select(F.col("path").alias("_path"), "number", "ConfigurationFileID", "Delimiter", "TextQualifier")
     lines = scan_lines(spark, folder, since).join(known, F.col("path") == F.col("_path"))
     add_transitions(lines).select(F.col("number").alias("path"), "block", "id", "line", "kind", "ConfigurationFileID") \
-        .write.partitionBy("ConfigurationFileID").parquet(target)
+        .write.option("maxRecordsPerFile", LINES_A_FILE).partitionBy("ConfigurationFileID").parquet(target)
     return spark.read.schema(schema).parquet(target)
 
 
@@ -348,7 +350,7 @@ def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame |
     The driver takes one row per distinct layout; files find theirs by a join.
     """
     key = ["ConfigurationFileID", "Delimiter", "TextQualifier", "actual"]
-    found = sorted(valid.select(*key).distinct().collect(), key=lambda r: [str(x) for x in r])
+    found = sorted(valid.groupBy(*key).agg(F.max("multi_line").alias("multi_line")).collect(), key=lambda r: [str(x) for x in r])
     by_config: dict[int, list] = {}
     for r in found:
         by_config.setdefault(r["ConfigurationFileID"], []).append(r)
@@ -362,7 +364,8 @@ def read_valid(valid: DataFrame, lines: DataFrame, cc_rows: list) -> DataFrame |
             .select(F.col("number").alias("path"), "header_id", "multi_line", number.alias("_layout"))
         own = lines.where(F.col("ConfigurationFileID") == config_id).drop("ConfigurationFileID")
         layouts = [FileLayout(r["Delimiter"], r["TextQualifier"], tuple(r["actual"])) for r in rows]
-        df = parse_any(records_of(own, files, ["_layout"]), layouts, "_layout").withColumnRenamed("path", "_path")
+        records = records_of(own, files, ["_layout"], multi_line=any(r["multi_line"] for r in rows))
+        df = parse_any(records, layouts, "_layout").withColumnRenamed("path", "_path")
         frames.append(shape_bronze(df, column_rules(cc_rows, config_id)))
     if not frames:
         return None
@@ -426,12 +429,13 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
             with log.step("WriteBronze") as s:
                 file_meta = disp.where(F.col("Disposition") == VALID).select(
                     F.col("number").alias("_path"), "SourceFile", "Source", "DefaultCategory", "ConfigurationFileID")
-                rows = rows.join(file_meta, "_path", "left").withColumn(
-                    "Category", F.coalesce("Category", "DefaultCategory"))
                 # Parsed once: good and bad rows are two writes over one persisted
-                # parse (memory and disk; recomputable from the lines if lost).
-                rows = add_bronze_audit(rows, main.guid, "Source", "SourceFile") \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
+                # parse (memory and disk; recomputable from the lines if lost).  What is the
+                # same for a whole file is not kept with each row.
+                parsed = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                rows = parsed.join(file_meta, "_path", "left").withColumn(
+                    "Category", F.coalesce("Category", "DefaultCategory"))
+                rows = add_bronze_audit(rows, main.guid, "Source", "SourceFile", F.lit(dt.datetime.now(dt.timezone.utc)))
                 orders = date_orders(spark, layout, rows, main.guid, guid is not None)
                 for (config_id, family), known in sorted(orders.items()):
                     if known is None:
@@ -450,9 +454,9 @@ def load_files_to_bronze(spark: SparkSession, layout: Layout, log: RunLog,
                 bad, obs_bad = observed(bad, "bronze_bad_rows")
                 append_once(spark, bad, layout.bronze_quarantine, main.guid, guid is not None)
                 quarantined = obs_bad.get.get("rows", 0) if guid is None else bad.count()
-                counts = rows.groupBy("_path").agg(F.count(F.lit(1)).alias("n"))
+                counts = parsed.groupBy("_path").agg(F.count(F.lit(1)).alias("n"))
                 disp = kept(with_row_counts(layout, disp, counts), "counted")
-                rows.unpersist()
+                parsed.unpersist()
                 s.rows, s.target = loaded, layout.bronze_transaction
                 if quarantined:
                     log.warn(s, f"{quarantined} row(s) with uncastable cells set aside")

@@ -148,9 +148,8 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
             for dim in ("Account",) + K.BRIDGE_DIMENSIONS:
                 d = read_dimension(spark, layout, dim).select(f"{dim}GUID", F.col("Name").alias(dim))
                 fact = lookup(fact, d, f"{dim}GUID", f"{dim}GUID", [dim])
-            cached = fact = fact.persist()
-            # Months touched come from the new facts only.
-            months = [r["YearMonth"] for r in fact.select("YearMonth").distinct().collect()]
+            # Months touched come from the new facts only; the lookups leave their dates alone.
+            months = [r[0] for r in fresh.select((F.year("Date") * 100 + F.month("Date")).cast("int")).distinct().collect()]
             # A fact without a date has no month, and counts in the spend like any other.
             in_months = F.col("YearMonth").isin([m for m in months if m is not None])
             if None in months:
@@ -167,7 +166,6 @@ def load_silver_to_gold(spark: SparkSession, layout, log, years_back: int = 5):
             fact, obs = observed(fact.hint("rebalance", "YearMonth"), "gold_fact")
             fact.write.mode("append").partitionBy("YearMonth").parquet(layout.gold_transaction)
             s.rows, s.target = obs.get.get("rows", 0), layout.gold_transaction
-            cached.unpersist()
         with log.step("SpendByCategoryMonth", months=len(months)) as s:
             if months:
                 touched = spark.read.parquet(layout.gold_transaction) \

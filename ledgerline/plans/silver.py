@@ -193,9 +193,9 @@ def _rule_value(pairs: list[tuple[int, str]]) -> Column:
     return F.coalesce(*[F.when(F.col("ConfigurationFileID") == i, F.col(c)) for i, c in pairs])
 
 
-def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = None) -> DataFrame:
+def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = None) -> tuple[DataFrame, bool]:
     """Bronze rows of valid files not yet taken into Silver, with the
-    ConfigurationFileID that each file was read by.
+    ConfigurationFileID that each file was read by, and whether a file has several loads.
 
     The pending file list comes from the file dispositions minus the small
     SilverFiles table (metadata, one row per file); only the Bronze loads that
@@ -217,7 +217,23 @@ def pending_bronze(spark: SparkSession, layout: Layout, source: str | None = Non
     bronze = bronze.where(F.col("ExecutionGUID").isin(loads))
     keys = pending.groupBy(*FILE_KEY, F.col("_load").alias("ExecutionGUID")).agg(
         F.min("ConfigurationFileID").alias("ConfigurationFileID"))
-    return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"])
+    several = not keys.groupBy(*FILE_KEY).count().where(F.col("count") > 1).isEmpty()
+    return bronze.join(keys, [*FILE_KEY, "ExecutionGUID"]), several
+
+
+def first_rows(bronze: DataFrame, several: bool) -> DataFrame:
+    """Bronze rows without repeats, with the audit columns of the first load.
+
+    Where each file has one load (not ``several``), the load and its configuration row follow from the file, and
+    only the time may differ: that is an aggregate by hashing, the general one sorts all rows twice.
+    """
+    if several:
+        return keep_first(bronze, BRONZE_VALUE_COLUMNS, ["IngestDatetime"], ["ExecutionGUID", "ConfigurationFileID"])
+    keys = [*BRONZE_VALUE_COLUMNS, "ExecutionGUID", "ConfigurationFileID"]
+    # a missing time comes first, as in keep_first
+    time = F.when(~F.max(F.col("IngestDatetime").isNull()), F.min("IngestDatetime"))
+    return bronze.groupBy(*keys).agg(time.alias("IngestDatetime")) \
+        .select(*BRONZE_VALUE_COLUMNS, "IngestDatetime", "ExecutionGUID", "ConfigurationFileID")
 
 
 def key_month(date: Column) -> Column:
@@ -243,11 +259,14 @@ def append_transactions(spark: SparkSession, layout: Layout, facts: DataFrame, r
     files = shaped.select(*FILE_KEY).distinct().select(
         *FILE_KEY, F.lit(run_guid).alias("ExecutionGUID"),
         F.current_timestamp().alias("DateTimeInserted"))
-    done = recorded_keys(spark, layout, [r[0] for r in shaped.select("_key_month").distinct().collect()])  # months
-    new = shaped.join(done, "TransactionGUID", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+    new = shaped
+    if not read_or_empty(spark, layout.silver_files, schemas.SILVER_FILES).isEmpty():  # else no run is recorded: all are new
+        done = recorded_keys(spark, layout, [r[0] for r in shaped.select("_key_month").distinct().collect()])  # months
+        new = shaped.join(done, "TransactionGUID", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
     added, obs = observed(new.drop("_key_month"), "silver")
     added.write.mode("append").partitionBy("ExecutionGUID").parquet(layout.silver_transaction)
-    new.select("TransactionGUID", "ExecutionGUID", F.col("_key_month").alias("KeyMonth")) \
+    # A month's keys go together into few files, not one of each task.
+    new.select("TransactionGUID", "ExecutionGUID", F.col("_key_month").alias("KeyMonth")).hint("rebalance", "KeyMonth") \
         .write.mode("append").partitionBy("KeyMonth").parquet(layout.silver_keys)
     append(align(files, schemas.SILVER_FILES), layout.silver_files)
     new.unpersist()
@@ -280,9 +299,9 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         used = {r["ConfigurationFileID"] for r in cfg.collect()}  # configuration only
         cc_rows = [r for r in cc.collect() if r["ConfigurationFileID"] in used]
 
-        bronze = pending_bronze(spark, layout, source)
-        bronze = keep_first(bronze, BRONZE_VALUE_COLUMNS, ["IngestDatetime"],
-                            ["ExecutionGUID", "ConfigurationFileID"])
+        bronze, several = pending_bronze(spark, layout, source)
+        if several:  # which load's configuration row counts is known after it
+            bronze = first_rows(bronze, several)
 
         with log.step("Accounts") as s:
             report_repeats(spark, layout, log, s)
@@ -291,13 +310,9 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             # dimension: a Lookup's append to it would have Spark drop the persisted rows and compute them again.
             accounts = account_lookup(cfg, read_dimension(spark, layout, "Account")).select(*CONFIGURATION_KEY, "AccountGUID")
             accounts = F.broadcast(spark.createDataFrame(accounts.collect(), accounts.schema))
-        # The run's working set is read by several steps; keep it for the run
-        # (memory and disk; recomputed from Bronze if an executor is lost).
-        rows = bronze.join(accounts, CONFIGURATION_KEY, "left") \
-            .withColumn("SourceValue", F.col(source_value_column)) \
-            .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
-            .withColumn("_key_month", key_month(F.col("Date"))) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        # Repeats have no say in what is mapped: that reads three columns of Bronze, and only rows of
+        # files that are taken are de-duplicated.
+        rows = bronze.join(accounts, CONFIGURATION_KEY, "left").withColumn("SourceValue", F.col(source_value_column))
 
         with log.step("ResolveToMap") as s:
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
@@ -327,7 +342,8 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         with log.step("SetAsideUnmapped") as s:
             bridge = read_or_empty(spark, layout.bridge, schemas.BRIDGE)
             to_map = read_or_empty(spark, layout.to_map, schemas.TO_MAP)
-            unmapped = null_safe_anti(rows, bridge.select(*BRIDGE_KEY), BRIDGE_KEY)
+            unmapped = null_safe_anti(rows.select(*BRIDGE_KEY, *FILE_KEY), bridge.select(*BRIDGE_KEY), BRIDGE_KEY).distinct() \
+                .persist(StorageLevel.MEMORY_AND_DISK)
             new_rows = unmapped.select("AccountGUID", "SourceValue", "SourceFile").distinct()
             new_rows = null_safe_anti(new_rows, to_map, ["AccountGUID", "SourceValue", "SourceFile"])
             new_rows, obs = observed(align(new_rows, schemas.TO_MAP), "to_map")
@@ -338,9 +354,22 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             s.rows, s.target = to_map_added, layout.to_map
 
         # Rows of held-back files stay in Bronze and are taken again next run.
-        keyed = rows.withColumn("_file", F.concat_ws("/", "Source", "SourceFile"))
-        held_keys = held_files.select(F.concat_ws("/", "Source", "SourceFile").alias("_file"))
-        ready = processable_rows(keyed, held_keys, key="_file").drop("_file")
+        taken = bronze
+        if held_n:
+            keyed = bronze.withColumn("_file", F.concat_ws("/", "Source", "SourceFile"))
+            held_keys = held_files.select(F.concat_ws("/", "Source", "SourceFile").alias("_file"))
+            taken = processable_rows(keyed, held_keys, key="_file").drop("_file")
+        unmapped.unpersist()
+        if not several:
+            taken = first_rows(taken, several)
+        rules, keys = _lookup_rules(cc_rows)
+        ready = taken.join(accounts, CONFIGURATION_KEY, "left") \
+            .withColumn("SourceValue", F.col(source_value_column)) \
+            .withColumn("TransactionGUID", stable_guid("Transaction", "AccountGUID", *TRANSACTION_KEY)) \
+            .withColumn("_key_month", key_month(F.col("Date")))
+        if rules:  # each adds its members first; kept for the run, recomputed from Bronze if an executor is lost
+            ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+        working = ready
 
         with log.step("Transformations") as s:
             t_rules, broken = _transaction_rules(spark, cc_rows, ready)
@@ -352,7 +381,6 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
             s.parameters["columns"] = ",".join(sorted(t_rules))
 
         with log.step("Lookups") as s:
-            rules, keys = _lookup_rules(cc_rows)
             for dim, columns in rules.items():
                 own = {c: f"_lk_{dim}_{c}" for c in columns}
                 ready = ready.withColumns({own[c]: _rule_value(pairs) for c, pairs in columns.items()})
@@ -383,6 +411,6 @@ def load_bronze_to_silver(spark: SparkSession, layout: Layout, log: RunLog,
         if held_n:
             log.warn(main, f"{held_n} file(s) held back until their values are mapped")
         held_files.unpersist()
-        rows.unpersist()
+        working.unpersist()
         main.rows = added
     return SilverResult(added, held_n, to_map_added, bridge_added)

@@ -78,16 +78,20 @@ def file_headers(lines: DataFrame) -> DataFrame:
         .withColumn("header", F.regexp_replace(F.regexp_replace("header", "\r$", ""), "^﻿", ""))
 
 
-def records_of(lines: DataFrame, files: DataFrame, take: Sequence[str] = ()) -> DataFrame:
-    """(path, record, *take) of the files (path, header_id, multi_line, *take), headers left out."""
+def records_of(lines: DataFrame, files: DataFrame, take: Sequence[str] = (), multi_line: bool = True) -> DataFrame:
+    """(path, record, *take) of the files (path, header_id, multi_line, *take), headers left out.
+
+    ``multi_line``: whether it may be true of a file; if not, the lines are read once, not three times.
+    """
     known = files.select(F.col("path").alias("_path"), "header_id", "multi_line", *take)
     own = lines.join(known, F.col("path") == F.col("_path")).drop("_path")
     plain = own.where(~F.col("multi_line")).select("path", F.col("id").alias("first_id"), F.col("line").alias("record"),
                                                    "header_id", *take)
-    joined = assemble(own.where("multi_line").select("path", "block", "id", "line", "kind"))
-    joined = joined.join(known, F.col("path") == F.col("_path")).drop("_path", "multi_line")
-    both = plain.unionByName(joined).where(F.col("first_id") != F.col("header_id")) \
-        .withColumn("record", F.regexp_replace("record", "\r$", ""))
+    both = plain
+    if multi_line:
+        joined = assemble(own.where("multi_line").select("path", "block", "id", "line", "kind"))
+        both = plain.unionByName(joined.join(known, F.col("path") == F.col("_path")).drop("_path", "multi_line"))
+    both = both.where(F.col("first_id") != F.col("header_id")).withColumn("record", F.regexp_replace("record", "\r$", ""))
     return both.where(F.trim("record") != "").select("path", "record", *take)
 
 

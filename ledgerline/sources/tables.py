@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.sources.files import exists
@@ -19,6 +20,12 @@ def schema_issue(actual: list[str], declared: list[str]) -> str:
     return ".".join(x for x, bad in (("ExtraColumns", extra), ("MissingColumns", missing)) if bad)
 
 
+def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows, known to the planner: a join with a table that is not there yet shuffles nothing."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   validate: bool = True) -> DataFrame:
     """The table at ``path`` with the declared schema, or an empty one.
@@ -33,7 +40,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
             if issue:
                 raise SchemaMismatch(f"{path}: {issue} (stored {stored})")
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    return empty(spark, schema)
 
 
 def stored_columns(spark: SparkSession, path: str) -> list[str]:
@@ -50,7 +57,7 @@ def read_columns(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Just the named columns of a table (empty if it does not exist yet)."""
     if exists(spark, path):
         return spark.read.schema(ddl).parquet(path)
-    return spark.createDataFrame([], ddl)
+    return empty(spark, ddl)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
