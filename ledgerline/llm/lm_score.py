@@ -27,6 +27,8 @@ ignored.
 from __future__ import annotations
 
 import collections
+import functools
+import itertools
 import zlib
 from dataclasses import dataclass
 
@@ -161,18 +163,18 @@ class Parameters:
         """log10 P(target class | context classes) per token; equal contexts and pairs are computed once."""
         k = len(self.bias)
         pairs, of = np.unique(_key(context, k) * k + target, return_inverse=True)
-        contexts, at = np.unique(pairs // k, return_inverse=True)
-        # One table per place: a context's prediction is a sum of CONTEXT rows.
-        tables = [(self.context * p).astype(np.float32) for p in self.places]
-        out_t, bias = self.target.T.astype(np.float32), self.bias.astype(np.float32)
+        first = _firsts(pairs // k)
+        contexts, at = pairs[first] // k, np.repeat(np.arange(len(first)), np.diff(np.append(first, len(pairs))))
+        # One table per place: a context's prediction is a sum of CONTEXT rows; its last cell is 1, for the bias.
+        tables = [np.hstack([self.context * p, np.full((k, 1), i == 0)]).astype(np.float32) for i, p in enumerate(self.places)]
+        out_t = np.vstack([self.target.T, self.bias]).astype(np.float32)
         ones, edges = np.ones(k, np.float32), np.searchsorted(at, np.arange(0, len(contexts) + BATCH, BATCH))
         value = np.empty(len(pairs))
         for n, a in enumerate(range(0, len(contexts), BATCH)):
             c = _classes(contexts[a:a + BATCH], k)
             rows = slice(edges[n], edges[n + 1])
-            q = sum(table[c[i]] for i, table in enumerate(tables))
+            q = sum(table.take(c[i], axis=0) for i, table in enumerate(tables))
             s = q @ out_t
-            s += bias
             own = s[at[rows] - a, pairs[rows] % k]
             top = s.max(axis=1)
             s -= top[:, None]
@@ -194,65 +196,93 @@ def _classes(key: np.ndarray, k: int) -> list[np.ndarray]:
     return [key // k ** (CONTEXT - 1 - i) % k for i in range(CONTEXT)]
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.concatenate([[len(ordered) > 0], ordered[1:] != ordered[:-1]]))
+
+
+@functools.lru_cache(maxsize=8)
+def _cells(n: int) -> np.ndarray:
+    return np.arange(n * DIMENSIONS).reshape(n, DIMENSIONS)
+
+
 def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """(n, DIMENSIONS) sums of the ``rows`` that belong to each number."""
-    cells = np.arange(n * DIMENSIONS).reshape(n, DIMENSIONS).take(at, axis=0).ravel()
-    return np.bincount(cells, rows.ravel(), n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
+    return np.bincount(_cells(n).take(at, axis=0).ravel(), rows.ravel(), n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
 
 
 def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share: np.ndarray, seed: int) -> Parameters:
     """Noise-contrastive estimation by AdaGrad; the noise words are shared by a step.
 
-    A step takes CONTEXTS distinct contexts with all their targets and how often each occurs.
+    A step takes CONTEXTS distinct contexts with all their targets and how often each occurs.  All parameters are views
+    of one vector, as are their gradients, so that a step updates them at once; what a step takes is laid out
+    for the whole epoch.
     """
     k = len(share)
-    p = Parameters(*(x.astype(np.float32).copy() for x in (start.context, start.places, start.target, start.bias)))
-    squares = [np.full(x.shape, 1e-6, np.float32) for x in (p.context, p.places, p.target, p.bias)]
+    values = start.flat().astype(np.float32)
+    p, gradient, squares = start.like(values), np.empty_like(values), np.full_like(values, 1e-6)
+    g = start.like(gradient)
     log_noise = np.log(NOISE * share).astype(np.float32)
     rng = np.random.default_rng(seed)
     edges = np.cumsum(share)
     pairs, times = np.unique(_key(context, k) * k + target, return_counts=True)
-    contexts, first, sizes = np.unique(pairs // k, return_index=True, return_counts=True)
-    classes, targets, weights = _classes(contexts, k), pairs % k, np.add.reduceat(times, first)
+    first = _firsts(pairs // k)
+    sizes, weights = np.diff(np.append(first, len(pairs))), np.add.reduceat(times, first)
+    classes = np.stack(_classes(pairs[first] // k, k)).astype(np.int16)
+    targets = (pairs % k).astype(np.int16)
+    del pairs
     parts = -(-weights // HEAVY)  # a frequent context is dealt over several steps
     times = (times / np.repeat(parts, sizes)).astype(np.float32)
     weights = (weights / parts).astype(np.float32)
-    entries = np.repeat(np.arange(len(contexts)), parts)
+    entries = np.repeat(np.arange(len(first)), parts)
     for _ in range(EPOCHS):
         order = rng.permutation(entries)
-        for a in range(0, len(order), CONTEXTS):
-            rows = order[a:a + CONTEXTS]
-            n, weight = sizes[rows], weights[rows]
-            begin = np.cumsum(n) - n
-            at = np.arange(n.sum()) + np.repeat(first[rows] - begin, n)
-            t, w, c = targets[at], times[at], [x[rows] for x in classes]
-            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), k - 1)
-            q = sum((p.context * place).take(x, axis=0) for x, place in zip(c, p.places))
-            wide = np.repeat(q, n, axis=0)
-            own, others = p.target.take(t, axis=0), p.target[noise]
-            up = w / (1 + np.exp(np.einsum("ij,ij->i", wide, own) + p.bias[t] - log_noise[t]))
+        steps = range(0, len(order), CONTEXTS)
+        noises = np.minimum(np.searchsorted(edges, rng.random((len(steps), NOISE))), k - 1)
+        n, weight_of, class_of = sizes[order], weights[order], classes[:, order]
+        begin = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(begin[-1]) + np.repeat(first[order] - begin[:-1], n)
+        target_of, times_of = targets[at], times[at]
+        del at
+        row_of = np.repeat((np.arange(len(order)) % CONTEXTS).astype(np.int16), n)
+        for a, noise in zip(steps, noises):
+            rows = slice(a, a + CONTEXTS)
+            of = slice(begin[a], begin[min(a + CONTEXTS, len(order))])
+            t, c, row = (x.astype(np.intp) for x in (target_of[of], class_of[:, rows], row_of[of]))
+            w, weight = times_of[of], weight_of[rows]
+            tables = p.context * p.places[:, None]
+            q = tables[0].take(c[0], axis=0)
+            for table, x in zip(tables[1:], c[1:]):
+                q += table.take(x, axis=0)
+            wide, own, others = q.take(row, axis=0), p.target.take(t, axis=0), p.target.take(noise, axis=0)
+            up = np.einsum("ij,ij->i", wide, own)
+            up += (p.bias - log_noise).take(t)
+            np.exp(up, out=up)
+            up += 1
+            np.divide(w, up, out=up)
             down = q @ others.T
-            down += p.bias[noise] - log_noise[noise]
+            down += (p.bias - log_noise).take(noise)
             np.negative(down, out=down)
             np.exp(down, out=down)
             down += 1
             np.divide(-weight[:, None], down, out=down)
             own *= up[:, None]
-            g_q = np.add.reduceat(own, begin, axis=0)
-            g_q += down @ others
+            g_q = down @ others
+            g_q += _sum_rows(row, own, len(g_q))
             wide *= up[:, None]
-            to = np.concatenate([t, noise])
-            g_target = _sum_rows(to, np.concatenate([wide, down.T @ q]), k)
-            g_bias = np.bincount(to, np.concatenate([up, down.sum(axis=0)]), k).astype(np.float32)
+            g.target[:] = _sum_rows(t, wide, k)
+            np.add.at(g.target, noise, down.T @ q)
+            g.bias[:] = np.bincount(t, up, k)
+            np.add.at(g.bias, noise, down.sum(axis=0))
             # Per place the gradients of a context class's rows add up before its vector comes in.
-            by_class = [_sum_rows(x, g_q, k) for x in c]
-            g_context = sum(g * place for g, place in zip(by_class, p.places))
-            g_places = np.stack([(g * p.context).sum(axis=0) for g in by_class])
-            seen = weight.sum()
-            for x, g, s in zip((p.context, p.places, p.target, p.bias), (g_context, g_places, g_target, g_bias), squares):
-                g /= seen
-                s += g * g
-                x += RATE * g / np.sqrt(s)
+            by_class = np.stack([_sum_rows(x, g_q, k) for x in c])
+            g.context[:] = np.einsum("pkd,pd->kd", by_class, p.places)
+            g.places[:] = np.einsum("pkd,kd->pd", by_class, p.context)
+            gradient /= weight.sum()
+            squares += gradient * gradient
+            gradient *= RATE
+            gradient /= np.sqrt(squares)
+            values += gradient
     return p
 
 
@@ -260,20 +290,24 @@ def _rare(word: str) -> int:
     return zlib.crc32(word[-2:].encode()) % RARE_CLASSES
 
 
-class _Numbers(dict):
-    """Word (as UTF-8) to its number: END and common words have theirs, others that of their rare class."""
+@functools.cache
+def _rare_by_tail() -> np.ndarray:
+    """The rare class of a word by its last two bytes, where both are letters of one byte."""
+    return np.array([zlib.crc32(bytes(divmod(i, 128))) % RARE_CLASSES for i in range(128 * 128)], np.int16)
 
-    def __init__(self, common: list[str]) -> None:
-        self.first_rare = len(common)
-        self.common = [w.encode() for w in common]
-        super().__init__({w: i for i, w in enumerate(self.common)})
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.update({w: i for i, w in enumerate(self.common)})
-        i = self[word] = self.first_rare + _rare(word.decode())
-        return i
+def _rare_classes(words: pa.Array) -> np.ndarray:
+    """``_rare`` of words in UTF-8."""
+    ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    if not len(words):
+        return np.zeros(0, np.int16)
+    last, before = data[ends[1:] - 1], data[np.maximum(ends[1:] - 2, 0)]
+    plain = (last < 128) & (before < 128) & (np.diff(ends) > 1)
+    out = _rare_by_tail()[np.where(plain, before.astype(np.int32) * 128 + last, 0)]
+    for i in np.flatnonzero(~plain):
+        out[i] = _rare(words[i].as_py().decode())
+    return out
 
 
 def _texts(column: pa.Array) -> list[bytes | None]:
@@ -352,12 +386,15 @@ def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
 
 def _number(words_: list[str]):
     def run(batches):
-        numbers = _Numbers(words_)
+        numbers = {w.encode(): i for i, w in enumerate(words_)}
+        end = words_[0].encode()
 
         def close(rows, every, starts):
-            ids = np.fromiter(map(numbers.__getitem__, every), np.int16, len(every))
-            rare = np.flatnonzero(ids >= numbers.first_rare)
-            words_of = pa.array([every[i] for i in rare], pa.binary()).cast(pa.string())
+            ids = np.fromiter(map(numbers.get, every, itertools.repeat(-1)), np.int16, len(every))
+            rare = np.flatnonzero(ids < 0)
+            words_of = pa.array([every[i] for i in rare], pa.binary())
+            ids[rare] = len(numbers) + _rare_classes(words_of)
+            words_of = words_of.cast(pa.string())
             return pa.RecordBatch.from_arrays(
                 [rows.column("id"), rows.column("text_hash"), rows.column("held_out"),
                  pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids)),
@@ -368,7 +405,7 @@ def _number(words_: list[str]):
             at, every, starts = 0, [], [0]
             for n, t in enumerate(_texts(batch.column("text"))):
                 every += _split(t)
-                every.append(numbers.common[0])
+                every.append(end)
                 starts.append(len(every))
                 if len(every) >= SCORE_TOKENS:  # some texts at a time
                     yield close(batch.slice(at, n + 1 - at), every, starts)
@@ -391,7 +428,7 @@ def _score(corpus: Corpus, params: Parameters):
     def run(batches):
         for batch in batches:
             cells = []
-            for a, s in _pieces(batch.column("numbers"), SCORE_TOKENS):
+            for a, s in _pieces(batch.column("numbers"), TRAIN_TOKENS):  # the more tokens, the more contexts are equal
                 c = class_of[a]
                 per = params.log10(_contexts(c, s), c) + inside[a]
                 cells.append([np.diff(s), *(np.add.reduceat(x, s[:-1]) for x in (known[a], log[a], per))])
