@@ -334,14 +334,24 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _packed(numbers: np.ndarray, starts: list[int]) -> pa.Array:
+    """The texts' numbers (16 bits each) as a binary cell each: Spark copies those whole, arrays by element."""
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [
+        None, pa.py_buffer(np.array(starts, np.int32) * np.int32(2)), pa.py_buffer(np.ascontiguousarray(numbers, np.int16))])
+
+
+def _flat(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the texts, and where each text starts and the last ends."""
-    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+    if not len(packed):
+        return np.zeros(0, np.int16), np.zeros(1, np.int64)
+    _, offsets, data = packed.buffers()
+    starts = np.frombuffer(offsets, np.int32, len(packed) + 1, packed.offset * 4).astype(np.int64)
+    return np.frombuffer(data, np.int16, (starts[-1] - starts[0]) // 2, starts[0]), (starts - starts[0]) // 2
 
 
-def _pieces(lists: pa.Array, most: int):
+def _pieces(packed: pa.Array, most: int):
     """Numbers and starts of some texts at a time, about ``most`` tokens (a longer text alone)."""
-    numbers, starts = _flat(lists)
+    numbers, starts = _flat(packed)
     at = 0
     while at < len(starts) - 1:
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + most, side="right")) - 1)
@@ -396,10 +406,9 @@ def _number(words_: list[str]):
             ids[rare] = len(numbers) + _rare_classes(words_of)
             words_of = words_of.cast(pa.string())
             return pa.RecordBatch.from_arrays(
-                [rows.column("id"), rows.column("text_hash"), rows.column("held_out"),
-                 pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids)),
+                [rows.column("id"), rows.column("row"), rows.column("held_out"), _packed(ids, starts),
                  pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, starts), pa.int32()), words_of)],
-                names=["id", "text_hash", "held_out", "numbers", "rest"])
+                names=["id", "row", "held_out", "numbers", "rest"])
 
         for batch in batches:
             at, every, starts = 0, [], [0]
@@ -435,9 +444,9 @@ def _score(corpus: Corpus, params: Parameters):
             if cells:
                 done = [np.concatenate(x) for x in zip(*cells)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in ("id", "text_hash", "held_out", "n_rare")]
+                    [batch.column(c) for c in ("id", "row", "held_out")]
                     + [pa.array(x, pa.int64()) for x in done[:2]] + [pa.array(x, pa.float64()) for x in done[2:]],
-                    names=["id", "text_hash", "held_out", "n_rare", "n_tokens", "known", "log_common", "log_model"])
+                    names=["id", "row", "held_out", "n_tokens", "known", "log_common", "log_model"])
 
     return run
 
@@ -448,34 +457,30 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     Rows where ``held_out`` isn't true train the model.
     """
     spark = docs.sparkSession
-    slim = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
-                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), held_out.alias("held_out"))
+    slim = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), held_out.alias("held_out"))
     corpus = count_corpus(slim.where(~F.coalesce("held_out", F.lit(False))))
     kind = slim.schema["id"].dataType.simpleString()
     # Parquet, not checkpoint(): the numbers compress well, and each use reads only its columns.
     folder = shared_folder(spark, "lm")
-    slim.mapInArrow(_number(corpus.numbered()), f"id {kind}, text_hash long, held_out boolean, numbers array<smallint>, "
-                    "rest array<string>").withColumn("n_rare", F.size("rest")).write.parquet(folder)
+    # Rows are told apart by a number that is stored with them: ids may repeat.
+    slim.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _number(corpus.numbered()), f"id {kind}, row long, held_out boolean, numbers binary, rest array<string>").write.parquet(folder)
     numbered = spark.read.parquet(folder)
     params = train(numbered.where(~F.coalesce("held_out", F.lit(False))), corpus)
 
-    scored = numbered.select("id", "text_hash", "held_out", "n_rare", "numbers").mapInArrow(
-        _score(corpus, params), f"id {kind}, text_hash long, held_out boolean, n_rare int, n_tokens long, known long, "
+    scored = numbered.select("id", "row", "held_out", "numbers").mapInArrow(
+        _score(corpus, params), f"id {kind}, row long, held_out boolean, n_tokens long, known long, "
         "log_common double, log_model double")
-    logs = (numbered.select("id", "text_hash", F.explode("rest").alias("token"))
-            .join(corpus.counts, "token", "left")
-            .groupBy("id", "text_hash").agg(
-                F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("log_rare"),
-                F.count("c").alias("rare_known"), F.count("*").alias("rows"))
-            .withColumnsRenamed({"id": "rid", "text_hash": "rtext"}))
-    joined = scored.join(logs, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_hash") == F.col("rtext")), "left")
-    # Rows that repeat an id and text add up there; each gets its part.
-    part = F.coalesce(F.col("n_rare") / F.col("rows"), F.lit(0.0))
-    rare = F.coalesce(F.col("log_rare"), F.lit(0.0)) * part
+    known = corpus.counts.select("token", F.log10(F.col("c") + SMOOTH).alias("log"))
+    logs = (numbered.select("row", F.explode("rest").alias("token")).join(known, "token", "left")
+            .groupBy("row").agg(F.sum(F.coalesce("log", F.log10(F.lit(SMOOTH)))).alias("log_rare"),
+                                F.count("log").alias("rare_known")))
+    joined = scored.join(logs, "row", "left")
+    rare = F.coalesce(F.col("log_rare"), F.lit(0.0))
     norm = float(np.log10(corpus.total + SMOOTH * (corpus.distinct + 1)))
     return joined.select(
         F.col("id").alias(key), "held_out", "n_tokens",
-        (F.col("known") + F.round(F.coalesce("rare_known", F.lit(0)) * part).cast("long")).alias("n_known"),
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(corpus.total).cast("long").alias("train_tokens"),
         (F.col("log_common") + rare - F.col("n_tokens") * norm).alias("base_score"),
         (F.col("log_model") + rare).alias("score"))

@@ -496,6 +496,60 @@ def test_lm_batch_sums():
     assert np.allclose(lm_score._sum_rows(at, x, 9), want, atol=1e-5)
 
 
+def test_lm_rare_classes_and_packed_numbers():
+    import numpy as np
+    import pyarrow as pa
+
+    words = ["a", "ab", "\u00e9", "a\u00e9", "\u00e9a", "xyz", "\u65e5\u672c", "z\u65e5", "\x00a", "abc\x7f", "a\u00df"]
+    cells = pa.array([w.encode() for w in words], pa.binary())
+    assert lm_score._rare_classes(cells).tolist() == [lm_score._rare(w) for w in words]
+    assert not len(lm_score._rare_classes(cells[:0]))
+    ids, starts = np.arange(10, dtype=np.int16), [0, 3, 4, 10]
+    for begin, want, edges in ((0, ids, starts), (1, ids[3:], [0, 1, 7])):
+        got, at = lm_score._flat(lm_score._packed(ids, starts).slice(begin))
+        assert got.tolist() == want.tolist() and at.tolist() == edges
+    assert [x.tolist() for x, _ in lm_score._pieces(lm_score._packed(ids, starts), 4)] == [[0, 1, 2, 3], [4, 5, 6, 7, 8, 9]]
+    assert not list(lm_score._pieces(lm_score._packed(ids[:0], [0]), 4))
+
+
+def test_lm_steps_follow_the_gradient():
+    """Two steps of training against the sums written out, pair by pair."""
+    import numpy as np
+
+    k, m = 7, lm_score
+    share = np.arange(1.0, k + 1) / np.arange(1.0, k + 1).sum()
+    rng = np.random.default_rng(5)
+    context, target = rng.integers(0, k, (60, m.CONTEXT)), rng.integers(0, k, 60)
+    start = m.Parameters.start(share * 100)
+    got = m.train_part(start, context, target, share, 3)
+    seen = collections.Counter((*map(int, c), int(t)) for c, t in zip(context, target))
+    contexts = sorted({c[:-1] for c in seen})
+    p = m.Parameters(*(x.copy() for x in (start.context, start.places, start.target, start.bias)))
+    squares = [np.full(x.shape, 1e-6) for x in (p.context, p.places, p.target, p.bias)]
+    rng, log_noise = np.random.default_rng(3), np.log(m.NOISE * share)
+    for _ in range(m.EPOCHS):
+        rng.permutation(np.arange(len(contexts)))
+        noise = np.minimum(np.searchsorted(np.cumsum(share), rng.random(m.NOISE)), k - 1)
+        g = [np.zeros(x.shape) for x in (p.context, p.places, p.target, p.bias)]
+
+        def add(c, q, t, amount):
+            for i in range(m.CONTEXT):
+                g[0][c[i]] += amount * p.target[t] * p.places[i]
+                g[1][i] += amount * p.target[t] * p.context[c[i]]
+            g[2][t] += amount * q
+            g[3][t] += amount
+
+        for (*c, t), n in seen.items():
+            q = sum(p.context[c[i]] * p.places[i] for i in range(m.CONTEXT))
+            add(c, q, t, n / (1 + math.exp(q @ p.target[t] + p.bias[t] - log_noise[t])))
+            for x in noise:
+                add(c, q, x, -n / (1 + math.exp(-(q @ p.target[x] + p.bias[x] - log_noise[x]))))
+        for x, d, s in zip((p.context, p.places, p.target, p.bias), g, squares):
+            s += (d / 60) ** 2
+            x += m.RATE * (d / 60) / np.sqrt(s)
+    assert np.allclose(got.flat(), p.flat(), atol=1e-4)
+
+
 def test_rule_ensemble(spark, docs):
     labels = read_table(spark, SF_SMALL, "labels")
     stats = docs.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
