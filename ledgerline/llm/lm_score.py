@@ -26,14 +26,13 @@ ignored.
 
 from __future__ import annotations
 
-import collections
 import functools
-import itertools
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +46,9 @@ ROUNDS, EPOCHS, BATCH, NOISE, RATE = 2, 2, 1024, 48, 0.05
 # Contexts of a gradient step; a context seen more often than HEAVY takes part in several.
 CONTEXTS, HEAVY = 384, 1024
 SMOOTH = 0.1
-SCORE_TOKENS, TRAIN_TOKENS = 1 << 19, 1 << 21
+SCORE_BYTES, TRAIN_TOKENS = 1 << 22, 1 << 21
 CACHE_WORDS = 400_000
+SAFE = 60.0  # exp of a score up to this, and sums of such, are ordinary float32 numbers
 
 
 def rare_class(token: Column) -> Column:
@@ -90,22 +90,22 @@ class Corpus:
 
 def _counted(batches):
     """Counts of a task's tokens, handed on whenever they are many."""
-    seen: collections.Counter[bytes] = collections.Counter()
+    held: list[pa.Table] = []
 
     def close():
-        out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()),
-                                          pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
-        seen.clear()
-        return out
+        merged = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")])
+        held.clear()
+        return pa.Table.from_arrays([merged["token"], merged["c_sum"]], names=["token", "c"]).combine_chunks().to_batches()
 
     for batch in batches:
-        for t in _texts(batch.column(0)):
-            seen.update(_split(t))
-            seen[END.encode()] += 1
-            if len(seen) > CACHE_WORDS:
-                yield close()
-    if seen:
-        yield close()
+        for texts in _some(batch.column(0)):
+            words = _words(texts)[0].value_counts()
+            held.append(pa.table([words.field(0), words.field(1)], names=["token", "c"]))
+            held.append(pa.table([pa.array([END]), pa.array([len(texts)], pa.int64())], names=["token", "c"]))
+            if sum(t.num_rows for t in held) > CACHE_WORDS:
+                yield from close()
+    if held:
+        yield from close()
 
 
 def count_corpus(docs: DataFrame, text: str = "text") -> Corpus:
@@ -169,18 +169,22 @@ class Parameters:
         tables = [np.hstack([self.context * p, np.full((k, 1), i == 0)]).astype(np.float32) for i, p in enumerate(self.places)]
         out_t = np.vstack([self.target.T, self.bias]).astype(np.float32)
         ones, edges = np.ones(k, np.float32), np.searchsorted(at, np.arange(0, len(contexts) + BATCH, BATCH))
-        value = np.empty(len(pairs))
+        value, room = np.empty(len(pairs)), np.empty((BATCH, k), np.float32)
+        longest = float(np.sqrt((out_t * out_t).sum(axis=0)).max())
         for n, a in enumerate(range(0, len(contexts), BATCH)):
             c = _classes(contexts[a:a + BATCH], k)
             rows = slice(edges[n], edges[n + 1])
             q = sum(table.take(c[i], axis=0) for i, table in enumerate(tables))
-            s = q @ out_t
+            s = np.matmul(q, out_t, out=room[:len(q)])
             own = s[at[rows] - a, pairs[rows] % k]
-            top = s.max(axis=1)
-            s -= top[:, None]
+            top = np.zeros(len(s), np.float32)
+            # No product exceeds that of the lengths: only long vectors need their largest score taken off before exp.
+            if not np.sqrt((q * q).sum(axis=1).max()) * longest < SAFE:
+                top = s.max(axis=1)
+                s -= top[:, None]
             np.exp(s, out=s)
             value[rows] = (own - (top + np.log(s @ ones))[at[rows] - a]) / np.log(10)
-        return value[of]
+        return value.take(of)
 
 
 def _key(context: np.ndarray, k: int) -> np.ndarray:
@@ -203,12 +207,22 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
 
 @functools.lru_cache(maxsize=8)
 def _cells(n: int) -> np.ndarray:
-    return np.arange(n * DIMENSIONS).reshape(n, DIMENSIONS)
+    return np.arange(n * DIMENSIONS // 2).reshape(n, DIMENSIONS // 2)
+
+
+def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add ``rows`` to the rows of ``out`` that ``at`` numbers, each as often as it is named (float32, whole arrays).
+
+    Two cells are added at once, as the parts of a complex number, which are added apart.
+    """
+    np.add.at(out.reshape(-1).view(np.complex64), _cells(len(out)).take(at, axis=0).ravel(), rows.reshape(-1).view(np.complex64))
 
 
 def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """(n, DIMENSIONS) sums of the ``rows`` that belong to each number."""
-    return np.bincount(_cells(n).take(at, axis=0).ravel(), rows.ravel(), n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
+    out = np.zeros((n, DIMENSIONS), np.float32)
+    _add_rows(out, at, np.ascontiguousarray(rows, np.float32))
+    return out
 
 
 def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share: np.ndarray, seed: int) -> Parameters:
@@ -235,14 +249,15 @@ def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share
     times = (times / np.repeat(parts, sizes)).astype(np.float32)
     weights = (weights / parts).astype(np.float32)
     entries = np.repeat(np.arange(len(first)), parts)
+    ones, scratch = np.ones(DIMENSIONS, np.float32), np.empty_like(values)
     for _ in range(EPOCHS):
         order = rng.permutation(entries)
         steps = range(0, len(order), CONTEXTS)
         noises = np.minimum(np.searchsorted(edges, rng.random((len(steps), NOISE))), k - 1)
-        n, weight_of, class_of = sizes[order], weights[order], classes[:, order]
+        n, weight_of, class_of = sizes.take(order), weights.take(order), classes.take(order, axis=1)
         begin = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(begin[-1]) + np.repeat(first[order] - begin[:-1], n)
-        target_of, times_of = targets[at], times[at]
+        at = np.arange(begin[-1]) + np.repeat(first.take(order) - begin[:-1], n)
+        target_of, times_of = targets.take(at), times.take(at)
         del at
         row_of = np.repeat((np.arange(len(order)) % CONTEXTS).astype(np.int16), n)
         for a, noise in zip(steps, noises):
@@ -250,38 +265,42 @@ def train_part(start: Parameters, context: np.ndarray, target: np.ndarray, share
             of = slice(begin[a], begin[min(a + CONTEXTS, len(order))])
             t, c, row = (x.astype(np.intp) for x in (target_of[of], class_of[:, rows], row_of[of]))
             w, weight = times_of[of], weight_of[rows]
+            total = weight.sum()
             tables = p.context * p.places[:, None]
             q = tables[0].take(c[0], axis=0)
             for table, x in zip(tables[1:], c[1:]):
                 q += table.take(x, axis=0)
             wide, own, others = q.take(row, axis=0), p.target.take(t, axis=0), p.target.take(noise, axis=0)
-            up = np.einsum("ij,ij->i", wide, own)
-            up += (p.bias - log_noise).take(t)
+            offset = p.bias - log_noise
+            up = (wide * own) @ ones
+            up += offset.take(t)
             np.exp(up, out=up)
             up += 1
+            up *= total
             np.divide(w, up, out=up)
             down = q @ others.T
-            down += (p.bias - log_noise).take(noise)
-            np.negative(down, out=down)
+            np.subtract(-offset.take(noise), down, out=down)
             np.exp(down, out=down)
             down += 1
-            np.divide(-weight[:, None], down, out=down)
+            np.divide((weight / -total)[:, None], down, out=down)
+            gradient.fill(0)
             own *= up[:, None]
             g_q = down @ others
-            g_q += _sum_rows(row, own, len(g_q))
+            _add_rows(g_q, row, own)
             wide *= up[:, None]
-            g.target[:] = _sum_rows(t, wide, k)
-            np.add.at(g.target, noise, down.T @ q)
-            g.bias[:] = np.bincount(t, up, k)
+            _add_rows(g.target, t, wide)
+            _add_rows(g.target, noise, down.T @ q)
+            np.add.at(g.bias, t, up)
             np.add.at(g.bias, noise, down.sum(axis=0))
             # Per place the gradients of a context class's rows add up before its vector comes in.
             by_class = np.stack([_sum_rows(x, g_q, k) for x in c])
-            g.context[:] = np.einsum("pkd,pd->kd", by_class, p.places)
-            g.places[:] = np.einsum("pkd,kd->pd", by_class, p.context)
-            gradient /= weight.sum()
-            squares += gradient * gradient
+            np.einsum("pkd,pd->kd", by_class, p.places, out=g.context)
+            np.einsum("pkd,kd->pd", by_class, p.context, out=g.places)
+            np.multiply(gradient, gradient, out=scratch)
+            squares += scratch
             gradient *= RATE
-            gradient /= np.sqrt(squares)
+            np.sqrt(squares, out=scratch)
+            gradient /= scratch
             values += gradient
     return p
 
@@ -310,17 +329,31 @@ def _rare_classes(words: pa.Array) -> np.ndarray:
     return out
 
 
-def _texts(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.binary()).to_pylist()
+def _some(texts: pa.Array):
+    """Some texts at a time, about ``SCORE_BYTES`` (a longer text alone)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = int(sizes[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, done + SCORE_BYTES, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
-def _split(text: bytes | None) -> list[bytes]:
-    """Words of a text in UTF-8, A-Z in lower case.
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, A-Z in lower case, and how many each text has; a null text has none.
 
-    Both methods of bytes know ASCII only: other letters stay, and the white space is
+    Both functions of Arrow know ASCII only: other letters stay, and the white space is
     that which parts words, no other.
     """
-    return (text or b"").lower().split()
+    lower = pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lower))
+    words, edges = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    filled = pc.binary_length(words).to_numpy() > 0
+    if not filled.all():  # a blank text leaves an empty piece
+        words = words.filter(pa.array(filled))
+    before = np.concatenate([[0], np.cumsum(filled, dtype=np.int64)])
+    return words, np.diff(before[edges - edges[0]])
 
 
 def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -334,7 +367,7 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _packed(numbers: np.ndarray, starts: list[int]) -> pa.Array:
+def _packed(numbers: np.ndarray, starts: np.ndarray) -> pa.Array:
     """The texts' numbers (16 bits each) as a binary cell each: Spark copies those whole, arrays by element."""
     return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [
         None, pa.py_buffer(np.array(starts, np.int32) * np.int32(2)), pa.py_buffer(np.ascontiguousarray(numbers, np.int16))])
@@ -396,31 +429,31 @@ def train(numbered: DataFrame, corpus: Corpus) -> Parameters:
 
 def _number(words_: list[str]):
     def run(batches):
-        numbers = {w.encode(): i for i, w in enumerate(words_)}
-        end = words_[0].encode()
-
-        def close(rows, every, starts):
-            ids = np.fromiter(map(numbers.get, every, itertools.repeat(-1)), np.int16, len(every))
-            rare = np.flatnonzero(ids < 0)
-            words_of = pa.array([every[i] for i in rare], pa.binary())
-            ids[rare] = len(numbers) + _rare_classes(words_of)
-            words_of = words_of.cast(pa.string())
+        known = pa.array(words_, pa.string())
+
+        def numbered(rows):
+            words, sizes = _words(rows.column("text"))
+            found = pc.index_in(words, value_set=known)
+            rest = words.filter(pc.is_null(found))
+            of_words = pc.fill_null(found, -1).to_numpy().astype(np.int16)
+            rare = np.flatnonzero(of_words < 0)
+            of_words[rare] = len(words_) + _rare_classes(rest.cast(pa.binary()))
+            starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+            is_word = np.ones(starts[-1], bool)
+            is_word[starts[1:] - 1] = False
+            ids = np.zeros(starts[-1], np.int16)  # words_ begins with END
+            ids[is_word] = of_words
+            edges = np.searchsorted(rare, np.concatenate([[0], np.cumsum(sizes)]))
             return pa.RecordBatch.from_arrays(
                 [rows.column("id"), rows.column("row"), rows.column("held_out"), _packed(ids, starts),
-                 pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, starts), pa.int32()), words_of)],
+                 pa.ListArray.from_arrays(pa.array(edges, pa.int32()), rest)],
                 names=["id", "row", "held_out", "numbers", "rest"])
 
         for batch in batches:
-            at, every, starts = 0, [], [0]
-            for n, t in enumerate(_texts(batch.column("text"))):
-                every += _split(t)
-                every.append(end)
-                starts.append(len(every))
-                if len(every) >= SCORE_TOKENS:  # some texts at a time
-                    yield close(batch.slice(at, n + 1 - at), every, starts)
-                    at, every, starts = n + 1, [], [0]
-            if at < batch.num_rows:
-                yield close(batch.slice(at), every, starts)
+            at = 0
+            for texts in _some(batch.column("text")):
+                yield numbered(batch.slice(at, len(texts)))
+                at += len(texts)
 
     return run
 

@@ -550,6 +550,88 @@ def test_lm_steps_follow_the_gradient():
     assert np.allclose(got.flat(), p.flat(), atol=1e-4)
 
 
+ODD_TEXTS = ["  Two\t words\n", None, "", " \x0b\x0c\r", "A\x1cB \x85 \u00a0 \u00c9T\u00c9 e\u00e9", "x" * 50, "b a b", "\x00 z"]
+
+
+def test_lm_counts_and_numbers_match_plain_splitting(monkeypatch):
+    """Counting and numbering against bytes' own methods, text by text; pieces of any size."""
+    import pyarrow as pa
+
+    texts = ODD_TEXTS * 3 + ["w%d b" % i for i in range(40)]
+    plain = [[w.decode() for w in (t or "").encode().lower().split()] for t in texts]
+    want = collections.Counter(w for words in plain for w in [*words, lm_score.END])
+    numbered = [lm_score.END, "b", "two", "w7"]
+    names = ["id", "row", "held_out", "text"]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array([None] * n, pa.bool_()), pa.array(texts)], names=names)
+    for size, most in ((1 << 22, 400_000), (60, 5), (1, 1)):
+        monkeypatch.setattr(lm_score, "SCORE_BYTES", size)
+        monkeypatch.setattr(lm_score, "CACHE_WORDS", most)
+        for batches in ([batch], [batch.slice(0, 5), batch.slice(5, 0), batch.slice(5)]):
+            got = collections.Counter()
+            for b in lm_score._counted(b.select(["text"]) for b in batches):
+                for token, c in zip(b["token"].to_pylist(), b["c"].to_pylist()):
+                    got[token] += c
+            assert got == want
+            done = pa.Table.from_batches(lm_score._number(numbered)(batches))
+            assert done["row"].to_pylist() == list(range(n))
+            assert done["rest"].to_pylist() == [[w for w in words if w not in numbered] for words in plain]
+            ids = [lm_score._flat(pa.array([x], pa.binary()))[0].tolist() for x in done["numbers"].to_pylist()]
+            assert ids == [[numbered.index(w) if w in numbered else 4 + lm_score._rare(w) for w in words] + [0] for words in plain]
+    assert not list(lm_score._counted([])) and not list(lm_score._number(numbered)([batch.slice(0, 0)]))
+
+
+def test_lm_words_are_not_python_objects():
+    """Counting and numbering keep words in Arrow: far less than an object a word on Python's heap."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = 200
+    texts = pa.array([" ".join(f"w{(i * 997 + j) % 5000:05d}" for j in range(1000)) for i in range(n)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array([False] * n), texts],
+                                       names=["id", "row", "held_out", "text"])
+    tracemalloc.start()
+    try:
+        for run in (lambda: lm_score._counted([batch.select(["text"])]), lambda: lm_score._number([lm_score.END, "w00001"])([batch])):
+            tracemalloc.reset_peak()
+            for _ in run():
+                pass
+            assert tracemalloc.get_traced_memory()[1] < 45 * n * 1000
+    finally:
+        tracemalloc.stop()
+
+
+def test_lm_probabilities_of_long_vectors():
+    """Scores far beyond what exp can hold in float32, and around the bound that asks for care."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    k = 9
+    context, target = rng.integers(0, k, (200, lm_score.CONTEXT)), rng.integers(0, k, 200)
+    for scale in (0.0, 20.0, 60.0, 400.0, 4000.0):
+        p = lm_score.Parameters.start(np.arange(1.0, k + 1), seed=3)
+        p.context *= scale
+        p.target *= 3
+        for c, t, got in zip(context, target, p.log10(context, target)):
+            score = p.target @ sum(p.context[c[i]] * p.places[i] for i in range(lm_score.CONTEXT)) + p.bias
+            want = (score[t] - score.max() - math.log(np.exp(score - score.max()).sum())) / math.log(10)
+            assert got == pytest.approx(want, rel=1e-4, abs=1e-4)
+
+
+def test_lm_rows_add_up_in_place():
+    """Sums of float32 rows by number, repeated and in any order, come on top of what stands there."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    at, x = rng.integers(0, 5, 400), rng.normal(size=(400, lm_score.DIMENSIONS)).astype(np.float32)
+    vector = rng.normal(size=3 + 6 * lm_score.DIMENSIONS).astype(np.float32)
+    want = vector.copy()
+    np.add.at(want[3:].reshape(6, -1), at, x)
+    lm_score._add_rows(vector[3:].reshape(6, -1), at, x)
+    assert np.allclose(vector, want, atol=1e-4) and (vector[-lm_score.DIMENSIONS:] == want[-lm_score.DIMENSIONS:]).all()
+
+
 def test_rule_ensemble(spark, docs):
     labels = read_table(spark, SF_SMALL, "labels")
     stats = docs.select("doc_id", text_stats(F.col("text")).alias("s")).select("doc_id", *rule_ensemble.features(F.col("s")))
