@@ -160,6 +160,80 @@ def test_a_host_of_several_groups(spark, monkeypatch):
     assert got == {i: own(i) for i in range(300)}
 
 
+def test_repeats_count_over_the_whole_host_of_several_groups(spark, monkeypatch):
+    """A passage on two pages of one group of many is no repeat, one on few pages of each group is."""
+    own = lambda i, n=20: " ".join(f"w{i}x{k}" for k in range(n))
+    twice = " ".join(f"twice{k}" for k in range(12))
+    cells = [(i, f"http://two/{i}", f"<body><p>{own(i, 500)}</p>" + (f"<p>{twice}</p>" if i < 2 else "") + "</body>") for i in range(4)]
+    cells += [(100 + i, f"http://many/{i}", f"<body><p>{own(i)}</p>" + (f"<p>{own(900 + i // 2, 12)}</p>" if i < 60 else "") + "</body>")
+              for i in range(80)]
+    for size in (1 << 20, 1 << 10):
+        monkeypatch.setattr(html_extract, "GROUP_BYTES", size)
+        got = {r.page_id: (r.text, r.n_repeated) for r in html_extract.extract_pages(pages(spark, *cells)).collect()}
+        assert [got[i] for i in range(4)] == [(own(i, 500), 12 * (i < 2)) for i in range(4)]
+        for i in range(80):
+            assert got[100 + i] == (own(i) + (f"\n{own(900 + i // 2, 12)}" if i < 60 else ""), 0)
+
+
+def test_hosts_of_several_groups_give_the_texts_of_one_array(spark, monkeypatch):
+    """Against all pages of a host at once: passages of every share, copied articles, pages that repeat and differ, null keys."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: f"v{rng.randrange(300)}"
+    passages = [" ".join(word() for _ in range(rng.randrange(6, 25))) for _ in range(30)]
+    articles = [[" ".join(word() for _ in range(rng.randrange(3, 40))) for _ in range(rng.randrange(1, 4))] for _ in range(25)]
+    cells = []
+    box = " ".join(f"box{k}" for k in range(10))
+    for host, n, plain in (("a", 160, 5), ("b", 160, 20), ("c", 12, 1)):  # few or many articles without the box, copied often
+        for i in range(n):
+            j = rng.randrange(25 if rng.random() < 0.3 else plain) if i < 0.6 * n else 25
+            out = [f"<p>{p}</p>" for k, p in enumerate(passages) if rng.random() < 0.012 * k]
+            held = [*articles[j]] if j < 25 else [" ".join(word() for _ in range(30))]
+            if j >= plain:
+                held.append(box)
+            kind = rng.randrange(4)
+            html = "".join(out) if kind == 0 else f"<div class='x-header'>{out[0] if out else word()}</div><nav>{passages[3]}</nav>" \
+                + "<article>" + "".join(f"<p>{t}</p>" for t in held) + "</article>"
+            key = None if rng.random() < 0.05 else i if rng.random() < 0.8 else rng.randrange(n)
+            cells.append((key, f"http://{host}/{0 if key is None else key}", html if rng.random() > 0.03 else None))
+    cells += rng.sample(cells, 15)
+    rng.shuffle(cells)
+    want = []
+    for host in "abc":
+        at = [(k, u, h) for k, u, h in cells if u.startswith(f"http://{host}/")]
+        want += [(k, u, *x) for (k, u, _), x in zip(at, html_extract.extract_host([((k, u), h) for k, u, h in at]))]
+    assert len({x[3] for x in want}) > 10
+    boxes = [(u[7], box in text) for (_, u, h), (_, _, text, _) in zip(sorted(cells, key=lambda c: c[1][7]), want) if h and box in h]
+    assert boxes.count(("a", True)) < 9 < 40 < boxes.count(("a", False)) and boxes.count(("b", False)) < 9 < 40 < boxes.count(("b", True))
+    cut = lambda rows: sorted(((r[0], r[1], r[2], r[-1]) for r in rows), key=str)
+    for size in (1 << 10, 1 << 12, 1 << 14):
+        monkeypatch.setattr(html_extract, "GROUP_BYTES", size)
+        assert cut(html_extract.extract_pages(pages(spark, *cells)).collect()) == cut(want)
+
+
+def test_a_large_host_is_read_and_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "GROUP_BYTES", 1 << 10)
+    got = html_extract.extract_pages(pages(spark, *[(i, f"http://h/{i}", f"<p>w{i} {'x ' * 50}</p>") for i in range(60)]))
+    assert len(got.collect()) == 60
+    text = got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert len(re.findall(r"MapInArrow _read", text)) == 2  # hosts of one group and of several
+
+
+def test_runs_are_found_like_suffixes():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    stream = rng.integers(0, 3, 3000)
+    stream[rng.integers(0, 3000, 40)] = -1 - np.arange(40)
+    run = html_extract.RUN
+    runs = np.unique(np.concatenate([rng.integers(0, 3, (50, run)), [stream[i:i + run] for i in range(0, 900, 9)]]), axis=0)
+    runs = runs[(runs >= 0).all(axis=1)]
+    of = {tuple(r): k for k, r in enumerate(runs)}
+    want = [of.get(tuple(stream[i:i + run]), -1) for i in range(3000)]
+    assert list(html_extract.find_runs(stream, runs)) == want and max(want) > 50
+
+
 def test_covered_tokens_match_brute_force():
     import numpy as np
 
